@@ -212,3 +212,321 @@ def q_parse_percent(spark, sf):
 def q_null_tokens(spark, sf):
     lst = raw(spark, sf)["listings"]
     return C.normalize_null_tokens(lst)
+
+
+# ------------------------------------------------------------------ helpers over the raw listings
+
+def listings_numeric(spark, sf) -> DataFrame:
+    """Raw listings (as extracted, repeated rows included) with the numeric
+    columns parsed the way the analysis does: price without '$' and ',',
+    numerics coerced, list size of amenities."""
+    lst = raw(spark, sf)["listings"]
+    nums = {c: S.parse_numeric(c) for c in K.DESCRIBE_COLUMNS if c in lst.columns}
+    nums["price_num"] = S.parse_price_signed("price")
+    nums["n_amenities"] = F.size(S.parse_list("amenities"))
+    return lst.withColumns(nums)
+
+
+def reviews_dated(spark, sf) -> DataFrame:
+    rev = raw(spark, sf)["reviews"]
+    return rev.withColumn("date", S.parse_date("date"))
+
+
+# ------------------------------------------------------------------ 2.2 projections and filters
+
+@query("select_existing")
+def q_select_existing(spark, sf):
+    return C.select_existing(raw(spark, sf)["listings"], ["id", "name", "price", "latitude", "room_type", "longitude"])
+
+
+@query("rename_columns")
+def q_rename_columns(spark, sf):
+    lst = C.select_existing(clean(spark, sf)["listings"], ["id", "price_clean", "neighbourhood_cleansed"])
+    return C.rename_columns(lst, {"price_clean": "price", "neighbourhood_cleansed": "barrio", "absent": "x"})
+
+
+@query("drop_known_sparse")
+def q_drop_known_sparse(spark, sf):
+    return C.drop_known_sparse(raw(spark, sf)["listings"])
+
+
+@query("drop_sparse_columns")
+def q_drop_sparse_columns(spark, sf):
+    return C.drop_sparse_columns(raw(spark, sf)["listings"], 0.95)
+
+
+@query("filter_non_null")
+def q_filter_non_null(spark, sf):
+    return C.filter_non_null(clean(spark, sf)["listings"], "review_scores_rating").select("id", "review_scores_rating")
+
+
+@query("filter_upper_percentile")
+def q_filter_upper_percentile(spark, sf):
+    return C.filter_upper_percentile(listings_numeric(spark, sf), "price_num", 0.99).select("id", "price_num")
+
+
+@query("filter_year_from")
+def q_filter_year_from(spark, sf):
+    return C.filter_year_from(clean(spark, sf)["reviews"], "date", FIRST_YEAR).select("id", "date", "year")
+
+
+@query("filter_valid_min_nights")
+def q_filter_valid_min_nights(spark, sf):
+    return C.filter_valid_min_nights(clean(spark, sf)["listings"]).select("id", "minimum_nights")
+
+
+# ------------------------------------------------------------------ 2.3 joins
+
+@query("semi_join_valid_parents")
+def q_semi_join_valid_parents(spark, sf):
+    return Q.semi_join_valid_parents(raw(spark, sf)["reviews"], parents(spark, sf))
+
+
+@query("fk_orphans")
+def q_fk_orphans(spark, sf):
+    return Q.fk_orphans(clean(spark, sf)["reviews"], parents(spark, sf)).select("id", "listing_id")
+
+
+@query("broadcast_thresholds", rounded={"q25": 6, "q50": 6, "q75": 6})
+def q_broadcast_thresholds(spark, sf):
+    lst = clean(spark, sf)["listings"]
+    t = T.price_thresholds(lst)
+    return lst.select("id", "price_clean", "price_category", t["q25"].alias("q25"), t["q50"].alias("q50"),
+                      t["q75"].alias("q75"))
+
+
+# ------------------------------------------------------------------ 2.4 deduplication
+
+@query("dedup_listings")
+def q_dedup_listings(spark, sf):
+    return C.keep_first(raw(spark, sf)["listings"], ["id"], FX.keep_first_orders()["listings"])
+
+
+@query("dedup_reviews")
+def q_dedup_reviews(spark, sf):
+    return C.keep_first(raw(spark, sf)["reviews"], ["id"], FX.keep_first_orders()["reviews"])
+
+
+@query("dedup_calendar")
+def q_dedup_calendar(spark, sf):
+    return C.keep_first(raw(spark, sf)["calendar"], ["listing_id", "date"], FX.keep_first_orders()["calendar"])
+
+
+@query("duplicate_counts")
+def q_duplicate_counts(spark, sf):
+    r = raw(spark, sf)
+    keys = {"listings": ["id"], "reviews": ["id"], "calendar": ["listing_id", "date"]}
+    parts = [C.duplicate_count(r[t], k).select(F.lit(t).alias("table_name"), "duplicates") for t, k in keys.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+# ------------------------------------------------------------------ 2.4 summaries
+
+@query("calendar_monthly_summary")
+def q_calendar_monthly_summary(spark, sf):
+    return clean(spark, sf)["calendar_summary"]
+
+
+@query("calendar_weekly_summary")
+def q_calendar_weekly_summary(spark, sf):
+    return SM.calendar_weekly_summary(clean(spark, sf)["calendar"])
+
+
+@query("availability_by_month", rounded={"disponibilidad_pct": 6})
+def q_availability_by_month(spark, sf):
+    return SM.availability_by_month(raw(spark, sf)["calendar"])
+
+
+@query("availability_crosstab")
+def q_availability_crosstab(spark, sf):
+    return SM.availability_crosstab(raw(spark, sf)["calendar"])
+
+
+@query("availability_share")
+def q_availability_share(spark, sf):
+    return SM.value_share(raw(spark, sf)["calendar"], "available", keep_null=False, decimals=2)
+
+
+@query("available_counts")
+def q_available_counts(spark, sf):
+    return SM.value_counts(raw(spark, sf)["calendar"], "available", keep_null=True)
+
+
+@query("price_category_counts")
+def q_price_category_counts(spark, sf):
+    return SM.value_counts(clean(spark, sf)["listings"], "price_category")
+
+
+@query("room_type_counts")
+def q_room_type_counts(spark, sf):
+    return SM.value_counts(raw(spark, sf)["listings"], "room_type", keep_null=True)
+
+
+@query("room_type_share", rounded={"pct": 6})
+def q_room_type_share(spark, sf):
+    return SM.value_share(raw(spark, sf)["listings"], "room_type", keep_null=False, decimals=None,
+                          denominator="all")
+
+
+@query("top_neighbourhoods")
+def q_top_neighbourhoods(spark, sf):
+    return SM.value_counts(raw(spark, sf)["listings"], "neighbourhood_cleansed", keep_null=False, top=10)
+
+
+@query("top_neighbourhoods_store")
+def q_top_neighbourhoods_store(spark, sf):
+    return SM.value_counts(raw(spark, sf)["listings"], "neighbourhood_cleansed", keep_null=True, top=5)
+
+
+@query("top_reviewed_listings")
+def q_top_reviewed_listings(spark, sf):
+    return SM.value_counts(raw(spark, sf)["reviews"], "listing_id", keep_null=True, top=5)
+
+
+@query("top_amenities")
+def q_top_amenities(spark, sf):
+    return SM.top_list_items(raw(spark, sf)["listings"], "amenities", 20)
+
+
+@query("amenities_stats", rounded={"mean_items": 6})
+def q_amenities_stats(spark, sf):
+    return SM.list_size_stats(raw(spark, sf)["listings"], "amenities")
+
+
+@query("reviews_per_year")
+def q_reviews_per_year(spark, sf):
+    return SM.rows_per_year(reviews_dated(spark, sf), "date", FIRST_YEAR)
+
+
+@query("reviews_seasonality")
+def q_reviews_seasonality(spark, sf):
+    return SM.rows_per_calendar_month(reviews_dated(spark, sf), "date")
+
+
+@query("review_date_range")
+def q_review_date_range(spark, sf):
+    return SM.date_range(reviews_dated(spark, sf), "date", distinct_years=True)
+
+
+@query("calendar_date_range")
+def q_calendar_date_range(spark, sf):
+    cal = raw(spark, sf)["calendar"].withColumn("date", S.parse_date("date"))
+    return SM.date_range(cal, "date")
+
+
+@query("distinct_flag_values")
+def q_distinct_flag_values(spark, sf):
+    r = raw(spark, sf)
+    lst = P.distinct_values(r["listings"], K.LISTING_FLAG_COLUMNS).withColumn("table_name", F.lit("listings"))
+    cal = P.distinct_values(r["calendar"], ["available"], keep_null=["available"]).withColumn(
+        "table_name", F.lit("calendar"))
+    return lst.unionByName(cal)
+
+
+# ------------------------------------------------------------------ 2.4 profiles
+
+@query("null_profile", rounded={"null_pct": 6})
+def q_null_profile(spark, sf):
+    return P.null_profile(raw(spark, sf)["listings"], 40)
+
+
+@query("null_counts")
+def q_null_counts(spark, sf):
+    return P.null_counts(raw(spark, sf)["listings"])
+
+
+@query("null_overview", rounded={"mean_null_pct": 6})
+def q_null_overview(spark, sf):
+    r = raw(spark, sf)
+    return P.null_overview({t: r[t] for t in ["listings", "reviews", "calendar"]})
+
+
+_STAT6 = {k: 6 for k in ["mean", "std", "min", "p25", "p50", "p75", "max"]}
+
+
+@query("describe_numeric", rounded=_STAT6)
+def q_describe_numeric(spark, sf):
+    return P.describe_numeric(listings_numeric(spark, sf), K.DESCRIBE_COLUMNS)
+
+
+@query("price_quartiles", rounded={"q25": 6, "q50": 6, "q75": 6, "median": 6})
+def q_price_quartiles(spark, sf):
+    return P.price_quartiles(clean(spark, sf)["listings"], "price_clean")
+
+
+_IQR6 = {k: 6 for k in ["q1", "q3", "iqr", "lower_bound", "upper_bound", "pct_outliers", "mean", "median"]}
+
+
+@query("iqr_outliers", rounded=_IQR6)
+def q_iqr_outliers(spark, sf):
+    return P.iqr_outliers(listings_numeric(spark, sf), K.OUTLIER_COLUMNS)
+
+
+@query("boxplot_stats", rounded={k: 6 for k in ["q1", "median", "q3", "whisker_low", "whisker_high"]})
+def q_boxplot_stats(spark, sf):
+    return P.boxplot_stats(listings_numeric(spark, sf), K.OUTLIER_COLUMNS)
+
+
+@query("price_outlier_flag")
+def q_price_outlier_flag(spark, sf):
+    return P.outlier_flag(clean(spark, sf)["listings"], "price_clean", 3.0).select("id", "price_clean", "price_outlier")
+
+
+_HIST6 = {"lower": 6, "upper": 6}
+
+
+@query("histogram_price", rounded=_HIST6)
+def q_histogram_price(spark, sf):
+    return P.histogram(listings_numeric(spark, sf), "price_num", 60, upper_quantile=0.99)
+
+
+@query("histogram_availability", rounded={**_HIST6, "median": 6})
+def q_histogram_availability(spark, sf):
+    lst = listings_numeric(spark, sf)
+    med = lst.agg(F.median("availability_365").alias("m")).scalar()
+    return P.histogram(lst, "availability_365", 40).withColumn("median", med)
+
+
+@query("histogram_amenities", rounded={**_HIST6, "mean": 6})
+def q_histogram_amenities(spark, sf):
+    lst = listings_numeric(spark, sf)
+    mean = lst.agg(F.avg("n_amenities").alias("m")).scalar()
+    return P.histogram(lst, "n_amenities", 30).withColumn("mean", mean)
+
+
+@query("correlation_matrix", rounded={"corr": 6})
+def q_correlation_matrix(spark, sf):
+    return P.correlation_matrix(listings_numeric(spark, sf), K.CORRELATION_COLUMNS)
+
+
+@query("correlation_with_price", rounded={"corr": 6})
+def q_correlation_with_price(spark, sf):
+    return P.correlation_with(listings_numeric(spark, sf), "price_num", K.CORRELATION_COLUMNS)
+
+
+@query("neighbourhood_median_impute")
+def q_neighbourhood_median_impute(spark, sf):
+    lst = clean(spark, sf)["listings"]
+    return C.neighbourhood_median_impute(lst).select("id", "neighbourhood_cleansed", "price_clean", "price_imputed")
+
+
+# ------------------------------------------------------------------ 2.6 samples
+
+@query("sample_rows")
+def q_sample_rows(spark, sf):
+    lst = clean(spark, sf)["listings"]
+    return lst.orderBy(F.col("id").asc_nulls_last()).limit(5).select("id", "name", "price_clean", "room_type")
+
+
+@query("format_samples")
+def q_format_samples(spark, sf):
+    lst = raw(spark, sf)["listings"]
+    wanted = [(c, 3) for c in K.FORMAT_SAMPLE_DATE_COLUMNS if c in lst.columns] + [("price", 5)]
+    parts = []
+    for c, n in wanted:
+        parts.append(lst.filter(F.col(c).isNotNull()).orderBy(F.col("id").asc(), F.col(c).asc()).limit(n)
+                     .select(F.lit(c).alias("column"), F.col("id"), F.col(c).alias("value")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

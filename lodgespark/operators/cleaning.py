@@ -120,3 +120,21 @@ def neighbourhood_median_impute(df: DataFrame, value_col: str = "price_clean",
     else:
         out = out.withColumn(out_col, F.when(bad, F.col("__median")).otherwise(v))
     return out.drop("__median")
+
+
+def sparse_columns(df: DataFrame, threshold: float = 0.95) -> list[str]:
+    """Columns whose share of nulls is above ``threshold``: one aggregate over
+    the table; its single row is read on the driver because it decides the
+    output schema."""
+    row = df.agg(F.count(F.lit(1)).alias("__rows"),
+                 *[F.count(F.col(c)).alias(f"n__{i}") for i, c in enumerate(df.columns)]).first()
+    rows = row["__rows"]
+    if not rows:
+        return []
+    return [c for i, c in enumerate(df.columns) if (rows - row[f"n__{i}"]) / rows > threshold]
+
+
+def drop_sparse_columns(df: DataFrame, threshold: float = 0.95) -> DataFrame:
+    """Drop the columns with more than ``threshold`` nulls (the rule the fixed
+    list of sparse columns stands for)."""
+    return df.drop(*sparse_columns(df, threshold))

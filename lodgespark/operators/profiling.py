@@ -64,7 +64,7 @@ def null_overview(tables: Mapping[str, DataFrame]) -> DataFrame:
     for name, df in tables.items():
         nc = null_counts(df)
         parts.append(nc.agg(
-            F.lit(name).alias("table"),
+            F.lit(name).alias("table_name"),
             F.max("rows").alias("rows"),
             F.sum((F.col("nulls") > 0).cast("long")).cast("bigint").alias("cols_with_nulls"),
             F.avg(F.try_divide(F.col("nulls"), F.col("rows")) * 100).alias("mean_null_pct")))

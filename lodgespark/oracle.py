@@ -134,8 +134,12 @@ FROM calendar_clean WHERE year IS NOT NULL AND month IS NOT NULL GROUP BY year,
 
 
 def with_ctes(body: str) -> str:
-    """Prefix the shared CTEs (DuckDB skips the ones the body never reads)."""
+    """Prefix the shared CTEs (DuckDB skips the ones the body never reads); a
+    body with CTEs of its own has them appended to the shared list."""
     ctes = ",\n".join(f"{k} AS ({v})" for k, v in CTES.items())
+    b = body.lstrip()
+    if b[:5].upper() == "WITH ":
+        return f"WITH {ctes},\n{b[5:]}"
     return f"WITH {ctes}\n{body}"
 
 
@@ -214,3 +218,243 @@ def sql_for(key: str, rounded: dict[str, int] | None = None) -> str:
         rep = ", ".join(f"round({c}, {n}) AS {c}" for c, n in rounded.items())
         body = f"SELECT * REPLACE ({rep}) FROM ({body})"
     return with_ctes(body)
+
+
+# ------------------------------------------------------------------ helpers for generated bodies
+
+DESCRIBE_PRESENT = ["accommodates", "bedrooms", "beds", "bathrooms", "minimum_nights", "maximum_nights",
+                    "availability_365", "number_of_reviews", "review_scores_rating"]
+OUTLIER_VARS = ["price_num", "minimum_nights", "availability_365", "number_of_reviews", "review_scores_rating",
+                "accommodates"]
+CORR_VARS = ["price_num", "accommodates", "bedrooms", "beds", "minimum_nights", "availability_365",
+             "number_of_reviews", "review_scores_rating", "n_amenities"]
+REVIEW_RAW_COLS = ["id", "listing_id", "date", "reviewer_id", "reviewer_name", "comments"]
+CALENDAR_RAW_COLS = ["listing_id", "date", "available", "minimum_nights", "maximum_nights"]
+ITEMS = "coalesce(from_json(try_cast(amenities AS JSON), '[\"VARCHAR\"]'), []::VARCHAR[])"
+
+CTES["listings_num"] = ("SELECT * REPLACE (" + ", ".join(f"{num(c)} AS {c}" for c in DESCRIBE_PRESENT) + "), "
+                        + num("regexp_replace(price, '[$,]', '', 'g')") + " AS price_num, "
+                        + f"len({ITEMS}) AS n_amenities FROM listings_raw")
+CTES["reviews_dated"] = f"SELECT * REPLACE ({pdate('date')} AS date) FROM reviews_raw"
+CTES["calendar_dated"] = f"SELECT * REPLACE ({pdate('date')} AS date) FROM calendar_raw"
+
+
+def _nulls_long(table: str, cols: list[str]) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", count(*) - count({c}) AS nulls, count(*) AS rows FROM {table}" for c in cols)
+
+
+def _describe() -> str:
+    parts = []
+    for c in DESCRIBE_PRESENT:
+        x = f"CAST({c} AS DOUBLE)"
+        parts.append(f"SELECT '{c}' AS \"column\", count({x}) AS count, avg({x}) AS mean, stddev_samp({x}) AS std, "
+                     f"min({x}) AS min, quantile_cont({x}, 0.25) AS p25, quantile_cont({x}, 0.5) AS p50, "
+                     f"quantile_cont({x}, 0.75) AS p75, max({x}) AS max FROM listings_num")
+    return " UNION ALL ".join(parts)
+
+
+def _iqr() -> str:
+    parts = []
+    for c in OUTLIER_VARS:
+        x = f"CAST({c} AS DOUBLE)"
+        parts.append(f"""
+SELECT '{c}' AS "column", n, q1, q3, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lower_bound,
+  q3 + 1.5 * (q3 - q1) AS upper_bound, n_above, n_below, n_above + n_below AS n_outliers,
+  CAST(n_above + n_below AS DOUBLE) * 100.0 / n AS pct_outliers, mean, median
+FROM (SELECT count(x) AS n, any_value(q1) AS q1, any_value(q3) AS q3, any_value(mean) AS mean,
+        any_value(median) AS median,
+        CAST(coalesce(sum(CASE WHEN x > q3 + 1.5 * (q3 - q1) THEN 1 ELSE 0 END), 0) AS BIGINT) AS n_above,
+        CAST(coalesce(sum(CASE WHEN x < q1 - 1.5 * (q3 - q1) THEN 1 ELSE 0 END), 0) AS BIGINT) AS n_below
+      FROM (SELECT {x} AS x FROM listings_num) d,
+           (SELECT quantile_cont({x}, 0.25) AS q1, quantile_cont({x}, 0.5) AS median,
+                   quantile_cont({x}, 0.75) AS q3, avg({x}) AS mean FROM listings_num) s)""")
+    return " UNION ALL ".join(parts)
+
+
+def _boxplot() -> str:
+    parts = []
+    for c in OUTLIER_VARS:
+        x = f"CAST({c} AS DOUBLE)"
+        inside = "x IS NOT NULL AND x >= q1 - 1.5 * (q3 - q1) AND x <= q3 + 1.5 * (q3 - q1)"
+        parts.append(f"""
+SELECT '{c}' AS "column", any_value(q1) AS q1, any_value(median) AS median, any_value(q3) AS q3,
+  min(CASE WHEN {inside} THEN x END) AS whisker_low, max(CASE WHEN {inside} THEN x END) AS whisker_high,
+  CAST(sum(CASE WHEN x IS NOT NULL AND NOT ({inside}) THEN 1 ELSE 0 END) AS BIGINT) AS n_fliers
+FROM (SELECT {x} AS x FROM listings_num) d,
+     (SELECT quantile_cont({x}, 0.25) AS q1, quantile_cont({x}, 0.5) AS median,
+             quantile_cont({x}, 0.75) AS q3 FROM listings_num) s""")
+    return " UNION ALL ".join(parts)
+
+
+def _hist(src: str, bins: int, extra_select: str = "", extra_from: str = "") -> str:
+    return f"""
+SELECT s.range AS bin, lo + s.range * ((hi - lo) / {bins}) AS lower, lo + (s.range + 1) * ((hi - lo) / {bins}) AS upper,
+  coalesce(c.n, 0) AS count {extra_select}
+FROM range({bins}) s
+CROSS JOIN (SELECT min(x) AS lo, max(x) AS hi FROM ({src})) r
+LEFT JOIN (SELECT least(coalesce(CAST(floor((x - lo) / ((hi - lo) / {bins})) AS BIGINT), 0), {bins - 1}) AS bin,
+                  count(*) AS n
+           FROM ({src}) d2, (SELECT min(x) AS lo, max(x) AS hi FROM ({src})) r2 GROUP BY 1) c ON c.bin = s.range
+{extra_from}
+WHERE hi IS NOT NULL"""
+
+
+def _pearson(a: str, b: str) -> str:
+    aa = f"(CASE WHEN {a} IS NOT NULL AND {b} IS NOT NULL THEN CAST({a} AS DOUBLE) END)"
+    bb = f"(CASE WHEN {a} IS NOT NULL AND {b} IS NOT NULL THEN CAST({b} AS DOUBLE) END)"
+    return f"covar_samp({aa}, {bb}) / (stddev_samp({aa}) * stddev_samp({bb}))"
+
+
+def _corr_matrix() -> str:
+    pairs = [(a, b) for i, a in enumerate(CORR_VARS) for b in CORR_VARS[i:]]
+    cols = ", ".join(f"{_pearson(a, b)} AS c{i}" for i, (a, b) in enumerate(pairs))
+    sel = []
+    for i, (a, b) in enumerate(pairs):
+        sel.append(f"SELECT '{a}' AS col_a, '{b}' AS col_b, c{i} AS corr FROM cm")
+        if a != b:
+            sel.append(f"SELECT '{b}' AS col_a, '{a}' AS col_b, c{i} AS corr FROM cm")
+    return f"WITH cm AS (SELECT {cols} FROM listings_num) " + " UNION ALL ".join(sel)
+
+
+def _corr_with_price() -> str:
+    others = [c for c in CORR_VARS if c != "price_num"]
+    cols = ", ".join(f"{_pearson(c, 'price_num')} AS c{i}" for i, c in enumerate(others))
+    sel = " UNION ALL ".join(f"SELECT '{c}' AS \"column\", c{i} AS corr FROM cp" for i, c in enumerate(others))
+    return f"WITH cp AS (SELECT {cols} FROM listings_num) {sel}"
+
+
+def _null_overview() -> str:
+    parts = []
+    for t, cols in [("listings_raw", LISTING_RAW_COLS), ("reviews_raw", REVIEW_RAW_COLS),
+                    ("calendar_raw", CALENDAR_RAW_COLS)]:
+        parts.append(f"""
+SELECT '{t.replace('_raw', '')}' AS table_name, max(rows) AS rows,
+  CAST(sum(CASE WHEN nulls > 0 THEN 1 ELSE 0 END) AS BIGINT) AS cols_with_nulls,
+  avg(CAST(nulls AS DOUBLE) / rows * 100) AS mean_null_pct
+FROM ({_nulls_long(t, cols)})""")
+    return " UNION ALL ".join(parts)
+
+
+def _fmt_samples() -> str:
+    parts = [f"(SELECT '{c}' AS \"column\", id, {c} AS value FROM listings_raw WHERE {c} IS NOT NULL "
+             f"ORDER BY id, {c} LIMIT {n})" for c, n in [("host_since", 3), ("last_review", 3), ("price", 5)]]
+    return "SELECT * FROM " + " UNION ALL SELECT * FROM ".join(parts)
+
+
+_MES = f"strftime({pdate('date')}, '%Y-%m')"
+_AVAIL01 = "CASE WHEN is_available THEN 1 ELSE 0 END"
+_NUM_PRICE = "listings_num"
+
+SQL.update({
+    # ---------------------------------------------------------------- 2.2
+    "select_existing": "SELECT id, name, price, room_type FROM listings_raw",
+    "rename_columns": "SELECT id, price_clean AS price, neighbourhood_cleansed AS barrio FROM listings_clean",
+    "drop_known_sparse": "SELECT * EXCLUDE (neighbourhood_group_cleansed, license) FROM listings_raw",
+    "drop_sparse_columns": "SELECT * EXCLUDE (neighbourhood_group_cleansed, license) FROM listings_raw",
+    "filter_non_null": "SELECT id, review_scores_rating FROM listings_clean WHERE review_scores_rating IS NOT NULL",
+    "filter_upper_percentile": "SELECT id, price_num FROM listings_num "
+                               "WHERE price_num <= (SELECT quantile_cont(price_num, 0.99) FROM listings_num)",
+    "filter_year_from": f"SELECT id, {iso('date')} AS date, year FROM reviews_clean WHERE date >= DATE '1998-01-01'",
+    "filter_valid_min_nights": "SELECT id, minimum_nights FROM listings_clean "
+                               "WHERE minimum_nights IS NULL OR minimum_nights <= 365",
+    # ---------------------------------------------------------------- 2.3
+    "semi_join_valid_parents": "SELECT * FROM reviews_raw WHERE listing_id IN (SELECT CAST(id AS BIGINT) FROM parents)",
+    "fk_orphans": "SELECT id, listing_id FROM reviews_clean WHERE listing_id IS NOT NULL "
+                  "AND listing_id NOT IN (SELECT CAST(id AS BIGINT) FROM parents)",
+    "broadcast_thresholds": "SELECT id, price_clean, price_category, q25, q50, q75 FROM listings_clean, listings_t",
+    # ---------------------------------------------------------------- 2.4 dedup
+    "dedup_listings": "SELECT * FROM listings_dedup",
+    "dedup_reviews": "SELECT * FROM reviews_dedup",
+    "dedup_calendar": "SELECT * FROM calendar_dedup",
+    "duplicate_counts": """
+SELECT 'listings' AS table_name, CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS duplicates
+  FROM (SELECT count(*) AS n FROM listings_raw GROUP BY id)
+UNION ALL SELECT 'reviews', CAST(coalesce(sum(n - 1), 0) AS BIGINT) FROM (SELECT count(*) AS n FROM reviews_raw GROUP BY id)
+UNION ALL SELECT 'calendar', CAST(coalesce(sum(n - 1), 0) AS BIGINT)
+  FROM (SELECT count(*) AS n FROM calendar_raw GROUP BY listing_id, date)""",
+    # ---------------------------------------------------------------- 2.4 summaries
+    "calendar_monthly_summary": "SELECT * FROM calendar_summary",
+    "calendar_weekly_summary": f"""
+SELECT isoyear(date) AS iso_year, week(date) AS week, count(*) AS total_dias,
+  CAST(sum({_AVAIL01}) AS BIGINT) AS dias_disponibles, round_even(avg({_AVAIL01}) * 100, 2) AS disponibilidad_pct,
+  round_even(avg(minimum_nights), 1) AS noches_minimas_prom
+FROM calendar_clean WHERE date IS NOT NULL GROUP BY 1, 2""",
+    "availability_by_month": f"""
+SELECT mes, avg(CASE available WHEN 't' THEN 1 WHEN 'f' THEN 0 END) * 100 AS disponibilidad_pct
+FROM (SELECT *, {_MES} AS mes FROM calendar_raw) WHERE mes IS NOT NULL GROUP BY mes""",
+    "availability_crosstab": f"""
+SELECT mes, count(*) FILTER (WHERE available = 'f') AS f, count(*) FILTER (WHERE available = 't') AS t
+FROM (SELECT *, {_MES} AS mes FROM calendar_raw) WHERE mes IS NOT NULL AND available IS NOT NULL GROUP BY mes""",
+    "availability_share": """
+SELECT available, count(*) AS count,
+  round_even(CAST(count(*) AS DOUBLE) * 100.0 / (SELECT count(available) FROM calendar_raw), 2) AS pct
+FROM calendar_raw WHERE available IS NOT NULL GROUP BY available""",
+    "available_counts": "SELECT available, count(*) AS count FROM calendar_raw GROUP BY available",
+    "price_category_counts": "SELECT price_category, count(*) AS count FROM listings_clean GROUP BY price_category",
+    "room_type_counts": "SELECT room_type, count(*) AS count FROM listings_raw GROUP BY room_type",
+    "room_type_share": """
+SELECT room_type, count(*) AS count, CAST(count(*) AS DOUBLE) * 100.0 / (SELECT count(*) FROM listings_raw) AS pct
+FROM listings_raw WHERE room_type IS NOT NULL GROUP BY room_type""",
+    "top_neighbourhoods": """
+SELECT neighbourhood_cleansed, count(*) AS count FROM listings_raw WHERE neighbourhood_cleansed IS NOT NULL
+GROUP BY 1 ORDER BY count DESC, neighbourhood_cleansed ASC LIMIT 10""",
+    "top_neighbourhoods_store": """
+SELECT neighbourhood_cleansed, count(*) AS count FROM listings_raw
+GROUP BY 1 ORDER BY count DESC, neighbourhood_cleansed ASC NULLS LAST LIMIT 5""",
+    "top_reviewed_listings": """
+SELECT listing_id, count(*) AS count FROM reviews_raw GROUP BY 1 ORDER BY count DESC, listing_id ASC NULLS LAST LIMIT 5""",
+    "top_amenities": """
+SELECT item, count(*) AS count
+FROM (SELECT unnest(from_json(try_cast(amenities AS JSON), '["VARCHAR"]')) AS item FROM listings_raw)
+GROUP BY item ORDER BY count DESC, item ASC NULLS LAST LIMIT 20""",
+    "amenities_stats": f"SELECT avg(n) AS mean_items, max(n) AS max_items, min(n) AS min_items "
+                       f"FROM (SELECT len({ITEMS}) AS n FROM listings_raw)",
+    "reviews_per_year": "SELECT year(date) AS year, count(*) AS total_reviews FROM reviews_dated "
+                        "WHERE date >= DATE '1998-01-01' GROUP BY 1",
+    "reviews_seasonality": """
+SELECT s.range AS month, coalesce(c.n, 0) AS total_reviews FROM range(1, 13) s
+LEFT JOIN (SELECT month(date) AS month, count(*) AS n FROM reviews_dated WHERE date IS NOT NULL GROUP BY 1) c
+  ON c.month = s.range""",
+    "review_date_range": f"SELECT {iso('min(date)')} AS first_date, {iso('max(date)')} AS last_date, "
+                         "count(DISTINCT year(date)) AS n_years FROM reviews_dated",
+    "calendar_date_range": f"SELECT {iso('min(date)')} AS first_date, {iso('max(date)')} AS last_date FROM calendar_dated",
+    "distinct_flag_values": """
+SELECT DISTINCT 'listings' AS table_name, c AS "column", v AS value FROM (
+  SELECT 'host_is_superhost' AS c, host_is_superhost AS v FROM listings_raw
+  UNION ALL SELECT 'instant_bookable', instant_bookable FROM listings_raw) WHERE v IS NOT NULL
+UNION ALL SELECT DISTINCT 'calendar', 'available', available FROM calendar_raw""",
+    # ---------------------------------------------------------------- 2.4 profiles
+    "null_profile": f"""
+SELECT "column", CAST(nulls AS DOUBLE) / rows * 100 AS null_pct FROM ({_nulls_long('listings_raw', LISTING_RAW_COLS)})
+WHERE nulls > 0 ORDER BY null_pct DESC, "column" LIMIT 40""",
+    "null_counts": _nulls_long("listings_raw", LISTING_RAW_COLS),
+    "null_overview": _null_overview(),
+    "describe_numeric": _describe(),
+    "price_quartiles": """
+SELECT quantile_cont(price_clean, 0.25) AS q25, quantile_cont(price_clean, 0.5) AS q50,
+  quantile_cont(price_clean, 0.75) AS q75, median(price_clean) AS median FROM listings_clean""",
+    "iqr_outliers": _iqr(),
+    "boxplot_stats": _boxplot(),
+    "price_outlier_flag": """
+SELECT id, price_clean, coalesce(price_clean < q1 - 3 * (q3 - q1) OR price_clean > q3 + 3 * (q3 - q1), FALSE) AS price_outlier
+FROM listings_clean, (SELECT quantile_cont(price_clean, 0.25) AS q1, quantile_cont(price_clean, 0.75) AS q3
+                      FROM listings_clean)""",
+    "histogram_price": _hist("SELECT price_num AS x FROM listings_num WHERE price_num IS NOT NULL AND price_num <= "
+                             "(SELECT quantile_cont(price_num, 0.99) FROM listings_num)", 60),
+    "histogram_availability": _hist("SELECT CAST(availability_365 AS DOUBLE) AS x FROM listings_num "
+                                    "WHERE availability_365 IS NOT NULL", 40, ", m.median",
+                                    "CROSS JOIN (SELECT median(availability_365) AS median FROM listings_num) m"),
+    "histogram_amenities": _hist("SELECT CAST(n_amenities AS DOUBLE) AS x FROM listings_num "
+                                 "WHERE n_amenities IS NOT NULL", 30, ", m.mean",
+                                 "CROSS JOIN (SELECT avg(n_amenities) AS mean FROM listings_num) m"),
+    "correlation_matrix": _corr_matrix(),
+    "correlation_with_price": _corr_with_price(),
+    "neighbourhood_median_impute": """
+SELECT id, neighbourhood_cleansed, price_clean, CASE WHEN price_clean IS NULL THEN m.med ELSE price_clean END AS price_imputed
+FROM listings_clean LEFT JOIN (SELECT neighbourhood_cleansed, median(price_clean) AS med FROM listings_clean
+                               WHERE price_clean IS NOT NULL GROUP BY 1) m USING (neighbourhood_cleansed)""",
+    # ---------------------------------------------------------------- 2.6
+    "sample_rows": "SELECT id, name, price_clean, room_type FROM listings_clean ORDER BY id LIMIT 5",
+    "format_samples": _fmt_samples(),
+})
