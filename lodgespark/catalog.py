@@ -530,3 +530,276 @@ def q_format_samples(spark, sf):
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+# ------------------------------------------------------------------ 2.13 pipelines
+
+@query("transform_listings")
+def q_transform_listings(spark, sf):
+    return clean(spark, sf)["listings"]
+
+
+@query("transform_reviews")
+def q_transform_reviews(spark, sf):
+    return clean(spark, sf)["reviews"]
+
+
+@query("transform_calendar")
+def q_transform_calendar(spark, sf):
+    return clean(spark, sf)["calendar"]
+
+
+@query("transform_all")
+def q_transform_all(spark, sf):
+    out = clean(spark, sf)
+    parts = [df.agg(F.count(F.lit(1)).cast("bigint").alias("rows"))
+               .select(F.lit(n).alias("table_name"), "rows", F.lit(len(df.columns)).cast("bigint").alias("columns"))
+             for n, df in out.items()]
+    res = parts[0]
+    for p in parts[1:]:
+        res = res.unionByName(p)
+    return res
+
+
+# ------------------------------------------------------------------ 2.11 constraints
+
+_RAW_KEYS = {"listings": ["id"], "reviews": ["id"], "calendar": ["listing_id", "date"]}
+
+
+@query("check_unique")
+def q_check_unique(spark, sf):
+    r = raw(spark, sf)
+    parts = [Q.check_unique(r[t], k).select(F.lit(t).alias("table_name"),
+                                           F.concat_ws("|", *[F.col(c).cast("string") for c in k]).alias("key_value"),
+                                           "rows")
+             for t, k in _RAW_KEYS.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("check_not_null")
+def q_check_not_null(spark, sf):
+    from lodgespark.sources import zones as Z
+    c = clean(spark, sf)
+    parts = []
+    for t in ["reviews", "calendar", "calendar_summary"]:
+        serving = Z.SERVING_PROJECTIONS[t](c[t])
+        parts.append(Q.check_not_null(serving, Z.SERVING_NOT_NULL[t]).withColumn("table_name", F.lit(t)))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("check_types")
+def q_check_types(spark, sf):
+    from lodgespark.sources import zones as Z
+    return Q.check_types(raw(spark, sf)["listings"], Z.SERVING_SCHEMAS["listings"])
+
+
+@query("quality_report")
+def q_quality_report(spark, sf):
+    from lodgespark.sources import zones as Z
+    rev = Z.serving_reviews(clean(spark, sf)["reviews"])
+    return Q.quality_report("reviews", rev, keys=["id"], not_null=["listing_id"],
+                            parents={"listing_id": (parents(spark, sf), "id")}, schema=Z.SERVING_SCHEMAS["reviews"])
+
+
+# ------------------------------------------------------------------ 2.12 run metrics
+
+@query("run_metrics", rounded={"value": 6})
+def q_run_metrics(spark, sf):
+    from lodgespark.operators.metrics import table_metrics
+    r, c = raw(spark, sf), clean(spark, sf)
+    lst = c["listings"]
+    parts = [table_metrics("extract", t, r[t]) for t in ["listings", "reviews", "calendar"]]
+    parts.append(table_metrics("transform", "listings", lst, {
+        "null_prices": F.sum(F.col("price_clean").isNull().cast("long")),
+        "median_price": F.median("price_clean"),
+        "mean_n_amenities": F.avg("n_amenities")}))
+    parts.append(table_metrics("transform", "reviews", c["reviews"]))
+    parts.append(table_metrics("transform", "calendar", c["calendar"]))
+    parts.append(table_metrics("transform", "calendar_summary", c["calendar_summary"]))
+    thr = T.price_thresholds(lst)
+    parts.append(lst.sparkSession.range(1).select(
+        F.lit("transform").alias("stage"), F.lit("listings").alias("table"),
+        F.explode(F.array(*[F.struct(F.lit(f"threshold_{q}").alias("metric"), thr[q].alias("value"))
+                            for q in ["q25", "q50", "q75"]])).alias("r")).select("stage", "table", "r.metric", "r.value"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.withColumnRenamed("table", "table_name")
+
+
+# ------------------------------------------------------------------ 2.1 sources and sinks
+
+def _scratch(spark, name):
+    from lodgespark.session import scratch_path
+    return scratch_path(spark, name)
+
+
+def raw_zone_catalog(spark, sf) -> dict[str, DataFrame]:
+    """The raw zone as Parquet written once from the raw views, so that
+    extracts show predicate and column pushdown into the scan."""
+    from lodgespark.sources import raw as R
+    root = _scratch(spark, "raw-zone")
+    out = {}
+    for t, df in raw(spark, sf).items():
+        R.write_raw_zone(df, f"{root}/{t}")
+        out[t] = spark.read.parquet(f"{root}/{t}")
+    return out
+
+
+@query("scan_raw_csv")
+def q_scan_raw_csv(spark, sf):
+    from lodgespark.sources import raw as R
+    path = _scratch(spark, "raw-csv") + "/reviews"
+    rev = raw(spark, sf)["reviews"]
+    R.write_csv_gz(rev, path)
+    return R.scan_raw_csv(spark, path, rev.columns, partitions=int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+@query("write_raw_zone")
+def q_write_raw_zone(spark, sf):
+    from lodgespark.sources import raw as R
+    path = _scratch(spark, "raw-zone") + "/listings"
+    R.write_raw_zone(C.normalize_null_tokens(raw(spark, sf)["listings"]), path)
+    return spark.read.parquet(path)
+
+
+@query("quarantine_bad_rows")
+def q_quarantine_bad_rows(spark, sf):
+    """Reviews written as CSV text lines, where every id divisible by 13
+    carries one field too many; the reader keeps those rows apart."""
+    from lodgespark.sources import raw as R
+    rev = raw(spark, sf)["reviews"]
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in rev.columns]
+    line = F.concat_ws(",", *fields)
+    line = F.when(F.col("id") % 13 == 0, F.concat(line, F.lit(",extra"))).otherwise(line)
+    path = _scratch(spark, "quarantine") + "/reviews"
+    rev.select(line.alias("value")).write.mode("overwrite").text(path)
+    df = R.scan_with_quarantine(spark, path, rev.columns, header=False)
+    return df.select(*rev.columns, "rejected")
+
+
+def _extract_cat(spark, sf):
+    return raw_zone_catalog(spark, sf)
+
+
+@query("extract_filter_project_limit")
+def q_extract_filter_project_limit(spark, sf):
+    from lodgespark.sources import raw as R
+    cat = _extract_cat(spark, sf)
+    return R.extract(cat, "calendar", where={"available": "t"}, columns=["listing_id", "date", "available"],
+                     limit=None)
+
+
+@query("extract_listings")
+def q_extract_listings(spark, sf):
+    from lodgespark.sources import raw as R
+    return R.extract_listings(_extract_cat(spark, sf), where={"room_type": "SMALL"},
+                              columns=["id", "price", "room_type"])
+
+
+@query("extract_reviews")
+def q_extract_reviews(spark, sf):
+    from lodgespark.sources import raw as R
+    return R.extract_reviews(_extract_cat(spark, sf), where={"date": {"$gte": "1998-01-01"}},
+                             columns=["id", "listing_id", "date"])
+
+
+@query("extract_calendar")
+def q_extract_calendar(spark, sf):
+    from lodgespark.sources import raw as R
+    return R.extract_calendar(_extract_cat(spark, sf), where={"available": "f"})
+
+
+@query("extract_all_summary")
+def q_extract_all_summary(spark, sf):
+    from lodgespark.sources import raw as R
+    return R.extract_all_summary(_extract_cat(spark, sf))
+
+
+@query("table_profile")
+def q_table_profile(spark, sf):
+    from lodgespark.sources import raw as R
+    cat = _extract_cat(spark, sf)
+    return R.table_profile(cat, "listings").unionByName(R.table_profile(cat, "reviews")).unionByName(
+        R.table_profile(cat, "calendar"))
+
+
+@query("write_clean_zone")
+def q_write_clean_zone(spark, sf):
+    from lodgespark.sources import zones as Z
+    counts = Z.write_clean_zone(clean(spark, sf), _scratch(spark, "clean-zone"))
+    return Z.rows_frame(spark, counts)
+
+
+@query("read_clean_zone")
+def q_read_clean_zone(spark, sf):
+    from lodgespark.sources import zones as Z
+    root = _scratch(spark, "clean-zone")
+    Z.write_clean_zone(clean(spark, sf), root)
+    return Z.read_clean_zone(spark, root, ["listings"])["listings"]
+
+
+@query("publish_listings")
+def q_publish_listings(spark, sf):
+    from lodgespark.sources import zones as Z
+    return Z.serving_listings(clean(spark, sf)["listings"])
+
+
+@query("publish_reviews")
+def q_publish_reviews(spark, sf):
+    from lodgespark.sources import zones as Z
+    return Z.serving_reviews(clean(spark, sf)["reviews"])
+
+
+@query("publish_calendar")
+def q_publish_calendar(spark, sf):
+    from lodgespark.sources import zones as Z
+    return Z.serving_calendar(clean(spark, sf)["calendar"])
+
+
+@query("publish_calendar_summary")
+def q_publish_calendar_summary(spark, sf):
+    from lodgespark.sources import zones as Z
+    return Z.serving_calendar_summary(clean(spark, sf)["calendar_summary"])
+
+
+@query("publish_all")
+def q_publish_all(spark, sf):
+    from lodgespark.sources import zones as Z
+    counts = Z.publish_all(clean(spark, sf), _scratch(spark, "serving"))
+    return Z.rows_frame(spark, counts)
+
+
+@query("post_load_counts")
+def q_post_load_counts(spark, sf):
+    from lodgespark.sources import zones as Z
+    root = _scratch(spark, "serving")
+    counts = Z.publish_all(clean(spark, sf), root)
+    return Z.post_load_counts(spark, root, counts)
+
+
+@query("layout_by_keys")
+def q_layout_by_keys(spark, sf):
+    from lodgespark.sources import zones as Z
+    path = _scratch(spark, "layout") + "/calendar"
+    Z.layout_by_keys(Z.serving_calendar(clean(spark, sf)["calendar"]), path, ["listing_id", "date"],
+                     partition_by=["year", "month"])
+    return spark.read.parquet(path)
+
+
+@query("export_listings")
+def q_export_listings(spark, sf):
+    from lodgespark.sources import zones as Z
+    return Z.export_listings(clean(spark, sf)["listings"])
+
+
+@query("export_calendar")
+def q_export_calendar(spark, sf):
+    from lodgespark.sources import zones as Z
+    return Z.export_calendar(clean(spark, sf)["calendar_summary"])
+
+
+@query("export_report_bundle")
+def q_export_report_bundle(spark, sf):
+    from lodgespark.sources import zones as Z
+    return Z.export_report_bundle(clean(spark, sf))["reviews_sample"]

@@ -87,7 +87,7 @@ def cast_to_schema(df: DataFrame, schema: StructType) -> DataFrame:
 def quality_report(table: str, df: DataFrame, keys: list[str] | None = None,
                    not_null: Iterable[str] = (), parents: Mapping[str, tuple[DataFrame, str]] | None = None,
                    schema: StructType | None = None, policy: str = "fail") -> DataFrame:
-    """One table of (table, rule, columns, violations, policy) for all rules of
+    """One table of (table_name, rule, columns, violations, status) for all rules of
     one table: unique key, not null, references, types."""
     parts = []
     if keys:
@@ -107,7 +107,7 @@ def quality_report(table: str, df: DataFrame, keys: list[str] | None = None,
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.select(F.lit(table).alias("table"), "rule", "columns", "violations",
+    return out.select(F.lit(table).alias("table_name"), "rule", "columns", "violations",
                       F.when(F.col("violations") > 0, F.lit(policy)).otherwise(F.lit("ok")).alias("status"))
 
 

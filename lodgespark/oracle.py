@@ -458,3 +458,147 @@ FROM listings_clean LEFT JOIN (SELECT neighbourhood_cleansed, median(price_clean
     "sample_rows": "SELECT id, name, price_clean, room_type FROM listings_clean ORDER BY id LIMIT 5",
     "format_samples": _fmt_samples(),
 })
+
+
+def _iso_dates(table: str, cols: list[str]) -> str:
+    rep = ", ".join(f"{iso(c)} AS {c}" for c in cols)
+    return f"SELECT * REPLACE ({rep}) FROM {table}"
+
+
+def _check_types() -> str:
+    fields = [("id", "bigint", "BIGINT"), ("name", "string", "VARCHAR"), ("host_id", "bigint", "BIGINT"),
+              ("host_name", "string", "VARCHAR"), ("host_since", "date", "DATE"),
+              ("host_is_superhost", "int", "INTEGER"), ("neighbourhood_cleansed", "string", "VARCHAR"),
+              ("room_type", "string", "VARCHAR"), ("accommodates", "int", "INTEGER"), ("bathrooms", "double", "DOUBLE"),
+              ("bedrooms", "int", "INTEGER"), ("beds", "int", "INTEGER"), ("price", "double", "DOUBLE"),
+              ("minimum_nights", "int", "INTEGER"), ("maximum_nights", "int", "INTEGER"),
+              ("availability_365", "int", "INTEGER"), ("number_of_reviews", "int", "INTEGER"),
+              ("review_scores_rating", "double", "DOUBLE")]
+    parts = []
+    for c, spark_t, duck_t in fields:
+        bad = f"{c} IS NOT NULL AND try_cast({c} AS {duck_t}) IS NULL"
+        if duck_t in ("BIGINT", "INTEGER"):
+            d = f"try_cast({c} AS DOUBLE)"
+            bad = f"({bad}) OR ({c} IS NOT NULL AND {d} IS NOT NULL AND {d} <> floor({d}))"
+        parts.append(f"SELECT '{c}' AS \"column\", '{spark_t}' AS target_type, "
+                     f"CAST(coalesce(sum(CASE WHEN {bad} THEN 1 ELSE 0 END), 0) AS BIGINT) AS violations FROM listings_raw")
+    return " UNION ALL ".join(parts)
+
+
+def _metrics() -> str:
+    rows = []
+    for t, n in [("listings", 24), ("reviews", 6), ("calendar", 5)]:
+        rows.append(f"SELECT 'extract' AS stage, '{t}' AS table_name, 'rows' AS metric, CAST(count(*) AS DOUBLE) AS value "
+                    f"FROM {t}_raw")
+        rows.append(f"SELECT 'extract', '{t}', 'columns', {float(n)}")
+    rows.append("SELECT 'transform', 'listings', 'rows', CAST(count(*) AS DOUBLE) FROM listings_clean")
+    rows.append("SELECT 'transform', 'listings', 'null_prices', CAST(count(*) - count(price_clean) AS DOUBLE) FROM listings_clean")
+    rows.append("SELECT 'transform', 'listings', 'median_price', median(price_clean) FROM listings_clean")
+    rows.append("SELECT 'transform', 'listings', 'mean_n_amenities', avg(n_amenities) FROM listings_clean")
+    rows.append("SELECT 'transform', 'listings', 'columns', 29.0")
+    for t, n in [("reviews", 12), ("calendar", 11)]:
+        rows.append(f"SELECT 'transform', '{t}', 'rows', CAST(count(*) AS DOUBLE) FROM {t}_clean")
+        rows.append(f"SELECT 'transform', '{t}', 'columns', {float(n)}")
+    rows.append("SELECT 'transform', 'calendar_summary', 'rows', CAST(count(*) AS DOUBLE) FROM calendar_summary")
+    rows.append("SELECT 'transform', 'calendar_summary', 'columns', 6.0")
+    for q in ["q25", "q50", "q75"]:
+        rows.append(f"SELECT 'transform', 'listings', 'threshold_{q}', {q} FROM listings_t")
+    return " UNION ALL ".join(rows)
+
+
+_PUB_LISTINGS = f"""
+SELECT CAST(id AS BIGINT) AS id, name, CAST(host_id AS BIGINT) AS host_id, host_name, {iso('host_since')} AS host_since,
+  CAST(coalesce(host_is_superhost, FALSE) AS INTEGER) AS host_is_superhost, neighbourhood_cleansed, room_type,
+  CAST(accommodates AS INTEGER) AS accommodates, bathrooms, CAST(bedrooms AS INTEGER) AS bedrooms,
+  CAST(beds AS INTEGER) AS beds, price_clean AS price, price_category, CAST(minimum_nights AS INTEGER) AS minimum_nights,
+  CAST(maximum_nights AS INTEGER) AS maximum_nights, CAST(availability_365 AS INTEGER) AS availability_365,
+  CAST(number_of_reviews AS INTEGER) AS number_of_reviews, review_scores_rating, n_amenities, host_since_year
+FROM listings_clean"""
+_PUB_REVIEWS = f"""
+SELECT id, listing_id, {iso('date')} AS date, reviewer_id, reviewer_name, substring(comments, 1, 4000) AS comments,
+  year, month, day, quarter, is_weekend FROM reviews_clean"""
+_PUB_CALENDAR = f"""
+SELECT listing_id, {iso('date')} AS date, CAST(coalesce(is_available, FALSE) AS INTEGER) AS is_available,
+  CAST(minimum_nights AS INTEGER) AS minimum_nights, CAST(maximum_nights AS INTEGER) AS maximum_nights,
+  year, month, week, quarter, day_of_week FROM calendar_clean"""
+_CLEAN_ROWS = """
+SELECT 'listings' AS table_name, count(*) AS rows FROM listings_clean
+UNION ALL SELECT 'reviews', count(*) FROM reviews_clean
+UNION ALL SELECT 'calendar', count(*) FROM calendar_clean
+UNION ALL SELECT 'calendar_summary', count(*) FROM calendar_summary"""
+_RAW_ALL_TEXT = """
+SELECT CAST(id AS VARCHAR) AS id, CAST(listing_id AS VARCHAR) AS listing_id, date, CAST(reviewer_id AS VARCHAR) AS reviewer_id,
+  reviewer_name, comments FROM reviews_raw"""
+
+SQL.update({
+    # ---------------------------------------------------------------- 2.13
+    "transform_listings": _iso_dates("listings_clean", ["host_since", "last_review"]),
+    "transform_reviews": _iso_dates("reviews_clean", ["date"]),
+    "transform_calendar": _iso_dates("calendar_clean", ["date"]),
+    "transform_all": """
+SELECT 'listings' AS table_name, count(*) AS rows, 29 AS columns FROM listings_clean
+UNION ALL SELECT 'reviews', count(*), 12 FROM reviews_clean
+UNION ALL SELECT 'calendar', count(*), 11 FROM calendar_clean
+UNION ALL SELECT 'calendar_summary', count(*), 6 FROM calendar_summary""",
+    # ---------------------------------------------------------------- 2.11
+    "check_unique": """
+SELECT 'listings' AS table_name, id AS key_value, count(*) AS rows FROM listings_raw GROUP BY id HAVING count(*) > 1
+UNION ALL SELECT 'reviews', CAST(id AS VARCHAR), count(*) FROM reviews_raw GROUP BY id HAVING count(*) > 1
+UNION ALL SELECT 'calendar', concat_ws('|', CAST(listing_id AS VARCHAR), date), count(*) FROM calendar_raw
+  GROUP BY listing_id, date HAVING count(*) > 1""",
+    "check_not_null": """
+SELECT 'listing_id' AS "column", count(*) - count(listing_id) AS violations, 'reviews' AS table_name FROM reviews_clean
+UNION ALL SELECT 'listing_id', count(*) - count(listing_id), 'calendar' FROM calendar_clean
+UNION ALL SELECT 'date', count(*) - count(date), 'calendar' FROM calendar_clean
+UNION ALL SELECT 'year', count(*) - count(year), 'calendar_summary' FROM calendar_summary
+UNION ALL SELECT 'month', count(*) - count(month), 'calendar_summary' FROM calendar_summary""",
+    "check_types": _check_types(),
+    "quality_report": """
+SELECT 'reviews' AS table_name, rule, columns, violations,
+  CASE WHEN violations > 0 THEN 'fail' ELSE 'ok' END AS status FROM (
+  SELECT 'unique' AS rule, 'id' AS columns, CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS violations
+    FROM (SELECT count(*) AS n FROM reviews_clean GROUP BY id HAVING count(*) > 1)
+  UNION ALL SELECT 'not_null', 'listing_id', count(*) - count(listing_id) FROM reviews_clean
+  UNION ALL SELECT 'foreign_key', 'listing_id', count(*) FROM reviews_clean
+    WHERE listing_id IS NOT NULL AND listing_id NOT IN (SELECT CAST(id AS BIGINT) FROM parents)
+  UNION ALL SELECT 'type', c, 0 FROM (VALUES ('id'), ('listing_id'), ('date'), ('reviewer_id'), ('reviewer_name'),
+    ('comments'), ('year'), ('month'), ('day'), ('quarter'), ('is_weekend')) v(c))""",
+    # ---------------------------------------------------------------- 2.12
+    "run_metrics": _metrics(),
+    # ---------------------------------------------------------------- 2.1
+    "scan_raw_csv": _RAW_ALL_TEXT,
+    "write_raw_zone": _null_tokens_body(),
+    "quarantine_bad_rows": _RAW_ALL_TEXT.replace(" FROM reviews_raw", ", id % 13 = 0 AS rejected FROM reviews_raw"),
+    "extract_filter_project_limit": "SELECT listing_id, date, available FROM calendar_raw WHERE available = 't'",
+    "extract_listings": "SELECT id, price, room_type FROM listings_raw WHERE room_type = 'SMALL'",
+    "extract_reviews": "SELECT id, listing_id, date FROM reviews_raw WHERE date >= '1998-01-01'",
+    "extract_calendar": "SELECT * FROM calendar_raw WHERE available = 'f'",
+    "extract_all_summary": """
+SELECT 'listings' AS table_name, count(*) AS rows, 24 AS columns FROM listings_raw
+UNION ALL SELECT 'reviews', count(*), 6 FROM reviews_raw
+UNION ALL SELECT 'calendar', count(*), 5 FROM calendar_raw
+UNION ALL SELECT 'TOTAL', (SELECT count(*) FROM listings_raw) + (SELECT count(*) FROM reviews_raw)
+  + (SELECT count(*) FROM calendar_raw), 35""",
+    "table_profile": f"""
+SELECT 'listings' AS table_name, count(*) AS rows, 24 AS n_fields, '{",".join(LISTING_RAW_COLS)}' AS fields FROM listings_raw
+UNION ALL SELECT 'reviews', count(*), 6, '{",".join(REVIEW_RAW_COLS)}' FROM reviews_raw
+UNION ALL SELECT 'calendar', count(*), 5, '{",".join(CALENDAR_RAW_COLS)}' FROM calendar_raw""",
+    "write_clean_zone": _CLEAN_ROWS,
+    "read_clean_zone": _iso_dates("listings_clean", ["host_since", "last_review"]),
+    "publish_listings": _PUB_LISTINGS,
+    "publish_reviews": _PUB_REVIEWS,
+    "publish_calendar": _PUB_CALENDAR,
+    "publish_calendar_summary": "SELECT * FROM calendar_summary",
+    "publish_all": _CLEAN_ROWS,
+    "post_load_counts": f"SELECT table_name, rows AS source_rows, rows AS loaded_rows, "
+                        f"CASE WHEN rows > 0 THEN 'OK' ELSE 'FALLO' END AS status FROM ({_CLEAN_ROWS})",
+    "layout_by_keys": _PUB_CALENDAR,
+    "export_listings": f"""
+SELECT id, name, host_id, host_name, {iso('host_since')} AS host_since, host_is_superhost, neighbourhood_cleansed,
+  room_type, accommodates, bedrooms, price_clean, price_category, minimum_nights, availability_365, number_of_reviews,
+  review_scores_rating, n_amenities FROM listings_clean""",
+    "export_calendar": "SELECT * FROM calendar_summary",
+    "export_report_bundle": f"""
+SELECT id, listing_id, {iso('date')} AS date, reviewer_name, year, month, quarter, is_weekend FROM reviews_clean
+ORDER BY id LIMIT 15000""",
+})

@@ -21,11 +21,9 @@ def all_text_schema(columns: Iterable[str], corrupt: bool = False) -> StructType
     return StructType(fields)
 
 
-def _csv_reader(spark: SparkSession, schema: StructType, multiline: bool = True):
-    return (spark.read.schema(schema).option("header", True).option("multiLine", multiline)
-            .option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE")
-            # keep empty text apart from null here; null tokens are normalised afterwards
-            .option("nullValue", None).option("emptyValue", ""))
+def _csv_reader(spark: SparkSession, schema: StructType, multiline: bool = True, header: bool = True):
+    return (spark.read.schema(schema).option("header", header).option("multiLine", multiline)
+            .option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE"))
 
 
 def scan_raw_csv(spark: SparkSession, path: str, columns: Iterable[str], partitions: int | None = None,
@@ -40,12 +38,13 @@ def scan_raw_csv(spark: SparkSession, path: str, columns: Iterable[str], partiti
 
 
 def scan_with_quarantine(spark: SparkSession, path: str, columns: Iterable[str],
-                         multiline: bool = False) -> DataFrame:
+                         multiline: bool = False, header: bool = True) -> DataFrame:
     """All rows with a ``rejected`` flag: rows with too few or too many fields
     are kept apart rather than ending the run.  Filter on ``rejected`` for
     the good and the quarantined rows."""
     schema = all_text_schema(columns, corrupt=True)
-    df = (_csv_reader(spark, schema, multiline).option("columnNameOfCorruptRecord", CORRUPT_COLUMN).csv(path))
+    df = (_csv_reader(spark, schema, multiline, header)
+          .option("columnNameOfCorruptRecord", CORRUPT_COLUMN).csv(path))
     return df.withColumn("rejected", F.col(CORRUPT_COLUMN).isNotNull())
 
 
