@@ -71,19 +71,33 @@ def registry() -> dict[str, QueryFn]:
 
 # ------------------------------------------------------------------ inputs
 
+_MEMO: dict = {}
+
+
+def _memo(spark: SparkSession, sf: str, name: str, build):
+    """Build a (lazy) DataFrame plan once per session and input folder.  Only
+    the plan is kept, never data: every action still reads the files."""
+    key = (id(spark), sf, name)
+    hit = _MEMO.get(key)
+    if hit is None or hit[0] is not spark:
+        hit = (spark, build())
+        _MEMO[key] = hit
+    return hit[1]
+
+
 def raw(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    return FX.raw_tables(spark, sf)
+    return _memo(spark, sf, "raw", lambda: FX.raw_tables(spark, sf))
 
 
 def clean(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    return T.transform_all(raw(spark, sf), FX.keep_first_orders())
+    return _memo(spark, sf, "clean", lambda: T.transform_all(raw(spark, sf), FX.keep_first_orders()))
 
 
 def parents(spark: SparkSession, sf: str) -> DataFrame:
     """Parent listings for reference checks: the test tables have no orphans,
     so listings whose id ends in 0 are held out as parents."""
-    lst = clean(spark, sf)["listings"]
-    return lst.filter(F.col("id").cast("long") % 10 != 0)
+    return _memo(spark, sf, "parents", lambda: clean(spark, sf)["listings"]
+                 .filter(F.col("id").cast("long") % 10 != 0))
 
 
 # ------------------------------------------------------------------ 2.8 scalars
@@ -220,16 +234,18 @@ def listings_numeric(spark, sf) -> DataFrame:
     """Raw listings (as extracted, repeated rows included) with the numeric
     columns parsed the way the analysis does: price without '$' and ',',
     numerics coerced, list size of amenities."""
-    lst = raw(spark, sf)["listings"]
-    nums = {c: S.parse_numeric(c) for c in K.DESCRIBE_COLUMNS if c in lst.columns}
-    nums["price_num"] = S.parse_price_signed("price")
-    nums["n_amenities"] = F.size(S.parse_list("amenities"))
-    return lst.withColumns(nums)
+    def build():
+        lst = raw(spark, sf)["listings"]
+        nums = {c: S.parse_numeric(c) for c in K.DESCRIBE_COLUMNS if c in lst.columns}
+        nums["price_num"] = S.parse_price_signed("price")
+        nums["n_amenities"] = F.size(S.parse_list("amenities"))
+        return lst.withColumns(nums)
+    return _memo(spark, sf, "listings_numeric", build)
 
 
 def reviews_dated(spark, sf) -> DataFrame:
-    rev = raw(spark, sf)["reviews"]
-    return rev.withColumn("date", S.parse_date("date"))
+    return _memo(spark, sf, "reviews_dated",
+                 lambda: raw(spark, sf)["reviews"].withColumn("date", S.parse_date("date")))
 
 
 # ------------------------------------------------------------------ 2.2 projections and filters
@@ -726,8 +742,9 @@ def q_table_profile(spark, sf):
 
 @query("write_clean_zone")
 def q_write_clean_zone(spark, sf):
+    from lodgespark.plans.jobs import transform_job
     from lodgespark.sources import zones as Z
-    counts = Z.write_clean_zone(clean(spark, sf), _scratch(spark, "clean-zone"))
+    counts = transform_job(raw(spark, sf), _scratch(spark, "clean-zone"), FX.keep_first_orders())
     return Z.rows_frame(spark, counts)
 
 
@@ -763,18 +780,33 @@ def q_publish_calendar_summary(spark, sf):
     return Z.serving_calendar_summary(clean(spark, sf)["calendar_summary"])
 
 
+def _clean_zone(spark, sf) -> str:
+    """Write the clean zone once per session and input (the publish queries
+    start from it, as the load job does)."""
+    def build():
+        from lodgespark.plans.jobs import transform_job
+        root = _scratch(spark, "clean-zone")
+        transform_job(raw(spark, sf), root, FX.keep_first_orders())
+        return root
+    return _memo(spark, sf, "clean_zone", build)
+
+
 @query("publish_all")
 def q_publish_all(spark, sf):
+    """Publish from the clean zone (reference check with policy 'quarantine':
+    the test listings are complete, so nothing is set aside)."""
+    from lodgespark.plans.jobs import publish_job
     from lodgespark.sources import zones as Z
-    counts = Z.publish_all(clean(spark, sf), _scratch(spark, "serving"))
+    counts = publish_job(spark, _clean_zone(spark, sf), _scratch(spark, "serving"), policy="quarantine")
     return Z.rows_frame(spark, counts)
 
 
 @query("post_load_counts")
 def q_post_load_counts(spark, sf):
+    from lodgespark.plans.jobs import publish_job
     from lodgespark.sources import zones as Z
     root = _scratch(spark, "serving")
-    counts = Z.publish_all(clean(spark, sf), root)
+    counts = publish_job(spark, _clean_zone(spark, sf), root, policy="quarantine")
     return Z.post_load_counts(spark, root, counts)
 
 

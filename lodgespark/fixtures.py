@@ -14,7 +14,23 @@ from pyspark.sql import functions as F
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A source that is not splittable (one row group, one gzip file) is read
+    by one task, and every step before the first shuffle then runs on one
+    core.  Spread such a scan over the cluster's cores with a round-robin
+    repartition; a scan that already has enough splits is left alone (no
+    extra shuffle on a large, well-split input)."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    if int(str(size)) >= SPREAD_MIN_BYTES and df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
+SPREAD_MIN_BYTES = 4 * 1024 * 1024  # below this, one task reads faster than a shuffle spreads
 
 
 def _s(c: Column) -> Column:

@@ -40,12 +40,13 @@ def _orderable(df: DataFrame, c: str) -> bool:
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list[Column] | None = None,
-               tiebreak_all: bool = True) -> DataFrame:
+               tiebreak_all: bool = False) -> DataFrame:
     """One row per key: the first in ``order`` (the deterministic form of
     pandas' ``drop_duplicates(keep="first")``; Spark has no file order).
 
-    ``tiebreak_all`` appends the remaining columns to the order so that ties
-    are only between identical rows.  Plan: row_number over the key with
+    The result is repeatable when ``order`` is total within a key.  If it is
+    not, ``tiebreak_all`` appends the remaining columns to the order so that
+    ties are only between identical rows (wider sort keys: slower).  Plan: row_number over the key with
     ``= 1``; Spark inserts a partial WindowGroupLimit before the shuffle, so a
     hot key sends at most one row per map task, never its whole group.
     """
@@ -53,7 +54,7 @@ def keep_first(df: DataFrame, keys: list[str], order: list[Column] | None = None
     if tiebreak_all:
         order += [F.col(c).asc_nulls_last() for c in df.columns if c not in keys and _orderable(df, c)]
     if not order:
-        order = [F.lit(1)]
+        order = [F.col(c).asc_nulls_last() for c in df.columns if c not in keys and _orderable(df, c)] or [F.lit(1)]
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1).drop("__rn")
 

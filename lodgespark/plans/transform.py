@@ -41,48 +41,75 @@ def with_price_category(df: DataFrame, price_col: str = "price_clean", out_col:
                                                      F.col("__t.q75"))).drop("__t")
 
 
+def _listing_columns(df: DataFrame) -> dict[str, Column]:
+    """Per-column cleaning expressions of listings (dates, flags, numerics
+    with their defaults), for one fused projection."""
+    out: dict[str, Column] = {}
+    for c in K.LISTING_DATE_COLUMNS:
+        if c in df.columns:
+            out[c] = S.parse_date(c)
+    for c in K.LISTING_FLAG_COLUMNS:
+        if c in df.columns:
+            out[c] = _flag(df, c)
+    for c, default in K.LISTING_NUMERIC_DEFAULTS.items():
+        if c in df.columns:
+            v = S.parse_numeric(c)
+            out[c] = F.coalesce(v, F.lit(float(default))) if default is not None else v
+    return out
+
+
 def transform_listings(raw: DataFrame, order: list[Column] | None = None) -> DataFrame:
     """dedup on id -> drop sparse -> price -> quartile category -> list size ->
-    dates and parts -> flags -> numerics with defaults."""
-    df = C.keep_first(raw, ["id"], order)
-    df = C.drop_known_sparse(df)
-    df = df.withColumn("price_clean", S.parse_price("price"))
-    df = with_price_category(df)
-    df = df.withColumn("n_amenities", S.count_list_items("amenities"))
-    df = df.withColumns({c: S.parse_date(c) for c in K.LISTING_DATE_COLUMNS if c in df.columns})
-    if "host_since" in df.columns:
-        df = df.withColumns({"host_since_year": F.year("host_since"), "host_since_month": F.month("host_since"),
-                             "host_since_quarter": F.quarter("host_since")})
-    if "last_review" in df.columns:
-        df = df.withColumn("last_review_year", F.year("last_review"))
-    df = df.withColumns({c: _flag(df, c) for c in K.LISTING_FLAG_COLUMNS if c in df.columns})
-    return C.impute_defaults(df, K.LISTING_NUMERIC_DEFAULTS)
+    dates and parts -> flags -> numerics with defaults.  All row-level steps
+    are one projection; the price quartiles are a scalar subquery."""
+    df = C.drop_known_sparse(C.keep_first(raw, ["id"], order))
+    cols = df.columns
+    base = df.withColumn("price_clean", S.parse_price("price"))
+    t = price_thresholds(base)
+    per_col = _listing_columns(df)
+    out = [per_col.get(c, F.col(c)).alias(c) for c in cols]
+    out += [F.col("price_clean"),
+            S.categorize_price("price_clean", t["q25"], t["q50"], t["q75"]).alias("price_category"),
+            S.count_list_items("amenities").alias("n_amenities")]
+    if "host_since" in cols:
+        hs = S.parse_date("host_since")
+        out += [F.year(hs).alias("host_since_year"), F.month(hs).alias("host_since_month"),
+                F.quarter(hs).alias("host_since_quarter")]
+    if "last_review" in cols:
+        out.append(F.year(S.parse_date("last_review")).alias("last_review_year"))
+    return base.select(*out)
+
+
+def _id(c: str) -> Column:
+    """Identifier text -> bigint: integer text directly, else through the
+    numeric parser (so '12.0' and ' 12' still give 12)."""
+    s = F.trim(F.col(c).cast("string"))
+    return F.coalesce(s.try_cast("long"), S.parse_numeric(c).try_cast("long"))
 
 
 def transform_reviews(raw: DataFrame, order: list[Column] | None = None) -> DataFrame:
     """dedup on id (when present) -> date and its parts -> comment fill -> ids."""
     df = C.keep_first(raw, ["id"], order) if "id" in raw.columns else raw
     d = S.parse_date("date")
-    df = df.withColumn("date", d).withColumns({
-        "year": F.year("date"), "month": F.month("date"), "day": F.dayofmonth("date"),
-        "quarter": F.quarter("date"), "day_of_week": S.weekday_monday0("date"),
-        "is_weekend": S.is_weekend("date")})
-    df = df.withColumn("comments", S.fill_comment("comments"))
-    return df.withColumns({c: S.parse_numeric(c).try_cast("long") for c in ["listing_id", "reviewer_id"]
-                           if c in df.columns})
+    repl = {"date": d, "comments": S.fill_comment("comments")}
+    repl.update({c: _id(c) for c in ["listing_id", "reviewer_id"] if c in df.columns})
+    out = [repl.get(c, F.col(c)).alias(c) for c in df.columns]
+    out += [F.year(d).alias("year"), F.month(d).alias("month"), F.dayofmonth(d).alias("day"),
+            F.quarter(d).alias("quarter"), S.weekday_monday0(d).alias("day_of_week"), S.is_weekend(d).alias("is_weekend")]
+    return df.select(*out)
 
 
 def transform_calendar(raw: DataFrame, order: list[Column] | None = None) -> DataFrame:
     """dedup on (listing_id, raw date text) -> flag -> date and its parts ->
     numeric nights and id."""
     df = C.keep_first(raw, ["listing_id", "date"], order)
-    df = df.withColumn("is_available", _flag(df, "available"))
-    df = df.withColumn("date", S.parse_date("date")).withColumns({
-        "year": F.year("date"), "month": F.month("date"), "week": S.iso_week("date"),
-        "quarter": F.quarter("date"), "day_of_week": S.weekday_monday0("date")})
-    num = {"minimum_nights": S.parse_numeric("minimum_nights"), "maximum_nights": S.parse_numeric("maximum_nights"),
-           "listing_id": S.parse_numeric("listing_id").try_cast("long")}
-    return df.withColumns({c: e for c, e in num.items() if c in df.columns})
+    d = S.parse_date("date")
+    repl = {"date": d, "listing_id": _id("listing_id")}
+    repl.update({c: S.parse_numeric(c) for c in ["minimum_nights", "maximum_nights"] if c in df.columns})
+    out = [repl.get(c, F.col(c)).alias(c) for c in df.columns]
+    out += [_flag(df, "available").alias("is_available"), F.year(d).alias("year"), F.month(d).alias("month"),
+            S.iso_week(d).alias("week"), F.quarter(d).alias("quarter"), S.weekday_monday0(d).alias("day_of_week")]
+    return df.select(*out)
 
 
 def transform_all(raw: Mapping[str, DataFrame], orders: Mapping[str, list[Column]] | None = None) -> dict[str, DataFrame]:
