@@ -621,26 +621,10 @@ def q_quality_report(spark, sf):
 
 @query("run_metrics", rounded={"value": 6})
 def q_run_metrics(spark, sf):
-    from lodgespark.operators.metrics import table_metrics
-    r, c = raw(spark, sf), clean(spark, sf)
-    lst = c["listings"]
-    parts = [table_metrics("extract", t, r[t]) for t in ["listings", "reviews", "calendar"]]
-    parts.append(table_metrics("transform", "listings", lst, {
-        "null_prices": F.sum(F.col("price_clean").isNull().cast("long")),
-        "median_price": F.median("price_clean"),
-        "mean_n_amenities": F.avg("n_amenities")}))
-    parts.append(table_metrics("transform", "reviews", c["reviews"]))
-    parts.append(table_metrics("transform", "calendar", c["calendar"]))
-    parts.append(table_metrics("transform", "calendar_summary", c["calendar_summary"]))
-    thr = T.price_thresholds(lst)
-    parts.append(lst.sparkSession.range(1).select(
-        F.lit("transform").alias("stage"), F.lit("listings").alias("table"),
-        F.explode(F.array(*[F.struct(F.lit(f"threshold_{q}").alias("metric"), thr[q].alias("value"))
-                            for q in ["q25", "q50", "q75"]])).alias("r")).select("stage", "table", "r.metric", "r.value"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.withColumnRenamed("table", "table_name")
+    """Metrics of a transform-job run, gathered while the clean zone is written."""
+    from lodgespark.plans.jobs import transform_job_metrics
+    m = transform_job_metrics(raw(spark, sf), _scratch(spark, "clean-zone"), FX.keep_first_orders())
+    return m.withColumnRenamed("table", "table_name")
 
 
 # ------------------------------------------------------------------ 2.1 sources and sinks

@@ -487,22 +487,20 @@ def _check_types() -> str:
 
 def _metrics() -> str:
     rows = []
-    for t, n in [("listings", 24), ("reviews", 6), ("calendar", 5)]:
-        rows.append(f"SELECT 'extract' AS stage, '{t}' AS table_name, 'rows' AS metric, CAST(count(*) AS DOUBLE) AS value "
-                    f"FROM {t}_raw")
-        rows.append(f"SELECT 'extract', '{t}', 'columns', {float(n)}")
-    rows.append("SELECT 'transform', 'listings', 'rows', CAST(count(*) AS DOUBLE) FROM listings_clean")
-    rows.append("SELECT 'transform', 'listings', 'null_prices', CAST(count(*) - count(price_clean) AS DOUBLE) FROM listings_clean")
-    rows.append("SELECT 'transform', 'listings', 'median_price', median(price_clean) FROM listings_clean")
+    for t, n_in, n_out in [("listings", 24, 29), ("reviews", 6, 12), ("calendar", 5, 11)]:
+        rows.append(f"SELECT 'transform' AS stage, '{t}' AS table_name, 'rows_in' AS metric, "
+                    f"CAST(count(*) AS DOUBLE) AS value FROM {t}_raw")
+        rows.append(f"SELECT 'transform', '{t}', 'rows_out', CAST(count(*) AS DOUBLE) FROM {t}_clean")
+        rows.append(f"SELECT 'transform', '{t}', 'duplicates_dropped', "
+                    f"CAST((SELECT count(*) FROM {t}_raw) - (SELECT count(*) FROM {t}_clean) AS DOUBLE)")
+        rows.append(f"SELECT 'transform', '{t}', 'columns_in', {float(n_in)}")
+        rows.append(f"SELECT 'transform', '{t}', 'columns_out', {float(n_out)}")
+    rows.append("SELECT 'transform', 'listings', 'null_prices', CAST(count(*) - count(price_clean) AS DOUBLE) "
+                "FROM listings_clean")
     rows.append("SELECT 'transform', 'listings', 'mean_n_amenities', avg(n_amenities) FROM listings_clean")
-    rows.append("SELECT 'transform', 'listings', 'columns', 29.0")
-    for t, n in [("reviews", 12), ("calendar", 11)]:
-        rows.append(f"SELECT 'transform', '{t}', 'rows', CAST(count(*) AS DOUBLE) FROM {t}_clean")
-        rows.append(f"SELECT 'transform', '{t}', 'columns', {float(n)}")
-    rows.append("SELECT 'transform', 'calendar_summary', 'rows', CAST(count(*) AS DOUBLE) FROM calendar_summary")
-    rows.append("SELECT 'transform', 'calendar_summary', 'columns', 6.0")
-    for q in ["q25", "q50", "q75"]:
-        rows.append(f"SELECT 'transform', 'listings', 'threshold_{q}', {q} FROM listings_t")
+    for label, q in [("price_q25", 0.25), ("price_median", 0.5), ("price_q75", 0.75)]:
+        rows.append(f"SELECT 'transform', 'listings', '{label}', quantile_cont(price_clean, {q}) FROM listings_clean")
+    rows.append("SELECT 'transform', 'calendar_summary', 'rows_out', CAST(count(*) AS DOUBLE) FROM calendar_summary")
     return " UNION ALL ".join(rows)
 
 

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lodgespark.operators import quality as Q
@@ -34,22 +34,68 @@ def ingest_job(spark: SparkSession, files: Mapping[str, tuple[str, list[str]]],
     return out
 
 
-def transform_job(raw: Mapping[str, DataFrame], clean_root: str,
-                  orders: Mapping[str, list[Column]] | None = None) -> dict[str, int]:
-    """Clean every present raw table into the clean zone; rows per table."""
+def _run_transform(raw: Mapping[str, DataFrame], clean_root: str,
+                   orders: Mapping[str, list[Column]] | None = None) -> tuple[dict[str, int], list[dict]]:
+    """Write the clean zone; row counts and listing measures are observed
+    while each table is written (no extra pass over the data)."""
     orders = orders or {}
     steps = {"listings": transform_listings, "reviews": transform_reviews, "calendar": transform_calendar}
-    out = {}
+    counts: dict[str, int] = {}
+    records: list[dict] = []
+
+    def rec(table, metric, value):
+        records.append({"stage": "transform", "table": table, "metric": metric, "value": value})
+
     for name, fn in steps.items():
-        if name in raw:
-            obs = Z.write_table(fn(raw[name], orders.get(name)), f"{clean_root}/{name}_clean")
-            out[name] = int(obs.get["rows"])
+        if name not in raw:
+            continue
+        out = fn(raw[name], orders.get(name))
+        extra = []
+        if name == "listings":
+            extra = [F.sum(F.col("price_clean").isNull().cast("long")).alias("null_prices"),
+                     F.avg("n_amenities").alias("mean_n_amenities")]
+        obs = Observation(f"clean_{name}")
+        path = f"{clean_root}/{name}_clean"
+        out.observe(obs, F.count(F.lit(1)).alias("rows"), *extra).write.mode("overwrite").parquet(path)
+        m = obs.get
+        counts[name] = int(m["rows"])
+        rows_in = raw[name].count()
+        rec(name, "rows_in", rows_in)
+        rec(name, "rows_out", m["rows"])
+        rec(name, "duplicates_dropped", rows_in - m["rows"])
+        rec(name, "columns_in", len(raw[name].columns))
+        rec(name, "columns_out", len(out.columns))
+        for k in ("null_prices", "mean_n_amenities"):
+            if k in m:
+                rec(name, k, m[k])
+        if name == "listings":
+            # exact quartiles need their own aggregate (one row)
+            lst = out.sparkSession.read.parquet(path)
+            q = lst.agg(F.percentile("price_clean", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q")).first()["q"]
+            for label, v in zip(["price_q25", "price_median", "price_q75"], q or [None, None, None]):
+                rec(name, label, v)
     if "calendar" in raw:
         spark = raw["calendar"].sparkSession
         cal = spark.read.parquet(f"{clean_root}/calendar_clean")
         obs = Z.write_table(calendar_monthly_summary(cal), f"{clean_root}/calendar_summary_clean")
-        out["calendar_summary"] = int(obs.get["rows"])
-    return out
+        counts["calendar_summary"] = int(obs.get["rows"])
+        rec("calendar_summary", "rows_out", counts["calendar_summary"])
+    return counts, records
+
+
+def transform_job(raw: Mapping[str, DataFrame], clean_root: str,
+                  orders: Mapping[str, list[Column]] | None = None) -> dict[str, int]:
+    """Clean every present raw table into the clean zone; rows per table."""
+    return _run_transform(raw, clean_root, orders)[0]
+
+
+def transform_job_metrics(raw: Mapping[str, DataFrame], clean_root: str,
+                          orders: Mapping[str, list[Column]] | None = None) -> DataFrame:
+    """Run the transform job and return its run metrics as a DataFrame
+    (stage, table, metric, value)."""
+    from lodgespark.operators.metrics import metrics_frame
+    spark = next(iter(raw.values())).sparkSession
+    return metrics_frame(spark, _run_transform(raw, clean_root, orders)[1])
 
 
 def read_clean(spark: SparkSession, clean_root: str, names: Iterable[str] = Z.PUBLISH_ORDER) -> dict[str, DataFrame]:
