@@ -86,7 +86,18 @@ def _memo(spark: SparkSession, sf: str, name: str, build):
 
 
 def raw(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    return _memo(spark, sf, "raw", lambda: FX.raw_tables(spark, sf))
+    """The raw zone: the raw-shaped views written once per session as
+    Parquet (the ingest step), then read back, so every query starts from
+    a stored, splittable table as the transform job does."""
+    def build():
+        from lodgespark.sources.raw import write_raw_zone
+        root = _scratch(spark, "raw-zone")
+        out = {}
+        for t, df in FX.raw_tables(spark, sf).items():
+            write_raw_zone(df, f"{root}/{t}")
+            out[t] = spark.read.parquet(f"{root}/{t}")
+        return out
+    return _memo(spark, sf, "raw", build)
 
 
 def clean(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
@@ -635,15 +646,9 @@ def _scratch(spark, name):
 
 
 def raw_zone_catalog(spark, sf) -> dict[str, DataFrame]:
-    """The raw zone as Parquet written once from the raw views, so that
-    extracts show predicate and column pushdown into the scan."""
-    from lodgespark.sources import raw as R
-    root = _scratch(spark, "raw-zone")
-    out = {}
-    for t, df in raw(spark, sf).items():
-        R.write_raw_zone(df, f"{root}/{t}")
-        out[t] = spark.read.parquet(f"{root}/{t}")
-    return out
+    """The raw zone (Parquet), so that extracts show predicate and column
+    pushdown into the scan."""
+    return raw(spark, sf)
 
 
 @query("scan_raw_csv")

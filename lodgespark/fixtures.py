@@ -22,11 +22,14 @@ def spread(df: DataFrame) -> DataFrame:
     by one task, and every step before the first shuffle then runs on one
     core.  Spread such a scan over the cluster's cores with a round-robin
     repartition; a scan that already has enough splits is left alone (no
-    extra shuffle on a large, well-split input)."""
+    extra shuffle on a large, well-split input).  Hash partitioning on the
+    table's leading key column is deterministic, so a retried task rebuilds
+    the same split without the sort that round-robin partitioning needs for
+    that, and it keeps column pruning (only the columns used are read)."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     if int(str(size)) >= SPREAD_MIN_BYTES and df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
+        return df.repartition(cores, F.col(df.columns[0]))
     return df
 
 

@@ -33,7 +33,8 @@ def scan_raw_csv(spark: SparkSession, path: str, columns: Iterable[str], partiti
     per file, so ``partitions`` spreads the rows before the heavy work."""
     df = _csv_reader(spark, all_text_schema(columns), multiline).csv(path)
     if partitions:
-        df = df.repartition(partitions)
+        # hash of the whole row: even, and deterministic on task retry
+        df = df.repartition(partitions, *[F.col(c) for c in df.columns])
     return normalize_null_tokens(df) if null_tokens else df
 
 
