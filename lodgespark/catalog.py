@@ -93,7 +93,11 @@ def raw(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
         from lodgespark.sources.raw import write_raw_zone
         root = _scratch(spark, "raw-zone")
         out = {}
+        cores = spark.sparkContext.defaultParallelism
         for t, df in FX.raw_tables(spark, sf).items():
+            if df.rdd.getNumPartitions() < cores:
+                # the ingest lays each table out in at least one file per core
+                df = df.repartition(cores, F.col(df.columns[0]))
             write_raw_zone(df, f"{root}/{t}")
             out[t] = spark.read.parquet(f"{root}/{t}")
         return out

@@ -103,87 +103,86 @@ def price_quartiles(df: DataFrame, column: str = "price_clean") -> DataFrame:
                     F.col("__q")[2].alias("q75"), "median")
 
 
+def _q(c: str) -> str:
+    return "`" + c.replace("`", "``") + "`"
+
+
+def _lit(c: str) -> str:
+    return "'" + c.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def values_long(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column, x) with one row per input row and column, as one SQL
+    generator expression; the grouped aggregates that follow consume it in
+    the same task (partial aggregation), so nothing is shuffled per row."""
+    items = ", ".join(f"struct({_lit(c)} AS column, CAST({_q(c)} AS DOUBLE) AS x)" for c in columns)
+    return df.select(F.expr(f"inline(array({items}))"))
+
+
+def _quartiles() -> Column:
+    return F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
+
+
 def describe_numeric(df: DataFrame, columns: Iterable[str]) -> DataFrame:
-    """count, mean, sample std, min, exact 25/50/75 %, max per column, from one
-    aggregate (unlike ``DataFrame.summary``, whose quartiles are approximate)."""
+    """count, mean, sample std, min, exact 25/50/75 %, max per column
+    (unlike ``DataFrame.summary``, whose quartiles are approximate)."""
     cols = [c for c in columns if c in df.columns]
-    aggs = []
-    for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"count__{i}"), F.avg(x).alias(f"mean__{i}"),
-                 F.stddev_samp(x).alias(f"std__{i}"), F.min(x).alias(f"min__{i}"),
-                 F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"q__{i}"),
-                 F.max(x).alias(f"max__{i}")]
-    one = df.agg(*aggs)
-    one = one.select("*", *[F.col(f"q__{i}")[j].alias(f"{n}__{i}")
-                            for i in range(len(cols)) for j, n in enumerate(["p25", "p50", "p75"])])
-    fields = ["count", "mean", "std", "min", "p25", "p50", "p75", "max"]
-    out = _long(one, cols, fields, fields)
-    return out.withColumn("count", F.col("count").cast("bigint"))
+    g = values_long(df, cols).groupBy("column").agg(
+        F.count("x").cast("bigint").alias("count"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"),
+        F.min("x").alias("min"), F.percentile("x", _quartiles()).alias("q"), F.max("x").alias("max"))
+    return g.select("column", "count", "mean", "std", "min", F.col("q")[0].alias("p25"), F.col("q")[1].alias("p50"),
+                    F.col("q")[2].alias("p75"), "max")
+
+
+def _column_stats(long: DataFrame) -> Column:
+    """Per-column quartiles and mean as a map column -> stats, computed once
+    (a scalar subquery); its size is bounded by the number of columns."""
+    stats = long.groupBy("column").agg(F.percentile("x", _quartiles()).alias("q"), F.avg("x").alias("mean"))
+    one = stats.agg(F.map_from_entries(F.collect_list(F.struct("column", F.struct("q", "mean")))).alias("m"))
+    return one.scalar()
 
 
 def iqr_outliers(df: DataFrame, columns: Iterable[str], k: float = 1.5) -> DataFrame:
     """Per variable: Q1, Q3, IQR, bounds at ``k`` IQR, counts above / below /
     either, % of non-null rows, mean and median.  Two passes: the quartiles
-    (one row, broadcast) and the conditional counts."""
+    (a per-column map, computed once) and the conditional counts."""
     cols = [c for c in columns if c in df.columns]
-    qa = []
-    for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
-        qa += [F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"q__{i}"),
-               F.avg(x).alias(f"mean__{i}")]
-    stats = scalar_row(df.agg(*qa))
-    joined = df.select(*cols).withColumn("__s", stats)
-    ca = []
-    for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
-        q1, q3 = F.col("__s")[f"q__{i}"][0], F.col("__s")[f"q__{i}"][2]
-        lo, hi = q1 - k * (q3 - q1), q3 + k * (q3 - q1)
-        ca += [F.count(x).alias(f"n__{i}"),
-               F.sum((x > hi).cast("long")).alias(f"above__{i}"),
-               F.sum((x < lo).cast("long")).alias(f"below__{i}")]
-    one = joined.agg(*ca).withColumn("__s", stats)
-    parts = []
-    for i, c in enumerate(cols):
-        qq = F.col("__s")[f"q__{i}"]
-        q1, med, q3 = qq[0], qq[1], qq[2]
-        iqr = q3 - q1
-        n = F.col(f"n__{i}")
-        out_n = F.coalesce(F.col(f"above__{i}"), F.lit(0)) + F.coalesce(F.col(f"below__{i}"), F.lit(0))
-        parts.append(F.struct(
-            F.lit(c).alias("column"), n.cast("bigint").alias("n"), q1.alias("q1"), q3.alias("q3"),
-            iqr.alias("iqr"), (q1 - k * iqr).alias("lower_bound"), (q3 + k * iqr).alias("upper_bound"),
-            F.coalesce(F.col(f"above__{i}"), F.lit(0)).cast("bigint").alias("n_above"),
-            F.coalesce(F.col(f"below__{i}"), F.lit(0)).cast("bigint").alias("n_below"),
-            out_n.cast("bigint").alias("n_outliers"),
-            F.try_divide(out_n * 100.0, n).alias("pct_outliers"),
-            F.col("__s")[f"mean__{i}"].alias("mean"), med.alias("median")))
-    return one.select(F.explode(F.array(*parts)).alias("r")).select("r.*")
+    long = values_long(df, cols)
+    m = _column_stats(long)
+    s = F.col("__m")[F.col("column")]
+    q1, q3 = s["q"][0], s["q"][2]
+    x = F.col("x")
+    counts = (long.withColumn("__m", m).groupBy("column").agg(
+        F.count(x).alias("n"), F.sum((x > q3 + k * (q3 - q1)).cast("long")).alias("n_above"),
+        F.sum((x < q1 - k * (q3 - q1)).cast("long")).alias("n_below")))
+    out = counts.withColumn("__m", m)
+    q1, med, q3 = s["q"][0], s["q"][1], s["q"][2]
+    n_above = F.coalesce(F.col("n_above"), F.lit(0)).cast("bigint")
+    n_below = F.coalesce(F.col("n_below"), F.lit(0)).cast("bigint")
+    return out.select(
+        "column", F.col("n").cast("bigint").alias("n"), q1.alias("q1"), q3.alias("q3"), (q3 - q1).alias("iqr"),
+        (q1 - k * (q3 - q1)).alias("lower_bound"), (q3 + k * (q3 - q1)).alias("upper_bound"),
+        n_above.alias("n_above"), n_below.alias("n_below"), (n_above + n_below).alias("n_outliers"),
+        F.try_divide((n_above + n_below) * 100.0, F.col("n")).alias("pct_outliers"),
+        s["mean"].alias("mean"), med.alias("median"))
 
 
 def boxplot_stats(df: DataFrame, columns: Iterable[str], whis: float = 1.5) -> DataFrame:
     """Box summary per variable: quartiles, median, whiskers at the last data
     point inside ``whis`` IQR of the box, and the number of points outside."""
     cols = [c for c in columns if c in df.columns]
-    qa = [F.percentile(F.col(c).cast("double"), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"q__{i}")
-          for i, c in enumerate(cols)]
-    stats = scalar_row(df.agg(*qa))
-    joined = df.select(*cols).withColumn("__s", stats)
-    ca = []
-    for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
-        q1, q3 = F.col("__s")[f"q__{i}"][0], F.col("__s")[f"q__{i}"][2]
-        lo, hi = q1 - whis * (q3 - q1), q3 + whis * (q3 - q1)
-        inside = x.isNotNull() & (x >= lo) & (x <= hi)
-        ca += [F.min(F.when(inside, x)).alias(f"wlo__{i}"), F.max(F.when(inside, x)).alias(f"whi__{i}"),
-               F.sum((x.isNotNull() & ~inside).cast("long")).alias(f"fl__{i}")]
-    one = joined.agg(*ca).withColumn("__s", stats)
-    parts = [F.struct(F.lit(c).alias("column"), F.col("__s")[f"q__{i}"][0].alias("q1"),
-                      F.col("__s")[f"q__{i}"][1].alias("median"), F.col("__s")[f"q__{i}"][2].alias("q3"),
-                      F.col(f"wlo__{i}").alias("whisker_low"), F.col(f"whi__{i}").alias("whisker_high"),
-                      F.coalesce(F.col(f"fl__{i}"), F.lit(0)).cast("bigint").alias("n_fliers"))
-             for i, c in enumerate(cols)]
-    return one.select(F.explode(F.array(*parts)).alias("r")).select("r.*")
+    long = values_long(df, cols)
+    m = _column_stats(long)
+    s = F.col("__m")[F.col("column")]
+    q1, q3 = s["q"][0], s["q"][2]
+    x = F.col("x")
+    inside = x.isNotNull() & (x >= q1 - whis * (q3 - q1)) & (x <= q3 + whis * (q3 - q1))
+    g = long.withColumn("__m", m).groupBy("column").agg(
+        F.min(F.when(inside, x)).alias("whisker_low"), F.max(F.when(inside, x)).alias("whisker_high"),
+        F.sum((x.isNotNull() & ~inside).cast("long")).alias("n_fliers"))
+    return g.withColumn("__m", m).select(
+        "column", s["q"][0].alias("q1"), s["q"][1].alias("median"), s["q"][2].alias("q3"), "whisker_low",
+        "whisker_high", F.coalesce(F.col("n_fliers"), F.lit(0)).cast("bigint").alias("n_fliers"))
 
 
 def outlier_flag(df: DataFrame, column: str = "price_clean", k: float = 3.0,
@@ -229,7 +228,7 @@ def filter_by_quantile(df: DataFrame, column: str, q: float) -> DataFrame:
 
 # ---------------------------------------------------------------- correlation
 
-def pearson(a: Column, b: Column) -> Column:
+def pearson(a: Column, b: Column) -> Column:  # single pair, for use in any aggregate
     """Pairwise-complete Pearson correlation that is null (not an error) for a
     constant or single-row input; ``corr`` raises DIVIDE_BY_ZERO under ANSI."""
     both = a.isNotNull() & b.isNotNull()
@@ -237,29 +236,45 @@ def pearson(a: Column, b: Column) -> Column:
     return F.try_divide(F.covar_samp(aa, bb), F.stddev_samp(aa) * F.stddev_samp(bb))
 
 
+def _pairs_long(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+    """One row per (input row, pair) holding the pair's values where both are
+    present.  Built as one SQL generator expression (cheap to plan)."""
+    def q(c: str) -> str:
+        return "`" + c.replace("`", "``") + "`"
+    items = []
+    for i, (a, b) in enumerate(pairs):
+        both = f"{q(a)} IS NOT NULL AND {q(b)} IS NOT NULL"
+        items.append(f"struct({i} AS p, CASE WHEN {both} THEN CAST({q(a)} AS DOUBLE) END AS x, "
+                     f"CASE WHEN {both} THEN CAST({q(b)} AS DOUBLE) END AS y)")
+    return df.select(F.expr(f"inline(array({', '.join(items)}))"))
+
+
+def _pair_corr(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+    """(p, corr) per pair: a grouped aggregate over the pair rows, so the
+    generated code stays small whatever the number of pairs; each task
+    sends one partial row per pair to the shuffle."""
+    long = _pairs_long(df, pairs)
+    return long.groupBy("p").agg(
+        F.try_divide(F.covar_samp("x", "y"), F.stddev_samp("x") * F.stddev_samp("y")).alias("corr"))
+
+
 def correlation_matrix(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """Long-form Pearson matrix (col_a, col_b, corr) over all ordered pairs,
-    from one aggregate holding every pair."""
+    pairwise-complete rows, null for a constant or single-row column."""
     cols = [c for c in columns if c in df.columns]
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    one = df.agg(*[pearson(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"c__{i}")
-                   for i, (a, b) in enumerate(pairs)])
-    structs = []
-    for i, (a, b) in enumerate(pairs):
-        structs.append(F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"c__{i}").alias("corr")))
-        if a != b:
-            structs.append(F.struct(F.lit(b).alias("col_a"), F.lit(a).alias("col_b"), F.col(f"c__{i}").alias("corr")))
-    return one.select(F.explode(F.array(*structs)).alias("r")).select("r.*")
+    names = df.sparkSession.createDataFrame(
+        [(i, a, b) for i, (a, b) in enumerate(pairs)] + [(i, b, a) for i, (a, b) in enumerate(pairs) if a != b],
+        "p int, col_a string, col_b string")
+    return _pair_corr(df, pairs).join(names, "p").select("col_a", "col_b", "corr")
 
 
 def correlation_with(df: DataFrame, target: str, columns: Iterable[str]) -> DataFrame:
     """Correlation of every other variable with ``target``, descending."""
     cols = [c for c in columns if c in df.columns and c != target]
-    one = df.agg(*[pearson(F.col(c).cast("double"), F.col(target).cast("double")).alias(f"c__{i}")
-                   for i, c in enumerate(cols)])
-    structs = [F.struct(F.lit(c).alias("column"), F.col(f"c__{i}").alias("corr")) for i, c in enumerate(cols)]
-    return (one.select(F.explode(F.array(*structs)).alias("r")).select("r.*")
-               .orderBy(F.col("corr").desc_nulls_last(), F.col("column")))
+    names = df.sparkSession.createDataFrame([(i, c) for i, c in enumerate(cols)], "p int, column string")
+    return (_pair_corr(df, [(c, target) for c in cols]).join(names, "p").select("column", "corr")
+            .orderBy(F.col("corr").desc_nulls_last(), F.col("column")))
 
 
 # ---------------------------------------------------------------- distinct values
