@@ -25,13 +25,20 @@ from lodgespark.sources import zones as Z
 
 
 def ingest_job(spark: SparkSession, files: Mapping[str, tuple[str, list[str]]], raw_root: str,
-               partitions: int | None = None) -> dict[str, int]:
-    """``files``: table -> (CSV path, header columns).  Returns rows per table."""
+               partitions: int | None = None) -> DataFrame:
+    """``files``: table -> (CSV path, header columns).  Each table is a full
+    refresh of its raw-zone folder.  A table whose files cannot be read is
+    reported with 0 rows and the run goes on with the others; the result is
+    (table_name, rows, status) with status 'FALLO' for an empty table."""
     out = {}
     for name, (path, columns) in files.items():
-        df = R.scan_raw_csv(spark, path, columns, partitions=partitions)
-        out[name] = int(Z.write_table(df, f"{raw_root}/{name}").get["rows"])
-    return out
+        try:
+            df = R.scan_raw_csv(spark, path, columns, partitions=partitions)
+            out[name] = int(Z.write_table(df, f"{raw_root}/{name}").get["rows"])
+        except Exception:  # noqa: BLE001 - the failure is reported in the status table
+            out[name] = 0
+    return Z.rows_frame(spark, out).withColumn(
+        "status", F.when(F.col("rows") > 0, F.lit("OK")).otherwise(F.lit("FALLO")))
 
 
 def _run_transform(raw: Mapping[str, DataFrame], clean_root: str,
