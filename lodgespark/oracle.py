@@ -87,7 +87,7 @@ SELECT id, name, host_id, host_name, {pdate('host_since')} AS host_since, {pdate
   CASE WHEN price_clean IS NULL OR price_clean <= 0 THEN 'No especificado'
        WHEN price_clean < q25 THEN 'Económico' WHEN price_clean < q50 THEN 'Medio'
        WHEN price_clean < q75 THEN 'Alto' ELSE 'Lujo' END AS price_category,
-  coalesce(json_array_length(try_cast(amenities AS JSON)), 0) AS n_amenities,
+  CAST(coalesce(json_array_length(try_cast(amenities AS JSON)), 0) AS BIGINT) AS n_amenities,
   year({pdate('host_since')}) AS host_since_year, month({pdate('host_since')}) AS host_since_month,
   quarter({pdate('host_since')}) AS host_since_quarter, year({pdate('last_review')}) AS last_review_year
 FROM listings_p, listings_t""",
@@ -105,12 +105,12 @@ WHERE rn__ = 1""",
 SELECT id, CAST(listing_id AS BIGINT) AS listing_id, d AS date, CAST(reviewer_id AS BIGINT) AS reviewer_id,
   reviewer_name, coalesce(comments, 'Sin comentario') AS comments,
   year(d) AS year, month(d) AS month, day(d) AS day, quarter(d) AS quarter, isodow(d) - 1 AS day_of_week,
-  CASE WHEN isodow(d) - 1 IN (5, 6) THEN 1 ELSE 0 END AS is_weekend
+  CAST(CASE WHEN isodow(d) - 1 IN (5, 6) THEN 1 ELSE 0 END AS BIGINT) AS is_weekend
 FROM (SELECT *, {pdate('date')} AS d FROM reviews_dedup)""",
     "calendar_raw": f"""
 SELECT l_partkey AS listing_id, {SHIP} AS date,
   CASE l_returnflag WHEN 'A' THEN 't' WHEN 'N' THEN 'f' END AS available,
-  CAST(l_quantity AS INTEGER) AS minimum_nights, CAST(l_quantity AS INTEGER) * 20 AS maximum_nights
+  CAST(CAST(l_quantity AS INTEGER) AS BIGINT) AS minimum_nights, CAST(CAST(l_quantity AS INTEGER) * 20 AS BIGINT) AS maximum_nights
 FROM lineitem""",
     "calendar_dedup": """
 SELECT * EXCLUDE (rn__) FROM (
@@ -167,7 +167,7 @@ SQL: dict[str, str] = {
 SELECT id, price, CASE WHEN p IS NULL OR p <= 0 THEN 'No especificado' WHEN p < 60000 THEN 'Económico'
   WHEN p < 120000 THEN 'Medio' WHEN p < 250000 THEN 'Alto' ELSE 'Lujo' END AS price_category
 FROM (SELECT *, try_cast(regexp_replace(price, '[^0-9.]', '', 'g') AS DOUBLE) AS p FROM listings_raw)""",
-    "count_list_items": "SELECT id, amenities, coalesce(json_array_length(try_cast(amenities AS JSON)), 0) AS n_amenities "
+    "count_list_items": "SELECT id, amenities, CAST(coalesce(json_array_length(try_cast(amenities AS JSON)), 0) AS BIGINT) AS n_amenities "
                         "FROM listings_raw",
     "parse_list": """
 SELECT id, len(items) AS n_items, array_to_string(items, '|') AS items_text
@@ -185,8 +185,8 @@ FROM (SELECT id, coalesce(from_json(try_cast(amenities AS JSON), '["VARCHAR"]'),
     "map_flag": f"SELECT id, {flag('host_is_superhost')} AS host_is_superhost, {flag('instant_bookable')} AS instant_bookable "
                 "FROM listings_raw",
     "flag_to_int": """
-SELECT listing_id, date, available, CASE available WHEN 't' THEN 1 WHEN 'f' THEN 0 END AS disp_bool,
-  coalesce(CASE available WHEN 't' THEN 1 WHEN 'f' THEN 0 END, 0) AS disp_num FROM calendar_raw""",
+SELECT listing_id, date, available, CAST(CASE available WHEN 't' THEN 1 WHEN 'f' THEN 0 END AS BIGINT) AS disp_bool,
+  CAST(coalesce(CASE available WHEN 't' THEN 1 WHEN 'f' THEN 0 END, 0) AS BIGINT) AS disp_num FROM calendar_raw""",
     "parse_numeric": "SELECT id, " + ", ".join(f"{num(c)} AS {c}" for c in [
         "accommodates", "bedrooms", "beds", "bathrooms", "minimum_nights", "maximum_nights",
         "review_scores_rating"]) + " FROM listings_raw",
@@ -203,7 +203,7 @@ SELECT doc_id, substring(text, 1, 4000) AS text, length(substring(text, 1, 4000)
   CASE WHEN length(text) > 70 THEN concat(substring(text, 1, 70), '...') ELSE text END AS display
 FROM documents""",
     "round_half_even": """
-SELECT l_orderkey, l_linenumber, round_even(l_discount * 100 + 0.125, 2) AS r2,
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, round_even(l_discount * 100 + 0.125, 2) AS r2,
   round_even(l_tax * 10 + 0.25, 1) AS r1 FROM lineitem""",
     "parse_percent": f"""
 SELECT id, host_response_rate, {num("replace(host_response_rate, '%', '')")} / 100.0 AS response_rate
@@ -506,18 +506,18 @@ def _metrics() -> str:
 
 _PUB_LISTINGS = f"""
 SELECT CAST(id AS BIGINT) AS id, name, CAST(host_id AS BIGINT) AS host_id, host_name, {iso('host_since')} AS host_since,
-  CAST(coalesce(host_is_superhost, FALSE) AS INTEGER) AS host_is_superhost, neighbourhood_cleansed, room_type,
-  CAST(accommodates AS INTEGER) AS accommodates, bathrooms, CAST(bedrooms AS INTEGER) AS bedrooms,
-  CAST(beds AS INTEGER) AS beds, price_clean AS price, price_category, CAST(minimum_nights AS INTEGER) AS minimum_nights,
-  CAST(maximum_nights AS INTEGER) AS maximum_nights, CAST(availability_365 AS INTEGER) AS availability_365,
-  CAST(number_of_reviews AS INTEGER) AS number_of_reviews, review_scores_rating, n_amenities, host_since_year
+  CAST(coalesce(host_is_superhost, FALSE) AS BIGINT) AS host_is_superhost, neighbourhood_cleansed, room_type,
+  CAST(accommodates AS BIGINT) AS accommodates, bathrooms, CAST(bedrooms AS BIGINT) AS bedrooms,
+  CAST(beds AS BIGINT) AS beds, price_clean AS price, price_category, CAST(minimum_nights AS BIGINT) AS minimum_nights,
+  CAST(maximum_nights AS BIGINT) AS maximum_nights, CAST(availability_365 AS BIGINT) AS availability_365,
+  CAST(number_of_reviews AS BIGINT) AS number_of_reviews, review_scores_rating, n_amenities, host_since_year
 FROM listings_clean"""
 _PUB_REVIEWS = f"""
 SELECT id, listing_id, {iso('date')} AS date, reviewer_id, reviewer_name, substring(comments, 1, 4000) AS comments,
   year, month, day, quarter, is_weekend FROM reviews_clean"""
 _PUB_CALENDAR = f"""
-SELECT listing_id, {iso('date')} AS date, CAST(coalesce(is_available, FALSE) AS INTEGER) AS is_available,
-  CAST(minimum_nights AS INTEGER) AS minimum_nights, CAST(maximum_nights AS INTEGER) AS maximum_nights,
+SELECT listing_id, {iso('date')} AS date, CAST(coalesce(is_available, FALSE) AS BIGINT) AS is_available,
+  CAST(minimum_nights AS BIGINT) AS minimum_nights, CAST(maximum_nights AS BIGINT) AS maximum_nights,
   year, month, week, quarter, day_of_week FROM calendar_clean"""
 _CLEAN_ROWS = """
 SELECT 'listings' AS table_name, count(*) AS rows FROM listings_clean
@@ -534,7 +534,7 @@ SQL.update({
     "transform_reviews": _iso_dates("reviews_clean", ["date"]),
     "transform_calendar": _iso_dates("calendar_clean", ["date"]),
     "transform_all": """
-SELECT 'listings' AS table_name, count(*) AS rows, 29 AS columns FROM listings_clean
+SELECT 'listings' AS table_name, count(*) AS rows, CAST(29 AS BIGINT) AS columns FROM listings_clean
 UNION ALL SELECT 'reviews', count(*), 12 FROM reviews_clean
 UNION ALL SELECT 'calendar', count(*), 11 FROM calendar_clean
 UNION ALL SELECT 'calendar_summary', count(*), 6 FROM calendar_summary""",
@@ -572,13 +572,13 @@ SELECT 'reviews' AS table_name, rule, columns, violations,
     "extract_reviews": "SELECT id, listing_id, date FROM reviews_raw WHERE date >= '1998-01-01'",
     "extract_calendar": "SELECT * FROM calendar_raw WHERE available = 'f'",
     "extract_all_summary": """
-SELECT 'listings' AS table_name, count(*) AS rows, 24 AS columns FROM listings_raw
+SELECT 'listings' AS table_name, count(*) AS rows, CAST(24 AS BIGINT) AS columns FROM listings_raw
 UNION ALL SELECT 'reviews', count(*), 6 FROM reviews_raw
 UNION ALL SELECT 'calendar', count(*), 5 FROM calendar_raw
 UNION ALL SELECT 'TOTAL', (SELECT count(*) FROM listings_raw) + (SELECT count(*) FROM reviews_raw)
   + (SELECT count(*) FROM calendar_raw), 35""",
     "table_profile": f"""
-SELECT 'listings' AS table_name, count(*) AS rows, 24 AS n_fields, '{",".join(LISTING_RAW_COLS)}' AS fields FROM listings_raw
+SELECT 'listings' AS table_name, count(*) AS rows, CAST(24 AS BIGINT) AS n_fields, '{",".join(LISTING_RAW_COLS)}' AS fields FROM listings_raw
 UNION ALL SELECT 'reviews', count(*), 6, '{",".join(REVIEW_RAW_COLS)}' FROM reviews_raw
 UNION ALL SELECT 'calendar', count(*), 5, '{",".join(CALENDAR_RAW_COLS)}' FROM calendar_raw""",
     "write_clean_zone": _CLEAN_ROWS,

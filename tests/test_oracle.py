@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__ as E
 from tests.conftest import SF_SMALL
-from tools.check_oracle import TABLES, digest
+from tools.check_oracle import TABLES, digest, type_mismatches
 
 QUERIES = E.queries()
 SQLS = E.oracle_sql()
@@ -31,6 +31,7 @@ def test_query_matches_oracle(spark, con, key):
     cur = con.execute(SQLS[key])
     dcols = [d[0] for d in cur.description]
     assert sorted(cols) == sorted(dcols)
+    assert type_mismatches(sdf, con, SQLS[key]) == []
     drows = [tuple(r[dcols.index(c)] for c in cols) for r in cur.fetchall()]
     assert len(srows) == len(drows)
     assert digest(srows, cols)[0] == digest(drows, cols)[0]
