@@ -77,11 +77,18 @@ def null_overview(tables: Mapping[str, DataFrame]) -> DataFrame:
 # ---------------------------------------------------------------- statistics
 
 def exact_quantiles(df: DataFrame, column: str, probs: Iterable[float], approx: bool = False,
-                    accuracy: int = 10000) -> DataFrame:
+                    accuracy: int = 10000, method: str = "percentile") -> DataFrame:
     """One row with ``q_<p>`` columns: exact quantiles with linear interpolation
-    (as pandas and DuckDB ``quantile_cont``).  ``approx=True`` switches to
-    ``percentile_approx`` for columns with very many distinct values."""
+    (as pandas and DuckDB ``quantile_cont``).
+
+    ``method='percentile'`` (default) is one aggregate whose buffer holds the
+    distinct values: right for prices, nights and rates.  ``'distributed'``
+    is exact at any number of distinct values (see
+    ``exact_quantiles_distributed``).  ``approx=True`` gives
+    ``percentile_approx`` (an element of the data, no interpolation)."""
     probs = list(probs)
+    if method == "distributed" and not approx:
+        return exact_quantiles_distributed(df, column, probs)
     c = F.col(column)
     if approx:
         arr = F.percentile_approx(c, [float(p) for p in probs], accuracy)
@@ -290,3 +297,81 @@ def distinct_values(df: DataFrame, columns: Iterable[str], keep_null: Iterable[s
     ).select("r.*")
     long = long.filter(F.col("value").isNotNull() | F.col("column").isin(*keep) if keep else F.col("value").isNotNull())
     return long.distinct()
+
+
+# ---------------------------------------------------------------- exact quantiles at any cardinality
+
+def exact_quantiles_distributed(df: DataFrame, column: str, probs: Iterable[float],
+                                buckets: int | None = None) -> DataFrame:
+    """Exact quantiles with linear interpolation (same values as
+    ``percentile`` / pandas ``quantile``) for a column with any number of
+    distinct values.
+
+    ``percentile`` merges a map of every distinct value in one final task.
+    Here no step holds more than one bucket of distinct values:
+
+    1. distinct values with their counts (grouped aggregate, partial
+       aggregation before the shuffle);
+       The result is checkpointed (stored once) because three steps read it;
+    2. ``buckets`` ranges cut at approximate quantiles of the distinct
+       values (one row of bounds, a scalar subquery);
+    3. rows per bucket and their running offsets (one row per bucket);
+    4. only the buckets holding a wanted rank are sorted, each in its own
+       task, to read the values at ranks floor(h) and ceil(h), h = (N-1) p.
+    Every intermediate that reaches a single task is bounded by the bucket
+    count or by the number of probabilities, not by the data.
+    """
+    probs = [float(p) for p in probs]
+    spark = df.sparkSession
+    k = int(buckets or max(4 * spark.sparkContext.defaultParallelism, 64))
+    vals = df.select(F.col(column).cast("double").alias("x")).filter(F.col("x").isNotNull())
+    # the distinct values are read by four steps: store them once (reliable
+    # checkpoint in the shared checkpoint folder) instead of recomputing
+    from lodgespark.session import checkpoint_root
+    checkpoint_root(spark)
+    counts = vals.groupBy("x").agg(F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
+    bounds = counts.agg(F.percentile_approx("x", [i / k for i in range(1, k)], 100 * k).alias("b")).scalar()
+    bucketed = (counts.withColumn("__b", bounds)
+                .withColumn("bucket", F.size(F.filter("__b", lambda b: b < F.col("x")))).drop("__b"))
+    totals = bucketed.groupBy("bucket").agg(F.sum("n").alias("bn"))
+    # running offsets over at most k rows, gathered into one array (bounded by k)
+    offs = totals.agg(F.array_sort(F.collect_list(F.struct("bucket", "bn"))).alias("t")).select(
+        F.aggregate("t", F.struct(F.lit(0).cast("long").alias("end"),
+                                  F.array().cast("array<struct<bucket:int,off:bigint,end:bigint>>").alias("acc")),
+                    lambda acc, e: F.struct((acc["end"] + e["bn"]).alias("end"),
+                                            F.concat(acc["acc"], F.array(F.struct(
+                                                e["bucket"].alias("bucket"), acc["end"].alias("off"),
+                                                (acc["end"] + e["bn"]).alias("end")))).alias("acc"))
+                    ).alias("o"))
+    o_scalar = offs.select(F.struct(F.col("o.end").alias("n"), F.col("o.acc").alias("acc")).alias("s")).scalar()
+    o = F.col("__o")
+    total = o["n"]
+    # wanted ranks: (probability index, which end, rank, bucket holding it)
+    rank_items = []
+    for i, p in enumerate(probs):
+        h = (total - 1).cast("double") * p
+        for which, r in (("lo", F.floor(h)), ("hi", F.ceil(h))):
+            rank_items.append(F.struct(F.lit(i).alias("i"), F.lit(which).alias("which"), r.cast("long").alias("r")))
+    ranks = F.transform(F.array(*rank_items), lambda e: F.struct(
+        e["i"].alias("i"), e["which"].alias("which"), e["r"].alias("r"),
+        F.filter(o["acc"], lambda a: (a["off"] <= e["r"]) & (e["r"] < a["end"]))[0].alias("b")))
+    wanted = bucketed.withColumn("__o", o_scalar).withColumn("__ranks", ranks).filter(
+        F.exists("__ranks", lambda e: e["b"]["bucket"] == F.col("bucket")))
+    from pyspark.sql import Window
+    w = Window.partitionBy("bucket").orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cum = wanted.withColumn("__end", F.sum("n").over(w))
+    hits = cum.select("x", F.explode(F.filter("__ranks", lambda e: (e["b"]["bucket"] == F.col("bucket"))
+                                              & (e["b"]["off"] + F.col("__end") - F.col("n") <= e["r"])
+                                              & (e["r"] < e["b"]["off"] + F.col("__end")))).alias("e"))
+    picked = hits.groupBy(F.col("e.i").alias("i")).agg(
+        F.max(F.when(F.col("e.which") == "lo", F.col("x"))).alias("lo"),
+        F.max(F.when(F.col("e.which") == "hi", F.col("x"))).alias("hi"))
+    one = picked.agg(*[F.max(F.when(F.col("i") == i, F.struct("lo", "hi"))).alias(f"v{i}")
+                       for i in range(len(probs))]).withColumn("__o", o_scalar)
+    out = []
+    for i, p in enumerate(probs):
+        h = (total - 1).cast("double") * p
+        frac = h - F.floor(h)
+        lo, hi = F.col(f"v{i}.lo"), F.col(f"v{i}.hi")
+        out.append(F.when(total > 0, lo + (hi - lo) * frac).alias(_qname(p)))
+    return one.select(*out)

@@ -71,3 +71,20 @@ def test_drop_sparse_columns(spark):
 def test_value_counts_top_k_ties_by_key(spark):
     df = spark.createDataFrame([("b",), ("a",), ("c",), ("c",)], "k string")
     assert [tuple(r) for r in SM.value_counts(df, "k", top=2).collect()] == [("c", 2), ("a", 1)]
+
+
+def test_distributed_quantiles_equal_percentile_and_duckdb(spark):
+    import duckdb
+    from tests.conftest import SF_SMALL
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
+    for col in ["l_extendedprice", "l_quantity"]:
+        a = P.exact_quantiles(li, col, probs).first()
+        b = P.exact_quantiles(li, col, probs, method="distributed").first()
+        sql = ", ".join(f"quantile_cont({col}, {p})" for p in probs)
+        d = duckdb.sql(f"SELECT {sql} FROM '{SF_SMALL}/lineitem.parquet'").fetchone()
+        for x, y, z in zip(a, b, d):
+            assert abs(x - y) <= 1e-9 * max(1.0, abs(x))
+            assert abs(y - z) <= 1e-9 * max(1.0, abs(z))
+    empty = P.exact_quantiles(li.filter(F.col("l_orderkey") < 0), "l_quantity", [0.5], method="distributed").first()
+    assert empty[0] is None
