@@ -82,7 +82,7 @@ def test_distributed_quantiles_equal_percentile_and_duckdb(spark):
         a = P.exact_quantiles(li, col, probs).first()
         b = P.exact_quantiles(li, col, probs, method="distributed").first()
         sql = ", ".join(f"quantile_cont({col}, {p})" for p in probs)
-        d = duckdb.sql(f"SELECT {sql} FROM '{SF_SMALL}/lineitem.parquet'").fetchone()
+        d = duckdb.connect().execute(f"SELECT {sql} FROM '{SF_SMALL}/lineitem.parquet'").fetchall()[0]
         for x, y, z in zip(a, b, d):
             assert abs(x - y) <= 1e-9 * max(1.0, abs(x))
             assert abs(y - z) <= 1e-9 * max(1.0, abs(z))
