@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodgespark import constants as K
+from lodgespark import contracts as CT
 from lodgespark.functions import scalars as S
 from lodgespark.operators import cleaning as C
 from lodgespark.operators.summaries import calendar_monthly_summary
@@ -62,7 +63,7 @@ def transform_listings(raw: DataFrame, order: list[Column] | None = None) -> Dat
     """dedup on id -> drop sparse -> price -> quartile category -> list size ->
     dates and parts -> flags -> numerics with defaults.  All row-level steps
     are one projection; the price quartiles are a scalar subquery."""
-    df = C.drop_known_sparse(C.keep_first(raw, ["id"], order))
+    df = C.drop_known_sparse(C.keep_first(CT.LISTINGS.check(raw), ["id"], order))
     cols = df.columns
     base = df.withColumn("price_clean", S.parse_price("price"))
     t = price_thresholds(base)
@@ -89,6 +90,7 @@ def _id(c: str) -> Column:
 
 def transform_reviews(raw: DataFrame, order: list[Column] | None = None) -> DataFrame:
     """dedup on id (when present) -> date and its parts -> comment fill -> ids."""
+    CT.REVIEWS.check(raw)
     df = C.keep_first(raw, ["id"], order) if "id" in raw.columns else raw
     d = S.parse_date("date")
     repl = {"date": d, "comments": S.fill_comment("comments")}
@@ -102,7 +104,7 @@ def transform_reviews(raw: DataFrame, order: list[Column] | None = None) -> Data
 def transform_calendar(raw: DataFrame, order: list[Column] | None = None) -> DataFrame:
     """dedup on (listing_id, raw date text) -> flag -> date and its parts ->
     numeric nights and id."""
-    df = C.keep_first(raw, ["listing_id", "date"], order)
+    df = C.keep_first(CT.CALENDAR.check(raw), ["listing_id", "date"], order)
     d = S.parse_date("date")
     repl = {"date": d, "listing_id": _id("listing_id")}
     repl.update({c: S.parse_numeric(c) for c in ["minimum_nights", "maximum_nights"] if c in df.columns})

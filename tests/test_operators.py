@@ -88,3 +88,16 @@ def test_distributed_quantiles_equal_percentile_and_duckdb(spark):
             assert abs(y - z) <= 1e-9 * max(1.0, abs(z))
     empty = P.exact_quantiles(li.filter(F.col("l_orderkey") < 0), "l_quantity", [0.5], method="distributed").first()
     assert empty[0] is None
+
+
+def test_contract_names_missing_required_columns(spark):
+    import pytest
+    from lodgespark.contracts import ContractError
+    from lodgespark.plans.transform import transform_calendar, transform_reviews
+    cal = spark.createDataFrame([(1, "2024-01-01", "t")], "listing_id long, date string, available string")
+    with pytest.raises(ContractError, match="minimum_nights"):
+        transform_calendar(cal)
+    # reviews without an id column: no dedup, still transformed (id is optional)
+    rev = spark.createDataFrame([("2024-01-06", None)], "date string, comments string")
+    r = transform_reviews(rev).first()
+    assert (r.is_weekend, r.comments) == (1, "Sin comentario")
