@@ -181,9 +181,12 @@ def layout_by_keys(df: DataFrame, path: str, sort_keys: list[str], partition_by:
                    partitions: int | None = None) -> None:
     """File layout in place of secondary indexes: range-partition and sort on
     the keys so Parquet min/max statistics skip row groups, and partition the
-    folders by date parts for partition pruning."""
+    folders by date parts for partition pruning.  The folder columns lead the
+    range key, so each task covers a contiguous run of folders and writes a
+    few files, not one file in every folder."""
     n = partitions or df.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    laid = df.repartitionByRange(int(n), *[F.col(k) for k in sort_keys]).sortWithinPartitions(*sort_keys)
+    keys = list(partition_by or []) + [k for k in sort_keys if k not in (partition_by or [])]
+    laid = df.repartitionByRange(int(n), *[F.col(k) for k in keys]).sortWithinPartitions(*keys)
     w = laid.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)

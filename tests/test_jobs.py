@@ -49,3 +49,16 @@ def test_publish_fails_on_orphans(spark):
     counts = publish_job(spark, f"{root}/clean", f"{root}/serving2", policy="quarantine")
     orphans = spark.read.parquet(f"{root}/serving2/_quarantine/reviews").count()
     assert orphans > 0 and counts["reviews"] + orphans == spark.read.parquet(f"{root}/clean/reviews_clean").count()
+
+
+def test_layout_writes_few_files_per_folder(spark):
+    import glob
+    from lodgespark.sources import zones as Z
+    cal = Z.serving_calendar(CAT.clean(spark, SF_SMALL)["calendar"])
+    path = scratch_path(spark, "layout-test") + "/calendar"
+    Z.layout_by_keys(cal, path, ["listing_id", "date"], partition_by=["year", "month"], partitions=8)
+    folders = glob.glob(f"{path}/year=*/month=*")
+    files = glob.glob(f"{path}/year=*/month=*/*.parquet")
+    # contiguous ranges: at most one extra file per task boundary
+    assert len(files) <= len(folders) + 8
+    assert spark.read.parquet(path).count() == cal.count()
