@@ -87,23 +87,27 @@ def cast_to_schema(df: DataFrame, schema: StructType) -> DataFrame:
 def quality_report(table: str, df: DataFrame, keys: list[str] | None = None,
                    not_null: Iterable[str] = (), parents: Mapping[str, tuple[DataFrame, str]] | None = None,
                    schema: StructType | None = None, policy: str = "fail") -> DataFrame:
-    """One table of (table_name, rule, columns, violations, status) for all rules of
-    one table: unique key, not null, references, types."""
+    """One table of (table_name, rule, columns, violations, status) for all
+    rules of one table: unique key (a grouped count), not-null and types (one
+    aggregate together), references (an anti join per parent)."""
     parts = []
     if keys:
         dups = check_unique(df, keys).agg(F.coalesce(F.sum(F.col("rows") - 1), F.lit(0)).alias("violations"))
         parts.append(dups.select(F.lit("unique").alias("rule"), F.lit(",".join(keys)).alias("columns"),
                                  F.col("violations").cast("bigint").alias("violations")))
-    nn = list(not_null)
-    if nn:
-        parts.append(check_not_null(df, nn).select(F.lit("not_null").alias("rule"), F.col("column").alias("columns"),
-                                                   "violations"))
+    # not-null and type rules: one aggregate over the table
+    rules = [("not_null", c, F.col(c).isNull()) for c in not_null]
+    if schema is not None:
+        rules += [("type", f.name, type_violation(f.name, f.dataType)) for f in schema.fields if f.name in df.columns]
+    if rules:
+        one = df.agg(*[F.sum(cond.cast("long")).alias(f"v__{i}") for i, (_, _, cond) in enumerate(rules)])
+        structs = [F.struct(F.lit(r).alias("rule"), F.lit(c).alias("columns"),
+                            F.coalesce(F.col(f"v__{i}"), F.lit(0)).cast("bigint").alias("violations"))
+                   for i, (r, c, _) in enumerate(rules)]
+        parts.append(one.select(F.explode(F.array(*structs)).alias("r")).select("r.*"))
     for col, (parent, pkey) in (parents or {}).items():
         orph = fk_orphans(df, parent, col, pkey).agg(F.count(F.lit(1)).cast("bigint").alias("violations"))
         parts.append(orph.select(F.lit("foreign_key").alias("rule"), F.lit(col).alias("columns"), "violations"))
-    if schema is not None:
-        parts.append(check_types(df, schema).select(F.lit("type").alias("rule"), F.col("column").alias("columns"),
-                                                    "violations"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
