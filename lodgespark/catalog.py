@@ -109,10 +109,10 @@ def clean(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
 
 
 def parents(spark: SparkSession, sf: str) -> DataFrame:
-    """Parent listings for reference checks: the test tables have no orphans,
-    so listings whose id ends in 0 are held out as parents."""
-    return _memo(spark, sf, "parents", lambda: clean(spark, sf)["listings"]
-                 .filter(F.col("id").cast("long") % 10 != 0))
+    """Parent listings for reference checks: the clean listings that pass the
+    load filter on minimum nights (at most 365).  The listings it drops leave
+    their reviews without a parent, so the checks have orphans to find."""
+    return _memo(spark, sf, "parents", lambda: C.filter_valid_min_nights(clean(spark, sf)["listings"]))
 
 
 # ------------------------------------------------------------------ 2.8 scalars

@@ -48,11 +48,36 @@ def _try_double(c: Column) -> Column:
     return c.try_cast("double")
 
 
+# pandas' parser keeps at most this many mantissa digits, and gives up (null)
+# when the decimal exponent it scales by exceeds the largest double exponent.
+_MANTISSA_DIGITS = 17
+_MAX_DECIMAL_EXPONENT = 308
+_MANTISSA_TEXT = r"^\s*[+-]?(\d*)\.?(\d*)"
+
+
+def _exponent_in_range(s: Column) -> Column:
+    """For exponent text: the scale pandas applies, i.e. the written exponent
+    plus the integer digits past the mantissa limit, minus the fraction digits
+    read into the mantissa, is at most 308 ('0e309' -> null, '0.0e309' -> 0)."""
+    int_digits = F.length(F.regexp_extract(s, _MANTISSA_TEXT, 1))
+    frac_digits = F.length(F.regexp_extract(s, _MANTISSA_TEXT, 2))
+    written = F.regexp_extract(s, r"[eE]([+-]?\d+)\s*$", 1).try_cast("double")
+    scale = (written + F.greatest(int_digits - _MANTISSA_DIGITS, F.lit(0))
+             - F.least(frac_digits, F.greatest(F.lit(_MANTISSA_DIGITS) - int_digits, F.lit(0))))
+    return scale <= _MAX_DECIMAL_EXPONENT
+
+
 def parse_numeric(c) -> Column:
     """Text -> double as pandas' coercing parser does: blanks, sign, exponent and
-    inf accepted; anything else (including 'nan', '5d', '1,000') -> null."""
+    inf accepted; anything else (including 'nan', '5d', '1,000') -> null.  A
+    finite text that overflows ('1e309', '10e308') is null, as in pandas."""
     s = col_of(c).cast("string")
-    return F.when(s.rlike(_NUMERIC_TEXT), _try_double(F.trim(s)))
+    v = _try_double(F.trim(s))
+    has_exp = s.rlike("[eE][+-]?[0-9]")
+    finite_text = ~s.rlike(r"(?i)inf")
+    ok = s.rlike(_NUMERIC_TEXT) & (~has_exp | _exponent_in_range(s)) & (
+        ~finite_text | ~F.abs(v).eqNullSafe(F.lit(float("inf"))))
+    return F.when(ok, v)
 
 
 def parse_price_signed(c) -> Column:
@@ -167,7 +192,11 @@ def display_text(c, n: int = K.DISPLAY_MAX_CHARS) -> Column:
 
 
 def round_half_even(c, scale: int) -> Column:
-    return F.bround(col_of(c), scale)
+    """Round a double the way pandas/numpy do: scale by 10**scale, round the
+    binary value half to even (``rint``), scale back.  ``bround`` rounds the
+    decimal text instead, so 1.035 (binary 1.03499...) would give 1.04."""
+    f = float(10 ** scale)
+    return F.rint(col_of(c).cast("double") * f) / f
 
 
 def parse_percent(c) -> Column:

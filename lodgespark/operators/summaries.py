@@ -31,8 +31,8 @@ def calendar_monthly_summary(cal: DataFrame) -> DataFrame:
                .groupBy("year", "month")
                .agg(F.count("date").cast("bigint").alias("total_dias"),
                     F.sum(d).cast("bigint").alias("dias_disponibles"),
-                    F.bround(F.avg(d) * 100, 2).alias("disponibilidad_pct"),
-                    F.bround(F.avg(F.col("minimum_nights").cast("double")), 1).alias("noches_minimas_prom"))
+                    S.round_half_even(F.avg(d) * 100, 2).alias("disponibilidad_pct"),
+                    S.round_half_even(F.avg(F.col("minimum_nights").cast("double")), 1).alias("noches_minimas_prom"))
                .orderBy("year", "month"))
 
 
@@ -45,8 +45,8 @@ def calendar_weekly_summary(cal: DataFrame, date_col: str = "date") -> DataFrame
                         F.weekofyear("__d").alias("week"))
                .agg(F.count(F.lit(1)).cast("bigint").alias("total_dias"),
                     F.sum(d).cast("bigint").alias("dias_disponibles"),
-                    F.bround(F.avg(d) * 100, 2).alias("disponibilidad_pct"),
-                    F.bround(F.avg(F.col("minimum_nights").cast("double")), 1).alias("noches_minimas_prom"))
+                    S.round_half_even(F.avg(d) * 100, 2).alias("disponibilidad_pct"),
+                    S.round_half_even(F.avg(F.col("minimum_nights").cast("double")), 1).alias("noches_minimas_prom"))
                .orderBy("iso_year", "week"))
 
 
@@ -87,7 +87,7 @@ def value_share(df: DataFrame, column: str, keep_null: bool = False, decimals: i
     total = scalar_row(df.agg(F.count(F.lit(1)).alias("all"), F.count(F.col(column)).alias("non_null")))
     counts = value_counts(df, column, keep_null=keep_null)
     pct = F.col("count") * 100.0 / F.col("__t")[denominator]
-    out = counts.withColumn("__t", total).withColumn("pct", F.bround(pct, decimals) if decimals is not None else pct)
+    out = counts.withColumn("__t", total).withColumn("pct", S.round_half_even(pct, decimals) if decimals is not None else pct)
     return out.drop("__t").orderBy(F.col("count").desc(), F.col(column).asc_nulls_last())
 
 

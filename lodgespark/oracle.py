@@ -129,7 +129,7 @@ SELECT year, month, count(date) AS total_dias,
   round_even(avg(CASE WHEN is_available THEN 1 ELSE 0 END) * 100, 2) AS disponibilidad_pct,
   round_even(avg(minimum_nights), 1) AS noches_minimas_prom
 FROM calendar_clean WHERE year IS NOT NULL AND month IS NOT NULL GROUP BY year, month""",
-    "parents": "SELECT * FROM listings_clean WHERE CAST(id AS BIGINT) % 10 <> 0",
+    "parents": "SELECT * FROM listings_clean WHERE minimum_nights IS NULL OR minimum_nights <= 365",
 }
 
 

@@ -51,6 +51,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            # a machine-local folder is lost with its executor: on a cluster
+            # the shared folder must be named by the operator
+            raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder (e.g. on HDFS or S3)")
         d = tempfile.mkdtemp(prefix="lodgespark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
