@@ -20,10 +20,6 @@ __all__ = [
     "round_half_even", "parse_percent",
 ]
 
-# Text that pandas' numeric parser accepts: optional sign, decimal or
-# exponent form, or inf/infinity; surrounding blanks allowed.  Spark's own cast
-# is wider (it takes '5d', 'nan'), so the guard narrows it to the same set.
-_NUMERIC_TEXT = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))\s*$"
 _ISO_DATE_PREFIX = r"^\d{4}-\d{1,2}-\d{1,2}"
 
 
@@ -61,23 +57,37 @@ def _exponent_in_range(s: Column) -> Column:
     read into the mantissa, is at most 308 ('0e309' -> null, '0.0e309' -> 0)."""
     int_digits = F.length(F.regexp_extract(s, _MANTISSA_TEXT, 1))
     frac_digits = F.length(F.regexp_extract(s, _MANTISSA_TEXT, 2))
-    written = F.regexp_extract(s, r"[eE]([+-]?\d+)\s*$", 1).try_cast("double")
+    written = F.coalesce(F.regexp_extract(s, r"[eE]([+-]?\d+)\s*$", 1).try_cast("double"), F.lit(0.0))
     scale = (written + F.greatest(int_digits - _MANTISSA_DIGITS, F.lit(0))
              - F.least(frac_digits, F.greatest(F.lit(_MANTISSA_DIGITS) - int_digits, F.lit(0))))
     return scale <= _MAX_DECIMAL_EXPONENT
 
 
+_BLANKS = " \t\n\r\f\u000b"
+_INF_TEXT = ["inf", "+inf", "-inf", "infinity", "+infinity", "-infinity"]
+
+
 def parse_numeric(c) -> Column:
     """Text -> double as pandas' coercing parser does: blanks, sign, exponent and
     inf accepted; anything else (including 'nan', '5d', '1,000') -> null.  A
-    finite text that overflows ('1e309', '10e308') is null, as in pandas."""
-    s = col_of(c).cast("string")
-    v = _try_double(F.trim(s))
-    has_exp = s.rlike("[eE][+-]?[0-9]")
-    finite_text = ~s.rlike(r"(?i)inf")
-    ok = s.rlike(_NUMERIC_TEXT) & (~has_exp | _exponent_in_range(s)) & (
-        ~finite_text | ~F.abs(v).eqNullSafe(F.lit(float("inf"))))
-    return F.when(ok, v)
+    finite text that overflows ('1e309', '10e308') is null, as in pandas.
+
+    The cast does the parsing.  The tests before it read only the text: they
+    reject what Java's parser takes and pandas' does not (NaN, a type suffix,
+    hex), so a plain number costs one cast and one character-class test.
+    Only text with an exponent (or over 300 characters) is checked for
+    overflow.
+    """
+    raw = col_of(c).cast("string")
+    t = F.btrim(raw, F.lit(_BLANKS))
+    v = t.try_cast("double")
+    low = F.lower(t)
+    java_only = low.rlike("[nx_]|[df]$")  # nan, hex, digit groups, type suffix
+    may_overflow = (F.instr(low, "e") > 0) | (F.length(t) > 300)
+    return (F.when(F.lower(raw).isin(*_INF_TEXT), v)  # inf words only without blanks, as in pandas
+             .when(java_only, F.lit(None))
+             .when(~may_overflow, v)
+             .when(_exponent_in_range(t) & ~F.abs(v).eqNullSafe(F.lit(float("inf"))), v))
 
 
 def parse_price_signed(c) -> Column:

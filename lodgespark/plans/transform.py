@@ -66,11 +66,14 @@ def transform_listings(raw: DataFrame, order: list[Column] | None = None) -> Dat
     df = C.drop_known_sparse(C.keep_first(CT.LISTINGS.check(raw), ["id"], order))
     cols = df.columns
     base = df.withColumn("price_clean", S.parse_price("price"))
-    t = price_thresholds(base)
+    # the thresholds struct is projected once, so the plan holds one scalar
+    # subquery (one job) rather than one per quartile
+    base = base.withColumn("__t", price_thresholds(base))
     per_col = _listing_columns(df)
     out = [per_col.get(c, F.col(c)).alias(c) for c in cols]
     out += [F.col("price_clean"),
-            S.categorize_price("price_clean", t["q25"], t["q50"], t["q75"]).alias("price_category"),
+            S.categorize_price("price_clean", F.col("__t.q25"), F.col("__t.q50"), F.col("__t.q75"))
+            .alias("price_category"),
             S.count_list_items("amenities").alias("n_amenities")]
     if "host_since" in cols:
         hs = S.parse_date("host_since")

@@ -18,6 +18,10 @@ SCALE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     "spark.sql.parquet.filterPushdown": "true",
+    # HotSpot does not compile methods over 8000 bytes of bytecode: a wide
+    # projection of parsing expressions would then run interpreted inside one
+    # whole-stage method.  Above this size Spark splits the stage instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
