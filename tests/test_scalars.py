@@ -76,13 +76,25 @@ def test_parse_numeric(spark):
     assert got[5:] == [None] * 9
 
 
+def test_parse_numeric_exponent_range(spark):
+    # pandas gives up when the decimal exponent it scales by passes 308, and
+    # when a finite text overflows; inf words count only without blanks
+    vals = ["0e309", "0.0e309", "0.1e309", "1e308", "1e309", "10e308", "1e-400", " inf", "-Infinity", "1E5 "]
+    got = one_col(spark, vals, S.parse_numeric)
+    assert got[:4] == [None, 0.0, 1e308, 1e308]
+    assert got[4:8] == [None, None, 0.0, None]
+    assert got[8] == float("-inf") and got[9] == 100000.0
+
+
 def test_null_tokens(spark):
     got = one_col(spark, ["", "NA", "NaN", "None", " x ", "#N/A", "n/a"], S.normalize_null_token)
     assert got == [None, None, None, None, " x ", None, None]
 
 
 @pytest.mark.parametrize("value,scale,expected", [(0.125, 2, 0.12), (2.675, 2, 2.68), (0.25, 1, 0.2),
-                                                  (0.35, 1, 0.4), (2.25, 1, 2.2)])
+                                                  (0.35, 1, 0.4), (2.25, 1, 2.2),
+                                                  # binary 1.03499..., 1234.5649...: pandas rounds down
+                                                  (1.035, 2, 1.03), (1234.565, 2, 1.23456e3)])
 def test_round_half_even(spark, value, scale, expected):
     assert one_col(spark, [value], lambda c: S.round_half_even(c, scale), "double") == [expected]
 
