@@ -658,9 +658,14 @@ def raw_zone_catalog(spark, sf) -> dict[str, DataFrame]:
 @query("scan_raw_csv")
 def q_scan_raw_csv(spark, sf):
     from lodgespark.sources import raw as R
-    path = _scratch(spark, "raw-csv") + "/reviews"
     rev = raw(spark, sf)["reviews"]
-    R.write_csv_gz(rev, path)
+
+    def landing():
+        # the landing file (gzip CSV) is written once per session and input
+        path = _scratch(spark, "raw-csv") + "/reviews"
+        R.write_csv_gz(rev, path)
+        return path
+    path = _memo(spark, sf, "landing_reviews_csv", landing)
     return R.scan_raw_csv(spark, path, rev.columns, partitions=int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
@@ -681,8 +686,12 @@ def q_quarantine_bad_rows(spark, sf):
     fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in rev.columns]
     line = F.concat_ws(",", *fields)
     line = F.when(F.col("id") % 13 == 0, F.concat(line, F.lit(",extra"))).otherwise(line)
-    path = _scratch(spark, "quarantine") + "/reviews"
-    rev.select(line.alias("value")).write.mode("overwrite").text(path)
+
+    def landing():
+        path = _scratch(spark, "quarantine") + "/reviews"
+        rev.select(line.alias("value")).write.mode("overwrite").text(path)
+        return path
+    path = _memo(spark, sf, "landing_reviews_text", landing)
     df = R.scan_with_quarantine(spark, path, rev.columns, header=False)
     return df.select(*rev.columns, "rejected")
 

@@ -13,6 +13,7 @@ executor or a failed job gives the same result).
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -47,19 +48,22 @@ def _run_transform(raw: Mapping[str, DataFrame], clean_root: str,
     """Write the clean zone; row counts and listing measures are observed
     while each table is written (no extra pass over the data).  With
     ``metrics`` the input counts and exact price quartiles are added (their
-    own small jobs: a Parquet count and a one-row aggregate)."""
+    own small jobs: a Parquet count and a one-row aggregate).
+
+    The three tables are independent, so their writes are submitted as
+    concurrent jobs (one driver thread each): the scheduler fills the
+    executors left idle by one job's last tasks with another job's tasks.
+    The summary follows the calendar."""
     orders = orders or {}
     steps = {"listings": transform_listings, "reviews": transform_reviews, "calendar": transform_calendar}
-    counts: dict[str, int] = {}
-    records: list[dict] = []
 
-    def rec(table, metric, value):
-        records.append({"stage": "transform", "table": table, "metric": metric, "value": value})
+    def write_one(name: str) -> tuple[int, list[dict]]:
+        recs: list[dict] = []
+
+        def rec(metric, value):
+            recs.append({"stage": "transform", "table": name, "metric": metric, "value": value})
 
-    for name, fn in steps.items():
-        if name not in raw:
-            continue
-        out = fn(raw[name], orders.get(name))
+        out = steps[name](raw[name], orders.get(name))
         extra = []
         if name == "listings":
             extra = [F.sum(F.col("price_clean").isNull().cast("long")).alias("null_prices"),
@@ -68,31 +72,38 @@ def _run_transform(raw: Mapping[str, DataFrame], clean_root: str,
         path = f"{clean_root}/{name}_clean"
         out.observe(obs, F.count(F.lit(1)).alias("rows"), *extra).write.mode("overwrite").parquet(path)
         m = obs.get
-        counts[name] = int(m["rows"])
-        if not metrics:
-            continue
-        rows_in = raw[name].count()
-        rec(name, "rows_in", rows_in)
-        rec(name, "rows_out", m["rows"])
-        rec(name, "duplicates_dropped", rows_in - m["rows"])
-        rec(name, "columns_in", len(raw[name].columns))
-        rec(name, "columns_out", len(out.columns))
-        for k in ("null_prices", "mean_n_amenities"):
-            if k in m:
-                rec(name, k, m[k])
-        if name == "listings":
-            # exact quartiles need their own aggregate (one row)
-            lst = out.sparkSession.read.parquet(path)
-            q = lst.agg(F.percentile("price_clean", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q")).first()["q"]
-            for label, v in zip(["price_q25", "price_median", "price_q75"], q or [None, None, None]):
-                rec(name, label, v)
+        if metrics:
+            rows_in = raw[name].count()
+            rec("rows_in", rows_in)
+            rec("rows_out", m["rows"])
+            rec("duplicates_dropped", rows_in - m["rows"])
+            rec("columns_in", len(raw[name].columns))
+            rec("columns_out", len(out.columns))
+            for k in ("null_prices", "mean_n_amenities"):
+                if k in m:
+                    rec(k, m[k])
+            if name == "listings":
+                # exact quartiles need their own aggregate (one row)
+                lst = out.sparkSession.read.parquet(path)
+                q = lst.agg(F.percentile("price_clean", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+                            .alias("q")).first()["q"]
+                for label, v in zip(["price_q25", "price_median", "price_q75"], q or [None, None, None]):
+                    rec(label, v)
+        return int(m["rows"]), recs
+
+    names = [n for n in steps if n in raw]
+    with ThreadPoolExecutor(max_workers=max(len(names), 1)) as pool:
+        done = dict(zip(names, pool.map(write_one, names)))
+    counts = {n: done[n][0] for n in names}
+    records = [r for n in names for r in done[n][1]]
     if "calendar" in raw:
         spark = raw["calendar"].sparkSession
         cal = spark.read.parquet(f"{clean_root}/calendar_clean")
         obs = Z.write_table(calendar_monthly_summary(cal), f"{clean_root}/calendar_summary_clean")
         counts["calendar_summary"] = int(obs.get["rows"])
         if metrics:
-            rec("calendar_summary", "rows_out", counts["calendar_summary"])
+            records.append({"stage": "transform", "table": "calendar_summary", "metric": "rows_out",
+                            "value": counts["calendar_summary"]})
     return counts, records
 
 
