@@ -134,13 +134,18 @@ def publish_job(spark: SparkSession, clean_root: str, serving_root: str, policy:
     the rest."""
     clean = read_clean(spark, clean_root)
     parents = clean["listings"]
-    for child in ["reviews", "calendar"]:
+    children = ["reviews", "calendar"]
+
+    def check(child: str) -> DataFrame:
         if policy == "quarantine":
             good, bad = Q.split_violations(clean[child], parents)
             bad.write.mode("overwrite").parquet(f"{serving_root}/_quarantine/{child}")
-            clean[child] = good
-        else:
-            n = Q.fk_orphans(clean[child], parents).limit(1).count()
-            if n:
-                raise ValueError(f"{child}: rows reference listings that do not exist")
+            return good
+        if Q.fk_orphans(clean[child], parents).limit(1).count():
+            raise ValueError(f"{child}: rows reference listings that do not exist")
+        return clean[child]
+
+    # the two children are checked (and their orphans set aside) as concurrent jobs
+    with ThreadPoolExecutor(max_workers=len(children)) as pool:
+        clean.update(zip(children, pool.map(check, children)))
     return Z.publish_all(clean, serving_root, jdbc=jdbc)
