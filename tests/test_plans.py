@@ -69,3 +69,11 @@ def test_semi_join_uses_distinct_parent_keys(spark):
     df = E.queries()["semi_join_valid_parents"](spark, SF_SMALL)
     p = opt(df)
     assert "LeftSemi" in p and "Aggregate" in p
+
+
+def test_listing_quartiles_are_one_subquery(spark):
+    # the (q25, q50, q75) struct is projected once: one scalar subquery, so
+    # the quartile aggregate (and the dedup under it) runs as one job
+    import re
+    p = opt(E.queries()["transform_listings"](spark, SF_SMALL))
+    assert len(set(re.findall(r"scalar-subquery#(\d+)", p))) == 1
