@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, lang_id, simhash
+from . import exact_dedup, lang_id, mixing, quality_fm, simhash, sp_sampling
 from .shared import fold
 
 
@@ -22,14 +22,38 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "held_out", "p.lang_pred", "p.score", "p.margin", "p.rejected"))
 
 
+#: Target shares of the tokens by domain, a domain being a document's quality and toxicity as labelled.
+TARGET_WEIGHTS = {"q1t0": 0.85, "q1t1": 0.09, "q0t0": 0.04, "q0t1": 0.02}
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    domain = F.concat(F.lit("q"), "quality", F.lit("t"), "toxic").alias("domain")
+    labels = table(spark, sf_dir, "labels").select("doc_id", domain)
+    rates, domains = mixing.mix(table(spark, sf_dir, "documents"), labels, TARGET_WEIGHTS)
+    return rates.select(F.col("id").alias("doc_id"), "n_tokens", *[F.col(f"p{i}").alias(f"p_{d}") for i, d in enumerate(domains)], "rate")
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sp_sampling.encode_sampled(docs).drop("text")
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold(F.col("doc_id"), 3) == 1
+    model = quality_fm.learn(docs, table(spark, sf_dir, "labels"), ~held_out)
+    scored = docs.select("doc_id", held_out.alias("held_out"), quality_fm.scorer(model)(F.col("text")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_components(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_language_id, op7_exact_dedup, op10_simhash)
+    f.__name__: f for f in (op1_language_id, op6_mixing, op7_exact_dedup, op8_sentencepiece, op9_quality, op10_simhash)
 }
