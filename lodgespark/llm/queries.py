@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, lang_id, mixing, quality_fm, simhash, sp_sampling
+from . import exact_dedup, lang_id, mixing, order_minhash, pii, quality_fm, simhash, sp_sampling
 from .shared import fold
 
 
@@ -22,6 +22,14 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "held_out", "p.lang_pred", "p.score", "p.margin", "p.rejected"))
 
 
+def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.fingerprint_with_edits(table(spark, sf_dir, "documents"))
+
+
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_personal_data(table(spark, sf_dir, "documents"))
+
+
 #: Target shares of the tokens by domain, a domain being a document's quality and toxicity as labelled.
 TARGET_WEIGHTS = {"q1t0": 0.85, "q1t1": 0.09, "q0t0": 0.04, "q0t1": 0.02}
 
@@ -55,5 +63,6 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_language_id, op6_mixing, op7_exact_dedup, op8_sentencepiece, op9_quality, op10_simhash)
+    f.__name__: f for f in (op1_language_id, op2_order_minhash, op5_pii, op6_mixing, op7_exact_dedup, op8_sentencepiece,
+                            op9_quality, op10_simhash)
 }
