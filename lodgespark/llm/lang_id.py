@@ -16,6 +16,8 @@ import zstandard
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 from pyspark.sql.functions import pandas_udf
 
+from .shared import ship_package
+
 UNDETERMINED = "und"
 #: The learning sample: documents per language, and code points of each (a piece at a place chosen by the id's hash).
 SAMPLE_DOCS, PIECE_CHARS = 320, 400
@@ -125,6 +127,8 @@ def identify(model: LanguageModel):
     texts are encoded whatever their length; equal texts get equal answers.
     Without any language learned every text is `und`.
     """
+    ship_package()
+
     @pandas_udf(RESULT)
     def run(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([model.predict(t) for t in texts], columns=RESULT.names)

@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.functions import pandas_udf
 
+from .shared import ship_package
+
 #: Buckets of hashed words, rank of the interactions, and the bound of the labelled sample that is fitted.
 WORD_BUCKETS, RANK, SAMPLE_DOCS = 1 << 15, 6, 4000
 EPOCHS, BATCH, RATE, DECAY, SEED = 6, 32, 0.03, 1e-5, 7
@@ -140,6 +142,7 @@ def learn(docs: DataFrame, labels: DataFrame, learnable, id_col: str = "doc_id",
     driver.  Rows with a null id, label or text teach nothing; an id with
     several labels teaches each.  Without any label every score is 0.5.
     """
+    ship_package()
     features = Features()
     known = (labels.where(learnable & F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
              .select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y"))
@@ -161,6 +164,8 @@ def learn(docs: DataFrame, labels: DataFrame, learnable, id_col: str = "doc_id",
 def scorer(model: FactorisationMachine):
     """A column function: text -> score 0..1, from the whole text alone.  Null counts as empty; an empty text is scored
     by its (absent) features like any other."""
+    ship_package()
+
     @pandas_udf(T.DoubleType())
     def run(texts: pd.Series) -> pd.Series:
         return pd.Series([model.score(t) for t in texts], dtype="float64")

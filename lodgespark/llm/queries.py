@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, lang_id, mixing, order_minhash, pii, quality_fm, simhash, sp_sampling
+from . import exact_dedup, lang_id, license_scan, line_templates, mixing, order_minhash, pii, quality_fm, simhash, sp_sampling
 from .shared import fold
 
 
@@ -26,6 +26,15 @@ def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.fingerprint_with_edits(table(spark, sf_dir, "documents"))
 
 
+def op3_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_templates.drop_recurring_lines(docs).select("doc_id", "n_lines", "n_dropped", "clean_text")
+
+
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_documents(table(spark, sf_dir, "documents"))
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_personal_data(table(spark, sf_dir, "documents"))
 
@@ -63,6 +72,6 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_language_id, op2_order_minhash, op5_pii, op6_mixing, op7_exact_dedup, op8_sentencepiece,
-                            op9_quality, op10_simhash)
+    f.__name__: f for f in (op1_language_id, op2_order_minhash, op3_line_templates, op4_license_scan, op5_pii, op6_mixing,
+                            op7_exact_dedup, op8_sentencepiece, op9_quality, op10_simhash)
 }

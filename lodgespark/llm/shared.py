@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -41,6 +44,24 @@ def drop_stored(df: DataFrame) -> None:
         p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def ship_package() -> None:
+    """Let the Python workers import this package: once a session, Spark hands a zip of its modules to the executors.
+
+    Worker state (compressors, tries) then lives in the imported modules and
+    is kept from task to task.
+    """
+    sc = SparkSession.active().sparkContext
+    if getattr(sc, "_ships_lodgespark", False):
+        return
+    root = Path(__file__).resolve().parent.parent
+    file = Path(tempfile.mkdtemp(prefix="lodgespark-code-")) / "lodgespark_modules.zip"
+    with zipfile.ZipFile(file, "w") as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, p.relative_to(root.parent).as_posix())
+    sc.addPyFile(str(file))
+    sc._ships_lodgespark = True
+
+
 def one_space(text: Column) -> Column:
     """The text (null: empty) with every white-space run as one space."""
     return F.regexp_replace(F.coalesce(text, F.lit("")), SPACE_RUN_TO_CHANGE, " ")

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.functions import pandas_udf
 
 from .components import connected_components
-from .shared import hex64, stored
+from .shared import hex64, ship_package, stored
 
 BITS, SEED = 64, 42
 SHINGLE_WORDS, MAX_DISTANCE = 3, 2
@@ -50,6 +50,7 @@ def simhash_udf(texts: pd.Series) -> pd.Series:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, fp) per row; fp is the fingerprint as a signed 64-bit number."""
+    ship_package()
     return docs.select(F.col(id_col).alias("id"), simhash_udf(F.col(text_col)).alias("fp"))
 
 

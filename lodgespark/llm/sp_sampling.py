@@ -25,6 +25,8 @@ import sentencepiece
 import xxhash
 from pyspark.sql import DataFrame, types as T
 
+from .shared import ship_package
+
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: Memory bounds of a worker: edges of filtered words kept, and code points handled at once.
@@ -289,6 +291,7 @@ def encode_sampled(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     [*(rows.column(i) for i in range(rows.num_columns)), ids, pa.array(counts, pa.int64()), pa.array(back)],
                     names=[*rows.schema.names, *names])
 
+    ship_package()
     return docs.mapInArrow(run, schema)
 
 
@@ -304,4 +307,5 @@ def decode_pieces(encoded: DataFrame, ids_col: str = "piece_ids", out_col: str =
             texts = [None if x is None else _samplers[key].decode(x) for x in batch.column(ids_col).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, out_col])
 
+    ship_package()
     return encoded.mapInArrow(run, schema)
