@@ -6,10 +6,11 @@ smallest numbered k-mers; these are put back in text order and the tuple is
 hashed.  Two texts agree in a repeat only if the same k-mers were selected in
 the same order, which common words in another order do not give.
 
-The hash functions are g(x) XOR (r << 59) for r = 0..31, g a 64-bit hash: each
-is a uniform order of the k-mers, and all 32 selections can be read off one
-sorted array, since the TUPLE smallest of every leading-bits class hold the
-selection of every r.  Only built-in column functions are used.
+The hash functions are g(x) XOR (r << 59) for r = 0..31, g a signed 64-bit
+hash: each is a uniform order of the k-mers, and all 32 selections can be read
+off one sorted array, since the TUPLE smallest of every leading-bits class hold
+the selection of every r; that of r is class r's, counted from the most
+negative, where it is full.  Only built-in column functions are used.
 """
 
 from __future__ import annotations
@@ -75,7 +76,7 @@ def signatures(df: DataFrame, text_col: str, out_col: str, k: int = KMER) -> Dat
     full = F.transform(classes, lambda r: F.xxhash64(F.array_intersect(c("x"), F.slice(c("k"), r * TUPLE + 1, TUPLE))))
 
     def nearest(r: Column) -> Column:
-        mask = _shl((r - REPEATS // 2).cast("long"), _SHIFT)
+        mask = _shl(r.cast("long"), _SHIFT)
         chosen = F.slice(F.sort_array(F.transform(c("k"), lambda x: x.bitwiseXOR(mask))), 1, TUPLE)
         return F.xxhash64(F.array_intersect(c("x"), F.transform(chosen, lambda y: y.bitwiseXOR(mask))))
 
@@ -100,13 +101,13 @@ def with_next(df: DataFrame, id_col: str, next_cols: dict[str, str], tie_col: st
     A global order without a single task: ids are cut into ranges at
     quantiles that are ids of the table, each range is one window, and the row
     at a range's upper end is sent a second time to the range above, where it
-    follows the last row.  Only the range ends (two a shuffle partition)
+    follows the last row.  Only the range ends (eight a shuffle partition)
     reach the driver.  Rows with equal ids follow the order of `tie_col`;
     rows with a null id come last.  In a table of null ids only, the last row
     has no next.
     """
     spark = df.sparkSession
-    buckets = buckets or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets or 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     at = [(i + 1) / buckets for i in range(buckets)]
     got = df.agg(F.percentile_approx(id_col, at, 100 * buckets).alias("q"), F.max(id_col).alias("m")).first()
     ends = sorted({*(got["q"] or []), *([got["m"]] if got["m"] is not None else [])})
