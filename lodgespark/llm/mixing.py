@@ -116,12 +116,12 @@ def fit_rates(members: DataFrame, domains: list[str], weights: Mapping[str, floa
               max_rate: float | None = None, max_steps: int = MAX_STEPS) -> DataFrame:
     """`members` (stored) with `rate` >= 0 per row.
 
-    Minimises sum_k (S_k - T_k)^2 / S0_k over rates, S_k the expected tokens
-    of domain k and S0_k those at rate 1, from rate 1 by projected gradient in
-    the metric that weighs rows by their tokens: a row moves by its posteriors
-    times the relative residuals, then is projected onto [0, max_rate].  In
-    that metric the Lipschitz constant is 1 (the posteriors of a row sum to
-    1), so the step is 1.  A step is one aggregate of one row over the table.
+    Minimises sum_k (S_k - T_k)^2 / W_k over rates, S_k the expected tokens of
+    domain k, T_k the target and W_k the larger of T_k and S_k at rate 1, from
+    rate 1 by projected gradient in the metric that weighs rows by their
+    tokens: a row moves by its posteriors times the relative residuals, then
+    is projected onto [0, max_rate].  In that metric the Lipschitz constant is
+    at most 1 (the posteriors of a row sum to 1), so the step is 1.  A step is one aggregate of one row over the table.
     Without `total_tokens` the total is that of all rows at rate 1.  Domains
     without a weight have target 0.  Targets that no rates reach (a domain
     without tokens, or rates held by `max_rate`) are met as closely as can be.
@@ -137,10 +137,11 @@ def fit_rates(members: DataFrame, domains: list[str], weights: Mapping[str, floa
     start = now = have(state)
     total = sum(start) if total_tokens is None else total_tokens
     target = [total * w for w in share]
-    best, old, base = math.inf, None, state
+    width = [max(t, s) for t, s in zip(target, start)]
+    best, old = math.inf, None
     for step in range(1, max_steps + 1):
-        relative = [(s - t) / s0 if s0 > 0 else 0.0 for s, t, s0 in zip(now, target, start)]
-        loss = sum(r * r * s0 for r, s0 in zip(relative, start))
+        relative = [(s - t) / w if w > 0 else 0.0 for s, t, w in zip(now, target, width)]
+        loss = sum(r * r * w for r, w in zip(relative, width))
         if max(map(abs, relative), default=0.0) <= TOLERANCE or best - loss <= 1e-9 * loss:
             break
         best = loss

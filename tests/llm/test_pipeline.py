@@ -45,7 +45,7 @@ def test_stages_against_brute_force(spark):
 
 @pytest.mark.parametrize("texts", [[], ["words of one text here", "words of one text here", None, "", "12 34"]])
 def test_small_and_empty_tables(spark, tmp_path, texts):
-    documents(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    documents(spark, texts).withColumn("lang", F.lit("en")).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([(0, 1, 0), (None, None, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     got = corpus_pipeline.run(spark, str(tmp_path))
     assert got.columns[:5] == ["doc_id", "text", "lang", "source", "n_chars"]
