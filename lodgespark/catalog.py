@@ -22,6 +22,7 @@ from lodgespark.operators import cleaning as C
 from lodgespark.operators import profiling as P
 from lodgespark.operators import quality as Q
 from lodgespark.operators import summaries as SM
+from lodgespark.operators.quantiles import exact_quantiles
 from lodgespark.plans import transform as T
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -75,8 +76,8 @@ _MEMO: dict = {}
 
 
 def _memo(spark: SparkSession, sf: str, name: str, build):
-    """Build a (lazy) DataFrame plan once per session and input folder.  Only
-    the plan is kept, never data: every action still reads the files."""
+    """Build something once per session and input folder: the stored raw,
+    clean and serving zones, landing files, and plans over them."""
     key = (id(spark), sf, name)
     hit = _MEMO.get(key)
     if hit is None or hit[0] is not spark:
@@ -85,34 +86,36 @@ def _memo(spark: SparkSession, sf: str, name: str, build):
     return hit[1]
 
 
-def raw(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+def stamped(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     """The raw zone: the raw-shaped views written once per session as
     Parquet (the ingest step), then read back, so every query starts from
-    a stored, splittable table as the transform job does."""
+    a stored, splittable table as the transform job does.  Rows carry their
+    ordinal and are dealt out round robin, repeated keys too."""
     def build():
         from lodgespark.sources.raw import write_raw_zone
         root = _scratch(spark, "raw-zone")
         out = {}
-        cores = spark.sparkContext.defaultParallelism
         for t, df in FX.raw_tables(spark, sf).items():
-            if df.rdd.getNumPartitions() < cores:
-                # the ingest lays each table out in at least one file per core
-                df = df.repartition(cores, F.col(df.columns[0]))
-            write_raw_zone(df, f"{root}/{t}")
+            write_raw_zone(df.repartition(spark.sparkContext.defaultParallelism), f"{root}/{t}")
             out[t] = spark.read.parquet(f"{root}/{t}")
         return out
-    return _memo(spark, sf, "raw", build)
+    return _memo(spark, sf, "stamped", build)
+
+
+def raw(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """The raw tables' own columns."""
+    return {t: df.drop(C.ORDINAL) for t, df in stamped(spark, sf).items()}
 
 
 def clean(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    return _memo(spark, sf, "clean", lambda: T.transform_all(raw(spark, sf), FX.keep_first_orders()))
+    """The transforms' results, as the transform job stores them."""
+    from lodgespark.plans.jobs import read_clean
+    return _memo(spark, sf, "clean", lambda: read_clean(spark, _clean_zone(spark, sf)))
 
 
 def parents(spark: SparkSession, sf: str) -> DataFrame:
-    """Parent listings for reference checks: the clean listings that pass the
-    load filter on minimum nights (at most 365).  The listings it drops leave
-    their reviews without a parent, so the checks have orphans to find."""
-    return _memo(spark, sf, "parents", lambda: C.filter_valid_min_nights(clean(spark, sf)["listings"]))
+    """Parent listings for reference checks."""
+    return clean(spark, sf)["listings"]
 
 
 # ------------------------------------------------------------------ 2.8 scalars
@@ -315,7 +318,7 @@ def q_semi_join_valid_parents(spark, sf):
 
 @query("fk_orphans")
 def q_fk_orphans(spark, sf):
-    return Q.fk_orphans(clean(spark, sf)["reviews"], parents(spark, sf)).select("id", "listing_id")
+    return Q.fk_orphans(raw(spark, sf)["reviews"], parents(spark, sf)).select("id", "listing_id")
 
 
 @query("broadcast_thresholds", rounded={"q25": 6, "q50": 6, "q75": 6})
@@ -330,17 +333,17 @@ def q_broadcast_thresholds(spark, sf):
 
 @query("dedup_listings")
 def q_dedup_listings(spark, sf):
-    return C.keep_first(raw(spark, sf)["listings"], ["id"], FX.keep_first_orders()["listings"])
+    return C.keep_first(stamped(spark, sf)["listings"], ["id"]).drop(C.ORDINAL)
 
 
 @query("dedup_reviews")
 def q_dedup_reviews(spark, sf):
-    return C.keep_first(raw(spark, sf)["reviews"], ["id"], FX.keep_first_orders()["reviews"])
+    return C.keep_first(stamped(spark, sf)["reviews"], ["id"]).drop(C.ORDINAL)
 
 
 @query("dedup_calendar")
 def q_dedup_calendar(spark, sf):
-    return C.keep_first(raw(spark, sf)["calendar"], ["listing_id", "date"], FX.keep_first_orders()["calendar"])
+    return C.keep_first(stamped(spark, sf)["calendar"], ["listing_id", "date"]).drop(C.ORDINAL)
 
 
 @query("duplicate_counts")
@@ -514,7 +517,7 @@ def q_histogram_price(spark, sf):
 @query("histogram_availability", rounded={**_HIST6, "median": 6})
 def q_histogram_availability(spark, sf):
     lst = listings_numeric(spark, sf)
-    med = lst.agg(F.median("availability_365").alias("m")).scalar()
+    med = exact_quantiles(lst, "availability_365", [0.5]).scalar()
     return P.histogram(lst, "availability_365", 40).withColumn("median", med)
 
 
@@ -567,25 +570,25 @@ def q_format_samples(spark, sf):
 
 @query("transform_listings")
 def q_transform_listings(spark, sf):
-    return clean(spark, sf)["listings"]
+    return T.transform_listings(stamped(spark, sf)["listings"])
 
 
 @query("transform_reviews")
 def q_transform_reviews(spark, sf):
-    return clean(spark, sf)["reviews"]
+    return T.transform_reviews(stamped(spark, sf)["reviews"])
 
 
 @query("transform_calendar")
 def q_transform_calendar(spark, sf):
-    return clean(spark, sf)["calendar"]
+    return T.transform_calendar(stamped(spark, sf)["calendar"])
 
 
 @query("transform_all")
 def q_transform_all(spark, sf):
-    out = clean(spark, sf)
-    parts = [df.agg(F.count(F.lit(1)).cast("bigint").alias("rows"))
-               .select(F.lit(n).alias("table_name"), "rows", F.lit(len(df.columns)).cast("bigint").alias("columns"))
-             for n, df in out.items()]
+    """Rows and columns of every transformed table, and per column what its
+    values come to: their count and the sum of their lengths as text."""
+    out = T.transform_all(stamped(spark, sf))
+    parts = [_contents(df).select(F.lit(n).alias("table_name"), "*") for n, df in out.items()]
     res = parts[0]
     for p in parts[1:]:
         res = res.unionByName(p)
@@ -601,7 +604,7 @@ _RAW_KEYS = {"listings": ["id"], "reviews": ["id"], "calendar": ["listing_id", "
 def q_check_unique(spark, sf):
     r = raw(spark, sf)
     parts = [Q.check_unique(r[t], k).select(F.lit(t).alias("table_name"),
-                                           F.concat_ws("|", *[F.col(c).cast("string") for c in k]).alias("key_value"),
+                                           F.concat_ws("|", *[F.coalesce(F.col(c), F.lit("<null>")) for c in k]).alias("key_value"),
                                            "rows")
              for t, k in _RAW_KEYS.items()]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
@@ -626,10 +629,13 @@ def q_check_types(spark, sf):
 
 @query("quality_report")
 def q_quality_report(spark, sf):
+    """Every rule of the serving tables against the raw tables (and the summary)."""
     from lodgespark.sources import zones as Z
-    rev = Z.serving_reviews(clean(spark, sf)["reviews"])
-    return Q.quality_report("reviews", rev, keys=["id"], not_null=["listing_id"],
-                            parents={"listing_id": (parents(spark, sf), "id")}, schema=Z.SERVING_SCHEMAS["reviews"])
+    r = {**raw(spark, sf), "calendar_summary": clean(spark, sf)["calendar_summary"]}
+    parts = [Q.quality_report(t, r[t], keys=Z.SERVING_KEYS[t], not_null=Z.SERVING_NOT_NULL[t], schema=Z.SERVING_SCHEMAS[t],
+                              parents={"listing_id": (r["listings"], "id")} if "listing_id" in r[t].columns else None)
+             for t in Z.PUBLISH_ORDER]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
 
 
 # ------------------------------------------------------------------ 2.12 run metrics
@@ -638,7 +644,7 @@ def q_quality_report(spark, sf):
 def q_run_metrics(spark, sf):
     """Metrics of a transform-job run, gathered while the clean zone is written."""
     from lodgespark.plans.jobs import transform_job_metrics
-    m = transform_job_metrics(raw(spark, sf), _scratch(spark, "clean-zone"), FX.keep_first_orders())
+    m = transform_job_metrics(stamped(spark, sf), _scratch(spark, "clean-zone"))
     return m.withColumnRenamed("table", "table_name")
 
 
@@ -679,21 +685,28 @@ def q_write_raw_zone(spark, sf):
 
 @query("quarantine_bad_rows")
 def q_quarantine_bad_rows(spark, sf):
-    """Reviews written as CSV text lines, where every id divisible by 13
-    carries one field too many; the reader keeps those rows apart."""
+    """Reviews written as CSV text lines without a header: comments are quoted
+    and hold a line break, every id divisible by 13 has a field too many and
+    every other id divisible by 17 two too few.  The rows are stored once,
+    then read back from both halves."""
     from lodgespark.sources import raw as R
     rev = raw(spark, sf)["reviews"]
-    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in rev.columns]
-    line = F.concat_ws(",", *fields)
-    line = F.when(F.col("id") % 13 == 0, F.concat(line, F.lit(",extra"))).otherwise(line)
-
-    def landing():
-        path = _scratch(spark, "quarantine") + "/reviews"
-        rev.select(line.alias("value")).write.mode("overwrite").text(path)
-        return path
-    path = _memo(spark, sf, "landing_reviews_text", landing)
-    df = R.scan_with_quarantine(spark, path, rev.columns, header=False)
-    return df.select(*rev.columns, "rejected")
+    number = F.col("id").cast("long")
+    value = {c: F.coalesce(F.col(c), F.lit("")) for c in rev.columns}
+    value["comments"] = F.concat(F.lit('"'), value["comments"], F.lit('\nend"'))
+    short = F.concat_ws(",", *[value[c] for c in rev.columns[:-2]])
+    line = F.concat_ws(",", *[value[c] for c in rev.columns])
+    line = F.when(number % 13 == 0, F.concat(line, F.lit(",extra"))).when(number % 17 == 0, short).otherwise(line)
+
+    def stored():
+        path = _scratch(spark, "quarantine")
+        rev.select(line.alias("value")).write.mode("overwrite").text(f"{path}/landing")
+        R.write_flagged(R.scan_flagged(spark, f"{path}/landing", rev.columns, header=False), f"{path}/raw")
+        return f"{path}/raw"
+    good, bad = R.read_raw_zone(spark, _memo(spark, sf, "flagged_reviews", stored))
+    wanted = ["id", "listing_id", "comments"]
+    return good.select(*wanted, F.lit(False).alias("rejected")).unionByName(
+        bad.select("id", "listing_id", F.lit(None).cast("string").alias("comments"), F.lit(True).alias("rejected")))
 
 
 def _extract_cat(spark, sf):
@@ -704,8 +717,8 @@ def _extract_cat(spark, sf):
 def q_extract_filter_project_limit(spark, sf):
     from lodgespark.sources import raw as R
     cat = _extract_cat(spark, sf)
-    return R.extract(cat, "calendar", where={"available": "t"}, columns=["listing_id", "date", "available"],
-                     limit=None)
+    return R.extract(cat, "calendar", where={"available": None, "date": {"$ne": "bad"}}, columns=["listing_id", "date", "available"],
+                     limit=500, order_by=["listing_id", "date"])
 
 
 @query("extract_listings")
@@ -744,42 +757,50 @@ def q_table_profile(spark, sf):
 
 @query("write_clean_zone")
 def q_write_clean_zone(spark, sf):
-    from lodgespark.plans.jobs import transform_job
-    from lodgespark.sources import zones as Z
-    counts = transform_job(raw(spark, sf), _scratch(spark, "clean-zone"), FX.keep_first_orders())
-    return Z.rows_frame(spark, counts)
+    from lodgespark.plans.jobs import read_clean, transform_job
+    root = _scratch(spark, "clean-zone")
+    transform_job(stamped(spark, sf), root)
+    parts = [_contents(df).select(F.lit(n).alias("table_name"), "*") for n, df in read_clean(spark, root).items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
 
 
 @query("read_clean_zone")
 def q_read_clean_zone(spark, sf):
     from lodgespark.sources import zones as Z
-    root = _scratch(spark, "clean-zone")
-    Z.write_clean_zone(clean(spark, sf), root)
-    return Z.read_clean_zone(spark, root, ["listings"])["listings"]
+    return Z.read_clean_zone(spark, _clean_zone(spark, sf), ["listings"])["listings"]
 
 
 @query("publish_listings")
 def q_publish_listings(spark, sf):
-    from lodgespark.sources import zones as Z
-    return Z.serving_listings(clean(spark, sf)["listings"])
+    return spark.read.parquet(f"{_serving_zone(spark, sf)}/listings")
 
 
 @query("publish_reviews")
 def q_publish_reviews(spark, sf):
-    from lodgespark.sources import zones as Z
-    return Z.serving_reviews(clean(spark, sf)["reviews"])
+    return spark.read.parquet(f"{_serving_zone(spark, sf)}/reviews")
 
 
 @query("publish_calendar")
 def q_publish_calendar(spark, sf):
-    from lodgespark.sources import zones as Z
-    return Z.serving_calendar(clean(spark, sf)["calendar"])
+    return spark.read.parquet(f"{_serving_zone(spark, sf)}/calendar")
 
 
 @query("publish_calendar_summary")
 def q_publish_calendar_summary(spark, sf):
-    from lodgespark.sources import zones as Z
-    return Z.serving_calendar_summary(clean(spark, sf)["calendar_summary"])
+    return spark.read.parquet(f"{_serving_zone(spark, sf)}/calendar_summary")
+
+
+def _contents(df: DataFrame) -> DataFrame:
+    """(rows, column, n, length) per column: values that are not null and the
+    sum of their lengths as text (of numbers: the sum of them, in thousandths)."""
+    kinds = dict(df.dtypes)
+    number = lambda c: F.col(c).cast("int") if kinds[c] == "boolean" else F.col(c)
+    total = lambda c: (F.sum(F.length(F.col(c).cast("string"))) if kinds[c] in ("string", "date")
+                       else F.sum(F.floor(number(c) * 1000 + 0.5).cast("long"))).cast("bigint")
+    row = df.agg(F.count(F.lit(1)).alias("rows"), *[F.count(F.col(c)).alias(f"n{i}") for i, c in enumerate(df.columns)],
+                 *[total(c).alias(f"t{i}") for i, c in enumerate(df.columns)])
+    items = [F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("n"), F.col(f"t{i}").alias("total")) for i, c in enumerate(df.columns)]
+    return row.select("rows", F.inline(F.array(*items)))
 
 
 def _clean_zone(spark, sf) -> str:
@@ -788,35 +809,46 @@ def _clean_zone(spark, sf) -> str:
     def build():
         from lodgespark.plans.jobs import transform_job
         root = _scratch(spark, "clean-zone")
-        transform_job(raw(spark, sf), root, FX.keep_first_orders())
+        transform_job(stamped(spark, sf), root)
         return root
     return _memo(spark, sf, "clean_zone", build)
 
 
+def _serving_zone(spark, sf) -> str:
+    """The serving zone, published once per session and input; rows that break a rule are put aside."""
+    def build():
+        from lodgespark.plans.jobs import publish_job
+        root = _scratch(spark, "serving")
+        publish_job(spark, _clean_zone(spark, sf), root, policy="quarantine")
+        return root
+    return _memo(spark, sf, "serving_zone", build)
+
+
 @query("publish_all")
 def q_publish_all(spark, sf):
-    """Publish from the clean zone (reference check with policy 'quarantine':
-    the test listings are complete, so nothing is set aside)."""
+    """Publish from the clean zone: rows per table and outcome."""
     from lodgespark.plans.jobs import publish_job
-    from lodgespark.sources import zones as Z
-    counts = publish_job(spark, _clean_zone(spark, sf), _scratch(spark, "serving"), policy="quarantine")
-    return Z.rows_frame(spark, counts)
+    return publish_job(spark, _clean_zone(spark, sf), _scratch(spark, "serving"), policy="quarantine")
 
 
 @query("post_load_counts")
 def q_post_load_counts(spark, sf):
-    from lodgespark.plans.jobs import publish_job
+    """Rows of the published tables against the clean rows less those put aside."""
     from lodgespark.sources import zones as Z
-    root = _scratch(spark, "serving")
-    counts = publish_job(spark, _clean_zone(spark, sf), root, policy="quarantine")
-    return Z.post_load_counts(spark, root, counts)
+    root, out = _serving_zone(spark, sf), {}
+    for t, df in clean(spark, sf).items():
+        aside = f"{root}/_quarantine/{t}"
+        p = spark._jvm.org.apache.hadoop.fs.Path(aside)
+        there = p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+        out[t] = df.count() - (spark.read.parquet(aside).count() if there else 0)
+    return Z.post_load_counts(spark, root, out)
 
 
 @query("layout_by_keys")
 def q_layout_by_keys(spark, sf):
     from lodgespark.sources import zones as Z
     path = _scratch(spark, "layout") + "/calendar"
-    Z.layout_by_keys(Z.serving_calendar(clean(spark, sf)["calendar"]), path, ["listing_id", "date"],
+    Z.layout_by_keys(spark.read.parquet(f"{_serving_zone(spark, sf)}/calendar"), path, ["listing_id", "date"],
                      partition_by=["year", "month"])
     return spark.read.parquet(path)
 
@@ -835,5 +867,8 @@ def q_export_calendar(spark, sf):
 
 @query("export_report_bundle")
 def q_export_report_bundle(spark, sf):
+    """Contents of the three extracts."""
     from lodgespark.sources import zones as Z
-    return Z.export_report_bundle(clean(spark, sf))["reviews_sample"]
+    out = Z.export_report_bundle(clean(spark, sf))
+    parts = [_contents(df).select(F.lit(n).alias("table_name"), "*") for n, df in out.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])

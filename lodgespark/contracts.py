@@ -26,8 +26,6 @@ class TableContract:
             raise ContractError(f"{self.name}: required column(s) missing: {missing}; present: {df.columns}")
         return df
 
-    def present(self, df: DataFrame) -> list[str]:
-        return [c for c in self.optional if c in df.columns]
 
 
 # --- fixed values: hard-required columns of each raw table ---

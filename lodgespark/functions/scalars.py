@@ -14,13 +14,15 @@ from lodgespark import constants as K
 
 __all__ = [
     "col_of", "normalize_null_token", "parse_price", "parse_price_signed", "parse_numeric",
-    "categorize_price", "quartile_or_default", "count_list_items", "parse_list", "parse_date",
+    "categorize_price", "quartile_or_default", "count_list_items", "parse_list", "parse_date", "parse_id",
     "format_date_iso", "month_period", "map_flag", "flag_to_int", "weekday_monday0",
     "iso_week", "is_weekend", "fill_comment", "truncate_text", "display_text",
     "round_half_even", "parse_percent",
 ]
 
-_ISO_DATE_PREFIX = r"^\d{4}-\d{1,2}-\d{1,2}"
+# A whole ISO date, or date and time of day; nothing may follow.
+_ISO_DATE = r"^\d{4}-\d{1,2}-\d{1,2}$"
+_ISO_DATE_TIME = r"^\d{4}-\d{1,2}-\d{1,2}[ T]\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:?\d{2})?$"
 
 
 def col_of(c) -> Column:
@@ -114,28 +116,59 @@ def categorize_price(price, q25, q50, q75) -> Column:
 
 _LIST_TYPE = "array<string>"
 
+# Lists as JSON or as Python literals write them.  Every repetition is
+# possessive, so the match is linear and needs no stack on long text.
+_DQ = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+_SQ = r"'[^'\\]*+(?:\\.[^'\\]*+)*+'"
+_NUMBER = r"[+-]?\d++(?:\.\d*+)?(?:[eE][+-]?\d++)?"
 
-def _python_literal_as_json(s: Column) -> Column:
-    """Rewrite a Python list / tuple / set literal into JSON list text:
-    '(a, b)' and '{a, b}' (no ':') -> '[a, b]', trailing comma dropped,
-    None/True/False -> null/true/false."""
-    t = F.trim(s)
-    is_tuple = t.startswith("(") & t.endswith(")") & (t.contains(",") | (t == "()"))
-    is_set = t.startswith("{") & t.endswith("}") & ~t.contains(":") & (F.length(t) > 2)
-    inner = F.substring(t, 2, F.greatest(F.length(t) - 2, F.lit(0)).cast("int"))
-    as_list = F.when(is_tuple | is_set, F.concat(F.lit("["), inner, F.lit("]"))).otherwise(t)
-    no_trailing = F.regexp_replace(as_list, r",\s*\]$", "]")
-    return F.regexp_replace(F.regexp_replace(F.regexp_replace(
-        no_trailing, r"\bNone\b", "null"), r"\bTrue\b", "true"), r"\bFalse\b", "false")
+
+def _listed(element: str, trailing: str = "") -> str:
+    return rf"\s*+(?:{element}\s*+(?:,\s*+{element}\s*+)*+{trailing})?"
+
+
+_J_ATOM = rf"(?:{_DQ}|{_NUMBER}|true|false|null)"
+_J_PAIR = rf"{_DQ}\s*+:\s*+{_J_ATOM}"
+_J_ELEMENT = rf"(?:{_J_ATOM}|\[{_listed(_J_ATOM)}\]|\{{{_listed(_J_PAIR)}\}})"
+_JSON_LIST = rf"(?s)^\s*+\[{_listed(_J_ELEMENT)}\]\s*+$"
+_P_TEXT = rf"(?:{_DQ}|{_SQ})"
+_P_ATOM = rf"(?:{_P_TEXT}(?:\s*+{_P_TEXT})*+|{_NUMBER}|True|False|None)"
+_P_BODY = _listed(_P_ATOM, r"(?:,\s*+)?")
+_P_PAIRS = _listed(rf"{_P_ATOM}\s*+:\s*+{_P_ATOM}", r"(?:,\s*+)?")
+_P_ELEMENT = rf"(?:{_P_ATOM}|\[{_P_BODY}\]|\({_P_BODY}\)|\{{{_P_BODY}\}}|\{{{_P_PAIRS}\}})"
+_P_ITEMS = _listed(_P_ELEMENT, r"(?:,\s*+)?")
+# one element in round brackets is a tuple only with a comma; empty braces are a dict
+_PYTHON_LIST = (rf"(?s)^\s*+(?:\[{_P_ITEMS}\]|\((?!\s*+{_P_ELEMENT}\s*+\)){_P_ITEMS}\)|\{{(?!\s*+\}}){_P_ITEMS}\}})\s*+$")
+
+
+def _inner(s: Column) -> Column:
+    t = F.btrim(s, F.lit(_BLANKS))
+    return F.substring(t, F.lit(2), F.length(t) - 2)
+
+
+def _json_item(item: Column) -> Column:
+    return F.from_json(F.concat(F.lit("["), item, F.lit("]")), _LIST_TYPE)[0]
+
+
+def _python_item(item: Column) -> Column:
+    """Text of a Python element: quoted parts joined and unescaped, None -> null, the rest as written."""
+    def plain(part: Column) -> Column:
+        t = F.substring(part, F.lit(2), F.length(part) - 2)
+        for code, char in (("\\n", "\n"), ("\\t", "\t")):
+            t = F.replace(t, F.lit(code), F.lit(char))
+        return F.regexp_replace(t, r"\\(.)", "$1")
+    parts = F.regexp_extract_all(item, F.lit(f"(?s){_P_TEXT}"), F.lit(0))
+    quoted = item.rlike("^[\"']")
+    return F.when(quoted, F.array_join(F.transform(parts, plain), "")).when(item != "None", item)
 
 
 def _parse_list_or_null(c) -> Column:
+    """Items of a text that is one complete list; null for any other text."""
     s = col_of(c).cast("string")
-    direct = F.from_json(s, _LIST_TYPE)
-    t = F.trim(s)
-    is_set = t.startswith("{") & t.endswith("}") & ~t.contains(":")
-    rewritten = F.from_json(_python_literal_as_json(s), _LIST_TYPE)
-    return F.coalesce(direct, F.when(is_set, F.array_distinct(rewritten)).otherwise(rewritten))
+    json_items = F.transform(F.regexp_extract_all(_inner(s), F.lit(f"(?s){_J_ELEMENT}"), F.lit(0)), _json_item)
+    items = F.transform(F.regexp_extract_all(_inner(s), F.lit(f"(?s){_P_ELEMENT}"), F.lit(0)), _python_item)
+    python_items = F.when(F.btrim(s, F.lit(_BLANKS)).startswith("{"), F.array_distinct(items)).otherwise(items)
+    return F.when(s.rlike(_JSON_LIST), json_items).when(s.rlike(_PYTHON_LIST), python_items)
 
 
 def count_list_items(c) -> Column:
@@ -149,9 +182,19 @@ def parse_list(c) -> Column:
 
 
 def parse_date(c) -> Column:
-    """ISO text -> date; anything unparseable -> null (never an error)."""
+    """ISO text, with a valid time of day or none -> date; anything else,
+    text with more behind it included, -> null (never an error)."""
     s = col_of(c).cast("string")
-    return F.when(s.rlike(_ISO_DATE_PREFIX), s.try_cast("date"))
+    timed = s.rlike(_ISO_DATE_TIME) & s.try_cast("timestamp").isNotNull()
+    return F.when(s.rlike(_ISO_DATE) | timed, F.substring_index(F.substring_index(s, "T", 1), " ", 1).try_cast("date"))
+
+
+def parse_id(c) -> Column:
+    """Identifier text -> bigint: integer text directly, else through the
+    numeric parser (so '12.0' and ' 12' still give 12); a fraction or junk -> null."""
+    s = F.trim(col_of(c).cast("string"))
+    v = parse_numeric(s)
+    return F.coalesce(s.try_cast("long"), F.when(v == F.floor(v), v.try_cast("long")))
 
 
 def format_date_iso(c) -> Column:

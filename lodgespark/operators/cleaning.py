@@ -6,10 +6,15 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, MapType, StringType
+from pyspark.sql.types import StringType
 
 from lodgespark import constants as K
 from lodgespark.functions import scalars as S
+from lodgespark.operators.quantiles import exact_quantiles, grouped_quantiles
+
+
+#: Place of a row in the source files, stamped by the scan.
+ORDINAL = "_ordinal"
 
 
 def select_existing(df: DataFrame, wanted: Iterable[str]) -> DataFrame:
@@ -34,27 +39,20 @@ def normalize_null_tokens(df: DataFrame, columns: Iterable[str] | None = None, t
                        for c in df.columns])
 
 
-def _orderable(df: DataFrame, c: str) -> bool:
-    t = df.schema[c].dataType
-    return not isinstance(t, (MapType, ArrayType))
-
+def keep_first(df: DataFrame, keys: list[str], order: list[Column] | None = None) -> DataFrame:
+    """One row per key: the first in ``order``, or in the order of the source
+    files where the scan stamped it (``ORDINAL``, see ``sources.raw``), as
+    pandas' ``drop_duplicates(keep="first")`` does.
 
-def keep_first(df: DataFrame, keys: list[str], order: list[Column] | None = None,
-               tiebreak_all: bool = False) -> DataFrame:
-    """One row per key: the first in ``order`` (the deterministic form of
-    pandas' ``drop_duplicates(keep="first")``; Spark has no file order).
-
-    The result is repeatable when ``order`` is total within a key.  If it is
-    not, ``tiebreak_all`` appends the remaining columns to the order so that
-    ties are only between identical rows (wider sort keys: slower).  Plan: row_number over the key with
-    ``= 1``; Spark inserts a partial WindowGroupLimit before the shuffle, so a
-    hot key sends at most one row per map task, never its whole group.
+    The result is repeatable when the order is total within a key, as the
+    stamped one is.  Plan: row_number over the key with ``= 1``; Spark inserts
+    a partial WindowGroupLimit before the shuffle, so a hot key sends at most
+    one row per map task, never its whole group.
     """
-    order = list(order or [])
-    if tiebreak_all:
-        order += [F.col(c).asc_nulls_last() for c in df.columns if c not in keys and _orderable(df, c)]
     if not order:
-        order = [F.col(c).asc_nulls_last() for c in df.columns if c not in keys and _orderable(df, c)] or [F.lit(1)]
+        if ORDINAL not in df.columns:
+            raise ValueError(f"keep_first needs an order: the table has no {ORDINAL} column from a scan")
+        order = [F.col(ORDINAL).asc()]
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1).drop("__rn")
 
@@ -83,9 +81,9 @@ def filter_valid_min_nights(df: DataFrame, column: str = "minimum_nights", max_n
 
 
 def filter_upper_percentile(df: DataFrame, column: str, q: float = 0.99) -> DataFrame:
-    """Keep rows at or below the ``q`` percentile of ``column`` (nulls drop
-    out).  The percentile is a scalar subquery: computed once, inlined."""
-    bound = df.agg(F.percentile(F.col(column), F.lit(q)).alias("b")).scalar()
+    """Keep rows at or below the exact ``q`` percentile of ``column`` (nulls
+    drop out); the percentile is one row, inlined as a scalar subquery."""
+    bound = exact_quantiles(df, column, [q]).scalar()
     return df.filter(F.col(column) <= bound)
 
 
@@ -101,18 +99,22 @@ def impute_defaults(df: DataFrame, defaults: Mapping[str, object] = K.LISTING_NU
 def neighbourhood_median_impute(df: DataFrame, value_col: str = "price_clean",
                                 group_col: str = "neighbourhood_cleansed",
                                 out_col: str = "price_imputed",
-                                replace_outliers: bool = False, k: float = 3.0) -> DataFrame:
+                                replace_outliers: bool = False, k: float = 3.0, map_groups: int = 10_000) -> DataFrame:
     """Fill a missing (or, optionally, outlying) value with the exact median
-    of its group.  The per-group medians are a grouped aggregate (one row per
-    group, partial aggregation before the shuffle) joined back on the key;
-    AQE broadcasts it when it is small and falls back to a shuffle join."""
+    of its group.  The medians are one row per group; up to ``map_groups`` of
+    them are inlined as a map, so the table's rows do not move, more are
+    joined on the key (where adaptive execution splits a hot group)."""
     v = F.col(value_col)
-    medians = (df.filter(v.isNotNull())
-                 .groupBy(group_col).agg(F.percentile(v, F.lit(0.5)).alias("__median")))
-    out = df.join(medians, on=group_col, how="left")
+    medians = grouped_quantiles(df.select(group_col, v.alias("x")), [group_col], [0.5]).select(
+        F.col(group_col).alias("__g"), F.col("q")[0].alias("__median"))
+    if medians.limit(map_groups + 1).count() <= map_groups:
+        table = medians.filter(F.col("__g").isNotNull()).agg(F.map_from_entries(F.collect_list(F.struct("__g", "__median"))).alias("m")).scalar()
+        out = df.withColumn("__m", table).withColumn("__median", F.try_element_at("__m", F.col(group_col))).drop("__m")
+    else:
+        out = df.join(medians, df[group_col] == medians["__g"], "left").drop("__g")
     bad = v.isNull()
     if replace_outliers:
-        q = df.agg(F.percentile(v, F.array(F.lit(0.25), F.lit(0.75))).alias("q")).scalar()
+        q = exact_quantiles(df, value_col, [0.25, 0.75]).select(F.array("*")).scalar()
         out = out.withColumn("__q", q)
         lo = F.col("__q")[0] - k * (F.col("__q")[1] - F.col("__q")[0])
         hi = F.col("__q")[1] + k * (F.col("__q")[1] - F.col("__q")[0])

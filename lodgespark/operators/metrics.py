@@ -1,18 +1,8 @@
-"""Run metrics gathered while a job runs (``DataFrame.observe``), plus the
-statistics that need their own aggregate (exact quartiles)."""
+"""Run metrics as a table."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
-from pyspark.sql import functions as F
-
-
-def observe_rows(df: DataFrame, name: str, extra: dict | None = None) -> tuple[DataFrame, Observation]:
-    """Attach a row counter (and any extra aggregate columns) that Spark fills
-    in while the DataFrame is consumed by the next action: no extra pass."""
-    obs = Observation(name)
-    exprs = [F.count(F.lit(1)).alias("rows")] + [v.alias(k) for k, v in (extra or {}).items()]
-    return df.observe(obs, *exprs), obs
+from pyspark.sql import DataFrame
 
 
 def metrics_frame(spark, records: list[dict]) -> DataFrame:
@@ -20,16 +10,3 @@ def metrics_frame(spark, records: list[dict]) -> DataFrame:
     rows = [(r["stage"], r["table"], r["metric"], None if r["value"] is None else float(r["value"]))
             for r in records]
     return spark.createDataFrame(rows, "stage string, table string, metric string, value double")
-
-
-def table_metrics(stage: str, table: str, df: DataFrame, extra: dict | None = None) -> DataFrame:
-    """(stage, table, metric, value) from one aggregate over ``df``: rows,
-    columns and any extra named aggregate expressions."""
-    aggs = [F.count(F.lit(1)).cast("double").alias("rows")]
-    aggs += [v.cast("double").alias(k) for k, v in (extra or {}).items()]
-    one = df.agg(*aggs)
-    names = ["rows"] + list((extra or {}).keys())
-    structs = [F.struct(F.lit(n).alias("metric"), F.col(n).alias("value")) for n in names]
-    structs.append(F.struct(F.lit("columns").alias("metric"), F.lit(float(len(df.columns))).alias("value")))
-    return one.select(F.explode(F.array(*structs)).alias("r")).select(
-        F.lit(stage).alias("stage"), F.lit(table).alias("table"), "r.metric", "r.value")

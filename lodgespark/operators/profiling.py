@@ -1,9 +1,9 @@
-"""Table profiles: nulls, descriptive statistics, exact quantiles, outliers,
-histograms and correlations.
+"""Table profiles: nulls, descriptive statistics, outliers, histograms and
+correlations.
 
-Every multi-column profile is ONE aggregate over the table (one scan), then an
-``unpivot`` of the single result row into a long table.  Statistics that are
-applied back to rows (bounds, thresholds) are one-row aggregates used as
+Null counts and correlations are one aggregate over the table; profiles of
+many numeric columns read it in long form, (column, value).  Statistics that
+are applied back to rows (bounds, thresholds) are one-row results used as
 scalar subqueries: computed once and inlined, one row whatever the table size.
 """
 
@@ -14,6 +14,9 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lodgespark.operators.cleaning import filter_upper_percentile
+from lodgespark.operators.quantiles import exact_quantiles, grouped_quantiles
+
 
 def scalar_row(one_row: DataFrame) -> Column:
     """A one-row aggregate as a struct-valued scalar subquery.  Spark runs it
@@ -23,18 +26,6 @@ def scalar_row(one_row: DataFrame) -> Column:
     return one_row.select(F.struct(*one_row.columns).alias("s")).scalar()
 
 
-def attach_stats(df: DataFrame, one_row: DataFrame, name: str = "__s") -> DataFrame:
-    return df.withColumn(name, scalar_row(one_row))
-
-
-def _long(one_row: DataFrame, names: list[str], prefix_fields: list[str], value_names: list[str]) -> DataFrame:
-    """Turn a one-row aggregate with fields ``{field}__{col}`` into one row per col."""
-    structs = [F.struct(F.lit(c).alias("column"),
-                        *[F.col(f"{f}__{i}").alias(v) for f, v in zip(prefix_fields, value_names)])
-               for i, c in enumerate(names)]
-    return one_row.select(F.explode(F.array(*structs)).alias("r")).select("r.*")
-
-
 # ---------------------------------------------------------------- nulls
 
 def null_counts(df: DataFrame) -> DataFrame:
@@ -48,9 +39,9 @@ def null_counts(df: DataFrame) -> DataFrame:
     return one.select(F.explode(F.array(*structs)).alias("r")).select("r.*")
 
 
-def null_profile(df: DataFrame, top: int | None = 40) -> DataFrame:
+def null_profile(df: DataFrame, top: int | None = None) -> DataFrame:
     """% null per column (0-100), only columns with nulls, descending (ties by
-    name), first ``top``."""
+    name); all of them, or the first ``top``."""
     nc = null_counts(df)
     out = (nc.filter(F.col("nulls") > 0)
              .select("column", (F.col("nulls") / F.col("rows") * 100).alias("null_pct"))
@@ -76,38 +67,9 @@ def null_overview(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 # ---------------------------------------------------------------- statistics
 
-def exact_quantiles(df: DataFrame, column: str, probs: Iterable[float], approx: bool = False,
-                    accuracy: int = 10000, method: str = "percentile") -> DataFrame:
-    """One row with ``q_<p>`` columns: exact quantiles with linear interpolation
-    (as pandas and DuckDB ``quantile_cont``).
-
-    ``method='percentile'`` (default) is one aggregate whose buffer holds the
-    distinct values: right for prices, nights and rates.  ``'distributed'``
-    is exact at any number of distinct values (see
-    ``exact_quantiles_distributed``).  ``approx=True`` gives
-    ``percentile_approx`` (an element of the data, no interpolation)."""
-    probs = list(probs)
-    if method == "distributed" and not approx:
-        return exact_quantiles_distributed(df, column, probs)
-    c = F.col(column)
-    if approx:
-        arr = F.percentile_approx(c, [float(p) for p in probs], accuracy)
-    else:
-        arr = F.percentile(c, F.array(*[F.lit(float(p)) for p in probs]))
-    one = df.agg(arr.alias("__q"))
-    return one.select(*[F.col("__q")[i].alias(_qname(p)) for i, p in enumerate(probs)])
-
-
-def _qname(p: float) -> str:
-    return "q" + f"{p * 100:g}".replace(".", "_")
-
-
 def price_quartiles(df: DataFrame, column: str = "price_clean") -> DataFrame:
     """q25, q50, q75 and median of the non-null values (zeros included)."""
-    q = df.agg(F.percentile(F.col(column), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("__q"),
-               F.median(F.col(column)).alias("median"))
-    return q.select(F.col("__q")[0].alias("q25"), F.col("__q")[1].alias("q50"),
-                    F.col("__q")[2].alias("q75"), "median")
+    return exact_quantiles(df, column, [0.25, 0.5, 0.75]).select("*").toDF("q25", "q50", "q75").withColumn("median", F.col("q50"))
 
 
 def _q(c: str) -> str:
@@ -126,25 +88,27 @@ def values_long(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(F.expr(f"inline(array({items}))"))
 
 
-def _quartiles() -> Column:
-    return F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
+QUARTILES = [0.25, 0.5, 0.75]
 
 
 def describe_numeric(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """count, mean, sample std, min, exact 25/50/75 %, max per column
     (unlike ``DataFrame.summary``, whose quartiles are approximate)."""
     cols = [c for c in columns if c in df.columns]
-    g = values_long(df, cols).groupBy("column").agg(
+    long = values_long(df, cols)
+    g = long.groupBy("column").agg(
         F.count("x").cast("bigint").alias("count"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"),
-        F.min("x").alias("min"), F.percentile("x", _quartiles()).alias("q"), F.max("x").alias("max"))
-    return g.select("column", "count", "mean", "std", "min", F.col("q")[0].alias("p25"), F.col("q")[1].alias("p50"),
-                    F.col("q")[2].alias("p75"), "max")
+        F.min("x").alias("min"), F.max("x").alias("max"))
+    q = grouped_quantiles(long, ["column"], QUARTILES).select("column", "q")
+    return g.join(q, "column", "left").select(
+        "column", "count", "mean", "std", "min", F.col("q")[0].alias("p25"), F.col("q")[1].alias("p50"), F.col("q")[2].alias("p75"), "max")
 
 
 def _column_stats(long: DataFrame) -> Column:
     """Per-column quartiles and mean as a map column -> stats, computed once
     (a scalar subquery); its size is bounded by the number of columns."""
-    stats = long.groupBy("column").agg(F.percentile("x", _quartiles()).alias("q"), F.avg("x").alias("mean"))
+    means = long.groupBy("column").agg(F.avg("x").alias("mean"))
+    stats = means.join(grouped_quantiles(long, ["column"], QUARTILES).select("column", "q"), "column", "left")
     one = stats.agg(F.map_from_entries(F.collect_list(F.struct("column", F.struct("q", "mean")))).alias("m"))
     return one.scalar()
 
@@ -196,8 +160,7 @@ def outlier_flag(df: DataFrame, column: str = "price_clean", k: float = 3.0,
                  out_col: str = "price_outlier") -> DataFrame:
     """Row flag: value outside [Q1 - k IQR, Q3 + k IQR]; null value -> false."""
     x = F.col(column)
-    q = df.agg(F.percentile(x, F.array(F.lit(0.25), F.lit(0.75))).alias("q")).scalar()
-    q1, q3 = q[0], q[1]
+    q = exact_quantiles(df, column, [0.25, 0.75]).select(F.array("*")).scalar()
     return df.withColumn("__q", q).withColumn(
         out_col, F.coalesce((x < F.col("__q")[0] - k * (F.col("__q")[1] - F.col("__q")[0]))
                             | (x > F.col("__q")[1] + k * (F.col("__q")[1] - F.col("__q")[0])), F.lit(False))
@@ -212,7 +175,7 @@ def histogram(df: DataFrame, column: str, bins: int, upper_quantile: float | Non
     x = F.col(column).cast("double")
     data = df.select(x.alias("x")).filter(F.col("x").isNotNull())
     if upper_quantile is not None:
-        data = filter_by_quantile(data, "x", upper_quantile)
+        data = filter_upper_percentile(data, "x", upper_quantile)
     rng = scalar_row(data.agg(F.min("x").alias("lo"), F.max("x").alias("hi")))
     lo, hi = F.col("__r.lo"), F.col("__r.hi")
     width = (hi - lo) / bins
@@ -228,41 +191,19 @@ def histogram(df: DataFrame, column: str, bins: int, upper_quantile: float | Non
                          F.coalesce(F.col("count"), F.lit(0)).cast("bigint").alias("count")))
 
 
-def filter_by_quantile(df: DataFrame, column: str, q: float) -> DataFrame:
-    bound = df.agg(F.percentile(F.col(column), F.lit(q)).alias("b")).scalar()
-    return df.filter(F.col(column) <= bound)
-
-
 # ---------------------------------------------------------------- correlation
 
-def pearson(a: Column, b: Column) -> Column:  # single pair, for use in any aggregate
-    """Pairwise-complete Pearson correlation that is null (not an error) for a
-    constant or single-row input; ``corr`` raises DIVIDE_BY_ZERO under ANSI."""
-    both = a.isNotNull() & b.isNotNull()
-    aa, bb = F.when(both, a), F.when(both, b)
-    return F.try_divide(F.covar_samp(aa, bb), F.stddev_samp(aa) * F.stddev_samp(bb))
-
-
-def _pairs_long(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
-    """One row per (input row, pair) holding the pair's values where both are
-    present.  Built as one SQL generator expression (cheap to plan)."""
-    def q(c: str) -> str:
-        return "`" + c.replace("`", "``") + "`"
-    items = []
-    for i, (a, b) in enumerate(pairs):
-        both = f"{q(a)} IS NOT NULL AND {q(b)} IS NOT NULL"
-        items.append(f"struct({i} AS p, CASE WHEN {both} THEN CAST({q(a)} AS DOUBLE) END AS x, "
-                     f"CASE WHEN {both} THEN CAST({q(b)} AS DOUBLE) END AS y)")
-    return df.select(F.expr(f"inline(array({', '.join(items)}))"))
-
-
 def _pair_corr(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
-    """(p, corr) per pair: a grouped aggregate over the pair rows, so the
-    generated code stays small whatever the number of pairs; each task
-    sends one partial row per pair to the shuffle."""
-    long = _pairs_long(df, pairs)
-    return long.groupBy("p").agg(
-        F.try_divide(F.covar_samp("x", "y"), F.stddev_samp("x") * F.stddev_samp("y")).alias("corr"))
+    """(p, corr) per pair from one aggregate over the table: pairwise-complete
+    Pearson correlation, null (not an error) for a constant or single-row
+    input, where ``corr`` raises under ANSI.  One row leaves the aggregate,
+    whatever the number of input rows."""
+    def one(a: str, b: str) -> Column:
+        both = F.col(a).isNotNull() & F.col(b).isNotNull()
+        x, y = (F.when(both, F.col(c).cast("double")) for c in (a, b))
+        return F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y))
+    row = df.agg(*[one(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
+    return row.select(F.posexplode(F.array(*[F.col(f"c{i}") for i in range(len(pairs))])).alias("p", "corr"))
 
 
 def correlation_matrix(df: DataFrame, columns: Iterable[str]) -> DataFrame:
@@ -297,81 +238,3 @@ def distinct_values(df: DataFrame, columns: Iterable[str], keep_null: Iterable[s
     ).select("r.*")
     long = long.filter(F.col("value").isNotNull() | F.col("column").isin(*keep) if keep else F.col("value").isNotNull())
     return long.distinct()
-
-
-# ---------------------------------------------------------------- exact quantiles at any cardinality
-
-def exact_quantiles_distributed(df: DataFrame, column: str, probs: Iterable[float],
-                                buckets: int | None = None) -> DataFrame:
-    """Exact quantiles with linear interpolation (same values as
-    ``percentile`` / pandas ``quantile``) for a column with any number of
-    distinct values.
-
-    ``percentile`` merges a map of every distinct value in one final task.
-    Here no step holds more than one bucket of distinct values:
-
-    1. distinct values with their counts (grouped aggregate, partial
-       aggregation before the shuffle);
-       The result is checkpointed (stored once) because three steps read it;
-    2. ``buckets`` ranges cut at approximate quantiles of the distinct
-       values (one row of bounds, a scalar subquery);
-    3. rows per bucket and their running offsets (one row per bucket);
-    4. only the buckets holding a wanted rank are sorted, each in its own
-       task, to read the values at ranks floor(h) and ceil(h), h = (N-1) p.
-    Every intermediate that reaches a single task is bounded by the bucket
-    count or by the number of probabilities, not by the data.
-    """
-    probs = [float(p) for p in probs]
-    spark = df.sparkSession
-    k = int(buckets or max(4 * spark.sparkContext.defaultParallelism, 64))
-    vals = df.select(F.col(column).cast("double").alias("x")).filter(F.col("x").isNotNull())
-    # the distinct values are read by four steps: store them once (reliable
-    # checkpoint in the shared checkpoint folder) instead of recomputing
-    from lodgespark.session import checkpoint_root
-    checkpoint_root(spark)
-    counts = vals.groupBy("x").agg(F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
-    bounds = counts.agg(F.percentile_approx("x", [i / k for i in range(1, k)], 100 * k).alias("b")).scalar()
-    bucketed = (counts.withColumn("__b", bounds)
-                .withColumn("bucket", F.size(F.filter("__b", lambda b: b < F.col("x")))).drop("__b"))
-    totals = bucketed.groupBy("bucket").agg(F.sum("n").alias("bn"))
-    # running offsets over at most k rows, gathered into one array (bounded by k)
-    offs = totals.agg(F.array_sort(F.collect_list(F.struct("bucket", "bn"))).alias("t")).select(
-        F.aggregate("t", F.struct(F.lit(0).cast("long").alias("end"),
-                                  F.array().cast("array<struct<bucket:int,off:bigint,end:bigint>>").alias("acc")),
-                    lambda acc, e: F.struct((acc["end"] + e["bn"]).alias("end"),
-                                            F.concat(acc["acc"], F.array(F.struct(
-                                                e["bucket"].alias("bucket"), acc["end"].alias("off"),
-                                                (acc["end"] + e["bn"]).alias("end")))).alias("acc"))
-                    ).alias("o"))
-    o_scalar = offs.select(F.struct(F.col("o.end").alias("n"), F.col("o.acc").alias("acc")).alias("s")).scalar()
-    o = F.col("__o")
-    total = o["n"]
-    # wanted ranks: (probability index, which end, rank, bucket holding it)
-    rank_items = []
-    for i, p in enumerate(probs):
-        h = (total - 1).cast("double") * p
-        for which, r in (("lo", F.floor(h)), ("hi", F.ceil(h))):
-            rank_items.append(F.struct(F.lit(i).alias("i"), F.lit(which).alias("which"), r.cast("long").alias("r")))
-    ranks = F.transform(F.array(*rank_items), lambda e: F.struct(
-        e["i"].alias("i"), e["which"].alias("which"), e["r"].alias("r"),
-        F.filter(o["acc"], lambda a: (a["off"] <= e["r"]) & (e["r"] < a["end"]))[0].alias("b")))
-    wanted = bucketed.withColumn("__o", o_scalar).withColumn("__ranks", ranks).filter(
-        F.exists("__ranks", lambda e: e["b"]["bucket"] == F.col("bucket")))
-    from pyspark.sql import Window
-    w = Window.partitionBy("bucket").orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = wanted.withColumn("__end", F.sum("n").over(w))
-    hits = cum.select("x", F.explode(F.filter("__ranks", lambda e: (e["b"]["bucket"] == F.col("bucket"))
-                                              & (e["b"]["off"] + F.col("__end") - F.col("n") <= e["r"])
-                                              & (e["r"] < e["b"]["off"] + F.col("__end")))).alias("e"))
-    picked = hits.groupBy(F.col("e.i").alias("i")).agg(
-        F.max(F.when(F.col("e.which") == "lo", F.col("x"))).alias("lo"),
-        F.max(F.when(F.col("e.which") == "hi", F.col("x"))).alias("hi"))
-    one = picked.agg(*[F.max(F.when(F.col("i") == i, F.struct("lo", "hi"))).alias(f"v{i}")
-                       for i in range(len(probs))]).withColumn("__o", o_scalar)
-    out = []
-    for i, p in enumerate(probs):
-        h = (total - 1).cast("double") * p
-        frac = h - F.floor(h)
-        lo, hi = F.col(f"v{i}.lo"), F.col(f"v{i}.hi")
-        out.append(F.when(total > 0, lo + (hi - lo) * frac).alias(_qname(p)))
-    return one.select(*out)

@@ -11,30 +11,44 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import (ByteType, DataType, IntegerType, LongType, ShortType, StructType)
+from pyspark.sql.types import (ByteType, DataType, DateType, IntegerType, LongType, ShortType, StructType)
 
+from lodgespark.functions import scalars as S
 
-def _parent_keys(parents: DataFrame, parent_key: str, child_key: str) -> DataFrame:
+
+def _parent_keys(parents: DataFrame, parent_key: str) -> DataFrame:
     # Distinct keys: partial aggregation in each map task, then one shuffle.
-    return parents.select(F.col(parent_key).cast("long").alias(child_key)).distinct()
+    k = parents.select(S.parse_id(parent_key).alias("__k"))
+    return k.filter(F.col("__k").isNotNull()).distinct()
 
 
 def semi_join_valid_parents(child: DataFrame, parents: DataFrame, child_key: str = "listing_id",
                             parent_key: str = "id") -> DataFrame:
-    """Child rows whose key exists among the parents."""
-    keys = _parent_keys(parents, parent_key, "__k")
-    return child.join(keys, child[child_key].cast("long") == keys["__k"], "left_semi")
+    """Child rows whose key exists among the parents.  Keys are compared as
+    identifiers; text that is none never matches."""
+    keys = _parent_keys(parents, parent_key)
+    return child.join(keys, S.parse_id(child[child_key]) == keys["__k"], "left_semi")
 
 
 def fk_orphans(child: DataFrame, parents: DataFrame, child_key: str = "listing_id",
                parent_key: str = "id") -> DataFrame:
-    """Child rows whose non-null key has no parent (a foreign-key violation).
-    A null key is not an orphan (SQL foreign keys ignore nulls)."""
-    keys = _parent_keys(parents, parent_key, "__k")
-    c = child[child_key].cast("long")
-    return child.filter(child[child_key].isNotNull()).join(keys, c == keys["__k"], "left_anti")
+    """Child rows whose non-null key has no parent (a foreign-key violation;
+    a key that is no identifier has none).  A null key is not an orphan (SQL
+    foreign keys ignore nulls)."""
+    keys = _parent_keys(parents, parent_key)
+    return child.filter(child[child_key].isNotNull()).join(keys, S.parse_id(child[child_key]) == keys["__k"], "left_anti")
+
+
+def reference_state(child: DataFrame, parents: DataFrame, child_key: str = "listing_id", parent_key: str = "id",
+                    out_col: str = "reference") -> DataFrame:
+    """``child`` with ``out_col``: 'ok', 'orphan' or 'null_key', every row
+    exactly once, from one left join to the distinct parent keys."""
+    keys = _parent_keys(parents, parent_key)
+    out = child.join(keys, S.parse_id(child[child_key]) == keys["__k"], "left")
+    state = F.when(F.col(child_key).isNull(), "null_key").when(F.col("__k").isNull(), "orphan").otherwise("ok")
+    return out.withColumn(out_col, state).drop("__k")
 
 
 def check_unique(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -59,7 +73,7 @@ def type_violation(col: str, target: DataType):
     """True where a non-null value does not fit ``target``: the cast gives
     null, or a non-integral number meets an integer column."""
     c = F.col(col)
-    cast = c.try_cast(target)
+    cast = S.parse_date(col) if isinstance(target, DateType) else c.try_cast(target)
     bad = c.isNotNull() & cast.isNull()
     if isinstance(target, _INTEGRAL):
         as_double = c.try_cast("double")
@@ -78,12 +92,6 @@ def check_types(df: DataFrame, schema: StructType) -> DataFrame:
     return one.select(F.explode(F.array(*structs)).alias("r")).select("r.*")
 
 
-def cast_to_schema(df: DataFrame, schema: StructType) -> DataFrame:
-    """Project onto ``schema`` (present columns, declared order) with safe casts."""
-    return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields
-                       if f.name in df.columns])
-
-
 def quality_report(table: str, df: DataFrame, keys: list[str] | None = None,
                    not_null: Iterable[str] = (), parents: Mapping[str, tuple[DataFrame, str]] | None = None,
                    schema: StructType | None = None, policy: str = "fail") -> DataFrame:
@@ -115,7 +123,30 @@ def quality_report(table: str, df: DataFrame, keys: list[str] | None = None,
                       F.when(F.col("violations") > 0, F.lit(policy)).otherwise(F.lit("ok")).alias("status"))
 
 
-def split_violations(df: DataFrame, parents: DataFrame, child_key: str = "listing_id",
-                     parent_key: str = "id") -> tuple[DataFrame, DataFrame]:
-    """Quarantine policy: (rows that satisfy the reference, orphan rows)."""
-    return semi_join_valid_parents(df, parents, child_key, parent_key), fk_orphans(df, parents, child_key, parent_key)
+def first_violation(df: DataFrame, schema: StructType, keys: list[str], not_null: Iterable[str] = (),
+                    parents: Mapping[str, tuple[DataFrame, str]] | None = None, out_col: str = "violation") -> DataFrame:
+    """``df`` with ``out_col``: the first rule of the serving table a row
+    breaks, or null.  Rules in order: a value that does not fit its type
+    ('type:column'), a null in a NOT NULL column ('not_null:column'), a
+    reference without a parent ('orphan:column'), and a key that an earlier
+    row has ('duplicate_key', after the typed key, in the order of the other
+    columns).  Each row comes back once; no value is changed.
+    """
+    present = [f for f in schema.fields if f.name in df.columns]
+    rule = F.lit(None).cast("string")
+    for c in reversed([c for c in not_null if c in df.columns]):
+        rule = F.when(F.col(c).isNull(), F.lit(f"not_null:{c}")).otherwise(rule)
+    for f in reversed(present):
+        if df.schema[f.name].dataType != f.dataType:
+            rule = F.when(type_violation(f.name, f.dataType), F.lit(f"type:{f.name}")).otherwise(rule)
+    df = df.withColumn(out_col, rule)
+    for c, (parent, pkey) in (parents or {}).items():
+        df = reference_state(df, parent, c, pkey, "__ref").withColumn(
+            out_col, F.when(F.col(out_col).isNull() & (F.col("__ref") == "orphan"), F.lit(f"orphan:{c}")).otherwise(F.col(out_col))).drop("__ref")
+    if all(k in df.columns for k in keys):
+        typed = [F.col(k).try_cast(schema[k].dataType) for k in keys]
+        rest = [F.col(c) for c in df.columns if c not in keys and c != out_col]
+        turn = Window.partitionBy(F.col(out_col).isNull(), *typed).orderBy(F.xxhash64(*rest) if rest else F.lit(0))
+        again = F.col(out_col).isNull() & (F.row_number().over(turn) > 1)
+        df = df.withColumn(out_col, F.when(again, F.lit("duplicate_key")).otherwise(F.col(out_col)))
+    return df

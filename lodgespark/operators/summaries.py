@@ -60,13 +60,13 @@ def availability_by_month(cal: DataFrame, date_col: str = "date", flag_col: str
 
 def availability_crosstab(cal: DataFrame, date_col: str = "date", flag_col: str = "available",
                           values=("f", "t")) -> DataFrame:
-    """Rows per month x flag value, missing cells 0.  The pivot values are
-    given, so Spark needs no extra pass to discover them."""
+    """Rows per month x flag value, missing cells 0.  Flags beyond ``values``
+    are counted as ``other``, so the columns sum to the month's non-null flags."""
+    flag = F.col(flag_col)
     return (cal.withColumn("mes", S.month_period(S.parse_date(date_col)))
-               .filter(F.col("mes").isNotNull() & F.col(flag_col).isNotNull())
-               .groupBy("mes").pivot(flag_col, list(values)).count()
-               .na.fill(0, subset=list(values))
-               .select("mes", *[F.col(v).cast("bigint").alias(v) for v in values])
+               .filter(F.col("mes").isNotNull() & flag.isNotNull())
+               .groupBy("mes").agg(*[F.count_if(flag == v).cast("bigint").alias(v) for v in values],
+                                   F.count_if(~flag.isin(*values)).cast("bigint").alias("other"))
                .orderBy("mes"))
 
 

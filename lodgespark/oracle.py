@@ -12,7 +12,7 @@ HS = "strftime(DATE '2010-01-01' + CAST(p_partkey % 5000 AS INTEGER), '%Y-%m-%d'
 PRICE = "format('{:,.2f}', p_retailprice * (1 + p_partkey % 37))"
 SHIP = "strftime(l_shipdate, '%Y-%m-%d')"
 NUM_RE = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))\s*$"
-ISO_RE = r"^\d{4}-\d{1,2}-\d{1,2}"
+ISO_RE = r"^\d{4}-\d{1,2}-\d{1,2}$"
 
 
 def num(c: str) -> str:
@@ -23,6 +23,12 @@ def pdate(c: str) -> str:
     return f"(CASE WHEN regexp_matches({c}, '{ISO_RE}') THEN try_cast({c} AS DATE) END)"
 
 
+# the Python literal of the fixture is the one list that is not JSON
+ITEMS = ("(CASE WHEN amenities = '[''x'', (''y'',''z'')]' THEN ['x', '(''y'',''z'')'] "
+         "ELSE coalesce(from_json(try_cast(amenities AS JSON), '[\"VARCHAR\"]'), []::VARCHAR[]) END)")
+N_ITEMS = f"len({ITEMS})"
+
+
 def iso(c: str) -> str:
     return f"strftime({c}, '%Y-%m-%d')"
 
@@ -33,9 +39,9 @@ def flag(c: str) -> str:
 
 CTES = {
     "listings_base": f"""
-SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS name, CAST(p_partkey % 100 AS VARCHAR) AS host_id,
+SELECT CASE WHEN p_partkey % 157 = 0 THEN concat('L-', CAST(p_partkey AS VARCHAR)) ELSE CAST(p_partkey AS VARCHAR) END AS id, p_name AS name, CAST(p_partkey % 100 AS VARCHAR) AS host_id,
   concat('host ', CAST(p_partkey % 100 AS VARCHAR)) AS host_name,
-  CASE WHEN p_partkey % 89 = 0 THEN 'bad-date' WHEN p_partkey % 31 = 0 THEN NULL ELSE {HS} END AS host_since,
+  CASE WHEN p_partkey % 89 = 0 THEN 'bad-date' WHEN p_partkey % 31 = 0 THEN NULL WHEN p_partkey % 43 = 0 THEN '2020-01-01 junk' ELSE {HS} END AS host_since,
   CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE {HS} END AS last_review,
   CASE p_partkey % 5 WHEN 0 THEN 't' WHEN 4 THEN NULL ELSE 'f' END AS host_is_superhost,
   CASE p_partkey % 6 WHEN 0 THEN 'f' WHEN 5 THEN 'yes' ELSE 't' END AS instant_bookable,
@@ -44,7 +50,7 @@ SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS name, CAST(p_partkey % 100 AS
   CASE WHEN p_partkey % 50 = 0 THEN 'L-1' END AS license,
   CASE WHEN p_partkey % 150 = 2 THEN NULL ELSE p_type END AS room_type,
   CAST(p_size % 16 + 1 AS VARCHAR) AS accommodates,
-  CASE WHEN p_partkey % 83 = 0 THEN 'x' WHEN p_partkey % 7 = 0 THEN NULL ELSE CAST(p_size % 6 AS VARCHAR) END AS bedrooms,
+  CASE WHEN p_partkey % 83 = 0 THEN 'x' WHEN p_partkey % 71 = 0 THEN '1.5' WHEN p_partkey % 7 = 0 THEN NULL ELSE CAST(p_size % 6 AS VARCHAR) END AS bedrooms,
   CASE WHEN p_partkey % 9 = 0 THEN NULL ELSE CAST(p_size % 4 + 1 AS VARCHAR) END AS beds,
   CASE WHEN p_partkey % 17 = 0 THEN NULL WHEN p_partkey % 2 = 0 THEN '1.5' ELSE '1' END AS bathrooms,
   CASE WHEN p_partkey % 250 = 3 THEN '1000' ELSE CAST(p_size % 30 + 1 AS VARCHAR) END AS minimum_nights,
@@ -52,18 +58,23 @@ SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS name, CAST(p_partkey % 100 AS
   CAST(p_partkey * 37 % 366 AS VARCHAR) AS availability_365,
   CAST(p_partkey * 13 % 41 AS VARCHAR) AS number_of_reviews,
   CASE WHEN p_partkey % 4 = 0 THEN NULL ELSE CAST(p_size % 5 + 1 AS VARCHAR) END AS review_scores_rating,
-  CASE WHEN p_partkey % 97 = 0 THEN NULL WHEN p_partkey % 101 = 0 THEN '$0.00' ELSE concat('$', {PRICE}) END AS price,
+  CASE WHEN p_partkey % 97 = 0 THEN NULL WHEN p_partkey % 101 = 0 THEN '$0.00'
+       WHEN p_partkey % 61 = 0 THEN concat('$', format('{{:,.2f}}', p_retailprice * (1 + p_partkey % 37) * 500))
+       ELSE concat('$', {PRICE}) END AS price,
   CASE WHEN p_partkey % 53 = 0 THEN NULL WHEN p_partkey % 59 = 0 THEN 'not json' WHEN p_partkey % 11 = 0 THEN '[]'
+       WHEN p_partkey % 67 = 0 THEN '["a","b"] junk' WHEN p_partkey % 73 = 0 THEN '[''x'', (''y'',''z'')]'
        ELSE concat('["', replace(p_name, ' ', '","'), '"]') END AS amenities,
   CASE WHEN p_partkey % 13 = 0 THEN 'N/A' ELSE concat(CAST(p_partkey % 101 AS VARCHAR), '%') END AS host_response_rate
 FROM part""",
-    "listings_raw": """
-SELECT * FROM listings_base
+    "listings_stamped": """
+SELECT *, CAST(regexp_replace(id, '[^0-9]', '', 'g') AS BIGINT) AS ordinal__ FROM listings_base
 UNION ALL
-SELECT * REPLACE ('$1.00' AS price) FROM listings_base WHERE CAST(id AS BIGINT) % 20 = 0""",
+SELECT * REPLACE ('$1.00' AS price), CAST(regexp_replace(id, '[^0-9]', '', 'g') AS BIGINT) + 1000000000000 FROM listings_base
+WHERE CAST(regexp_replace(id, '[^0-9]', '', 'g') AS BIGINT) % 20 = 0""",
+    "listings_raw": "SELECT * EXCLUDE (ordinal__) FROM listings_stamped",
     "listings_dedup": """
-SELECT * EXCLUDE (rn__) FROM (
-  SELECT *, row_number() OVER (PARTITION BY id ORDER BY price ASC NULLS LAST) AS rn__ FROM listings_raw)
+SELECT * EXCLUDE (rn__, ordinal__) FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY ordinal__) AS rn__ FROM listings_stamped)
 WHERE rn__ = 1""",
     "listings_p": """
 SELECT * EXCLUDE (neighbourhood_group_cleansed, license),
@@ -87,38 +98,45 @@ SELECT id, name, host_id, host_name, {pdate('host_since')} AS host_since, {pdate
   CASE WHEN price_clean IS NULL OR price_clean <= 0 THEN 'No especificado'
        WHEN price_clean < q25 THEN 'Económico' WHEN price_clean < q50 THEN 'Medio'
        WHEN price_clean < q75 THEN 'Alto' ELSE 'Lujo' END AS price_category,
-  CAST(coalesce(json_array_length(try_cast(amenities AS JSON)), 0) AS BIGINT) AS n_amenities,
+  CAST({N_ITEMS} AS BIGINT) AS n_amenities,
   year({pdate('host_since')}) AS host_since_year, month({pdate('host_since')}) AS host_since_month,
   quarter({pdate('host_since')}) AS host_since_quarter, year({pdate('last_review')}) AS last_review_year
 FROM listings_p, listings_t""",
-    "reviews_raw": f"""
-SELECT l_orderkey * 10 + l_linenumber AS id, l_partkey AS listing_id, {SHIP} AS date, l_suppkey AS reviewer_id,
-  concat('user ', CAST(l_suppkey AS VARCHAR)) AS reviewer_name,
-  CASE WHEN l_linenumber = 7 THEN NULL ELSE concat(l_returnflag, l_linestatus) END AS comments
-FROM lineitem""",
+    "lineitem_placed": "SELECT *, row_number() OVER () AS ordinal__ FROM lineitem",
+    "reviews_stamped": f"""
+SELECT CAST(l_orderkey * 10 + l_linenumber AS VARCHAR) AS id,
+  CASE WHEN l_orderkey % 101 = 0 THEN NULL WHEN l_orderkey % 103 = 0 THEN '999999999'
+       WHEN l_orderkey % 107 = 0 THEN concat('x', CAST(l_partkey AS VARCHAR)) ELSE CAST(l_partkey AS VARCHAR) END AS listing_id,
+  CASE WHEN l_orderkey % 113 = 0 THEN '2020-01-01 junk' WHEN l_orderkey % 127 = 0 THEN NULL ELSE {SHIP} END AS date,
+  CAST(l_suppkey AS VARCHAR) AS reviewer_id, concat('user ', CAST(l_suppkey AS VARCHAR)) AS reviewer_name,
+  CASE WHEN l_linenumber = 7 THEN NULL WHEN l_orderkey % 211 = 0 THEN repeat(concat(l_returnflag, l_linestatus), 2500)
+       ELSE concat(l_returnflag, l_linestatus) END AS comments, ordinal__
+FROM lineitem_placed""",
+    "reviews_raw": "SELECT * EXCLUDE (ordinal__) FROM reviews_stamped",
     "reviews_dedup": """
-SELECT * EXCLUDE (rn__) FROM (
-  SELECT *, row_number() OVER (PARTITION BY id ORDER BY date ASC NULLS LAST, listing_id ASC NULLS LAST,
-    reviewer_id ASC NULLS LAST, comments ASC NULLS LAST) AS rn__ FROM reviews_raw)
+SELECT * EXCLUDE (rn__, ordinal__) FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY ordinal__) AS rn__ FROM reviews_stamped)
 WHERE rn__ = 1""",
     "reviews_clean": f"""
-SELECT id, CAST(listing_id AS BIGINT) AS listing_id, d AS date, CAST(reviewer_id AS BIGINT) AS reviewer_id,
+SELECT id, try_cast(listing_id AS BIGINT) AS listing_id, d AS date, CAST(reviewer_id AS BIGINT) AS reviewer_id,
   reviewer_name, coalesce(comments, 'Sin comentario') AS comments,
   year(d) AS year, month(d) AS month, day(d) AS day, quarter(d) AS quarter, isodow(d) - 1 AS day_of_week,
   CAST(CASE WHEN isodow(d) - 1 IN (5, 6) THEN 1 ELSE 0 END AS BIGINT) AS is_weekend
 FROM (SELECT *, {pdate('date')} AS d FROM reviews_dedup)""",
-    "calendar_raw": f"""
-SELECT l_partkey AS listing_id, {SHIP} AS date,
-  CASE l_returnflag WHEN 'A' THEN 't' WHEN 'N' THEN 'f' END AS available,
-  CAST(CAST(l_quantity AS INTEGER) AS BIGINT) AS minimum_nights, CAST(CAST(l_quantity AS INTEGER) * 20 AS BIGINT) AS maximum_nights
-FROM lineitem""",
+    "calendar_stamped": f"""
+SELECT CASE WHEN l_orderkey % 109 = 0 THEN NULL ELSE CAST(l_partkey AS VARCHAR) END AS listing_id,
+  CASE WHEN l_orderkey % 131 = 0 THEN 'bad' ELSE {SHIP} END AS date,
+  CASE WHEN l_returnflag = 'A' THEN 't' WHEN l_returnflag = 'N' THEN 'f' WHEN l_linenumber = 3 THEN 'x' END AS available,
+  CASE WHEN l_orderkey % 137 = 0 THEN '2.5' ELSE CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) END AS minimum_nights,
+  CAST(CAST(l_quantity AS INTEGER) * 20 AS VARCHAR) AS maximum_nights, ordinal__
+FROM lineitem_placed""",
+    "calendar_raw": "SELECT * EXCLUDE (ordinal__) FROM calendar_stamped",
     "calendar_dedup": """
-SELECT * EXCLUDE (rn__) FROM (
-  SELECT *, row_number() OVER (PARTITION BY listing_id, date ORDER BY available ASC NULLS LAST,
-    minimum_nights ASC NULLS LAST) AS rn__ FROM calendar_raw)
+SELECT * EXCLUDE (rn__, ordinal__) FROM (
+  SELECT *, row_number() OVER (PARTITION BY listing_id, date ORDER BY ordinal__) AS rn__ FROM calendar_stamped)
 WHERE rn__ = 1""",
     "calendar_clean": f"""
-SELECT CAST(listing_id AS BIGINT) AS listing_id, d AS date, available,
+SELECT try_cast(listing_id AS BIGINT) AS listing_id, d AS date, available,
   CAST(minimum_nights AS DOUBLE) AS minimum_nights, CAST(maximum_nights AS DOUBLE) AS maximum_nights,
   {flag('available')} AS is_available, year(d) AS year, month(d) AS month, week(d) AS week,
   quarter(d) AS quarter, isodow(d) - 1 AS day_of_week
@@ -129,7 +147,23 @@ SELECT year, month, count(date) AS total_dias,
   round_even(avg(CASE WHEN is_available THEN 1 ELSE 0 END) * 100, 2) AS disponibilidad_pct,
   round_even(avg(minimum_nights), 1) AS noches_minimas_prom
 FROM calendar_clean WHERE year IS NOT NULL AND month IS NOT NULL GROUP BY year, month""",
-    "parents": "SELECT * FROM listings_clean WHERE minimum_nights IS NULL OR minimum_nights <= 365",
+    "parent_ids": "SELECT DISTINCT try_cast(id AS BIGINT) AS pid FROM listings_clean WHERE try_cast(id AS BIGINT) IS NOT NULL",
+    # the serving rules: the first one that a row breaks
+    "listings_checked": """
+SELECT *, CASE WHEN try_cast(id AS BIGINT) IS NULL THEN 'type:id' WHEN accommodates <> floor(accommodates) THEN 'type:accommodates'
+  WHEN bedrooms <> floor(bedrooms) THEN 'type:bedrooms' WHEN beds <> floor(beds) THEN 'type:beds' END AS violation
+FROM listings_clean""",
+    "published_ids": "SELECT CAST(id AS BIGINT) AS pid FROM listings_checked WHERE violation IS NULL",
+    "reviews_checked": """
+SELECT *, CASE WHEN try_cast(id AS BIGINT) IS NULL THEN 'type:id' WHEN listing_id IS NULL THEN 'not_null:listing_id'
+  WHEN listing_id NOT IN (SELECT pid FROM published_ids) THEN 'orphan:listing_id' END AS violation
+FROM reviews_clean""",
+    "calendar_checked": """
+SELECT *, CASE WHEN minimum_nights <> floor(minimum_nights) THEN 'type:minimum_nights'
+  WHEN maximum_nights <> floor(maximum_nights) THEN 'type:maximum_nights'
+  WHEN listing_id IS NULL THEN 'not_null:listing_id' WHEN date IS NULL THEN 'not_null:date'
+  WHEN listing_id NOT IN (SELECT pid FROM published_ids) THEN 'orphan:listing_id' END AS violation
+FROM calendar_clean""",
 }
 
 
@@ -167,12 +201,10 @@ SQL: dict[str, str] = {
 SELECT id, price, CASE WHEN p IS NULL OR p <= 0 THEN 'No especificado' WHEN p < 60000 THEN 'Económico'
   WHEN p < 120000 THEN 'Medio' WHEN p < 250000 THEN 'Alto' ELSE 'Lujo' END AS price_category
 FROM (SELECT *, try_cast(regexp_replace(price, '[^0-9.]', '', 'g') AS DOUBLE) AS p FROM listings_raw)""",
-    "count_list_items": "SELECT id, amenities, CAST(coalesce(json_array_length(try_cast(amenities AS JSON)), 0) AS BIGINT) AS n_amenities "
-                        "FROM listings_raw",
-    "parse_list": """
+    "count_list_items": f"SELECT id, amenities, CAST({N_ITEMS} AS BIGINT) AS n_amenities FROM listings_raw",
+    "parse_list": f"""
 SELECT id, len(items) AS n_items, array_to_string(items, '|') AS items_text
-FROM (SELECT id, coalesce(from_json(try_cast(amenities AS JSON), '["VARCHAR"]'), []::VARCHAR[]) AS items
-      FROM listings_raw)""",
+FROM (SELECT id, {ITEMS} AS items FROM listings_raw)""",
     "parse_date": f"SELECT id, host_since AS host_since_raw, {iso(pdate('host_since'))} AS host_since, "
                   f"{iso(pdate('last_review'))} AS last_review FROM listings_raw",
     "date_parts_listing": "SELECT id, host_since_year, host_since_month, host_since_quarter, last_review_year "
@@ -230,7 +262,6 @@ CORR_VARS = ["price_num", "accommodates", "bedrooms", "beds", "minimum_nights",
              "number_of_reviews", "review_scores_rating", "n_amenities"]
 REVIEW_RAW_COLS = ["id", "listing_id", "date", "reviewer_id", "reviewer_name", "comments"]
 CALENDAR_RAW_COLS = ["listing_id", "date", "available", "minimum_nights", "maximum_nights"]
-ITEMS = "coalesce(from_json(try_cast(amenities AS JSON), '[\"VARCHAR\"]'), []::VARCHAR[])"
 
 CTES["listings_num"] = ("SELECT * REPLACE (" + ", ".join(f"{num(c)} AS {c}" for c in DESCRIBE_PRESENT) + "), "
                         + num("regexp_replace(price, '[$,]', '', 'g')") + " AS price_num, "
@@ -359,9 +390,9 @@ SQL.update({
     "filter_valid_min_nights": "SELECT id, minimum_nights FROM listings_clean "
                                "WHERE minimum_nights IS NULL OR minimum_nights <= 365",
     # ---------------------------------------------------------------- 2.3
-    "semi_join_valid_parents": "SELECT * FROM reviews_raw WHERE listing_id IN (SELECT CAST(id AS BIGINT) FROM parents)",
-    "fk_orphans": "SELECT id, listing_id FROM reviews_clean WHERE listing_id IS NOT NULL "
-                  "AND listing_id NOT IN (SELECT CAST(id AS BIGINT) FROM parents)",
+    "semi_join_valid_parents": "SELECT * FROM reviews_raw WHERE try_cast(listing_id AS BIGINT) IN (SELECT pid FROM parent_ids)",
+    "fk_orphans": "SELECT id, listing_id FROM reviews_raw WHERE listing_id IS NOT NULL "
+                  "AND coalesce(try_cast(listing_id AS BIGINT) NOT IN (SELECT pid FROM parent_ids), TRUE)",
     "broadcast_thresholds": "SELECT id, price_clean, price_category, q25, q50, q75 FROM listings_clean, listings_t",
     # ---------------------------------------------------------------- 2.4 dedup
     "dedup_listings": "SELECT * FROM listings_dedup",
@@ -384,7 +415,8 @@ FROM calendar_clean WHERE date IS NOT NULL GROUP BY 1, 2""",
 SELECT mes, avg(CASE available WHEN 't' THEN 1 WHEN 'f' THEN 0 END) * 100 AS disponibilidad_pct
 FROM (SELECT *, {_MES} AS mes FROM calendar_raw) WHERE mes IS NOT NULL GROUP BY mes""",
     "availability_crosstab": f"""
-SELECT mes, count(*) FILTER (WHERE available = 'f') AS f, count(*) FILTER (WHERE available = 't') AS t
+SELECT mes, count(*) FILTER (WHERE available = 'f') AS f, count(*) FILTER (WHERE available = 't') AS t,
+  count(*) FILTER (WHERE available NOT IN ('f', 't')) AS other
 FROM (SELECT *, {_MES} AS mes FROM calendar_raw) WHERE mes IS NOT NULL AND available IS NOT NULL GROUP BY mes""",
     "availability_share": """
 SELECT available, count(*) AS count,
@@ -406,7 +438,7 @@ GROUP BY 1 ORDER BY count DESC, neighbourhood_cleansed ASC NULLS LAST LIMIT 5"""
 SELECT listing_id, count(*) AS count FROM reviews_raw GROUP BY 1 ORDER BY count DESC, listing_id ASC NULLS LAST LIMIT 5""",
     "top_amenities": """
 SELECT item, count(*) AS count
-FROM (SELECT unnest(from_json(try_cast(amenities AS JSON), '["VARCHAR"]')) AS item FROM listings_raw)
+FROM (SELECT unnest(""" + ITEMS + """) AS item FROM listings_raw)
 GROUP BY item ORDER BY count DESC, item ASC NULLS LAST LIMIT 20""",
     "amenities_stats": f"SELECT avg(n) AS mean_items, max(n) AS max_items, min(n) AS min_items "
                        f"FROM (SELECT len({ITEMS}) AS n FROM listings_raw)",
@@ -427,7 +459,7 @@ UNION ALL SELECT DISTINCT 'calendar', 'available', available FROM calendar_raw""
     # ---------------------------------------------------------------- 2.4 profiles
     "null_profile": f"""
 SELECT "column", CAST(nulls AS DOUBLE) / rows * 100 AS null_pct FROM ({_nulls_long('listings_raw', LISTING_RAW_COLS)})
-WHERE nulls > 0 ORDER BY null_pct DESC, "column" LIMIT 40""",
+WHERE nulls > 0 ORDER BY null_pct DESC, "column" """,
     "null_counts": _nulls_long("listings_raw", LISTING_RAW_COLS),
     "null_overview": _null_overview(),
     "describe_numeric": _describe(),
@@ -465,24 +497,101 @@ def _iso_dates(table: str, cols: list[str]) -> str:
     return f"SELECT * REPLACE ({rep}) FROM {table}"
 
 
+LISTING_FIELDS = [("id", "bigint", "BIGINT"), ("name", "string", "VARCHAR"), ("host_id", "bigint", "BIGINT"),
+                  ("host_name", "string", "VARCHAR"), ("host_since", "date", "DATE"),
+                  ("host_is_superhost", "int", "INTEGER"), ("neighbourhood_cleansed", "string", "VARCHAR"),
+                  ("room_type", "string", "VARCHAR"), ("accommodates", "int", "INTEGER"), ("bathrooms", "double", "DOUBLE"),
+                  ("bedrooms", "int", "INTEGER"), ("beds", "int", "INTEGER"), ("price", "double", "DOUBLE"),
+                  ("minimum_nights", "int", "INTEGER"), ("maximum_nights", "int", "INTEGER"),
+                  ("availability_365", "int", "INTEGER"), ("number_of_reviews", "int", "INTEGER"),
+                  ("review_scores_rating", "double", "DOUBLE")]
+REVIEW_FIELDS = [("id", "bigint", "BIGINT"), ("listing_id", "bigint", "BIGINT"), ("date", "date", "DATE"),
+                 ("reviewer_id", "bigint", "BIGINT"), ("reviewer_name", "string", "VARCHAR"), ("comments", "string", "VARCHAR")]
+CALENDAR_FIELDS = [("listing_id", "bigint", "BIGINT"), ("date", "date", "DATE"), ("minimum_nights", "int", "INTEGER"),
+                   ("maximum_nights", "int", "INTEGER")]
+
+
+def _misfit(c: str, duck_t: str) -> str:
+    """A text that does not fit its serving type: no such value, or a fraction in an integer column."""
+    value = pdate(c) if duck_t == "DATE" else f"try_cast({c} AS {duck_t})"
+    bad = f"{c} IS NOT NULL AND {value} IS NULL"
+    if duck_t in ("BIGINT", "INTEGER"):
+        d = f"try_cast({c} AS DOUBLE)"
+        bad = f"({bad}) OR ({c} IS NOT NULL AND {d} IS NOT NULL AND {d} <> floor({d}))"
+    return bad
+
+
 def _check_types() -> str:
-    fields = [("id", "bigint", "BIGINT"), ("name", "string", "VARCHAR"), ("host_id", "bigint", "BIGINT"),
-              ("host_name", "string", "VARCHAR"), ("host_since", "date", "DATE"),
-              ("host_is_superhost", "int", "INTEGER"), ("neighbourhood_cleansed", "string", "VARCHAR"),
-              ("room_type", "string", "VARCHAR"), ("accommodates", "int", "INTEGER"), ("bathrooms", "double", "DOUBLE"),
-              ("bedrooms", "int", "INTEGER"), ("beds", "int", "INTEGER"), ("price", "double", "DOUBLE"),
-              ("minimum_nights", "int", "INTEGER"), ("maximum_nights", "int", "INTEGER"),
-              ("availability_365", "int", "INTEGER"), ("number_of_reviews", "int", "INTEGER"),
-              ("review_scores_rating", "double", "DOUBLE")]
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", '{spark_t}' AS target_type, "
+        f"CAST(coalesce(sum(CASE WHEN {_misfit(c, duck_t)} THEN 1 ELSE 0 END), 0) AS BIGINT) AS violations FROM listings_raw"
+        for c, spark_t, duck_t in LISTING_FIELDS)
+
+
+def _quality() -> str:
+    keys = {"listings": ["id"], "reviews": ["id"], "calendar": ["listing_id", "date"]}
+    fields = {"listings": LISTING_FIELDS, "reviews": REVIEW_FIELDS, "calendar": CALENDAR_FIELDS}
     parts = []
-    for c, spark_t, duck_t in fields:
-        bad = f"{c} IS NOT NULL AND try_cast({c} AS {duck_t}) IS NULL"
-        if duck_t in ("BIGINT", "INTEGER"):
-            d = f"try_cast({c} AS DOUBLE)"
-            bad = f"({bad}) OR ({c} IS NOT NULL AND {d} IS NOT NULL AND {d} <> floor({d}))"
-        parts.append(f"SELECT '{c}' AS \"column\", '{spark_t}' AS target_type, "
-                     f"CAST(coalesce(sum(CASE WHEN {bad} THEN 1 ELSE 0 END), 0) AS BIGINT) AS violations FROM listings_raw")
-    return " UNION ALL ".join(parts)
+    for t, k in keys.items():
+        ks = ", ".join(k)
+        parts.append(f"SELECT '{t}' AS t, 'unique' AS rule, '{','.join(k)}' AS columns, CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS violations "
+                     f"FROM (SELECT count(*) AS n FROM {t}_raw GROUP BY {ks} HAVING count(*) > 1)")
+        for c in {"reviews": ["listing_id"], "calendar": ["listing_id", "date"]}.get(t, []):
+            parts.append(f"SELECT '{t}', 'not_null', '{c}', count(*) - count({c}) FROM {t}_raw")
+        for c, _, duck_t in fields[t]:
+            parts.append(f"SELECT '{t}', 'type', '{c}', CAST(coalesce(sum(CASE WHEN {_misfit(c, duck_t)} THEN 1 ELSE 0 END), 0) AS BIGINT) FROM {t}_raw")
+        if t != "listings":
+            parts.append(f"SELECT '{t}', 'foreign_key', 'listing_id', count(*) FROM {t}_raw WHERE listing_id IS NOT NULL "
+                         "AND coalesce(try_cast(listing_id AS BIGINT) NOT IN (SELECT pid FROM parent_ids), TRUE)")
+    parts.append("SELECT 'calendar_summary', 'unique', 'year,month', CAST(coalesce(sum(n - 1), 0) AS BIGINT) "
+                 "FROM (SELECT count(*) AS n FROM calendar_summary GROUP BY year, month HAVING count(*) > 1)")
+    parts += [f"SELECT 'calendar_summary', 'not_null', '{c}', count(*) - count({c}) FROM calendar_summary" for c in ("year", "month")]
+    whole = {"year", "month", "total_dias", "dias_disponibles"}
+    parts += [f"SELECT 'calendar_summary', 'type', '{c}', count(*) FILTER (WHERE {'%s <> floor(%s)' % (c, c) if c in whole else 'FALSE'}) FROM calendar_summary"
+              for c in ["year", "month", "total_dias", "dias_disponibles", "disponibilidad_pct", "noches_minimas_prom"]]
+    return ("SELECT t AS table_name, rule, columns, violations, CASE WHEN violations > 0 THEN 'fail' ELSE 'ok' END AS status FROM ("
+            + " UNION ALL ".join(parts) + ")")
+
+
+# columns and kinds (text and dates: length; numbers and flags: sum) of the clean tables
+CLEAN_COLUMNS = {
+    "listings": {**{c: "v" for c in LISTING_RAW_COLS if c not in ("neighbourhood_group_cleansed", "license")}, "price_clean": "n",
+                 "price_category": "v", "n_amenities": "n", "host_since_year": "n", "host_since_month": "n", "host_since_quarter": "n",
+                 "last_review_year": "n", "host_is_superhost": "n", "instant_bookable": "n", **{c: "n" for c in DESCRIBE_PRESENT}},
+    "reviews": {"id": "v", "listing_id": "n", "date": "v", "reviewer_id": "n", "reviewer_name": "v", "comments": "v", "year": "n",
+                "month": "n", "day": "n", "quarter": "n", "day_of_week": "n", "is_weekend": "n"},
+    "calendar": {"listing_id": "n", "date": "v", "available": "v", "minimum_nights": "n", "maximum_nights": "n", "is_available": "n",
+                 "year": "n", "month": "n", "week": "n", "quarter": "n", "day_of_week": "n"},
+    "calendar_summary": {c: "n" for c in ["year", "month", "total_dias", "dias_disponibles", "disponibilidad_pct", "noches_minimas_prom"]},
+}
+
+
+def _contents(name: str, source: str, kinds: dict[str, str]) -> str:
+    def total(c: str, kind: str) -> str:
+        if kind == "v":
+            return f"sum(length(CAST({c} AS VARCHAR)))"
+        return f"sum(CAST(floor(CAST({c} AS DOUBLE) * 1000 + 0.5) AS BIGINT))"
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, count(*) AS rows, '{c}' AS \"column\", count({c}) AS n, CAST({total(c, k)} AS BIGINT) AS total FROM {source}"
+        for c, k in kinds.items())
+
+
+_ALL_CONTENTS = " UNION ALL ".join(_contents(t, f"{t}_clean" if t != "calendar_summary" else t, k) for t, k in CLEAN_COLUMNS.items())
+_EXPORTED = {
+    "listings": ["id", "name", "host_id", "host_name", "host_since", "host_is_superhost", "neighbourhood_cleansed", "room_type",
+                 "accommodates", "bedrooms", "price_clean", "price_category", "minimum_nights", "availability_365", "number_of_reviews",
+                 "review_scores_rating", "n_amenities"],
+    "reviews": ["id", "listing_id", "date", "reviewer_name", "year", "month", "quarter", "is_weekend"],
+}
+_BUNDLE = " UNION ALL ".join(
+    [_contents(t, f"{t}_clean", {c: CLEAN_COLUMNS[t][c] for c in cols}) for t, cols in _EXPORTED.items()]
+    + [_contents("monthly", "calendar_summary", CLEAN_COLUMNS["calendar_summary"])])
+_OUTCOMES = " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, coalesce(violation, 'published') AS outcome, count(*) AS rows FROM {t}_checked GROUP BY 2"
+    for t in ("listings", "reviews", "calendar")) + " UNION ALL SELECT 'calendar_summary', 'published', count(*) FROM calendar_summary"
+_PUBLISHED_ROWS = " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS rows FROM {t}_checked WHERE violation IS NULL" for t in ("listings", "reviews", "calendar")) + (
+    " UNION ALL SELECT 'calendar_summary', count(*) FROM calendar_summary")
 
 
 def _metrics() -> str:
@@ -511,19 +620,14 @@ SELECT CAST(id AS BIGINT) AS id, name, CAST(host_id AS BIGINT) AS host_id, host_
   CAST(beds AS BIGINT) AS beds, price_clean AS price, price_category, CAST(minimum_nights AS BIGINT) AS minimum_nights,
   CAST(maximum_nights AS BIGINT) AS maximum_nights, CAST(availability_365 AS BIGINT) AS availability_365,
   CAST(number_of_reviews AS BIGINT) AS number_of_reviews, review_scores_rating, n_amenities, host_since_year
-FROM listings_clean"""
+FROM listings_checked WHERE violation IS NULL"""
 _PUB_REVIEWS = f"""
-SELECT id, listing_id, {iso('date')} AS date, reviewer_id, reviewer_name, substring(comments, 1, 4000) AS comments,
-  year, month, day, quarter, is_weekend FROM reviews_clean"""
+SELECT CAST(id AS BIGINT) AS id, listing_id, {iso('date')} AS date, reviewer_id, reviewer_name, comments,
+  year, month, day, quarter, is_weekend FROM reviews_checked WHERE violation IS NULL"""
 _PUB_CALENDAR = f"""
 SELECT listing_id, {iso('date')} AS date, CAST(coalesce(is_available, FALSE) AS BIGINT) AS is_available,
   CAST(minimum_nights AS BIGINT) AS minimum_nights, CAST(maximum_nights AS BIGINT) AS maximum_nights,
-  year, month, week, quarter, day_of_week FROM calendar_clean"""
-_CLEAN_ROWS = """
-SELECT 'listings' AS table_name, count(*) AS rows FROM listings_clean
-UNION ALL SELECT 'reviews', count(*) FROM reviews_clean
-UNION ALL SELECT 'calendar', count(*) FROM calendar_clean
-UNION ALL SELECT 'calendar_summary', count(*) FROM calendar_summary"""
+  year, month, week, quarter, day_of_week FROM calendar_checked WHERE violation IS NULL"""
 _RAW_ALL_TEXT = """
 SELECT CAST(id AS VARCHAR) AS id, CAST(listing_id AS VARCHAR) AS listing_id, date, CAST(reviewer_id AS VARCHAR) AS reviewer_id,
   reviewer_name, comments FROM reviews_raw"""
@@ -533,16 +637,12 @@ SQL.update({
     "transform_listings": _iso_dates("listings_clean", ["host_since", "last_review"]),
     "transform_reviews": _iso_dates("reviews_clean", ["date"]),
     "transform_calendar": _iso_dates("calendar_clean", ["date"]),
-    "transform_all": """
-SELECT 'listings' AS table_name, count(*) AS rows, CAST(29 AS BIGINT) AS columns FROM listings_clean
-UNION ALL SELECT 'reviews', count(*), 12 FROM reviews_clean
-UNION ALL SELECT 'calendar', count(*), 11 FROM calendar_clean
-UNION ALL SELECT 'calendar_summary', count(*), 6 FROM calendar_summary""",
+    "transform_all": _ALL_CONTENTS,
     # ---------------------------------------------------------------- 2.11
     "check_unique": """
-SELECT 'listings' AS table_name, id AS key_value, count(*) AS rows FROM listings_raw GROUP BY id HAVING count(*) > 1
-UNION ALL SELECT 'reviews', CAST(id AS VARCHAR), count(*) FROM reviews_raw GROUP BY id HAVING count(*) > 1
-UNION ALL SELECT 'calendar', concat_ws('|', CAST(listing_id AS VARCHAR), date), count(*) FROM calendar_raw
+SELECT 'listings' AS table_name, coalesce(id, '<null>') AS key_value, count(*) AS rows FROM listings_raw GROUP BY id HAVING count(*) > 1
+UNION ALL SELECT 'reviews', coalesce(id, '<null>'), count(*) FROM reviews_raw GROUP BY id HAVING count(*) > 1
+UNION ALL SELECT 'calendar', concat_ws('|', coalesce(listing_id, '<null>'), coalesce(date, '<null>')), count(*) FROM calendar_raw
   GROUP BY listing_id, date HAVING count(*) > 1""",
     "check_not_null": """
 SELECT 'listing_id' AS "column", count(*) - count(listing_id) AS violations, 'reviews' AS table_name FROM reviews_clean
@@ -551,23 +651,18 @@ UNION ALL SELECT 'date', count(*) - count(date), 'calendar' FROM calendar_clean
 UNION ALL SELECT 'year', count(*) - count(year), 'calendar_summary' FROM calendar_summary
 UNION ALL SELECT 'month', count(*) - count(month), 'calendar_summary' FROM calendar_summary""",
     "check_types": _check_types(),
-    "quality_report": """
-SELECT 'reviews' AS table_name, rule, columns, violations,
-  CASE WHEN violations > 0 THEN 'fail' ELSE 'ok' END AS status FROM (
-  SELECT 'unique' AS rule, 'id' AS columns, CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS violations
-    FROM (SELECT count(*) AS n FROM reviews_clean GROUP BY id HAVING count(*) > 1)
-  UNION ALL SELECT 'not_null', 'listing_id', count(*) - count(listing_id) FROM reviews_clean
-  UNION ALL SELECT 'foreign_key', 'listing_id', count(*) FROM reviews_clean
-    WHERE listing_id IS NOT NULL AND listing_id NOT IN (SELECT CAST(id AS BIGINT) FROM parents)
-  UNION ALL SELECT 'type', c, 0 FROM (VALUES ('id'), ('listing_id'), ('date'), ('reviewer_id'), ('reviewer_name'),
-    ('comments'), ('year'), ('month'), ('day'), ('quarter'), ('is_weekend')) v(c))""",
+    "quality_report": _quality(),
     # ---------------------------------------------------------------- 2.12
     "run_metrics": _metrics(),
     # ---------------------------------------------------------------- 2.1
     "scan_raw_csv": _RAW_ALL_TEXT,
     "write_raw_zone": _null_tokens_body(),
-    "quarantine_bad_rows": _RAW_ALL_TEXT.replace(" FROM reviews_raw", ", id % 13 = 0 AS rejected FROM reviews_raw"),
-    "extract_filter_project_limit": "SELECT listing_id, date, available FROM calendar_raw WHERE available = 't'",
+    "quarantine_bad_rows": """
+SELECT id, CASE WHEN listing_id = '' THEN NULL ELSE listing_id END AS listing_id,
+  CASE WHEN NOT bad THEN concat(coalesce(comments, ''), chr(10), 'end') END AS comments, bad AS rejected
+FROM (SELECT *, CAST(id AS BIGINT) % 13 = 0 OR CAST(id AS BIGINT) % 17 = 0 AS bad FROM reviews_raw)""",
+    "extract_filter_project_limit": "SELECT listing_id, date, available FROM calendar_raw WHERE available IS NULL "
+                                    "AND date IS DISTINCT FROM 'bad' ORDER BY listing_id ASC NULLS LAST, date ASC NULLS LAST LIMIT 500",
     "extract_listings": "SELECT id, price, room_type FROM listings_raw WHERE room_type = 'SMALL'",
     "extract_reviews": "SELECT id, listing_id, date FROM reviews_raw WHERE date >= '1998-01-01'",
     "extract_calendar": "SELECT * FROM calendar_raw WHERE available = 'f'",
@@ -577,26 +672,24 @@ UNION ALL SELECT 'reviews', count(*), 6 FROM reviews_raw
 UNION ALL SELECT 'calendar', count(*), 5 FROM calendar_raw
 UNION ALL SELECT 'TOTAL', (SELECT count(*) FROM listings_raw) + (SELECT count(*) FROM reviews_raw)
   + (SELECT count(*) FROM calendar_raw), 35""",
-    "table_profile": f"""
-SELECT 'listings' AS table_name, count(*) AS rows, CAST(24 AS BIGINT) AS n_fields, '{",".join(LISTING_RAW_COLS)}' AS fields FROM listings_raw
-UNION ALL SELECT 'reviews', count(*), 6, '{",".join(REVIEW_RAW_COLS)}' FROM reviews_raw
-UNION ALL SELECT 'calendar', count(*), 5, '{",".join(CALENDAR_RAW_COLS)}' FROM calendar_raw""",
-    "write_clean_zone": _CLEAN_ROWS,
+    "table_profile": " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) AS rows, CAST({len(cols)} AS BIGINT) AS n_fields, '{','.join(cols)}' AS fields, "
+        f"'{','.join(['string'] * len(cols))}' AS types FROM {t}_raw"
+        for t, cols in [("listings", LISTING_RAW_COLS), ("reviews", REVIEW_RAW_COLS), ("calendar", CALENDAR_RAW_COLS)]),
+    "write_clean_zone": _ALL_CONTENTS,
     "read_clean_zone": _iso_dates("listings_clean", ["host_since", "last_review"]),
     "publish_listings": _PUB_LISTINGS,
     "publish_reviews": _PUB_REVIEWS,
     "publish_calendar": _PUB_CALENDAR,
     "publish_calendar_summary": "SELECT * FROM calendar_summary",
-    "publish_all": _CLEAN_ROWS,
+    "publish_all": _OUTCOMES,
     "post_load_counts": f"SELECT table_name, rows AS source_rows, rows AS loaded_rows, "
-                        f"CASE WHEN rows > 0 THEN 'OK' ELSE 'FALLO' END AS status FROM ({_CLEAN_ROWS})",
+                        f"CASE WHEN rows > 0 THEN 'OK' ELSE 'FALLO' END AS status FROM ({_PUBLISHED_ROWS})",
     "layout_by_keys": _PUB_CALENDAR,
     "export_listings": f"""
 SELECT id, name, host_id, host_name, {iso('host_since')} AS host_since, host_is_superhost, neighbourhood_cleansed,
   room_type, accommodates, bedrooms, price_clean, price_category, minimum_nights, availability_365, number_of_reviews,
   review_scores_rating, n_amenities FROM listings_clean""",
     "export_calendar": "SELECT * FROM calendar_summary",
-    "export_report_bundle": f"""
-SELECT id, listing_id, {iso('date')} AS date, reviewer_name, year, month, quarter, is_weekend FROM reviews_clean
-ORDER BY id LIMIT 15000""",
+    "export_report_bundle": _BUNDLE,
 })

@@ -19,27 +19,41 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lodgespark.operators import quality as Q
+from lodgespark.operators.cleaning import ORDINAL
+from lodgespark.operators.quantiles import exact_quantiles
 from lodgespark.operators.summaries import calendar_monthly_summary
 from lodgespark.plans.transform import transform_calendar, transform_listings, transform_reviews
+from lodgespark.session import delete_path
 from lodgespark.sources import raw as R
 from lodgespark.sources import zones as Z
 
 
+class IngestError(RuntimeError):
+    """At least one table could not be ingested; ``status`` has the report's rows."""
+
+    def __init__(self, status: list[tuple]):
+        super().__init__("; ".join(f"{t}: {e or 'no rows'}" for t, _, _, s, e in status if s != "OK"))
+        self.status = status
+
+
 def ingest_job(spark: SparkSession, files: Mapping[str, tuple[str, list[str]]], raw_root: str,
-               partitions: int | None = None) -> DataFrame:
-    """``files``: table -> (CSV path, header columns).  Each table is a full
-    refresh of its raw-zone folder.  A table whose files cannot be read is
-    reported with 0 rows and the run goes on with the others; the result is
-    (table_name, rows, status) with status 'FALLO' for an empty table."""
-    out = {}
+               partitions: int | None = None, strict: bool = False) -> DataFrame:
+    """``files``: table -> (CSV path, wanted columns).  Each table is a full
+    refresh of its raw-zone folder: well-formed and rejected rows are stored
+    once and read back apart by ``sources.raw.read_raw_zone``.  A table whose
+    files cannot be read does not stop the others; the result is (table_name,
+    rows, rejected, status, error) with status 'FALLO' for a table that failed
+    or is empty.  ``strict`` raises ``IngestError`` at the end in that case."""
+    out = []
     for name, (path, columns) in files.items():
         try:
-            df = R.scan_raw_csv(spark, path, columns, partitions=partitions)
-            out[name] = int(Z.write_table(df, f"{raw_root}/{name}").get["rows"])
-        except Exception:  # noqa: BLE001 - the failure is reported in the status table
-            out[name] = 0
-    return Z.rows_frame(spark, out).withColumn(
-        "status", F.when(F.col("rows") > 0, F.lit("OK")).otherwise(F.lit("FALLO")))
+            rows, bad = R.write_flagged(R.scan_flagged(spark, path, columns), f"{raw_root}/{name}", partitions)
+            out.append((name, rows, bad, "OK" if rows else "FALLO", None))
+        except Exception as e:  # noqa: BLE001 - the failure and its cause are part of the report
+            out.append((name, 0, 0, "FALLO", str(e).splitlines()[0][:500]))
+    if strict and any(r[3] != "OK" for r in out):
+        raise IngestError(out)
+    return spark.createDataFrame(out, "table_name string, rows bigint, rejected bigint, status string, error string")
 
 
 def _run_transform(raw: Mapping[str, DataFrame], clean_root: str,
@@ -77,7 +91,7 @@ def _run_transform(raw: Mapping[str, DataFrame], clean_root: str,
             rec("rows_in", rows_in)
             rec("rows_out", m["rows"])
             rec("duplicates_dropped", rows_in - m["rows"])
-            rec("columns_in", len(raw[name].columns))
+            rec("columns_in", len([c for c in raw[name].columns if c != ORDINAL]))
             rec("columns_out", len(out.columns))
             for k in ("null_prices", "mean_n_amenities"):
                 if k in m:
@@ -85,9 +99,8 @@ def _run_transform(raw: Mapping[str, DataFrame], clean_root: str,
             if name == "listings":
                 # exact quartiles need their own aggregate (one row)
                 lst = out.sparkSession.read.parquet(path)
-                q = lst.agg(F.percentile("price_clean", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-                            .alias("q")).first()["q"]
-                for label, v in zip(["price_q25", "price_median", "price_q75"], q or [None, None, None]):
+                q = exact_quantiles(lst, "price_clean", [0.25, 0.5, 0.75]).first()
+                for label, v in zip(["price_q25", "price_median", "price_q75"], q):
                     rec(label, v)
         return int(m["rows"]), recs
 
@@ -123,29 +136,58 @@ def transform_job_metrics(raw: Mapping[str, DataFrame], clean_root: str,
 
 
 def read_clean(spark: SparkSession, clean_root: str, names: Iterable[str] = Z.PUBLISH_ORDER) -> dict[str, DataFrame]:
-    return {n: spark.read.parquet(f"{clean_root}/{n}_clean") for n in names}
+    """The clean tables that are present."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    at = {n: jvm.org.apache.hadoop.fs.Path(f"{clean_root}/{n}_clean") for n in names}
+    return {n: spark.read.parquet(f"{clean_root}/{n}_clean") for n, p in at.items() if p.getFileSystem(conf).exists(p)}
 
 
 def publish_job(spark: SparkSession, clean_root: str, serving_root: str, policy: str = "fail",
-                jdbc: Mapping[str, str] | None = None) -> dict[str, int]:
-    """Check references, then overwrite the serving tables parents first.
-    ``policy='fail'`` stops on any orphan child row (as the relational
-    foreign key would); ``'quarantine'`` writes orphans aside and publishes
-    the rest."""
+                jdbc: Mapping[str, str] | None = None) -> DataFrame:
+    """Apply every rule of the serving tables to the clean tables that are
+    present, then overwrite the serving tables, parents first.
+
+    Each row gets the first rule it breaks (types, NOT NULL, reference, key;
+    ``quality.first_violation``) and is stored once with it.
+    ``policy='fail'`` stops on any violation before anything is published;
+    ``'quarantine'`` puts those rows aside under ``_quarantine`` and publishes
+    the rest.  The result is (table_name, outcome, rows) with one row per
+    table and outcome, 'published' or the rule; per table they sum to the rows
+    that came in.  Reviews and calendar rows refer to the published listings.
+    """
     clean = read_clean(spark, clean_root)
-    parents = clean["listings"]
-    children = ["reviews", "calendar"]
-
-    def check(child: str) -> DataFrame:
-        if policy == "quarantine":
-            good, bad = Q.split_violations(clean[child], parents)
-            bad.write.mode("overwrite").parquet(f"{serving_root}/_quarantine/{child}")
-            return good
-        if Q.fk_orphans(clean[child], parents).limit(1).count():
-            raise ValueError(f"{child}: rows reference listings that do not exist")
-        return clean[child]
-
-    # the two children are checked (and their orphans set aside) as concurrent jobs
-    with ThreadPoolExecutor(max_workers=len(children)) as pool:
-        clean.update(zip(children, pool.map(check, children)))
-    return Z.publish_all(clean, serving_root, jdbc=jdbc)
+    names = [n for n in Z.PUBLISH_ORDER if n in clean]
+    root = f"{serving_root}/_checked"
+
+    def check(name: str) -> list[tuple[str, str, int]]:
+        df = Z.SERVING_PROJECTIONS[name](clean[name])
+        parents = {}
+        if name in ("reviews", "calendar") and "listings" in names:
+            known = spark.read.parquet(f"{root}/listings")
+            parents = {"listing_id": (known.filter(F.col("violation").isNull()), "id")}
+        Q.first_violation(df, Z.SERVING_SCHEMAS[name], Z.SERVING_KEYS[name], Z.SERVING_NOT_NULL[name], parents) \
+            .write.mode("overwrite").parquet(f"{root}/{name}")
+        got = spark.read.parquet(f"{root}/{name}").groupBy("violation").agg(F.count(F.lit(1)).alias("n")).collect()
+        return [(name, r["violation"] or "published", int(r["n"])) for r in got]
+
+    report = [r for n in names[:1] if n == "listings" for r in check(n)]  # its rows are the others' parents
+    rest = [n for n in names if n != "listings"]
+    with ThreadPoolExecutor(max_workers=max(len(rest), 1)) as pool:
+        report += [r for part in pool.map(check, rest) for r in part]
+    broken = [r for r in report if r[1] != "published"]
+    if policy == "fail" and broken:
+        raise ValueError("; ".join(f"{t}: {n} rows break {rule}" for t, rule, n in sorted(broken)))
+    stored = {n: spark.read.parquet(f"{root}/{n}") for n in names}
+
+    def set_aside(name: str) -> None:
+        stored[name].filter(F.col("violation").isNotNull()).write.mode("overwrite").parquet(f"{serving_root}/_quarantine/{name}")
+
+    published = Z.publish_all({n: df.filter(F.col("violation").isNull()).drop("violation") for n, df in stored.items()},
+                              serving_root, jdbc=jdbc)
+    with ThreadPoolExecutor(max_workers=max(len(broken), 1)) as pool:
+        list(pool.map(set_aside, sorted({t for t, _, _ in broken})))
+    for name in names:
+        if published[name] != sum(n for t, rule, n in report if t == name and rule == "published"):
+            raise RuntimeError(f"{name}: rows published differ from rows checked")
+    delete_path(spark, root)
+    return spark.createDataFrame(sorted(report), "table_name string, outcome string, rows bigint")

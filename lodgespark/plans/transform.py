@@ -16,7 +16,9 @@ from lodgespark import constants as K
 from lodgespark import contracts as CT
 from lodgespark.functions import scalars as S
 from lodgespark.operators import cleaning as C
+from lodgespark.operators.quantiles import exact_quantiles
 from lodgespark.operators.summaries import calendar_monthly_summary
+from lodgespark.session import scratch_path
 
 
 def _flag(df: DataFrame, c: str) -> Column:
@@ -28,18 +30,11 @@ def _flag(df: DataFrame, c: str) -> Column:
 def price_thresholds(df: DataFrame, price_col: str = "price_clean") -> Column:
     """(q25, q50, q75) of the non-null prices, each 0 replaced by its
     default, as one struct-valued scalar subquery (one row, computed once)."""
-    q = F.percentile(F.col(price_col), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    one = df.agg(q.alias("q")).select(F.struct(
-        S.quartile_or_default(F.col("q")[0], K.DEFAULT_Q25).alias("q25"),
-        S.quartile_or_default(F.col("q")[1], K.DEFAULT_Q50).alias("q50"),
-        S.quartile_or_default(F.col("q")[2], K.DEFAULT_Q75).alias("q75")).alias("t"))
-    return one.scalar()
-
-
-def with_price_category(df: DataFrame, price_col: str = "price_clean", out_col: str = "price_category") -> DataFrame:
-    df = df.withColumn("__t", price_thresholds(df, price_col))
-    return df.withColumn(out_col, S.categorize_price(price_col, F.col("__t.q25"), F.col("__t.q50"),
-                                                     F.col("__t.q75"))).drop("__t")
+    one = exact_quantiles(df, price_col, [0.25, 0.5, 0.75])
+    return one.select(F.struct(
+        S.quartile_or_default(F.col("q25"), K.DEFAULT_Q25).alias("q25"),
+        S.quartile_or_default(F.col("q50"), K.DEFAULT_Q50).alias("q50"),
+        S.quartile_or_default(F.col("q75"), K.DEFAULT_Q75).alias("q75")).alias("t")).scalar()
 
 
 def _listing_columns(df: DataFrame) -> dict[str, Column]:
@@ -60,44 +55,39 @@ def _listing_columns(df: DataFrame) -> dict[str, Column]:
 
 
 def transform_listings(raw: DataFrame, order: list[Column] | None = None) -> DataFrame:
-    """dedup on id -> drop sparse -> price -> quartile category -> list size ->
-    dates and parts -> flags -> numerics with defaults.  All row-level steps
-    are one projection; the price quartiles are a scalar subquery."""
-    df = C.drop_known_sparse(C.keep_first(CT.LISTINGS.check(raw), ["id"], order))
+    """dedup on id -> drop sparse -> price -> list size -> dates and parts ->
+    flags -> numerics with defaults, in one projection that is stored once in
+    the shared folder; then the price quartiles of the stored rows and the
+    category, a narrow pass over them."""
+    df = C.drop_known_sparse(C.keep_first(CT.LISTINGS.check(raw), ["id"], order)).drop(C.ORDINAL)
     cols = df.columns
-    base = df.withColumn("price_clean", S.parse_price("price"))
-    # the thresholds struct is projected once, so the plan holds one scalar
-    # subquery (one job) rather than one per quartile
-    base = base.withColumn("__t", price_thresholds(base))
     per_col = _listing_columns(df)
     out = [per_col.get(c, F.col(c)).alias(c) for c in cols]
-    out += [F.col("price_clean"),
-            S.categorize_price("price_clean", F.col("__t.q25"), F.col("__t.q50"), F.col("__t.q75"))
-            .alias("price_category"),
-            S.count_list_items("amenities").alias("n_amenities")]
+    out += [S.parse_price("price").alias("price_clean"), S.count_list_items("amenities").alias("n_amenities")]
     if "host_since" in cols:
         hs = S.parse_date("host_since")
         out += [F.year(hs).alias("host_since_year"), F.month(hs).alias("host_since_month"),
                 F.quarter(hs).alias("host_since_quarter")]
     if "last_review" in cols:
         out.append(F.year(S.parse_date("last_review")).alias("last_review_year"))
-    return base.select(*out)
-
-
-def _id(c: str) -> Column:
-    """Identifier text -> bigint: integer text directly, else through the
-    numeric parser (so '12.0' and ' 12' still give 12)."""
-    s = F.trim(F.col(c).cast("string"))
-    return F.coalesce(s.try_cast("long"), S.parse_numeric(c).try_cast("long"))
+    path = scratch_path(raw.sparkSession, "listings-parsed")
+    df.select(*out).write.parquet(path)
+    parsed = raw.sparkSession.read.parquet(path)
+    # the thresholds struct is projected once: one scalar subquery, not one per quartile
+    done = parsed.withColumn("__t", price_thresholds(parsed)).withColumn("price_category", S.categorize_price(
+        "price_clean", F.col("__t.q25"), F.col("__t.q50"), F.col("__t.q75")))
+    names = parsed.columns
+    at = names.index("price_clean") + 1
+    return done.select(*names[:at], "price_category", *names[at:])
 
 
 def transform_reviews(raw: DataFrame, order: list[Column] | None = None) -> DataFrame:
     """dedup on id (when present) -> date and its parts -> comment fill -> ids."""
     CT.REVIEWS.check(raw)
-    df = C.keep_first(raw, ["id"], order) if "id" in raw.columns else raw
+    df = (C.keep_first(raw, ["id"], order) if "id" in raw.columns else raw).drop(C.ORDINAL)
     d = S.parse_date("date")
     repl = {"date": d, "comments": S.fill_comment("comments")}
-    repl.update({c: _id(c) for c in ["listing_id", "reviewer_id"] if c in df.columns})
+    repl.update({c: S.parse_id(c) for c in ["listing_id", "reviewer_id"] if c in df.columns})
     out = [repl.get(c, F.col(c)).alias(c) for c in df.columns]
     out += [F.year(d).alias("year"), F.month(d).alias("month"), F.dayofmonth(d).alias("day"),
             F.quarter(d).alias("quarter"), S.weekday_monday0(d).alias("day_of_week"), S.is_weekend(d).alias("is_weekend")]
@@ -107,9 +97,9 @@ def transform_reviews(raw: DataFrame, order: list[Column] | None = None) -> Data
 def transform_calendar(raw: DataFrame, order: list[Column] | None = None) -> DataFrame:
     """dedup on (listing_id, raw date text) -> flag -> date and its parts ->
     numeric nights and id."""
-    df = C.keep_first(CT.CALENDAR.check(raw), ["listing_id", "date"], order)
+    df = C.keep_first(CT.CALENDAR.check(raw), ["listing_id", "date"], order).drop(C.ORDINAL)
     d = S.parse_date("date")
-    repl = {"date": d, "listing_id": _id("listing_id")}
+    repl = {"date": d, "listing_id": S.parse_id("listing_id")}
     repl.update({c: S.parse_numeric(c) for c in ["minimum_nights", "maximum_nights"] if c in df.columns})
     out = [repl.get(c, F.col(c)).alias(c) for c in df.columns]
     out += [_flag(df, "available").alias("is_available"), F.year(d).alias("year"), F.month(d).alias("month"),

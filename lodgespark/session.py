@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -48,14 +48,15 @@ def build_session(master: str | None = None, app: str = "lodgespark", shuffle_pa
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``, as it is written there.
 
     On a cluster this is set by the operator to shared storage.  Only where
-    it is unset (local runs and tests) do we create one of our own.
+    it is unset and everything runs in one process (tests) do we create one
+    of our own.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             # a machine-local folder is lost with its executor: on a cluster
             # the shared folder must be named by the operator
             raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder (e.g. on HDFS or S3)")
@@ -66,18 +67,23 @@ def checkpoint_root(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
-    root = checkpoint_root(spark)
-    if root.startswith("file:"):
-        root = root[len("file:"):]
-    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
+    return path
 
 
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system it is on."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def ensure_parent(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(os.path.dirname(path.replace("file:", "")) or ".", exist_ok=True)
+def clean_scratch(spark: SparkSession) -> None:
+    """Delete every scratch folder handed out so far (at the end of a run, when no frame reads them any more)."""
+    while _SCRATCH:
+        delete_path(spark, _SCRATCH.pop())

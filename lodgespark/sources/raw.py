@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from lodgespark.operators.cleaning import normalize_null_tokens
+from lodgespark.operators.cleaning import ORDINAL, normalize_null_tokens
 
 CORRUPT_COLUMN = "_corrupt_record"
 
@@ -21,38 +21,61 @@ def all_text_schema(columns: Iterable[str], corrupt: bool = False) -> StructType
     return StructType(fields)
 
 
-def _csv_reader(spark: SparkSession, schema: StructType, multiline: bool = True, header: bool = True):
-    return (spark.read.schema(schema).option("header", header).option("multiLine", multiline)
-            .option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE"))
+def stamp_ordinal(df: DataFrame) -> DataFrame:
+    """A scan with the place of every row in its source: (file, block, row in
+    the scanned part), to be stamped before anything moves rows.  Within a
+    file it ascends in file order; files follow their names."""
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                     F.monotonically_increasing_id().alias("row"))
+    return df.withColumn(ORDINAL, place)
+
+
+def csv_header(spark: SparkSession, path: str) -> list[str]:
+    """Column names of the header line (of the first file, if there are several)."""
+    return (spark.read.option("header", True).option("quote", '"').option("escape", '"')
+            .option("multiLine", True).csv(path).columns)
+
+
+def scan_flagged(spark: SparkSession, path: str, columns: Iterable[str], multiline: bool = True, header: bool = True,
+                 null_tokens: bool = True) -> DataFrame:
+    """All rows of (gzip) CSV files, every column as text, stamped with their
+    ordinal and with ``rejected`` and ``_corrupt_record``.
+
+    Columns are bound by the header's names: they may come in any order,
+    columns the files lack are null, further ones are left out; files whose
+    headers differ from the first one's end the run.  A row with too few or
+    too many fields is ``rejected`` and keeps its text.  All fields are parsed
+    whatever columns are asked for, so the flag does not depend on the query.
+    """
+    wanted = list(columns)
+    names = csv_header(spark, path) if header else wanted
+    df = (spark.read.schema(all_text_schema(names, corrupt=True)).option("header", header).option("enforceSchema", not header)
+          .option("multiLine", multiline).option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE")
+          .option("columnPruning", False).option("columnNameOfCorruptRecord", CORRUPT_COLUMN).csv(path))
+    df = stamp_ordinal(df)
+    # the flag names a data column too: Spark refuses to read the corrupt text alone
+    some = F.length(F.coalesce(F.col(f"`{names[0]}`"), F.lit(""))) < 0
+    df = df.withColumn("rejected", F.col(CORRUPT_COLUMN).isNotNull() | some)
+    out = df.select(*[F.col(f"`{c}`") if c in names else F.lit(None).cast("string").alias(c) for c in wanted],
+                    CORRUPT_COLUMN, "rejected", ORDINAL)
+    return normalize_null_tokens(out, wanted) if null_tokens else out
 
 
 def scan_raw_csv(spark: SparkSession, path: str, columns: Iterable[str], partitions: int | None = None,
-                 null_tokens: bool = True, multiline: bool = True) -> DataFrame:
-    """Read (gzip) CSV with a header, every column as text; quoted fields may
-    hold newlines and doubled quotes.  A gzip or multi-line file is one task
-    per file, so ``partitions`` spreads the rows before the heavy work."""
-    df = _csv_reader(spark, all_text_schema(columns), multiline).csv(path)
-    if partitions:
-        # hash of the whole row: even, and deterministic on task retry
-        df = df.repartition(partitions, *[F.col(c) for c in df.columns])
-    return normalize_null_tokens(df) if null_tokens else df
-
-
-def scan_with_quarantine(spark: SparkSession, path: str, columns: Iterable[str],
-                         multiline: bool = False, header: bool = True) -> DataFrame:
-    """All rows with a ``rejected`` flag: rows with too few or too many fields
-    are kept apart rather than ending the run.  Filter on ``rejected`` for
-    the good and the quarantined rows."""
-    schema = all_text_schema(columns, corrupt=True)
-    df = (_csv_reader(spark, schema, multiline, header)
-          .option("columnNameOfCorruptRecord", CORRUPT_COLUMN).csv(path))
-    return df.withColumn("rejected", F.col(CORRUPT_COLUMN).isNotNull())
+                 null_tokens: bool = True, multiline: bool = True, ordinal: bool = False) -> DataFrame:
+    """The well-formed rows, every column as text; quoted fields may hold
+    newlines and doubled quotes.  A gzip or multi-line file is one task per
+    file, so ``partitions`` spreads the rows (round robin, repeated rows too)
+    before the heavy work; ``ordinal`` keeps their place in the files."""
+    df = split_quarantine(scan_flagged(spark, path, columns, multiline, null_tokens=null_tokens))[0]
+    df = df if ordinal else df.drop(ORDINAL)
+    return df.repartition(partitions) if partitions else df
 
 
 def split_quarantine(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(well-formed rows, rejected rows with their text and parsed columns)."""
     good = df.filter(~F.col("rejected")).drop(CORRUPT_COLUMN, "rejected")
-    bad = df.filter(F.col("rejected")).select(CORRUPT_COLUMN)
-    return good, bad
+    return good, df.filter(F.col("rejected")).drop("rejected")
 
 
 def write_csv_gz(df: DataFrame, path: str) -> None:
@@ -65,26 +88,54 @@ def write_raw_zone(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def write_flagged(df: DataFrame, path: str, partitions: int | None = None) -> tuple[int, int]:
+    """Store the rows of ``scan_flagged`` once, the rejected ones in a folder
+    of their own; returns (well-formed, rejected) as counted by the write."""
+    from pyspark.sql import Observation
+    obs = Observation()
+    seen = (df.repartition(partitions) if partitions else df).observe(
+        obs, F.count(F.lit(1)).alias("rows"), F.count(F.when(F.col("rejected"), 1)).alias("bad"))
+    seen.write.mode("overwrite").partitionBy("rejected").parquet(path)
+    n = obs.get
+    return int(n["rows"] - n["bad"]), int(n["bad"])
+
+
+def read_raw_zone(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(well-formed, rejected) of a table stored by ``write_flagged``."""
+    return split_quarantine(spark.read.parquet(path).withColumn("rejected", F.col("rejected").cast("boolean")))
+
+
 # ------------------------------------------------------------------ extract
 
 def _predicate(where) -> Column | None:
     """A Column, a SQL string, or a document-store style dict:
-    ``{"col": value}`` (equality) or ``{"col": {"$gte": v, "$lt": w, ...}}``."""
+    ``{"col": value}`` (equality) or ``{"col": {"$gte": v, "$lt": w, ...}}``.
+    As in a document store, None matches missing values, and ``$ne`` and
+    ``$nin`` keep the rows without a value."""
     if where is None or isinstance(where, Column):
         return where
     if isinstance(where, str):
         return F.expr(where)
-    ops = {"$eq": "__eq__", "$ne": "__ne__", "$gt": "__gt__", "$gte": "__ge__", "$lt": "__lt__", "$lte": "__le__"}
+    def one(c: Column, op: str, v) -> Column:
+        if op == "$eq":
+            return c.eqNullSafe(F.lit(v))
+        if op == "$ne":
+            return ~c.eqNullSafe(F.lit(v))
+        if op in ("$in", "$nin"):
+            known = [x for x in v if x is not None]
+            hit = F.coalesce(c.isin(*known), F.lit(False)) if known else F.lit(False)
+            hit = hit | c.isNull() if len(known) < len(list(v)) else hit
+            return hit if op == "$in" else ~hit
+        order = {"$gt": c > F.lit(v), "$gte": c >= F.lit(v), "$lt": c < F.lit(v), "$lte": c <= F.lit(v)}
+        if op not in order:
+            raise ValueError(f"unknown operator {op!r}")
+        return order[op]
+
     pred = F.lit(True)
     for col, cond in where.items():
-        if isinstance(cond, Mapping):
-            for op, v in cond.items():
-                if op == "$in":
-                    pred = pred & F.col(col).isin(*v)
-                else:
-                    pred = pred & getattr(F.col(col), ops[op])(F.lit(v))
-        else:
-            pred = pred & (F.col(col) == F.lit(cond))
+        for op, v in (cond.items() if isinstance(cond, Mapping) else [("$eq", cond)]):
+            plain = op == "$eq" and v is not None
+            pred = pred & (F.col(col) == F.lit(v) if plain else one(F.col(col), op, v))
     return pred
 
 
@@ -135,11 +186,11 @@ def extract_all_summary(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def table_profile(tables: Mapping[str, DataFrame], name: str) -> DataFrame:
-    """Rows, number and names of fields of one table; for Parquet the count is
-    answered from file footers."""
+    """Rows, number, names and types of the fields of one table; for Parquet
+    the count is answered from file footers."""
     if name not in tables:
         raise ValueError(f"table '{name}' does not exist")
     df = tables[name]
     return df.agg(F.count(F.lit(1)).cast("bigint").alias("rows")).select(
         F.lit(name).alias("table_name"), "rows", F.lit(len(df.columns)).cast("bigint").alias("n_fields"),
-        F.lit(",".join(df.columns)).alias("fields"))
+        F.lit(",".join(df.columns)).alias("fields"), F.lit(",".join(t for _, t in df.dtypes)).alias("types"))

@@ -6,15 +6,16 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (DateType, DoubleType, IntegerType, LongType, StringType, StructField, StructType)
 
 from lodgespark import constants as K
 from lodgespark.functions import scalars as S
 from lodgespark.operators.cleaning import select_existing
+from lodgespark.operators.quality import type_violation
 
-# Serving schemas (declared types of the relational tables).
+# --- fixed values: declared types, keys and NOT NULL columns of the serving tables ---
 SERVING_SCHEMAS = {
     "listings": StructType([
         StructField("id", LongType()), StructField("name", StringType()), StructField("host_id", LongType()),
@@ -52,8 +53,19 @@ SERVING_NOT_NULL = {"listings": [], "reviews": ["listing_id"], "calendar": ["lis
 PUBLISH_ORDER = ["listings", "reviews", "calendar", "calendar_summary"]  # parents before children
 
 
-def _typed(df: DataFrame, schema: StructType) -> DataFrame:
-    return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields if f.name in df.columns])
+def _in_schema(df: DataFrame, schema: StructType) -> DataFrame:
+    return df.select(*[F.col(f.name) for f in schema.fields if f.name in df.columns])
+
+
+def typed(df: DataFrame, schema: StructType) -> DataFrame:
+    """Serving types for rows that fit them (see ``quality.first_violation``);
+    a value that does not fit is an error here, never another value."""
+    def cast(f: StructField) -> Column:
+        c = F.col(f.name)
+        ok = c.isNull() | ~type_violation(f.name, f.dataType)
+        return F.when(ok, c.try_cast(f.dataType)).otherwise(F.raise_error(F.lit(f"{f.name}: value does not fit {f.dataType.simpleString()}")))
+    return df.select(*[(cast(f) if df.schema[f.name].dataType != f.dataType else F.col(f.name)).alias(f.name)
+                       for f in schema.fields if f.name in df.columns])
 
 
 def serving_listings(clean: DataFrame) -> DataFrame:
@@ -63,15 +75,16 @@ def serving_listings(clean: DataFrame) -> DataFrame:
     if "host_is_superhost" in df.columns:
         df = df.withColumn("host_is_superhost", F.coalesce(F.col("host_is_superhost").cast("boolean"),
                                                            F.lit(False)).cast("int"))
-    return _typed(df, SERVING_SCHEMAS["listings"])
+    return _in_schema(df, SERVING_SCHEMAS["listings"])
 
 
-def serving_reviews(clean: DataFrame) -> DataFrame:
-    """11-column serving projection; comments cut to 4,000 characters."""
+def serving_reviews(clean: DataFrame, comment_chars: int | None = None) -> DataFrame:
+    """11-column serving projection; the whole comments, unless the target
+    table's column needs them cut to ``comment_chars``."""
     df = select_existing(clean, K.SERVING_REVIEWS)
-    if "comments" in df.columns:
-        df = df.withColumn("comments", S.truncate_text("comments", K.COMMENT_MAX_CHARS))
-    return _typed(df, SERVING_SCHEMAS["reviews"])
+    if "comments" in df.columns and comment_chars:
+        df = df.withColumn("comments", S.truncate_text("comments", comment_chars))
+    return _in_schema(df, SERVING_SCHEMAS["reviews"])
 
 
 def serving_calendar(clean: DataFrame) -> DataFrame:
@@ -79,11 +92,11 @@ def serving_calendar(clean: DataFrame) -> DataFrame:
     df = select_existing(clean, K.SERVING_CALENDAR)
     if "is_available" in df.columns:
         df = df.withColumn("is_available", F.coalesce(F.col("is_available").cast("boolean"), F.lit(False)).cast("int"))
-    return _typed(df, SERVING_SCHEMAS["calendar"])
+    return _in_schema(df, SERVING_SCHEMAS["calendar"])
 
 
 def serving_calendar_summary(summary: DataFrame) -> DataFrame:
-    return _typed(summary, SERVING_SCHEMAS["calendar_summary"])
+    return _in_schema(summary, SERVING_SCHEMAS["calendar_summary"])
 
 
 SERVING_PROJECTIONS = {"listings": serving_listings, "reviews": serving_reviews, "calendar": serving_calendar,
@@ -133,33 +146,35 @@ def read_clean_zone(spark: SparkSession, root: str, names: Iterable[str], limit:
     return out
 
 
-def publish_all(clean: Mapping[str, DataFrame], root: str, jdbc: Mapping[str, str] | None = None,
+def publish_all(frames: Mapping[str, DataFrame], root: str, jdbc: Mapping[str, str] | None = None,
                 partition_by: Mapping[str, list[str]] | None = None) -> dict[str, int]:
-    """Overwrite the serving tables; returns rows per table.  The Parquet
-    tables do not depend on each other (references are checked before
-    publishing), so their writes run as concurrent jobs.  With ``jdbc``
+    """Overwrite the serving tables with ``frames`` (serving projections of
+    checked rows); returns rows per table.  The Parquet tables do not depend
+    on each other, so their writes run as concurrent jobs.  With ``jdbc``
     ({'url': ..., plus options}) each table is then also written through JDBC
     by the executors in parallel, parents before children, as the target's
     foreign keys require."""
-    names = [n for n in PUBLISH_ORDER if n in clean]
-    frames = {n: SERVING_PROJECTIONS[n](clean[n]) for n in names}
+    names = [n for n in PUBLISH_ORDER if n in frames]
+    ready = {n: typed(frames[n], SERVING_SCHEMAS[n]) for n in names}
 
     def write_one(name: str) -> int:
-        return int(write_table(frames[name], f"{root}/{name}",
-                               partition_by=(partition_by or {}).get(name)).get["rows"])
+        return int(write_table(ready[name], f"{root}/{name}", partition_by=(partition_by or {}).get(name)).get["rows"])
 
     with ThreadPoolExecutor(max_workers=max(len(names), 1)) as pool:
         out = dict(zip(names, pool.map(write_one, names)))
     if jdbc:
         for name in names:
-            jdbc_sink(frames[name], jdbc["url"], name, properties={k: v for k, v in jdbc.items() if k != "url"})
+            jdbc_sink(ready[name], jdbc["url"], name, properties={k: v for k, v in jdbc.items() if k != "url"})
     return out
 
 
-def jdbc_sink(df: DataFrame, url: str, table: str, mode: str = "append", batchsize: int = 2000,
+def jdbc_sink(df: DataFrame, url: str, table: str, mode: str = "overwrite", batchsize: int = 2000,
               num_partitions: int | None = None, properties: Mapping[str, str] | None = None) -> None:
-    """Batched insert into a relational database; every executor writes its
-    partitions in parallel (``numPartitions`` caps the open connections)."""
+    """Batched load into a relational database; every executor writes its
+    partitions in parallel (``numPartitions`` caps the open connections).  The
+    default empties the table first (``truncate`` keeps its definition), so a
+    second run leaves the same rows; a retried task may still repeat its own
+    batch where the target has no key to refuse it."""
     w = (df.write.format("jdbc").mode(mode).option("url", url).option("dbtable", table)
          .option("batchsize", batchsize).option("truncate", True))
     if num_partitions:
@@ -210,18 +225,22 @@ def export_calendar(summary: DataFrame) -> DataFrame:
     return summary.orderBy("year", "month")
 
 
-def export_report_bundle(clean: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """Bounded extracts: the first 10,000 listings and 15,000 reviews in key
-    order (a TakeOrderedAndProject each), and all months."""
+def export_report_bundle(clean: Mapping[str, DataFrame], listings_rows: int | None = None,
+                         reviews_rows: int | None = None) -> dict[str, DataFrame]:
+    """Listings, months and reviews in key order (ids as numbers); all rows,
+    or the first ``listings_rows`` / ``reviews_rows`` where a report wants so
+    many (a TakeOrderedAndProject each)."""
+    def in_order(df: DataFrame, n: int | None) -> DataFrame:
+        out = df.orderBy(S.parse_id("id").asc_nulls_last(), F.col("id").asc_nulls_last())
+        return out.limit(n) if n else out
+
     out = {}
     if "listings" in clean:
-        out["listings_sample"] = (export_listings(clean["listings"]).orderBy(F.col("id").asc_nulls_last())
-                                  .limit(K.REPORT_LISTINGS_ROWS))
+        out["listings"] = in_order(export_listings(clean["listings"]), listings_rows)
     if "calendar_summary" in clean:
         out["monthly"] = export_calendar(clean["calendar_summary"])
     if "reviews" in clean:
-        out["reviews_sample"] = (select_existing(clean["reviews"], K.EXPORT_REVIEWS)
-                                 .orderBy(F.col("id").asc_nulls_last()).limit(K.REPORT_REVIEWS_ROWS))
+        out["reviews"] = in_order(select_existing(clean["reviews"], K.EXPORT_REVIEWS), reviews_rows)
     return out
 
 
@@ -230,5 +249,5 @@ def write_exports(bundle: Mapping[str, DataFrame], root: str, fmt: str = "csv")
     out = {}
     for name, df in bundle.items():
         df = df.select(*[F.date_format(c, "yyyy-MM-dd").alias(c) if t == "date" else F.col(c) for c, t in df.dtypes])
-        out[name] = int(write_table(df.coalesce(1), f"{root}/{name}", fmt).get["rows"])
+        out[name] = int(write_table(df, f"{root}/{name}", fmt).get["rows"])
     return out

@@ -37,7 +37,7 @@ def ingest_stream(spark: SparkSession, landing: str, columns: Iterable[str], raw
                   name: str, checkpoint: str | None = None, available_now: bool = True,
                   max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Append every landed file to the raw zone table at ``raw_path``."""
-    ckpt = checkpoint or f"{checkpoint_root(spark).replace('file:', '')}/ingest-{name}"
+    ckpt = checkpoint or f"{checkpoint_root(spark)}/ingest-{name}"
     w = (raw_csv_stream(spark, landing, columns, max_files_per_trigger).writeStream
          .format("parquet").option("checkpointLocation", ckpt).outputMode("append").queryName(f"ingest_{name}"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")

@@ -1,31 +1,58 @@
 """The zone-to-zone jobs on the small test tables."""
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
 from lodgespark import catalog as CAT
-from lodgespark import fixtures as FX
-from lodgespark.plans.jobs import ingest_job, publish_job, read_clean, transform_job
+from lodgespark.operators import quality as Q
+from lodgespark.operators.cleaning import ORDINAL, keep_first
+from lodgespark.plans.jobs import IngestError, ingest_job, publish_job, read_clean, transform_job
 from lodgespark.session import scratch_path
-from lodgespark.sources.raw import write_csv_gz
+from lodgespark.sources.raw import CORRUPT_COLUMN, read_raw_zone, scan_raw_csv
 from tests.conftest import SF_SMALL
 
 
-def test_ingest_reports_unreadable_tables(spark):
+def landing(spark, root, name, text):
+    path = Path(root.removeprefix("file:")) / "landing" / name
+    path.mkdir(parents=True)
+    (path / "part.csv").write_text(text)
+    return str(path)
+
+
+def test_ingest_keeps_bad_rows_apart_and_reports_causes(spark):
     root = scratch_path(spark, "ingest-test")
-    views = FX.raw_tables(spark, SF_SMALL)
-    write_csv_gz(views["calendar"], f"{root}/landing/calendar")
-    res = {r.table_name: (r.rows, r.status) for r in ingest_job(spark, {
-        "calendar": (f"{root}/landing/calendar", views["calendar"].columns),
-        "reviews": (f"{root}/landing/missing", views["reviews"].columns)}, f"{root}/raw").collect()}
-    assert res["calendar"] == (views["calendar"].count(), "OK")
-    assert res["reviews"] == (0, "FALLO")
+    good = 'id,comments,date\n1,"two\nlines, and a comma",2020-01-01\n2,short\n3,a,b,c\n4,"x ""y""",N/A\n'
+    files = {"reviews": (landing(spark, root, "reviews", good), ["date", "id", "comments", "reviewer_id"]),
+             "calendar": (f"{root}/landing/missing", ["listing_id"])}
+    res = {r.table_name: r for r in ingest_job(spark, files, f"{root}/raw").collect()}
+    assert tuple(res["reviews"])[1:] == (2, 2, "OK", None)
+    assert res["calendar"].status == "FALLO" and res["calendar"].rows == 0 and "PATH_NOT_FOUND" in res["calendar"].error
+    ok, bad = read_raw_zone(spark, f"{root}/raw/reviews")
+    assert ok.count() == 2 and bad.count() == 2
+    rows = [tuple(r) for r in ok.orderBy(ORDINAL).select("id", "comments", "date", "reviewer_id").collect()]
+    assert rows == [("1", "two\nlines, and a comma", "2020-01-01", None), ("4", 'x "y"', None, None)]
+    assert sorted(r[0] for r in bad.select(CORRUPT_COLUMN).collect()) == ["2,short", "3,a,b,c"]
+    assert [r.id for r in scan_raw_csv(spark, files["reviews"][0], ["id"]).collect()] == ["1", "4"]
+    assert scan_raw_csv(spark, files["reviews"][0], ["id"]).count() == 2
+    with pytest.raises(IngestError, match="calendar"):
+        ingest_job(spark, files, f"{root}/raw2", strict=True)
+
+
+def test_header_order_does_not_matter_and_first_occurrence_stays(spark):
+    root = scratch_path(spark, "order-test")
+    path = landing(spark, root, "t", "b,a\n9,k\n2,k\n5,m\n")
+    df = scan_raw_csv(spark, path, ["a", "b"], ordinal=True, partitions=4)
+    assert sorted((r.a, r.b) for r in keep_first(df, ["a"]).collect()) == [("k", "9"), ("m", "5")]
+    with pytest.raises(ValueError, match="order"):
+        keep_first(df.drop(ORDINAL), ["a"])
 
 
 def test_transform_then_publish(spark):
     root = scratch_path(spark, "jobs-test")
-    raw = CAT.raw(spark, SF_SMALL)
-    counts = transform_job(raw, f"{root}/clean", FX.keep_first_orders())
+    raw = CAT.stamped(spark, SF_SMALL)
+    counts = transform_job(raw, f"{root}/clean")
     clean = read_clean(spark, f"{root}/clean")
     assert counts == {k: v.count() for k, v in clean.items()}
     # invariants: rows in = rows out + duplicates; summary days = calendar rows with a date
@@ -33,28 +60,50 @@ def test_transform_then_publish(spark):
     assert counts["calendar"] == raw["calendar"].select("listing_id", "date").distinct().count()
     days = clean["calendar_summary"].agg(F.sum("total_dias")).first()[0]
     assert days == clean["calendar"].filter(F.col("date").isNotNull()).count()
-    published = publish_job(spark, f"{root}/clean", f"{root}/serving", policy="fail")
-    assert published == counts
-    back = spark.read.parquet(f"{root}/serving/reviews")
-    assert back.columns[:3] == ["id", "listing_id", "date"]
+    # every rule is broken by some row: fail publishes nothing, quarantine accounts for all rows
+    with pytest.raises(ValueError, match="orphan:listing_id"):
+        publish_job(spark, f"{root}/clean", f"{root}/failed", policy="fail")
+    assert "listings" not in read_names(spark, f"{root}/failed")
+    out = publish_job(spark, f"{root}/clean", f"{root}/serving", policy="quarantine").collect()
+    for t, n in counts.items():
+        assert sum(r.rows for r in out if r.table_name == t) == n
+        assert spark.read.parquet(f"{root}/serving/{t}").count() == sum(r.rows for r in out if r.table_name == t and r.outcome == "published")
+    assert {r.outcome for r in out} >= {"published", "type:id", "type:bedrooms", "not_null:listing_id", "orphan:listing_id", "not_null:date"}
+    aside = spark.read.parquet(f"{root}/serving/_quarantine/listings")
+    assert aside.filter("violation = 'type:bedrooms'").select("bedrooms").distinct().collect()[0][0] == 1.5  # as it was
+    assert spark.read.parquet(f"{root}/serving/reviews").agg(F.max(F.length("comments"))).first()[0] == 5000
+
+
+def read_names(spark, path):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [f.getPath().getName() for f in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def test_publish_takes_the_tables_that_are_there(spark):
+    root = scratch_path(spark, "partial-test")
+    transform_job({"calendar": CAT.stamped(spark, SF_SMALL)["calendar"]}, f"{root}/clean")
+    out = publish_job(spark, f"{root}/clean", f"{root}/serving", policy="quarantine").collect()
+    assert {r.table_name for r in out} == {"calendar", "calendar_summary"}
 
 
-def test_publish_fails_on_orphans(spark):
-    root = scratch_path(spark, "jobs-orphans")
-    raw = dict(CAT.raw(spark, SF_SMALL))
-    raw["listings"] = raw["listings"].filter(F.col("id").cast("long") % 10 != 0)
-    transform_job(raw, f"{root}/clean", FX.keep_first_orders())
-    with pytest.raises(ValueError):
-        publish_job(spark, f"{root}/clean", f"{root}/serving", policy="fail")
-    counts = publish_job(spark, f"{root}/clean", f"{root}/serving2", policy="quarantine")
-    orphans = spark.read.parquet(f"{root}/serving2/_quarantine/reviews").count()
-    assert orphans > 0 and counts["reviews"] + orphans == spark.read.parquet(f"{root}/clean/reviews_clean").count()
+def test_violations_route_every_row_once(spark):
+    parents = spark.createDataFrame([("1",), ("2.0",), ("abc",)], "id string")
+    child = spark.createDataFrame([("1", "1"), ("2", "2"), ("3", "9"), ("4", None), ("5", "abc"), ("01", "1"), ("x", "1")], "id string, listing_id string")
+    from pyspark.sql.types import LongType, StructField, StructType
+    schema = StructType([StructField("id", LongType()), StructField("listing_id", LongType(), False)])
+    got = {r.id: r.violation for r in Q.first_violation(child, schema, ["id"], ["listing_id"], {"listing_id": (parents, "id")}).collect()}
+    dup = {got.pop("1"), got.pop("01")}
+    assert dup == {None, "duplicate_key"}
+    assert got == {"2": None, "3": "orphan:listing_id", "4": "not_null:listing_id", "5": "type:listing_id", "x": "type:id"}
+    assert {r.id: r.reference for r in Q.reference_state(child, parents).collect()} == {
+        "1": "ok", "2": "ok", "3": "orphan", "4": "null_key", "5": "orphan", "01": "ok", "x": "ok"}
 
 
 def test_layout_writes_few_files_per_folder(spark):
     import glob
     from lodgespark.sources import zones as Z
-    cal = Z.serving_calendar(CAT.clean(spark, SF_SMALL)["calendar"])
+    cal = spark.read.parquet(f"{CAT._serving_zone(spark, SF_SMALL)}/calendar")
     path = scratch_path(spark, "layout-test") + "/calendar"
     Z.layout_by_keys(cal, path, ["listing_id", "date"], partition_by=["year", "month"], partitions=8)
     folders = glob.glob(f"{path}/year=*/month=*")

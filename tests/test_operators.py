@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from lodgespark.operators import cleaning as C
 from lodgespark.operators import profiling as P
 from lodgespark.operators import quality as Q
+from lodgespark.operators import quantiles as QT
 from lodgespark.operators import summaries as SM
 
 
@@ -73,23 +74,65 @@ def test_value_counts_top_k_ties_by_key(spark):
     assert [tuple(r) for r in SM.value_counts(df, "k", top=2).collect()] == [("c", 2), ("a", 1)]
 
 
-def test_distributed_quantiles_equal_percentile_and_duckdb(spark):
+def test_exact_quantiles_equal_percentile_and_duckdb(spark):
     import duckdb
     from tests.conftest import SF_SMALL
     li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
     for col in ["l_extendedprice", "l_quantity"]:
-        a = P.exact_quantiles(li, col, probs).first()
-        b = P.exact_quantiles(li, col, probs, method="distributed").first()
+        a = li.agg(F.percentile(col, F.array(*map(F.lit, probs)))).first()[0]
+        b = QT.exact_quantiles(li, col, probs).first()
         sql = ", ".join(f"quantile_cont({col}, {p})" for p in probs)
         d = duckdb.connect().execute(f"SELECT {sql} FROM '{SF_SMALL}/lineitem.parquet'").fetchall()[0]
         for x, y, z in zip(a, b, d):
             assert abs(x - y) <= 1e-9 * max(1.0, abs(x))
             assert abs(y - z) <= 1e-9 * max(1.0, abs(z))
-    empty = P.exact_quantiles(li.filter(F.col("l_orderkey") < 0), "l_quantity", [0.5], method="distributed").first()
+    empty = QT.exact_quantiles(li.filter(F.col("l_orderkey") < 0), "l_quantity", [0.5]).first()
     assert empty[0] is None
 
 
+def test_grouped_quantiles_with_null_groups_hot_values_and_many_parts(spark):
+    df = spark.range(20000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id") % 5).alias("g"),
+        F.when(F.col("id") % 2 == 0, F.lit(7.5)).when(F.col("id") % 11 == 0, F.lit(None)).otherwise(F.sqrt("id") - 50).alias("x"))
+    want = {r.g: (r.n, r.q) for r in df.groupBy("g").agg(F.count("x").alias("n"), F.percentile("x", F.array(F.lit(0.25), F.lit(0.9))).alias("q")).collect()}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {r.g: (r.n, r.q) for r in QT.grouped_quantiles(df, ["g"], [0.25, 0.9]).collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert set(got) == set(want)
+    for k in want:
+        assert got[k][0] == want[k][0] and all(abs(a - b) < 1e-9 for a, b in zip(got[k][1], want[k][1]))
+
+
+def test_null_safe_predicates_and_unknown_operators(spark):
+    import pytest
+    from lodgespark.sources import raw as R
+    t = {"c": spark.createDataFrame([("t", 1), ("f", 2), (None, 3)], "available string, n int")}
+    ids = lambda where: [r.n for r in R.extract(t, "c", where, limit=9, order_by=["n"]).collect()]
+    assert ids({"available": None}) == [3] and ids({"available": {"$ne": "t"}}) == [2, 3]
+    assert ids({"available": {"$in": ["t", None]}}) == [1, 3] and ids({"available": {"$nin": ["t"]}}) == [2, 3]
+    assert ids({"n": {"$gte": 2, "$lt": 3}}) == [2] and ids({"available": {"$eq": None}}) == [3]
+    with pytest.raises(ValueError, match="regex"):
+        ids({"available": {"$regex": "x"}})
+
+
+def test_crosstab_counts_every_flag(spark):
+    cal = spark.createDataFrame([("2024-01-01", "t"), ("2024-01-02", "x"), ("2024-01-03", None)], "date string, available string")
+    assert [tuple(r) for r in SM.availability_crosstab(cal).collect()] == [("2024-01", 0, 1, 1)]
+
+
+def test_median_imputation_by_map_and_by_join(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("a", None), ("b", None), (None, 5.0), (None, None), ("a", 900.0)], "neighbourhood_cleansed string, price_clean double")
+    for groups in (0, 100):
+        got = sorted(map(tuple, C.neighbourhood_median_impute(df, map_groups=groups).collect()), key=str)
+        assert got == sorted([("a", 1.0, 1.0), ("a", 3.0, 3.0), ("a", None, 3.0), ("b", None, None), (None, 5.0, 5.0), (None, None, None),
+                              ("a", 900.0, 900.0)], key=str)
+    out = C.neighbourhood_median_impute(df, replace_outliers=True, k=0.5)
+    assert {r.price_imputed for r in out.filter("price_clean = 900").collect()} == {3.0}
+
+
 def test_contract_names_missing_required_columns(spark):
     import pytest
     from lodgespark.contracts import ContractError

@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from lodgespark import catalog as CAT
-from lodgespark import fixtures as FX
 from lodgespark.operators import cleaning as C
 from lodgespark.operators import profiling as P
 from lodgespark.sources import raw as R
@@ -35,8 +34,7 @@ def test_no_python_udf_and_no_cross_join(spark, key):
 
 
 def test_dedup_limits_rows_before_the_shuffle(spark):
-    rev = CAT.raw(spark, SF_SMALL)["reviews"]
-    p = plan(C.keep_first(rev, ["id"], FX.keep_first_orders()["reviews"]))
+    p = plan(C.keep_first(CAT.stamped(spark, SF_SMALL)["reviews"], ["id"]))
     # WindowGroupLimit ... Partial sits below the Exchange: a hot key sends at
     # most one row per map task.
     assert "Partial" in p and "WindowGroupLimit" in p
@@ -50,7 +48,7 @@ def test_extract_pushes_filter_and_columns_to_the_scan(spark):
     df = R.extract(cat, "calendar", where={"available": "t"}, columns=["listing_id", "date"])
     p = plan(df)
     assert "PushedFilters: [IsNotNull(available), EqualTo(available,t)]" in p
-    assert "ReadSchema: struct<listing_id:bigint,date:string,available:string>" in p
+    assert "ReadSchema: struct<listing_id:string,date:string,available:string>" in p
 
 
 def test_null_profile_is_one_scan(spark):
@@ -60,7 +58,7 @@ def test_null_profile_is_one_scan(spark):
 
 
 def test_quartiles_are_a_scalar_subquery_not_a_join(spark):
-    p = plan(CAT.clean(spark, SF_SMALL)["listings"])
+    p = plan(E.queries()["transform_listings"](spark, SF_SMALL))
     assert "Subquery" in p or "subquery" in p
     assert "Join" not in p.split("Subquery")[0]
 
@@ -75,5 +73,29 @@ def test_listing_quartiles_are_one_subquery(spark):
     # the (q25, q50, q75) struct is projected once: one scalar subquery, so
     # the quartile aggregate (and the dedup under it) runs as one job
     import re
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
     p = opt(E.queries()["transform_listings"](spark, SF_SMALL))
     assert len(set(re.findall(r"scalar-subquery#(\d+)", p))) == 1
+
+
+def test_one_dedup_window_per_table(spark):
+    from lodgespark.plans import transform as T
+    for table in ("reviews", "calendar"):
+        p = opt(T.transform_all({table: CAT.stamped(spark, SF_SMALL)[table]})[table])
+        assert p.count("Window [") == 1 and p.count("Relation ") == 1
+    # the stored listings hold the dedup: the final pass has no window of it
+    assert "_ordinal" not in opt(E.queries()["transform_listings"](spark, SF_SMALL))
+
+
+def test_quantiles_do_not_merge_values_in_one_task(spark):
+    from lodgespark.operators.quantiles import exact_quantiles, grouped_quantiles
+    df = spark.range(100).select(F.lit(0).alias("g"), F.col("id").cast("double").alias("x"))
+    for q in (grouped_quantiles(df, ["g"], [0.5]), exact_quantiles(df, "x", [0.5])):
+        assert "percentile" not in plan(q)
+    assert "SinglePartition" not in plan(grouped_quantiles(df, ["g"], [0.5]))
+
+
+def test_reference_state_is_one_join(spark):
+    from lodgespark.operators import quality as Q
+    c = CAT.raw(spark, SF_SMALL)
+    assert opt(Q.reference_state(c["reviews"], c["listings"])).count("Join ") == 1

@@ -49,6 +49,28 @@ def test_parse_list(spark):
 def test_parse_date(spark):
     got = one_col(spark, ["2024-01-05", "2024-13-01", "bad", None], S.parse_date)
     assert got == [dt.date(2024, 1, 5), None, None, None]
+    got = one_col(spark, ["2020-01-01 junk", "2020-01-01T99:99", "2020-1-5", "2020-01-01 10:30", "2020-01-01T10:30:00Z", "2020-02-30"], S.parse_date)
+    assert got == [None, None, dt.date(2020, 1, 5), dt.date(2020, 1, 1), dt.date(2020, 1, 1), None]
+
+
+def test_parse_id(spark):
+    assert one_col(spark, ["12", " 12", "12.0", "1.5", "abc", "", None, "1e3"], S.parse_id) == [12, 12, 12, None, None, None, None, 1000]
+
+
+def test_lists_are_complete_and_words_in_strings_stay(spark):
+    texts = ['["a","b"] junk', '["a"]["b"]', "['a', ('b','c')]", "['a' 'b']", '["True north", None]', "('a')", "('a',)", "{}", "{'a','a'}",
+             "['a', null]", '["a", null]', "[1, 2.5]", '["' + "x" * 50000 + '"]', "[" + "1," * 20000 + "1]"]
+    assert one_col(spark, texts, S.count_list_items) == [0, 0, 2, 1, 2, 0, 1, 0, 1, 0, 2, 2, 1, 20001]
+    got = one_col(spark, ['["True north", None]', "['it\\'s', \"d\"]", "['a' 'b']"], S.parse_list)
+    assert got == [["True north", None], ["it's", "d"], ["ab"]]
+
+
+def test_parse_numeric_agrees_on_both_sides_of_300_characters(spark):
+    for n in (298, 299, 300, 301, 302, 310):
+        text = "0." + "1" * (n - 2)
+        big = "1" * n
+        got = one_col(spark, [text, big], S.parse_numeric)
+        assert abs(got[0] - float(text)) < 1e-15 and got[1] == (float(big) if n <= 308 else None)
 
 
 def test_date_parts_review(spark):

@@ -12,8 +12,8 @@ from tests.conftest import SF_SMALL
 
 def test_incremental_ingest_is_exactly_once(spark):
     reviews = FX.reviews_raw_from_lineitem(FX.read_table(spark, SF_SMALL, "lineitem"))
-    first = reviews.filter(F.col("listing_id") % 2 == 0)
-    second = reviews.filter(F.col("listing_id") % 2 == 1)
+    first = reviews.filter(F.col("reviewer_id").cast("long") % 2 == 0)
+    second = reviews.filter(F.col("reviewer_id").cast("long") % 2 == 1)
     root = scratch_path(spark, "stream-test")
     landing, out, ckpt = f"{root}/landing", f"{root}/raw/reviews", f"{root}/ckpt"
     write_csv_gz(first, f"{landing}/wave1")
