@@ -30,7 +30,7 @@ from .shared import ship_package
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: Memory bounds of a worker: edges of filtered words kept, and code points handled at once.
-MAX_EDGES, SLICE_CHARS = 10_000_000, 6_000_000
+MAX_EDGES, SLICE_CHARS = 3_000_000, 2_000_000
 _GOLDEN, _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
