@@ -358,7 +358,7 @@ def q_duplicate_counts(spark, sf):
 
 @query("calendar_monthly_summary")
 def q_calendar_monthly_summary(spark, sf):
-    return clean(spark, sf)["calendar_summary"]
+    return SM.calendar_monthly_summary(clean(spark, sf)["calendar"])
 
 
 @query("calendar_weekly_summary")

@@ -131,6 +131,3 @@ EXPORT_LISTINGS = [
 # --- fixed values: reviews extract of the report bundle ---
 EXPORT_REVIEWS = ["id", "listing_id", "date", "reviewer_name", "year", "month", "quarter", "is_weekend"]
 
-# --- fixed values: report bundle row bounds ---
-REPORT_LISTINGS_ROWS = 10000
-REPORT_REVIEWS_ROWS = 15000

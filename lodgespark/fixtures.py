@@ -59,6 +59,21 @@ def listings_raw_from_part(part: DataFrame) -> DataFrame:
          .when(k % 67 == 0, '["a","b"] junk').when(k % 73 == 0, "['x', ('y','z')]")
          .otherwise(amen).alias("amenities"),
         F.when(k % 13 == 0, "N/A").otherwise(F.concat(_s(k % 101), F.lit("%"))).alias("host_response_rate"),
+        F.when(k % 14 == 0, "N/A").otherwise(F.concat(_s(k % 100), F.lit("%"))).alias("host_acceptance_rate"),
+        F.concat(F.lit("40."), F.lpad(_s(k % 1000), 3, "0")).alias("latitude"),
+        F.concat(F.lit("-3."), F.lpad(_s(k % 997), 3, "0")).alias("longitude"),
+        F.concat(F.lit("type "), _s(k % 12)).alias("property_type"),
+        F.when(k % 3 == 0, F.lit(None)).when(k % 47 == 0, "unknown").otherwise(hs).alias("first_review"),
+        F.when(k % 29 != 0, "2024-06-15").alias("last_scraped"),
+        F.when(k % 41 == 0, "2024-06-16T10:00:00").otherwise("2024-06-16").alias("calendar_last_scraped"),
+        F.lit(None).cast("string").alias("calendar_updated"),
+        F.when(k % 37 == 0, F.lit(None)).when(k % 4 == 0, "f").otherwise("t").alias("has_availability"),
+        F.when(k % 8 == 0, "f").otherwise("t").alias("host_has_profile_pic"),
+        F.when(k % 15 == 1, F.lit(None)).when(k % 10 == 0, "f").otherwise("t").alias("host_identity_verified"),
+        _s(k % 31).alias("availability_30"),
+        F.when(k % 3 != 0, F.concat(F.lit("0."), _s(k % 10))).alias("reviews_per_month"),
+        F.when(k % 2 == 0, "2024-07-01").alias("price_quote_checkin_date"),
+        F.when(k % 2 == 0, "2024-07-08").alias("price_quote_checkout_date"),
     )
 
 

@@ -12,6 +12,7 @@ HS = "strftime(DATE '2010-01-01' + CAST(p_partkey % 5000 AS INTEGER), '%Y-%m-%d'
 PRICE = "format('{:,.2f}', p_retailprice * (1 + p_partkey % 37))"
 SHIP = "strftime(l_shipdate, '%Y-%m-%d')"
 NUM_RE = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))\s*$"
+ISO_TIME_RE = r"^\d{4}-\d{1,2}-\d{1,2}[ T]\d{2}:\d{2}(:\d{2}(\.\d+)?)?$"
 ISO_RE = r"^\d{4}-\d{1,2}-\d{1,2}$"
 
 
@@ -20,7 +21,8 @@ def num(c: str) -> str:
 
 
 def pdate(c: str) -> str:
-    return f"(CASE WHEN regexp_matches({c}, '{ISO_RE}') THEN try_cast({c} AS DATE) END)"
+    return (f"(CASE WHEN regexp_matches({c}, '{ISO_RE}') THEN try_cast({c} AS DATE) "
+            f"WHEN regexp_matches({c}, '{ISO_TIME_RE}') THEN CAST(try_cast({c} AS TIMESTAMP) AS DATE) END)")
 
 
 # the Python literal of the fixture is the one list that is not JSON
@@ -64,7 +66,22 @@ SELECT CASE WHEN p_partkey % 157 = 0 THEN concat('L-', CAST(p_partkey AS VARCHAR
   CASE WHEN p_partkey % 53 = 0 THEN NULL WHEN p_partkey % 59 = 0 THEN 'not json' WHEN p_partkey % 11 = 0 THEN '[]'
        WHEN p_partkey % 67 = 0 THEN '["a","b"] junk' WHEN p_partkey % 73 = 0 THEN '[''x'', (''y'',''z'')]'
        ELSE concat('["', replace(p_name, ' ', '","'), '"]') END AS amenities,
-  CASE WHEN p_partkey % 13 = 0 THEN 'N/A' ELSE concat(CAST(p_partkey % 101 AS VARCHAR), '%') END AS host_response_rate
+  CASE WHEN p_partkey % 13 = 0 THEN 'N/A' ELSE concat(CAST(p_partkey % 101 AS VARCHAR), '%') END AS host_response_rate,
+  CASE WHEN p_partkey % 14 = 0 THEN 'N/A' ELSE concat(CAST(p_partkey % 100 AS VARCHAR), '%') END AS host_acceptance_rate,
+  concat('40.', lpad(CAST(p_partkey % 1000 AS VARCHAR), 3, '0')) AS latitude,
+  concat('-3.', lpad(CAST(p_partkey % 997 AS VARCHAR), 3, '0')) AS longitude,
+  concat('type ', CAST(p_partkey % 12 AS VARCHAR)) AS property_type,
+  CASE WHEN p_partkey % 3 = 0 THEN NULL WHEN p_partkey % 47 = 0 THEN 'unknown' ELSE {HS} END AS first_review,
+  CASE WHEN p_partkey % 29 <> 0 THEN '2024-06-15' END AS last_scraped,
+  CASE WHEN p_partkey % 41 = 0 THEN '2024-06-16T10:00:00' ELSE '2024-06-16' END AS calendar_last_scraped,
+  CAST(NULL AS VARCHAR) AS calendar_updated,
+  CASE WHEN p_partkey % 37 = 0 THEN NULL WHEN p_partkey % 4 = 0 THEN 'f' ELSE 't' END AS has_availability,
+  CASE WHEN p_partkey % 8 = 0 THEN 'f' ELSE 't' END AS host_has_profile_pic,
+  CASE WHEN p_partkey % 15 = 1 THEN NULL WHEN p_partkey % 10 = 0 THEN 'f' ELSE 't' END AS host_identity_verified,
+  CAST(p_partkey % 31 AS VARCHAR) AS availability_30,
+  CASE WHEN p_partkey % 3 <> 0 THEN concat('0.', CAST(p_partkey % 10 AS VARCHAR)) END AS reviews_per_month,
+  CASE WHEN p_partkey % 2 = 0 THEN '2024-07-01' END AS price_quote_checkin_date,
+  CASE WHEN p_partkey % 2 = 0 THEN '2024-07-08' END AS price_quote_checkout_date
 FROM part""",
     "listings_stamped": """
 SELECT *, CAST(regexp_replace(id, '[^0-9]', '', 'g') AS BIGINT) AS ordinal__ FROM listings_base
@@ -77,7 +94,7 @@ SELECT * EXCLUDE (rn__, ordinal__) FROM (
   SELECT *, row_number() OVER (PARTITION BY id ORDER BY ordinal__) AS rn__ FROM listings_stamped)
 WHERE rn__ = 1""",
     "listings_p": """
-SELECT * EXCLUDE (neighbourhood_group_cleansed, license),
+SELECT * EXCLUDE (neighbourhood_group_cleansed, license, calendar_updated),
   try_cast(regexp_replace(price, '[^0-9.]', '', 'g') AS DOUBLE) AS price_clean
 FROM listings_dedup""",
     "listings_t": """
@@ -94,7 +111,10 @@ SELECT id, name, host_id, host_name, {pdate('host_since')} AS host_since, {pdate
   coalesce({num('minimum_nights')}, 1) AS minimum_nights, coalesce({num('maximum_nights')}, 365) AS maximum_nights,
   coalesce({num('availability_365')}, 0) AS availability_365, coalesce({num('number_of_reviews')}, 0) AS number_of_reviews,
   {num('review_scores_rating')} AS review_scores_rating,
-  price, amenities, host_response_rate, price_clean,
+  price, amenities, host_response_rate, host_acceptance_rate, latitude, longitude, property_type, availability_30, reviews_per_month,
+  price_quote_checkin_date, price_quote_checkout_date, {pdate('first_review')} AS first_review, {pdate('last_scraped')} AS last_scraped,
+  {pdate('calendar_last_scraped')} AS calendar_last_scraped, {flag('has_availability')} AS has_availability,
+  {flag('host_has_profile_pic')} AS host_has_profile_pic, {flag('host_identity_verified')} AS host_identity_verified, price_clean,
   CASE WHEN price_clean IS NULL OR price_clean <= 0 THEN 'No especificado'
        WHEN price_clean < q25 THEN 'Económico' WHEN price_clean < q50 THEN 'Medio'
        WHEN price_clean < q75 THEN 'Alto' ELSE 'Lujo' END AS price_category,
@@ -183,7 +203,13 @@ LISTING_RAW_COLS = ["id", "name", "host_id", "host_name", "host_since", "last_re
                     "instant_bookable", "neighbourhood_cleansed", "neighbourhood_group_cleansed", "license",
                     "room_type", "accommodates", "bedrooms", "beds", "bathrooms", "minimum_nights",
                     "maximum_nights", "availability_365", "number_of_reviews", "review_scores_rating", "price",
-                    "amenities", "host_response_rate"]
+                    "amenities", "host_response_rate", "host_acceptance_rate", "latitude", "longitude", "property_type",
+                    "first_review", "last_scraped", "calendar_last_scraped", "calendar_updated", "has_availability",
+                    "host_has_profile_pic", "host_identity_verified", "availability_30", "reviews_per_month",
+                    "price_quote_checkin_date", "price_quote_checkout_date"]
+SPARSE = ("neighbourhood_group_cleansed", "license", "calendar_updated")
+LISTING_DATES = ["host_since", "last_review", "first_review", "last_scraped", "calendar_last_scraped"]
+LISTING_FLAGS = ["host_is_superhost", "instant_bookable", "has_availability", "host_has_profile_pic", "host_identity_verified"]
 
 
 def _null_tokens_body() -> str:
@@ -255,11 +281,11 @@ def sql_for(key: str, rounded: dict[str, int] | None = None) -> str:
 # ------------------------------------------------------------------ helpers for generated bodies
 
 DESCRIBE_PRESENT = ["accommodates", "bedrooms", "beds", "bathrooms", "minimum_nights", "maximum_nights",
-                    "availability_365", "number_of_reviews", "review_scores_rating"]
+                    "availability_30", "availability_365", "number_of_reviews", "reviews_per_month", "review_scores_rating"]
 OUTLIER_VARS = ["price_num", "minimum_nights", "availability_365", "number_of_reviews", "review_scores_rating",
                 "accommodates"]
 CORR_VARS = ["price_num", "accommodates", "bedrooms", "beds", "minimum_nights", "availability_365",
-             "number_of_reviews", "review_scores_rating", "n_amenities"]
+             "number_of_reviews", "review_scores_rating", "reviews_per_month", "n_amenities"]
 REVIEW_RAW_COLS = ["id", "listing_id", "date", "reviewer_id", "reviewer_name", "comments"]
 CALENDAR_RAW_COLS = ["listing_id", "date", "available", "minimum_nights", "maximum_nights"]
 
@@ -369,7 +395,8 @@ FROM ({_nulls_long(t, cols)})""")
 
 def _fmt_samples() -> str:
     parts = [f"(SELECT '{c}' AS \"column\", id, {c} AS value FROM listings_raw WHERE {c} IS NOT NULL "
-             f"ORDER BY id, {c} LIMIT {n})" for c, n in [("host_since", 3), ("last_review", 3), ("price", 5)]]
+             f"ORDER BY id, {c} LIMIT {n})" for c, n in [*((c, 3) for c in ["last_scraped", "host_since", "first_review", "last_review", "calendar_last_scraped",
+                                              "price_quote_checkin_date", "price_quote_checkout_date"]), ("price", 5)]]
     return "SELECT * FROM " + " UNION ALL SELECT * FROM ".join(parts)
 
 
@@ -379,10 +406,10 @@ _NUM_PRICE = "listings_num"
 
 SQL.update({
     # ---------------------------------------------------------------- 2.2
-    "select_existing": "SELECT id, name, price, room_type FROM listings_raw",
+    "select_existing": "SELECT id, name, price, latitude, room_type, longitude FROM listings_raw",
     "rename_columns": "SELECT id, price_clean AS price, neighbourhood_cleansed AS barrio FROM listings_clean",
-    "drop_known_sparse": "SELECT * EXCLUDE (neighbourhood_group_cleansed, license) FROM listings_raw",
-    "drop_sparse_columns": "SELECT * EXCLUDE (neighbourhood_group_cleansed, license) FROM listings_raw",
+    "drop_known_sparse": "SELECT * EXCLUDE (neighbourhood_group_cleansed, license, calendar_updated) FROM listings_raw",
+    "drop_sparse_columns": "SELECT * EXCLUDE (neighbourhood_group_cleansed, license, calendar_updated) FROM listings_raw",
     "filter_non_null": "SELECT id, review_scores_rating FROM listings_clean WHERE review_scores_rating IS NOT NULL",
     "filter_upper_percentile": "SELECT id, price_num FROM listings_num "
                                "WHERE price_num <= (SELECT quantile_cont(price_num, 0.99) FROM listings_num)",
@@ -454,7 +481,10 @@ LEFT JOIN (SELECT month(date) AS month, count(*) AS n FROM reviews_dated WHERE d
     "distinct_flag_values": """
 SELECT DISTINCT 'listings' AS table_name, c AS "column", v AS value FROM (
   SELECT 'host_is_superhost' AS c, host_is_superhost AS v FROM listings_raw
-  UNION ALL SELECT 'instant_bookable', instant_bookable FROM listings_raw) WHERE v IS NOT NULL
+  UNION ALL SELECT 'instant_bookable', instant_bookable FROM listings_raw
+  UNION ALL SELECT 'has_availability', has_availability FROM listings_raw
+  UNION ALL SELECT 'host_has_profile_pic', host_has_profile_pic FROM listings_raw
+  UNION ALL SELECT 'host_identity_verified', host_identity_verified FROM listings_raw) WHERE v IS NOT NULL
 UNION ALL SELECT DISTINCT 'calendar', 'available', available FROM calendar_raw""",
     # ---------------------------------------------------------------- 2.4 profiles
     "null_profile": f"""
@@ -500,6 +530,7 @@ def _iso_dates(table: str, cols: list[str]) -> str:
 LISTING_FIELDS = [("id", "bigint", "BIGINT"), ("name", "string", "VARCHAR"), ("host_id", "bigint", "BIGINT"),
                   ("host_name", "string", "VARCHAR"), ("host_since", "date", "DATE"),
                   ("host_is_superhost", "int", "INTEGER"), ("neighbourhood_cleansed", "string", "VARCHAR"),
+                  ("latitude", "double", "DOUBLE"), ("longitude", "double", "DOUBLE"), ("property_type", "string", "VARCHAR"),
                   ("room_type", "string", "VARCHAR"), ("accommodates", "int", "INTEGER"), ("bathrooms", "double", "DOUBLE"),
                   ("bedrooms", "int", "INTEGER"), ("beds", "int", "INTEGER"), ("price", "double", "DOUBLE"),
                   ("minimum_nights", "int", "INTEGER"), ("maximum_nights", "int", "INTEGER"),
@@ -555,9 +586,10 @@ def _quality() -> str:
 
 # columns and kinds (text and dates: length; numbers and flags: sum) of the clean tables
 CLEAN_COLUMNS = {
-    "listings": {**{c: "v" for c in LISTING_RAW_COLS if c not in ("neighbourhood_group_cleansed", "license")}, "price_clean": "n",
+    "listings": {**{c: "v" for c in LISTING_RAW_COLS if c not in SPARSE}, "price_clean": "n",
                  "price_category": "v", "n_amenities": "n", "host_since_year": "n", "host_since_month": "n", "host_since_quarter": "n",
-                 "last_review_year": "n", "host_is_superhost": "n", "instant_bookable": "n", **{c: "n" for c in DESCRIBE_PRESENT}},
+                 "last_review_year": "n", **{c: "n" for c in LISTING_FLAGS},
+                 **{c: "n" for c in DESCRIBE_PRESENT if c not in ("availability_30", "reviews_per_month")}},
     "reviews": {"id": "v", "listing_id": "n", "date": "v", "reviewer_id": "n", "reviewer_name": "v", "comments": "v", "year": "n",
                 "month": "n", "day": "n", "quarter": "n", "day_of_week": "n", "is_weekend": "n"},
     "calendar": {"listing_id": "n", "date": "v", "available": "v", "minimum_nights": "n", "maximum_nights": "n", "is_available": "n",
@@ -596,7 +628,7 @@ _PUBLISHED_ROWS = " UNION ALL ".join(
 
 def _metrics() -> str:
     rows = []
-    for t, n_in, n_out in [("listings", 24, 29), ("reviews", 6, 12), ("calendar", 5, 11)]:
+    for t, n_in, n_out in [("listings", 39, 43), ("reviews", 6, 12), ("calendar", 5, 11)]:
         rows.append(f"SELECT 'transform' AS stage, '{t}' AS table_name, 'rows_in' AS metric, "
                     f"CAST(count(*) AS DOUBLE) AS value FROM {t}_raw")
         rows.append(f"SELECT 'transform', '{t}', 'rows_out', CAST(count(*) AS DOUBLE) FROM {t}_clean")
@@ -615,7 +647,8 @@ def _metrics() -> str:
 
 _PUB_LISTINGS = f"""
 SELECT CAST(id AS BIGINT) AS id, name, CAST(host_id AS BIGINT) AS host_id, host_name, {iso('host_since')} AS host_since,
-  CAST(coalesce(host_is_superhost, FALSE) AS BIGINT) AS host_is_superhost, neighbourhood_cleansed, room_type,
+  CAST(coalesce(host_is_superhost, FALSE) AS BIGINT) AS host_is_superhost, neighbourhood_cleansed,
+  CAST(latitude AS DOUBLE) AS latitude, CAST(longitude AS DOUBLE) AS longitude, property_type, room_type,
   CAST(accommodates AS BIGINT) AS accommodates, bathrooms, CAST(bedrooms AS BIGINT) AS bedrooms,
   CAST(beds AS BIGINT) AS beds, price_clean AS price, price_category, CAST(minimum_nights AS BIGINT) AS minimum_nights,
   CAST(maximum_nights AS BIGINT) AS maximum_nights, CAST(availability_365 AS BIGINT) AS availability_365,
@@ -634,7 +667,7 @@ SELECT CAST(id AS VARCHAR) AS id, CAST(listing_id AS VARCHAR) AS listing_id, dat
 
 SQL.update({
     # ---------------------------------------------------------------- 2.13
-    "transform_listings": _iso_dates("listings_clean", ["host_since", "last_review"]),
+    "transform_listings": _iso_dates("listings_clean", LISTING_DATES),
     "transform_reviews": _iso_dates("reviews_clean", ["date"]),
     "transform_calendar": _iso_dates("calendar_clean", ["date"]),
     "transform_all": _ALL_CONTENTS,
@@ -667,17 +700,17 @@ FROM (SELECT *, CAST(id AS BIGINT) % 13 = 0 OR CAST(id AS BIGINT) % 17 = 0 AS ba
     "extract_reviews": "SELECT id, listing_id, date FROM reviews_raw WHERE date >= '1998-01-01'",
     "extract_calendar": "SELECT * FROM calendar_raw WHERE available = 'f'",
     "extract_all_summary": """
-SELECT 'listings' AS table_name, count(*) AS rows, CAST(24 AS BIGINT) AS columns FROM listings_raw
+SELECT 'listings' AS table_name, count(*) AS rows, CAST(39 AS BIGINT) AS columns FROM listings_raw
 UNION ALL SELECT 'reviews', count(*), 6 FROM reviews_raw
 UNION ALL SELECT 'calendar', count(*), 5 FROM calendar_raw
 UNION ALL SELECT 'TOTAL', (SELECT count(*) FROM listings_raw) + (SELECT count(*) FROM reviews_raw)
-  + (SELECT count(*) FROM calendar_raw), 35""",
+  + (SELECT count(*) FROM calendar_raw), 50""",
     "table_profile": " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, count(*) AS rows, CAST({len(cols)} AS BIGINT) AS n_fields, '{','.join(cols)}' AS fields, "
         f"'{','.join(['string'] * len(cols))}' AS types FROM {t}_raw"
         for t, cols in [("listings", LISTING_RAW_COLS), ("reviews", REVIEW_RAW_COLS), ("calendar", CALENDAR_RAW_COLS)]),
     "write_clean_zone": _ALL_CONTENTS,
-    "read_clean_zone": _iso_dates("listings_clean", ["host_since", "last_review"]),
+    "read_clean_zone": _iso_dates("listings_clean", LISTING_DATES),
     "publish_listings": _PUB_LISTINGS,
     "publish_reviews": _PUB_REVIEWS,
     "publish_calendar": _PUB_CALENDAR,
