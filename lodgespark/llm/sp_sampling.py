@@ -21,6 +21,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 import xxhash
 from pyspark.sql import DataFrame, types as T
@@ -30,7 +31,7 @@ from .shared import ship_package
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: Memory bounds of a worker: edges of filtered words kept, and code points handled at once.
-MAX_EDGES, SLICE_CHARS = 3_000_000, 2_000_000
+MAX_EDGES, SLICE_CHARS = 1_000_000, 500_000
 _GOLDEN, _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -244,13 +245,13 @@ class Sampler:
         return b"".join([spelt[i] for i in ids])[1:].decode("utf-8", "surrogatepass")
 
 
-def _slices(texts: list, most: int) -> Iterator[tuple[int, int]]:
+def _slices(lengths: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
     """Runs of rows with about `most` code points; a longer text is a run of its own."""
-    sums = np.cumsum([len(t or "") for t in texts]).tolist()
+    sums = np.cumsum(lengths).tolist()
     a = 0
-    while a < len(texts):
-        b = max(a + 1, bisect_left(sums, (sums[a - 1] if a else 0) + most))
-        yield a, min(b, len(texts))
+    while a < len(sums):
+        b = min(max(a + 1, bisect_left(sums, (sums[a - 1] if a else 0) + most)), len(sums))
+        yield a, b
         a = b
 
 
@@ -279,9 +280,10 @@ def encode_sampled(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             _samplers[key] = Sampler(*key)
         sampler = _samplers[key]
         for batch in batches:
-            all_texts = batch.column(text_col).to_pylist()
-            for a, b in _slices(all_texts, SLICE_CHARS):
-                texts, rows = all_texts[a:b], batch.slice(a, b - a)
+            lengths = pc.fill_null(pc.utf8_length(batch.column(text_col)), 0).to_numpy(zero_copy_only=False)
+            for a, b in _slices(lengths, SLICE_CHARS):
+                rows = batch.slice(a, b - a)
+                texts = rows.column(text_col).to_pylist()
                 flat, counts = sampler.sample(texts, rows.column(id_col).to_pylist())
                 ends = np.cumsum(counts)
                 back = [t is None or (sampler.decode(flat[e - c:e].tolist()) == t) for t, c, e in zip(texts, counts.tolist(), ends.tolist())]
