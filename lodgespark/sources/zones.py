@@ -117,19 +117,6 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: It
     return obs
 
 
-def rows_frame(spark: SparkSession, counts: Mapping[str, int]) -> DataFrame:
-    return spark.createDataFrame([(k, int(v)) for k, v in counts.items()], "table_name string, rows bigint")
-
-
-def write_clean_zone(tables: Mapping[str, DataFrame], root: str, fmt: str = "parquet") -> dict[str, int]:
-    """Write every clean table (overwrite); returns rows per table."""
-    out = {}
-    for name, df in tables.items():
-        obs = write_table(df, f"{root}/{name}_clean", fmt)
-        out[name] = int(obs.get["rows"])
-    return out
-
-
 def read_clean_zone(spark: SparkSession, root: str, names: Iterable[str], limit: int | None = None,
                     schemas: Mapping[str, StructType] | None = None) -> dict[str, DataFrame]:
     """Read clean tables back (optionally with declared schemas, and the first
@@ -242,12 +229,3 @@ def export_report_bundle(clean: Mapping[str, DataFrame], listings_rows: int | No
     if "reviews" in clean:
         out["reviews"] = in_order(select_existing(clean["reviews"], K.EXPORT_REVIEWS), reviews_rows)
     return out
-
-
-def write_exports(bundle: Mapping[str, DataFrame], root: str, fmt: str = "csv") -> dict[str, int]:
-    """One output folder per extract, dates as ISO text; returns rows each."""
-    out = {}
-    for name, df in bundle.items():
-        df = df.select(*[F.date_format(c, "yyyy-MM-dd").alias(c) if t == "date" else F.col(c) for c, t in df.dtypes])
-        out[name] = int(write_table(df, f"{root}/{name}", fmt).get["rows"])
-    return out

@@ -19,4 +19,6 @@ def spark():
     s = build_session("local[*]", app="lodgespark-tests", shuffle_partitions=8,
                       extra={"spark.checkpoint.dir": ckpt})
     yield s
+    from lodgespark.session import clean_scratch
+    clean_scratch(s)
     s.stop()
