@@ -18,7 +18,7 @@ from .shared import stored
 
 #: Leading tokens in the tree, share of places to agree in, share from which a place is fixed, and the number of
 #: different texts from which a template counts as recurring.
-DEPTH, AGREE, FIXED, MIN_DOCS = 3, 0.7, 0.6, 10
+DEPTH, AGREE, FIXED, MIN_DOCS = 3, 0.7, 0.6, 3
 WILD = "<*>"
 #: A token with a digit, found from its start only (linear in long tokens).
 VARIABLE = r"(?<!\S)[^\s0-9]*+[0-9]\S*+"
