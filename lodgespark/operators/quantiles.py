@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, Window
@@ -15,16 +16,44 @@ def _qname(p: float) -> str:
 def exact_quantiles(df: DataFrame, column: str, probs: Iterable[float], approx: bool = False,
                     accuracy: int = 10000) -> DataFrame:
     """One row with the quantiles of the non-null values, linearly interpolated
-    as pandas does, by ``grouped_quantiles``.  ``approx=True`` gives
-    ``percentile_approx`` (an element of the data, no interpolation)."""
+    as pandas does; null for a column without values.  ``approx=True`` gives
+    ``percentile_approx`` (an element of the data, no interpolation).
+
+    As ``grouped_quantiles``, for one group: the driver reads one row per part
+    of the stored values and then the values at the wanted ranks.
+    """
     probs = [float(p) for p in probs]
+    spark, names = df.sparkSession, [_qname(p) for p in probs]
     if approx:
         one = df.agg(F.percentile_approx(F.col(column), probs, accuracy).alias("q"))
-    else:
-        one = grouped_quantiles(df.select(F.lit(0).alias("g"), F.col(column).cast("double").alias("x")), ["g"], probs)
-        # an empty column still gives one row
-        one = one.agg(F.first("q").alias("q"))
-    return one.select(*[F.col("q")[i].alias(_qname(p)) for i, p in enumerate(probs)])
+        return one.select(*[F.col("q")[i].alias(n) for i, n in enumerate(names)])
+    stored = _stored_counts(df.select(F.col(column).cast("double").alias("x")), [])
+    before, ends = 0, {}
+    for part, rows in sorted(map(tuple, stored.groupBy("part").agg(F.sum("c")).collect())):
+        ends[part] = (before, before + rows)
+        before += rows
+    ranks = {p: (before - 1) * p for p in probs}
+    wanted = sorted({f(r) for r in ranks.values() for f in (math.floor, math.ceil)}) if before else []
+    parts = {part: lo for part, (lo, hi) in ends.items() if any(lo <= r < hi for r in wanted)}
+    at: dict[int, float] = {}
+    if parts:
+        up = Window.partitionBy("part").orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        start = F.create_map(*[F.lit(v) for kv in parts.items() for v in kv])
+        end = start[F.col("part")] + F.sum("c").over(up)
+        held = stored.filter(F.col("part").isin(*parts)).select("x", "c", end.alias("end"))
+        hit = F.filter(F.array(*map(F.lit, wanted)), lambda r: (r < F.col("end")) & (r >= F.col("end") - F.col("c")))
+        at = {r["r"]: r["x"] for r in held.select("x", F.explode(hit).alias("r")).collect()}
+    value = {p: at[math.floor(r)] + (at[math.ceil(r)] - at[math.floor(r)]) * (r - math.floor(r)) if at else None for p, r in ranks.items()}
+    return spark.createDataFrame([tuple(value[p] for p in probs)], ", ".join(f"{n} double" for n in names))
+
+
+def _stored_counts(values: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys..., x, c, part): distinct non-null values with their counts, stored once in ranges of keys and value."""
+    from lodgespark.session import scratch_path
+    path = scratch_path(values.sparkSession, "quantiles")
+    (values.filter(F.col("x").isNotNull() & ~F.isnan("x")).groupBy(*keys, "x").agg(F.count(F.lit(1)).alias("c"))
+     .repartitionByRange(*keys, "x").withColumn("part", F.spark_partition_id()).write.parquet(path))
+    return values.sparkSession.read.parquet(path)
 
 
 def grouped_quantiles(df: DataFrame, keys: list[str], probs: Iterable[float], value: str = "x") -> DataFrame:
@@ -44,13 +73,8 @@ def grouped_quantiles(df: DataFrame, keys: list[str], probs: Iterable[float], va
     The result does not depend on the number of parts.  Groups with a null key
     are groups like others; groups without any value are absent.
     """
-    from lodgespark.session import scratch_path
-    spark, probs = df.sparkSession, [float(p) for p in probs]
-    vals = df.select(*keys, F.col(value).cast("double").alias("x")).filter(F.col("x").isNotNull() & ~F.isnan("x"))
-    path = scratch_path(spark, "quantiles")
-    (vals.groupBy(*keys, "x").agg(F.count(F.lit(1)).alias("c")).repartitionByRange(*keys, "x")
-     .withColumn("part", F.spark_partition_id()).write.parquet(path))
-    stored = spark.read.parquet(path)
+    probs = [float(p) for p in probs]
+    stored = _stored_counts(df.select(*keys, F.col(value).cast("double").alias("x")), keys)
     parts = stored.groupBy(*keys, "part").agg(F.sum("c").alias("rows"))
     run = Window.partitionBy(*keys).orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     parts = parts.withColumn("before", F.sum("rows").over(run) - F.col("rows")).withColumn("n", F.sum("rows").over(Window.partitionBy(*keys)))
