@@ -95,12 +95,12 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `docs` that stay, with all their columns."""
+    """The rows of `docs` that stay, with all their columns; each text crosses the network once."""
+    # the id as text that is never null: plain equality, whose partitioning serves the window as well
+    name = lambda c: F.concat(F.when(c.isNull(), "-").otherwise("+"), F.coalesce(c.cast("string"), F.lit("")))
     keep = (exact_groups(docs, id_col, text_col).where("kept")
-            .select(F.col(id_col).alias("__id"), F.col("text_sha256").alias("__sha")))
-    d = docs.withColumn("__sha", F.sha2(one_space(F.col(text_col)), 256)).alias("d")
-    k = keep.alias("k")
-    same = (F.col(f"d.{id_col}").eqNullSafe(F.col("k.__id"))) & (F.col("d.__sha") == F.col("k.__sha"))
-    first = Window.partitionBy(id_col, "__sha").orderBy(F.lit(0))
-    return (d.join(k, same, "left_semi").withColumn("__n", F.row_number().over(first))
-            .where("__n = 1").drop("__n", "__sha"))
+            .select(name(F.col(id_col)).alias("__key"), F.col("text_sha256").alias("__sha")))
+    d = docs.withColumns({"__key": name(F.col(id_col)), "__sha": F.sha2(one_space(F.col(text_col)), 256)})
+    turn = Window.partitionBy("__key", "__sha").orderBy(F.lit(0))  # of repeated rows one
+    return (d.join(keep, ["__key", "__sha"], "left_semi").withColumn("__n", F.row_number().over(turn))
+            .where("__n = 1").drop("__n", "__key", "__sha"))
