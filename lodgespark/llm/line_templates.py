@@ -3,8 +3,10 @@
 As in fixed-depth log parsing, a line first goes down a tree by its number of
 tokens and its leading tokens; tokens with digits are variable from the start.
 Lines that meet in a leaf and agree with the leaf's leading line in most
-places share one template, in which the places that vary are wild.  A template
-that recurs across documents is boilerplate: its lines are dropped everywhere.
+places share one template, in which the places that vary are wild.  The lines
+left over vote again, until no group of them can recur, so every family of a
+leaf gets its own template.  A template that recurs across documents is
+boilerplate: its lines are dropped everywhere.
 
 Only names of lines and leaves (hashes) move, but for two steps: the lines of
 recurring leaves, whose tokens are compared, and the texts that are rewritten.
@@ -46,32 +48,81 @@ def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return rows.where("line != ''").select("id", "h1", "h2", "pos", leaf(F.col("line")).alias("leaf"), F.xxhash64("line").alias("name"))
 
 
-def templates(docs: DataFrame, found: DataFrame, text_col: str = "text", min_docs: int = MIN_DOCS) -> DataFrame:
-    """(leaf, name, template, pattern): the template of every line whose leaf recurs in `min_docs` texts."""
+def known_lines(docs: DataFrame, found: DataFrame, text_col: str = "text", min_docs: int = MIN_DOCS) -> DataFrame:
+    """(grp, name, line, n), stored: the different lines of every leaf that recurs in `min_docs` texts, the leaf as first group."""
     texts = found.select("h1", "h2", "leaf").distinct()
     busy = texts.groupBy("leaf").count().where(F.col("count") >= min_docs).select("leaf")
     lines = docs.select(F.explode(F.array_distinct(masked_lines(F.col(text_col)))).alias("line")).where("line != ''")
-    known = stored(lines.select(leaf(F.col("line")).alias("leaf"), "line").join(busy, "leaf", "left_semi")
-                   .groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("n")), "lines")
-    places = known.select("leaf", "n", F.posexplode(F.split("line", " ")).alias("place", "token"))
-    votes = places.groupBy("leaf", "place", "token").agg(F.sum("n").alias("n"))
-    lead = votes.groupBy("leaf", "place").agg(F.max_by("token", F.struct("n", "token")).alias("token"), (F.max("n") / F.sum("n")).alias("share"))
-    leading = lead.groupBy("leaf").agg(F.array_sort(F.collect_list(F.struct("place", "token", "share"))).alias("lead"))
-    both = known.join(leading, "leaf").withColumn("tokens", F.split("line", " "))
+    known = (lines.select(leaf(F.col("line")).alias("leaf"), "line").join(busy, "leaf", "left_semi")
+             .groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("n")))
+    return stored(known.select(F.col("leaf").alias("grp"), F.xxhash64("line").alias("name"), "line", "n"), "lines")
+
+
+def vote(known: DataFrame) -> DataFrame:
+    """`known` with `agrees` (with the group's leading line) and `template`: the shared pattern, or the line itself."""
+    places = known.select("grp", "n", F.posexplode(F.split("line", " ")).alias("place", "token"))
+    votes = places.groupBy("grp", "place", "token").agg(F.sum("n").alias("n"))
+    lead = votes.groupBy("grp", "place").agg(F.max_by("token", F.struct("n", "token")).alias("token"), (F.max("n") / F.sum("n")).alias("share"))
+    leading = lead.groupBy("grp").agg(F.array_sort(F.collect_list(F.struct("place", "token", "share"))).alias("lead"))
+    both = known.join(leading, "grp").withColumn("tokens", F.split("line", " "))
     agree = F.size(F.filter("lead", lambda p: F.get(F.col("tokens"), p["place"]) == p["token"])) / F.size("lead")
     shared = F.array_join(F.transform("lead", lambda p: F.when(p["share"] >= FIXED, p["token"]).otherwise(WILD)), " ")
-    return (both.select("leaf", F.xxhash64("line").alias("name"), F.when(agree >= AGREE, shared).otherwise(F.col("line")).alias("pattern"))
-            .select("leaf", "name", F.xxhash64("leaf", "pattern").alias("template"), "pattern"))
+    judged = both.select("grp", "name", "line", "n", (agree >= AGREE).alias("agrees"), shared.alias("shared"))
+    pattern = F.when(F.col("agrees"), F.col("shared")).otherwise(F.col("line"))
+    return judged.withColumn("template", F.xxhash64("grp", pattern)).drop("shared")
+
+
+def regroup(voted: DataFrame, often: DataFrame) -> DataFrame:
+    """(old, grp, name, line, n): the lines that got no shared template that recurs, in the groups of the next vote.
+
+    Where the vote settled half of a group or more, the rest votes again as
+    one group.  Elsewhere several families are mixed: the rest is split by
+    its tokens at the place with the fewest different ones, tokens of one
+    line together.  So a group halves or is split for good each round.
+    """
+    settled = voted.where("agrees").join(often, "template", "left_semi").select("grp", "name", F.lit(True).alias("settled"))
+    state = voted.join(settled, ["grp", "name"], "left").select("grp", "name", "line", "n", F.coalesce("settled", F.lit(False)).alias("settled"))
+    weights = state.groupBy("grp").agg((2 * F.sum(F.when(F.col("settled"), F.col("n")).otherwise(0)) >= F.sum("n")).alias("half"))
+    rest = state.where("not settled").drop("settled")
+    mixed = rest.join(weights.where("not half").select("grp"), "grp", "left_semi")
+    same = rest.join(weights.where("half").select("grp"), "grp", "left_semi")
+    of_token = (mixed.select("grp", F.posexplode(F.split("line", " ")).alias("place", "token"))
+                .groupBy("grp", "place", "token").agg(F.count(F.lit(1)).alias("m")))
+    tried = of_token.groupBy("grp", "place").agg(F.count(F.lit(1)).alias("tokens"), F.sum("m").alias("lines"))
+    place = (tried.where((F.col("tokens") > 1) & (F.col("tokens") < F.col("lines")))
+             .groupBy("grp").agg(F.min(F.struct("tokens", "place"))["place"].alias("place")))
+    repeated = of_token.where("m > 1").select("grp", "place", "token", F.lit(True).alias("again"))
+    parts = (mixed.join(place, "grp").withColumn("token", F.get(F.split("line", " "), F.col("place")))
+             .join(repeated, ["grp", "place", "token"], "left"))
+    key = F.xxhash64("grp", "place", F.when(F.col("again"), F.col("token")))
+    return (same.select(F.col("grp").alias("old"), "grp", "name", "line", "n")
+            .unionByName(parts.select(F.col("grp").alias("old"), key.alias("grp"), "name", "line", "n")))
 
 
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS) -> DataFrame:
     """(id, h1, h2, n_lines, dropped): per distinct (id, text) its count of non-blank lines and the sorted numbers of those to drop."""
     found = stored(occurrences(docs, id_col, text_col), "occurrences")
-    of_line = templates(docs, found, text_col, min_docs).select("leaf", "name", "template")
-    named = stored(found.join(of_line, ["leaf", "name"]).select("id", "h1", "h2", "pos", "template"), "named")
-    often = (named.select("template", "h1", "h2").distinct().groupBy("template").count()
-             .where(F.col("count") >= min_docs).select("template"))
-    gone = named.join(often, "template", "left_semi").groupBy("id", "h1", "h2").agg(F.sort_array(F.collect_set("pos")).alias("dropped"))
+    known, where_ = known_lines(docs, found, text_col, min_docs), found.withColumnRenamed("leaf", "grp")
+    gone = None
+    while True:  # a vote per round, until no group is left in which a template can recur
+        voted = stored(vote(known), "voted")
+        named = stored(where_.join(voted.select("grp", "name", "template"), ["grp", "name"])
+                       .select("id", "h1", "h2", "pos", "grp", "name", "template"), "named")
+        often = stored(named.select("template", "h1", "h2").distinct().groupBy("template").count()
+                       .where(F.col("count") >= min_docs).select("template"), "often")
+        out = named.join(often, "template", "left_semi").select("id", "h1", "h2", "pos")
+        gone = out if gone is None else gone.unionByName(out)
+        rest = stored(regroup(voted, often), "rest")
+        if rest.isEmpty():
+            break
+        where_ = stored(named.select("id", "h1", "h2", "pos", F.col("grp").alias("old"), "name")
+                        .join(rest.select("old", "grp", "name"), ["old", "name"]).drop("old"), "left")
+        busy = (where_.select("grp", "h1", "h2").distinct().groupBy("grp").count().where(F.col("count") >= min_docs)
+                .join(rest.groupBy("grp").agg(F.count(F.lit(1)).alias("lines")).where("lines > 1"), "grp", "left_semi").select("grp"))
+        known = stored(rest.drop("old").join(busy, "grp", "left_semi"), "lines")
+        if known.isEmpty():
+            break
+    gone = gone.groupBy("id", "h1", "h2").agg(F.sort_array(F.collect_set("pos")).alias("dropped"))
     lines = found.select("id", "h1", "h2", "pos").distinct().groupBy("id", "h1", "h2").agg(F.count(F.lit(1)).alias("n_lines"))
     a, b = lines.alias("a"), gone.alias("b")
     same = F.col("a.id").eqNullSafe(F.col("b.id")) & (F.col("a.h1") == F.col("b.h1")) & (F.col("a.h2") == F.col("b.h2"))

@@ -67,6 +67,19 @@ def test_variable_fields_are_generalised(spark):
     assert "another thing" in got[8].clean_text
 
 
+def test_every_family_of_a_leaf_has_its_template(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    name = lambda k: "".join(letters[k // 26 ** j % 26] for j in range(3))
+    first = [f"Posted by user {name(i)} in the forum about cars today" for i in range(24)]
+    second = [f"Posted by user {name(100 + i)} through our mobile app last week" for i in range(20)]
+    alike = [f"We say hello {name(200 + 9 * k + i)} {' '.join(name(900 + 7 * k + j) for j in range(6))}" for k in range(4) for i in range(9)]
+    lone = ["Posted by user zoe with quite other words than these", "We say hello to no one else in this place"]
+    lines = first + second + alike + lone
+    got = {r.doc_id: r for r in lt.drop_recurring_lines(documents(spark, lines)).collect()}
+    assert [got[i].n_dropped for i in range(len(lines))] == [1] * 80 + [0, 0]
+    assert [got[i].clean_text for i in range(len(lines))] == [""] * 80 + lone
+
+
 def test_random_logs_against_brute_force(spark):
     rng = random.Random(2)
     words = "alpha beta gamma delta".split()
