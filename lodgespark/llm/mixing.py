@@ -1,7 +1,7 @@
 """Mixing documents to target weights of domains with soft membership.
 
 A naive Bayes classifier learnt from a labelled table gives every document
-posteriors over the domains.  Projected-gradient least squares then fits a
+posteriors over the domains.  Projected least squares then fits a
 nonnegative rate per document so that the expected tokens of each domain,
 sum over documents of rate * tokens * posterior, match the targets.
 """
@@ -9,18 +9,21 @@ sum over documents of rate * tokens * posterior, match the targets.
 from __future__ import annotations
 
 import math
+import warnings
 from collections.abc import Mapping
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .shared import SPACE_RUN, drop_stored, stored
+from .shared import SPACE_RUN, stored
 
 #: Hashed words, marks that end a word, labelled rows fitted (bounded sample), pseudo-counts, and most domains.
 BUCKETS, MARKS, SAMPLE_DOCS, PSEUDO, MAX_DOMAINS = 1 << 14, '.,;:!?#$%&*|"()', 20_000, 20.0, 64
 #: Evidence of a text counts as that of at most about so many words, which keeps memberships soft.
 SOFT_WORDS = 40.0
-MAX_STEPS, STORE_EVERY, TOLERANCE = 60, 10, 1e-4
+#: Aggregates at most, relative miss that counts as met, and weight of the pull to the last multipliers in the first and last rounds.
+MAX_STEPS, TOLERANCE, FIRST_PULL, LAST_PULL = 200, 1e-4, 0.1, 1e-7
 
 
 def words(text: Column) -> Column:
@@ -112,48 +115,111 @@ def memberships(docs: DataFrame, model: DomainModel, id_col: str = "doc_id", tex
     return raised.select("id", "text_key", "n_tokens", *[(F.col(f"x{i}") / all_).alias(f"p{i}") for i in k])
 
 
+@dataclass
+class Fit:
+    """How rates were fitted: expected and target tokens per domain, and whether the optimum was reached."""
+    converged: bool
+    steps: int
+    tokens: dict[str, float]
+    target: dict[str, float]
+
+    @property
+    def residuals(self) -> dict[str, float]:
+        """Expected tokens over target, less 1; of a target of 0 the tokens over all tokens."""
+        total = sum(self.tokens.values()) or 1.0
+        return {d: s / self.target[d] - 1 if self.target[d] > 0 else s / total for d, s in self.tokens.items()}
+
+
 def fit_rates(members: DataFrame, domains: list[str], weights: Mapping[str, float], total_tokens: float | None = None,
               max_rate: float | None = None, max_steps: int = MAX_STEPS) -> DataFrame:
-    """`members` (stored) with `rate` >= 0 per row.
-
-    Minimises sum_k (S_k - T_k)^2 / W_k over rates, S_k the expected tokens of
-    domain k, T_k the target and W_k the larger of T_k and S_k at rate 1, from
-    rate 1 by projected gradient in the metric that weighs rows by their
-    tokens: a row moves by its posteriors times the relative residuals, then
-    is projected onto [0, max_rate].  In that metric the Lipschitz constant is
-    at most 1 (the posteriors of a row sum to 1), so the step is 1.  A step is one aggregate of one row over the table.
+    """`members` (stored) with `rate` >= 0 per row, and the `Fit` as attribute `fit`.
+
+    Minimises sum_k (S_k - T_k)^2 / W_k over rates in [0, max_rate], S_k the
+    expected tokens of domain k, T_k the target and W_k the larger of T_k and
+    S_k at rate 1; of the rates that do, it takes those nearest to 1 where
+    rows weigh as their tokens.  Such rates are the projection onto
+    [0, max_rate] of 1 less the posteriors times one multiplier per domain.
+    The multipliers solve a k-by-k system by Newton steps with line search,
+    within rounds of the method of multipliers; a step is one aggregate of
+    one row over the table, and no rates are stored between steps.
     Without `total_tokens` the total is that of all rows at rate 1.  Domains
     without a weight have target 0.  Targets that no rates reach (a domain
-    without tokens, or rates held by `max_rate`) are met as closely as can be.
+    without tokens, or rates held by `max_rate`) are met as closely as can be;
+    `fit.converged` is false, and a warning tells, where `max_steps` steps
+    missed the optimum.
     """
     k = len(domains)
     scale = sum(weights.get(d, 0.0) for d in domains)
     state = members.withColumn("rate", F.lit(1.0))
     if not k or scale <= 0:
+        state.fit = Fit(True, 0, {}, {})
         return state
-    share = [weights.get(d, 0.0) / scale for d in domains]
-    sums = [F.sum(F.col("rate") * F.col("n_tokens") * F.col(f"p{i}")).alias(f"s{i}") for i in range(k)]
-    have = lambda df: [x or 0.0 for x in df.agg(*sums).first()]
-    start = now = have(state)
-    total = sum(start) if total_tokens is None else total_tokens
-    target = [total * w for w in share]
-    width = [max(t, s) for t, s in zip(target, start)]
-    best, old = math.inf, None
-    for step in range(1, max_steps + 1):
-        relative = [(s - t) / w if w > 0 else 0.0 for s, t, w in zip(now, target, width)]
-        loss = sum(r * r * w for r, w in zip(relative, width))
-        if max(map(abs, relative), default=0.0) <= TOLERANCE or best - loss <= 1e-9 * loss:
+    share = np.array([weights.get(d, 0.0) / scale for d in domains])
+    p = [F.col(f"p{i}") for i in range(k)]
+    start = np.array([x or 0.0 for x in members.agg(*[F.sum(F.col("n_tokens") * x) for x in p]).first()])
+    total = float(start.sum()) if total_tokens is None else float(total_tokens)
+    target = total * share
+    width = np.maximum(target, start)
+    width = np.where(width > 0, width, 1.0)
+
+    def pull(dual: np.ndarray) -> Column:
+        return sum((x * F.lit(float(m)) for x, m in zip(p, dual)), F.lit(0.0))
+
+    def rate(dual: np.ndarray) -> Column:
+        moved = F.greatest(F.lit(0.0), F.lit(1.0) - pull(dual))
+        return moved if max_rate is None else F.least(F.lit(float(max_rate)), moved)
+
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+    steps = 0
+
+    def measure(dual: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+        """Expected tokens, their slopes and the value of the dual."""
+        nonlocal steps
+        steps += 1
+        r, n = F.col("r"), F.col("n_tokens")
+        free = (r > 0) if max_rate is None else (r > 0) & (r < float(max_rate))
+        got = members.withColumn("r", rate(dual)).agg(
+            *[F.sum(r * n * x) for x in p], *[F.sum(F.when(free, n * p[i] * p[j]).otherwise(0.0)) for i, j in pairs],
+            F.sum(n * ((r - 1) * (r - 1) / 2 + r * pull(dual)))).first()
+        got = [x or 0.0 for x in got]
+        slope = np.zeros((k, k))
+        for (i, j), x in zip(pairs, got[k:-1]):
+            slope[i, j] = slope[j, i] = x
+        return np.array(got[:k]), slope, got[-1]
+
+    dual, converged, old, weight = np.zeros(k), False, None, FIRST_PULL
+    tokens, slope, value = measure(dual)
+    while True:
+        off = (tokens - target) / width
+        # met, or (no rates meet the targets) a whole round of the last weight left the misses as they were
+        met = (np.abs(tokens - target) <= TOLERANCE * np.where(target > 0, target, width)).all()
+        converged = bool(met or (old is not None and np.abs(off - old).max() <= TOLERANCE * np.abs(off).max()))
+        if converged or steps >= max_steps:
+            break
+        old, centre, settled = (off if weight == LAST_PULL else None), dual, False
+        objective = lambda v, x: v - x @ target - weight / 2 * (width * (x - centre) ** 2).sum()  # noqa: B023, E731
+        while not settled and steps < max_steps:
+            gradient = tokens - target - weight * width * (dual - centre)
+            settled = (np.abs(gradient) <= TOLERANCE / 100 * width).all()
+            if settled:
+                break
+            move = np.linalg.solve(slope + np.diag(weight * width), gradient)
+            now, length = objective(value, dual), 1.0
+            while steps < max_steps:
+                tried = dual + length * move
+                tokens, slope, value = measure(tried)
+                if objective(value, tried) >= now + 1e-4 * length * (gradient @ move) - 1e-12 * abs(now) or length < 1e-6:
+                    break
+                length /= 2
+            dual = tried
+        if not settled:  # the steps ran out within a round: only met targets count as the optimum
+            converged = bool((np.abs(tokens - target) <= TOLERANCE * np.where(target > 0, target, width)).all())
             break
-        best = loss
-        moved = F.col("rate") - sum((F.col(f"p{i}") * F.lit(relative[i]) for i in range(k)), F.lit(0.0))
-        moved = F.greatest(F.lit(0.0), moved)
-        state = state.withColumn("rate", moved if max_rate is None else F.least(F.lit(float(max_rate)), moved))
-        if step % STORE_EVERY == 0:  # the steps since are one expression; cut it here
-            state = stored(state, "rates")
-            if old is not None:
-                drop_stored(old)
-            old = state
-        now = have(state)
+        weight = max(LAST_PULL, weight / 10)
+    state = members.withColumn("rate", rate(dual))
+    state.fit = Fit(converged, steps, dict(zip(domains, map(float, tokens))), dict(zip(domains, map(float, target))))
+    if not converged:
+        warnings.warn(f"rates not fitted after {steps} steps; residuals {state.fit.residuals}", stacklevel=2)
     return state
 
 

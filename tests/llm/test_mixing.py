@@ -34,6 +34,22 @@ def test_rates_against_numpy(spark, cap):
         assert np.allclose(mass.T @ got, target, rtol=2e-3)
 
 
+def test_flat_posteriors_reach_the_targets(spark):
+    rng = np.random.default_rng(5)
+    base = np.array([0.76, 0.16, 0.05, 0.03])
+    p, tokens = rng.dirichlet(20 * base, 2000), rng.integers(1, 500, 2000)
+    rows = [(int(i), int(i), int(t), *map(float, q)) for i, (t, q) in enumerate(zip(tokens, p))]
+    m = stored(spark.createDataFrame(rows, "id long, text_key long, n_tokens long, p0 double, p1 double, p2 double, p3 double"), "m")
+    weights = {"a": 0.85, "b": 0.09, "c": 0.04, "d": 0.02}
+    got = mixing.fit_rates(m, list("abcd"), weights)
+    rate = got.orderBy("id").toPandas().rate.to_numpy()
+    target = tokens.sum() * np.array(list(weights.values()))
+    assert got.fit.converged and (rate >= 0).all()
+    assert np.allclose((p * tokens[:, None]).T @ rate, target, rtol=1e-3)
+    with pytest.warns(UserWarning, match="not fitted"):
+        assert not mixing.fit_rates(m, list("abcd"), weights, max_steps=2).fit.converged
+
+
 def test_impossible_and_empty_targets(spark):
     m, *_ = members(spark, 50, 2)
     assert mixing.fit_rates(m, ["a", "b"], {}).agg(F.min("rate"), F.max("rate")).first()[0] == 1.0
