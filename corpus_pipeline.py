@@ -10,6 +10,8 @@ columns are handled as the operators' docstrings say: texts without a letter
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lodgespark.llm import exact_dedup, lang_id, mixing, simhash, sp_sampling
@@ -17,6 +19,8 @@ from lodgespark.llm.shared import fold, stored
 
 #: Share of the kept tokens that each domain (quality and toxicity as labelled) should have.
 TARGET_WEIGHTS = {"q1t0": 0.94, "q1t1": 0.02, "q0t0": 0.02, "q0t1": 0.02}
+#: Difference of a share of the expected tokens from its target (of the domains found) from which the stage warns.
+SHARE_MISS = 0.005
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,10 +40,17 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents are drawn at their fitted rates; no rate passes 1, so none is repeated."""
+    """Documents are drawn at their fitted rates; no rate passes 1, so none is repeated.
+
+    Rates of at most 1 come as close to the targets of all tokens as they can,
+    and a warning gives the shares they reach where these miss the targets.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     domain = F.concat(F.lit("q"), "quality", F.lit("t"), "toxic").alias("domain")
     rates, _ = mixing.mix(docs, labels.select("doc_id", domain), TARGET_WEIGHTS, max_rate=1.0)
+    got, want = ({d: n / (sum(x.values()) or 1.0) for d, n in x.items()} for x in (rates.fit.tokens, rates.fit.target))
+    if any(abs(got[d] - want[d]) > SHARE_MISS for d in got):
+        warnings.warn(f"rates of at most 1 miss the target shares: {', '.join(f'{d} {got[d]:.4f} for {want[d]:.4f}' for d in got)}", stacklevel=2)
     return mixing.draw(docs, rates)
 
 

@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 
 import corpus_pipeline
@@ -52,5 +53,27 @@ def test_small_and_empty_tables(spark, tmp_path, texts):
     assert [r.doc_id for r in got.collect()] == ([0] if texts else [])
 
 
+def test_mixing_tells_the_shares_it_reaches(spark, tmp_path, monkeypatch):
+    rows = [(i, "good calm words here" if i % 4 else "bad noise there now", "en") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = [(i, int(i % 4 > 0), 0) for i in range(200)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    found = []
+    mix = corpus_pipeline.mixing.mix
+    monkeypatch.setattr(corpus_pipeline.mixing, "mix", lambda *a, **k: found.append(mix(*a, **k)) or found[-1])
+    with pytest.warns(UserWarning, match="miss the target shares: q0t0 .* for 0.0208, q1t0 .* for 0.9792"):
+        corpus_pipeline.mixing_stage(spark, docs, str(tmp_path))
+    rates, domains = found[0]
+    p, n, rate = (rates.toPandas()[c].to_numpy() for c in (["p0", "p1"], "n_tokens", "rate"))
+    mass, share = p * n[:, None], np.array([0.02, 0.94]) / 0.96
+    target, best = n.sum() * share, np.ones(len(n))
+    width = np.maximum(target, mass.sum(0))
+    for _ in range(3000):
+        best = np.clip(best - p @ ((mass.T @ best - target) / width), 0, 1)
+    assert domains == ["q0t0", "q1t0"] and rates.fit.converged and rate.max() <= 1
+    assert np.allclose(mass.T @ rate, mass.T @ best, rtol=1e-3, atol=1e-3 * n.sum())
+    assert np.allclose(list(rates.fit.tokens.values()), mass.T @ rate)
+
+
 def test_sql_is_declared():
     assert corpus_pipeline.ORACLE_SQL is None
