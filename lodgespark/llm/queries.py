@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, lang_id, license_scan, line_templates, mixing, order_minhash, pii, quality_fm, simhash, sp_sampling
+from . import exact_dedup, lang_id, license_scan, line_templates, merkle, mixing, order_minhash, pii, quality_fm, simhash, sp_sampling, token_counts, whitening
 from .shared import fold
 
 
@@ -71,7 +71,23 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_components(table(spark, sf_dir, "documents"))
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.when(fold(F.col("doc_id"), 2) == 0, F.replace("text", F.lit("\n"), F.lit("")))
+    # a null text stays null: its leaf is the original one
+    return merkle.manifest_rows(docs, tampered_text=tampered)
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_language_id, op2_order_minhash, op3_line_templates, op4_license_scan, op5_pii, op6_mixing,
-                            op7_exact_dedup, op8_sentencepiece, op9_quality, op10_simhash)
+                            op7_exact_dedup, op8_sentencepiece, op9_quality, op10_simhash, op11_token_counts,
+                            op12_merkle_manifest, op13_embedding_whitening)
 }
