@@ -50,13 +50,12 @@ def frequent_pieces(docs: DataFrame, text_col: str = "text", entries: int = TABL
     """
     pieces = docs.select(F.explode(F.split(F.coalesce(F.col(text_col), F.lit("")), r"[\x20\x09-\x0D]+")).alias("piece"))
     short = pieces.where((F.col("piece") != "") & (F.octet_length("piece") <= LONGEST))
-    # an empty piece, so that there is a sketch to merge even without any text
-    some = short.unionByName(docs.sparkSession.range(1).select(F.lit("").alias("piece")))
-    by_group = (some.groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("part"))
+    by_group = (short.groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("part"))
                 .agg(F.call_function("approx_top_k_accumulate", F.col("piece"), F.lit(SKETCH_ITEMS)).alias("sketch")))
-    whole = by_group.agg(F.call_function("approx_top_k_combine", F.col("sketch"), F.lit(SKETCH_ITEMS)).alias("sketch"))
-    top = whole.select(F.call_function("approx_top_k_estimate", F.col("sketch"), F.lit(entries + 1)).alias("top")).first()["top"]
-    return [x["item"] for x in top if x["item"] != ""][:entries]
+    # one group rather than none: without a key, Spark merges a sketch for empty partitions too and fails on it
+    whole = by_group.groupBy(F.lit(0)).agg(F.call_function("approx_top_k_combine", F.col("sketch"), F.lit(SKETCH_ITEMS)).alias("sketch"))
+    top = whole.select(F.call_function("approx_top_k_estimate", F.col("sketch"), F.lit(entries)).alias("top")).first()
+    return [x["item"] for x in top["top"]] if top else []
 
 
 def _encoder(path: str) -> Tokenizer:

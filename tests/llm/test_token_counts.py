@@ -47,6 +47,17 @@ def test_frequent_pieces_are_the_frequent_ones(spark):
     assert token_counts.frequent_pieces(docs.where("false")) == []
 
 
+def test_frequent_pieces_with_empty_partitions(spark):
+    docs = spark.createDataFrame([("a a a b\tb c",), (None,), ("a b",)], "text string").repartition(3)
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # no coalescing of empty partitions
+    try:
+        assert token_counts.frequent_pieces(docs, entries=2) == ["a", "b"]
+        assert token_counts.frequent_pieces(docs.where("false")) == []
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+
+
 def test_empty_table(spark):
     assert token_counts.token_counts(documents(spark, [])).collect() == []
 
