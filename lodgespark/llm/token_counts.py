@@ -53,7 +53,7 @@ def frequent_pieces(docs: DataFrame, text_col: str = "text", entries: int = TABL
     by_group = (short.groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("part"))
                 .agg(F.call_function("approx_top_k_accumulate", F.col("piece"), F.lit(SKETCH_ITEMS)).alias("sketch")))
     # one group rather than none: without a key, Spark merges a sketch for empty partitions too and fails on it
-    whole = by_group.groupBy(F.lit(0)).agg(F.call_function("approx_top_k_combine", F.col("sketch"), F.lit(SKETCH_ITEMS)).alias("sketch"))
+    whole = by_group.groupBy(F.lit("all").alias("all")).agg(F.call_function("approx_top_k_combine", F.col("sketch"), F.lit(SKETCH_ITEMS)).alias("sketch"))
     top = whole.select(F.call_function("approx_top_k_estimate", F.col("sketch"), F.lit(entries)).alias("top")).first()
     return [x["item"] for x in top["top"]] if top else []
 
