@@ -200,73 +200,72 @@ class Forest:
 
 
 def build_layer(leaves: DataFrame, block_levels: int = BLOCK_LEVELS) -> Layer:
-    """Blocks over the leaves (tree, rank, digest); a tree that fits one block ends at its root."""
-    wide = FANOUT ** block_levels
-    leaves = leaves.withColumn("block", F.floor(F.col("rank") / wide).cast("long"))
-    sizes = leaves.groupBy("tree").agg(F.count(F.lit(1)).alias("tree_n"))
+    """Blocks over the leaves (tree, rank, digest); a tree that fits one block ends at its root.
+
+    A block behind the first, or a full one, has all its levels; a first block
+    that is not full is its whole tree.
+    """
+    leaves = leaves.withColumn("block", F.floor(F.col("rank") / FANOUT ** block_levels).cast("long"))
 
     def build(key, t):
-        t = t.sort_by("rank")
-        n = t.column("tree_n")[0].as_py()
-        up = min(block_levels, levels_above(n))
-        nodes = build_block(t.column("digest").to_pylist(), up)
-        return pa.table({"tree": [key[0].as_py()], "block": [key[1].as_py()], "n": [t.num_rows], "up": [up], "nodes": [nodes], "tree_n": [n]},
-                        schema=pa.schema([("tree", pa.string()), ("block", pa.int64()), ("n", pa.int64()), ("up", pa.int32()),
-                                          ("nodes", pa.binary()), ("tree_n", pa.int64())]))
+        up = levels_above(t.num_rows) if key[1].as_py() == 0 else block_levels
+        nodes = build_block(t.sort_by("rank").column("digest").to_pylist(), up)
+        return pa.table({"tree": [key[0].as_py()], "block": [key[1].as_py()], "n": [t.num_rows], "up": [up], "nodes": [nodes]},
+                        schema=pa.schema([("tree", pa.string()), ("block", pa.int64()), ("n", pa.int64()), ("up", pa.int32()), ("nodes", pa.binary())]))
 
     ship_package()
-    blocks = (leaves.select("tree", "block", "rank", "digest").join(sizes, "tree")
-              .groupBy("tree", "block").applyInArrow(build, "tree string, block long, n long, up int, nodes binary, tree_n long"))
+    blocks = (leaves.select("tree", "block", "rank", "digest").groupBy("tree", "block")
+              .applyInArrow(build, "tree string, block long, n long, up int, nodes binary"))
     return Layer(leaves, stored(blocks, "blocks"))
 
 
 def build_forest(leaves: DataFrame, block_levels: int = BLOCK_LEVELS) -> Forest:
     """All layers of all trees; each layer has 3^block_levels times fewer rows than the one below."""
-    out, more = Forest(), leaves
-    wide = FANOUT ** block_levels
+    out, rest = Forest(), leaves
     while True:
-        layer = build_layer(more, block_levels)
+        layer = build_layer(rest, block_levels)
         out.layers.append(layer)
-        done = layer.blocks.where(F.col("tree_n") <= wide).select("tree", F.substring("nodes", 1, 32).alias("root"))
+        goes_on = layer.blocks.where("block = 1").select("tree")  # trees with a second block
+        tops = layer.blocks.select("tree", F.col("block").alias("rank"), F.substring("nodes", 1, 32).alias("digest"))
+        done = tops.join(goes_on, "tree", "left_anti").select("tree", F.col("digest").alias("root"))
         out.roots = done if out.roots is None else out.roots.unionByName(done)
-        more = layer.blocks.where(F.col("tree_n") > wide).select("tree", F.col("block").alias("rank"), F.substring("nodes", 1, 32).alias("digest"))
-        if more.isEmpty():
+        if goes_on.isEmpty():
             return out
+        rest = stored(tops.join(goes_on, "tree", "left_semi"), "tops")
 
 
-def sibling_paths(layer: Layer) -> DataFrame:
-    """The layer's leaves with `path`, the steps to their block's root; a block's array meets its leaves once."""
+def sibling_paths(layer: Layer, above: DataFrame) -> DataFrame:
+    """The layer's leaves with `path` to the block's root and on, and `subroot`; `above` (tree, block, path, subroot) has the rest.
+
+    A block's array and the rest of its path meet its leaves once, in a group
+    of at most a full block; nothing is joined to the leaves one by one.
+    """
 
     def walk(key, rows, block):
-        nodes, n, up = (block.column(c)[0].as_py() for c in ("nodes", "n", "up"))
+        nodes, n, up, rest, subroot = (block.column(c)[0].as_py() for c in ("nodes", "n", "up", "path", "subroot"))
         wide = FANOUT ** up
-        paths = [sibling_path(nodes, n, up, r % wide) for r in rows.column("rank").to_pylist()]
-        return rows.append_column("path", pa.array(paths, pa.binary()))
+        paths = [sibling_path(nodes, n, up, r % wide) + rest for r in rows.column("rank").to_pylist()]
+        return rows.append_column("path", pa.array(paths, pa.binary())).append_column("subroot", pa.array([subroot] * rows.num_rows, pa.binary()))
 
-    schema = T.StructType([*layer.leaves.schema.fields, T.StructField("path", T.BinaryType())])
-    return (layer.leaves.groupBy("tree", "block").cogroup(layer.blocks.groupBy("tree", "block")).applyInArrow(walk, schema))
+    schema = T.StructType([*layer.leaves.schema.fields, T.StructField("path", T.BinaryType()), T.StructField("subroot", T.BinaryType())])
+    blocks = layer.blocks.join(above, ["tree", "block"])
+    ship_package()
+    return layer.leaves.groupBy("tree", "block").cogroup(blocks.groupBy("tree", "block")).applyInArrow(walk, schema)
 
 
-def all_paths(forest: Forest, above: DataFrame | None = None) -> DataFrame:
-    """The bottom leaves with `path` to the tree's root and on through `above` (tree, path), where given."""
-    upper = None
+def all_paths(forest: Forest, beyond: DataFrame | None = None) -> DataFrame:
+    """The bottom leaves with `path` to the tree's root and on through `beyond` (tree, path), and `subroot`, the tree's root."""
+    ends = forest.roots.withColumnRenamed("root", "subroot")
+    ends = ends.withColumn("path", F.lit(b"")) if beyond is None else ends.join(beyond.select("tree", "path"), "tree")
+    ends, upper = stored(ends.select("tree", F.lit(0).cast("long").alias("block"), "path", "subroot"), "ends"), None
     for layer in reversed(forest.layers):
-        own = sibling_paths(layer)
-        if upper is not None:  # of the trees that go on: the path of the block's root
-            rest = upper.select("tree", F.col("rank").alias("block"), F.col("path").alias("rest"))
-            own = own.join(rest, ["tree", "block"], "left")
-        elif above is not None:
-            own = own.withColumn("rest", F.lit(None).cast("binary"))
-        if above is not None:
-            ends = above.select("tree", F.col("path").alias("top"))
-            own = own.join(ends, "tree")
-            tail = F.coalesce("rest", "top")
-        else:
-            tail = F.coalesce("rest", F.lit(b"")) if upper is not None else F.lit(b"")
-        upper = own.withColumn("path", F.concat("path", tail)).drop("rest", "top")
-        if layer is not forest.layers[0]:
-            upper = upper.select("tree", "rank", "path")
-    return upper
+        above = ends  # of the trees whose last layer this is; of the others the layer above has the blocks' own paths
+        if upper is not None:
+            above = upper.unionByName(ends.join(upper.select("tree").distinct(), "tree", "left_anti"))
+        found = sibling_paths(layer, above)
+        if layer is forest.layers[0]:
+            return found
+        upper = stored(found.select("tree", F.col("rank").alias("block"), "path", "subroot"), "upper")
 
 
 # ---- manifest -------------------------------------------------------------------------------------------------
@@ -291,9 +290,8 @@ def build_manifest(digests: DataFrame, order: list[str], block_levels: int = BLO
 
 def proofs(m: Manifest) -> DataFrame:
     """The leaves with `path` to the manifest's root, `subroot` and `root` (32 bytes each)."""
-    of_tree = all_paths(m.top).select(F.col("source_tree").alias("tree"), F.col("digest").alias("subroot"), "path")
-    rows = all_paths(m.forest, of_tree)
-    return rows.join(of_tree.select("tree", "subroot"), "tree").withColumn("root", F.lit(m.root.first()["root"]))
+    beyond = all_paths(m.top).select(F.col("source_tree").alias("tree"), "path")
+    return all_paths(m.forest, beyond).withColumn("root", F.lit(m.root.first()["root"]))
 
 
 def manifest_rows(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", lang_col: str = "lang",
