@@ -57,6 +57,8 @@ def listings_raw_from_part(part: DataFrame) -> DataFrame:
          .otherwise(F.concat(F.lit("$"), price)).alias("price"),
         F.when(k % 53 == 0, F.lit(None)).when(k % 59 == 0, "not json").when(k % 11 == 0, "[]")
          .when(k % 67 == 0, '["a","b"] junk').when(k % 73 == 0, "['x', ('y','z')]")
+         .when(k % 79 == 0, '["a",["b",["c",{"k":[1,2]}]],null]').when(k % 103 == 0, "['x', ['y', ('z', {'k': [1, 2]})], {'a'}]")
+         .when(k % 107 == 0, "['caf\\u00e9', '\\x41\\'s', [None]]").when(k % 109 == 0, '["a",["b"]] ]')
          .otherwise(amen).alias("amenities"),
         F.when(k % 13 == 0, "N/A").otherwise(F.concat(_s(k % 101), F.lit("%"))).alias("host_response_rate"),
         F.when(k % 14 == 0, "N/A").otherwise(F.concat(_s(k % 100), F.lit("%"))).alias("host_acceptance_rate"),

@@ -120,25 +120,30 @@ _LIST_TYPE = "array<string>"
 # possessive, so the match is linear and needs no stack on long text.
 _DQ = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
 _SQ = r"'[^'\\]*+(?:\\.[^'\\]*+)*+'"
-_NUMBER = r"[+-]?\d++(?:\.\d*+)?(?:[eE][+-]?\d++)?"
+_ESCAPE = r"\\(?:u[0-9A-Fa-f]{4}|U[0-9A-Fa-f]{8}|x[0-9A-Fa-f]{2}|[0-7]{1,3}|.)"
+# Python's numbers: no leading zero but in 0, other bases, fractions, exponents, imaginary ones.
+_P_NUMBER = (r"[+-]?(?:0[xX][0-9A-Fa-f]++|0[oO][0-7]++|0[bB][01]++|(?:\d[\d_]*+)?\.\d++(?:[eE][+-]?\d++)?"
+             r"|\d[\d_]*+(?:\.(?:[eE][+-]?\d++)?|[eE][+-]?\d++)|0[0_]*+|[1-9][\d_]*+)[jJ]?")
+_J_NUMBER = r"-?(?:0|[1-9]\d*+)(?:\.\d++)?(?:[eE][+-]?\d++)?"
 
 
 def _listed(element: str, trailing: str = "") -> str:
     return rf"\s*+(?:{element}\s*+(?:,\s*+{element}\s*+)*+{trailing})?"
 
 
-_J_ATOM = rf"(?:{_DQ}|{_NUMBER}|true|false|null)"
+_J_ATOM = rf"(?:{_DQ}|{_J_NUMBER}|true|false|null)"
 _J_PAIR = rf"{_DQ}\s*+:\s*+{_J_ATOM}"
 _J_ELEMENT = rf"(?:{_J_ATOM}|\[{_listed(_J_ATOM)}\]|\{{{_listed(_J_PAIR)}\}})"
 _JSON_LIST = rf"(?s)^\s*+\[{_listed(_J_ELEMENT)}\]\s*+$"
 _P_TEXT = rf"(?:{_DQ}|{_SQ})"
-_P_ATOM = rf"(?:{_P_TEXT}(?:\s*+{_P_TEXT})*+|{_NUMBER}|True|False|None)"
+_P_ATOM = rf"(?:{_P_TEXT}(?:\s*+{_P_TEXT})*+|{_P_NUMBER}|True|False|None)"
 _P_BODY = _listed(_P_ATOM, r"(?:,\s*+)?")
 _P_PAIRS = _listed(rf"{_P_ATOM}\s*+:\s*+{_P_ATOM}", r"(?:,\s*+)?")
 _P_ELEMENT = rf"(?:{_P_ATOM}|\[{_P_BODY}\]|\({_P_BODY}\)|\{{{_P_BODY}\}}|\{{{_P_PAIRS}\}})"
 _P_ITEMS = _listed(_P_ELEMENT, r"(?:,\s*+)?")
+_P_HASHED = _listed(rf"(?:{_P_ATOM}|\({_P_BODY}\))", r"(?:,\s*+)?")
 # one element in round brackets is a tuple only with a comma; empty braces are a dict
-_PYTHON_LIST = (rf"(?s)^\s*+(?:\[{_P_ITEMS}\]|\((?!\s*+{_P_ELEMENT}\s*+\)){_P_ITEMS}\)|\{{(?!\s*+\}}){_P_ITEMS}\}})\s*+$")
+_PYTHON_LIST = (rf"(?s)^\s*+(?:\[{_P_ITEMS}\]|\((?!\s*+{_P_ELEMENT}\s*+\)){_P_ITEMS}\)|\{{(?!\s*+\}}){_P_HASHED}\}})\s*+$")
 
 
 def _inner(s: Column) -> Column:
@@ -150,25 +155,138 @@ def _json_item(item: Column) -> Column:
     return F.from_json(F.concat(F.lit("["), item, F.lit("]")), _LIST_TYPE)[0]
 
 
+def _unquoted(part: Column) -> Column:
+    """Text of one quoted part.  Its escapes are spelt as JSON spells them and read by ``from_json``; an escape that
+    Python does not know keeps its backslash."""
+    body = F.substring(part, F.lit(2), F.length(part) - 2)
+    rest = lambda e: F.substring(e, F.lit(3), F.length(e) - 2)
+    code = lambda digits: F.concat(F.lit(r"\u"), F.lpad(F.lower(digits), 4, "0"))
+    value = lambda e: F.conv(rest(e), 16, 10).cast("long")
+    half = lambda n: F.concat(F.lit(r"\u"), F.lower(F.hex(n)))
+
+    def spelt(e: Column) -> Column:
+        return (F.when(~e.startswith("\\"), F.replace(F.replace(e, F.lit('"'), F.lit(r'\"')), F.lit("\t"), F.lit(r"\t")))
+                .when(e.rlike(r"^\\u[0-9A-Fa-f]{4}$"), code(rest(e)))
+                .when(e.rlike(r"^\\x[0-9A-Fa-f]{2}$"), code(rest(e)))
+                .when(e.rlike(r"^\\U[0-9A-Fa-f]{8}$"), F.when(value(e) < 0x10000, code(F.hex(value(e)))).otherwise(F.concat(
+                    half(F.lit(0xD800) + F.call_function("shiftright", value(e) - 0x10000, F.lit(10))),
+                    half(F.lit(0xDC00) + (value(e) - 0x10000).bitwiseAND(F.lit(0x3FF))))))
+                .when(e.rlike(r"^\\[0-7]{1,3}$"), code(F.conv(F.substring(e, F.lit(2), F.length(e)), 8, 16)))
+                .when(e == "\\\n", F.lit(""))
+                .when(e.isin("\\a", "\\v", "\\'"), F.replace(F.replace(F.replace(
+                    e, F.lit("\\a"), F.lit(r"\u0007")), F.lit("\\v"), F.lit(r"\u000b")), F.lit("\\'"), F.lit("'")))
+                .when(e.isin('\\"', "\\\\", "\\n", "\\t", "\\r", "\\b", "\\f"), e)
+                .otherwise(F.concat(F.lit("\\"), e)))
+
+    pieces = F.regexp_extract_all(body, F.lit(f"(?s){_ESCAPE}|[^\\\\]++"), F.lit(0))
+    text = F.array_join(F.transform(pieces, spelt), "")
+    return F.when(F.instr(body, "\\") == 0, body).otherwise(_json_item(F.concat(F.lit('"'), text, F.lit('"'))))
+
+
 def _python_item(item: Column) -> Column:
     """Text of a Python element: quoted parts joined and unescaped, None -> null, the rest as written."""
-    def plain(part: Column) -> Column:
-        t = F.substring(part, F.lit(2), F.length(part) - 2)
-        for code, char in (("\\n", "\n"), ("\\t", "\t")):
-            t = F.replace(t, F.lit(code), F.lit(char))
-        return F.regexp_replace(t, r"\\(.)", "$1")
     parts = F.regexp_extract_all(item, F.lit(f"(?s){_P_TEXT}"), F.lit(0))
     quoted = item.rlike("^[\"']")
-    return F.when(quoted, F.array_join(F.transform(parts, plain), "")).when(item != "None", item)
+    return F.when(quoted, F.array_join(F.transform(parts, _unquoted), "")).when(item != "None", item)
+
+
+def _deep_json(s: Column) -> Column:
+    """Items of a JSON array of any depth, null for any other text.
+
+    The reader stops behind a complete value, so the text is read inside an
+    array and inside an object: whatever follows the array breaks one of the two.
+    """
+    strict = {"allowSingleQuotes": "false", "mode": "PERMISSIVE"}
+    in_array = F.from_json(F.concat(F.lit("["), s, F.lit("]")), f"array<{_LIST_TYPE}>", strict)
+    in_object = F.from_json(F.concat(F.lit('{"v":'), s, F.lit("}")), f"v {_LIST_TYPE}", strict)
+    return F.when((F.size(in_array) == 1) & in_object["v"].isNotNull(), in_array[0])
+
+
+# Values while a Python literal is reduced from the inside: H atom, T tuple of values that can be hashed, V other
+# tuple, L list, E set, D dict.  S is quoted text, the blank white space.
+_ANY, _HASHED = "[HTVLED]", "[HT]"
+_REDUCTIONS = [
+    (rf"\[(?:{_ANY}(?:,{_ANY})*+,?)?\]", "L"),
+    (rf"\{{(?:{_HASHED}:{_ANY}(?:,{_HASHED}:{_ANY})*+,?)?\}}", "D"),
+    (rf"\{{{_HASHED}(?:,{_HASHED})*+,?\}}", "E"),
+    (rf"\((?:{_HASHED},(?:{_HASHED}(?:,{_HASHED})*+,?)?)?\)", "T"),
+    (rf"\({_ANY},(?:{_ANY}(?:,{_ANY})*+,?)?\)", "V"),
+    # brackets around one value, but for those around the whole text
+    (rf"(?<=[^(]\({{0,199}})\(({_ANY})\)|\(({_ANY})\)(?!\)*+$)", "$1$2"),
+]
+#: Python's own limit of open brackets.
+_MAX_DEPTH = 200
+
+
+def _deep_python(s: Column) -> Column:
+    """Items of a Python list, tuple (its brackets may be left out) or set of any depth, null for any other text.
+
+    The text is cut into tokens.  Whether they are one literal is decided on
+    one letter a token, by reducing the innermost brackets to the kind of
+    value they hold, level by level.  Its items are what the running depth of
+    the brackets shows to stand between the commas of the outermost ones.
+    """
+    tokens = F.regexp_extract_all(F.btrim(s, F.lit(_BLANKS)), F.lit(rf"(?s){_DQ}|{_SQ}|{_P_NUMBER}|\w++|\s++|."), F.lit(0))
+    kind = lambda t: (F.when(t.rlike("^[\\[\\](){},:]$"), t).when(t.rlike("^\\s"), " ")
+                      .when(t.rlike("^[\"'].") , "S").when(t.rlike(rf"^(?:{_P_NUMBER}|True|False|None)$"), "H").otherwise("?"))
+    # one struct, so that the tokens are made once
+    cut = F.transform(F.array(tokens), lambda ts: F.struct(ts.alias("tokens"), F.transform(ts, kind).alias("kinds")))[0]
+
+    def reduced(c: Column) -> Column:
+        start = F.regexp_replace(F.replace(F.array_join(c["kinds"], ""), F.lit(" "), F.lit("")), "S++", "H")
+
+        def step(now: Column, _: Column) -> Column:
+            new = now["text"]
+            for pattern, kind_of in _REDUCTIONS:
+                new = F.regexp_replace(new, pattern, kind_of)
+            return F.when(now["done"], now).otherwise(F.struct(new.alias("text"), (new == now["text"]).alias("done")))
+
+        opened = F.length(start) - F.length(F.translate(start, "[({", ""))
+        levels = F.sequence(F.lit(1), F.least(opened, F.lit(_MAX_DEPTH)) + 1)
+        return F.aggregate(levels, F.struct(start.alias("text"), F.lit(False).alias("done")), step)["text"]
+
+    def items(c: Column, base: Column) -> Column:
+        begin = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("at"), F.array().cast("array<int>").alias("cuts"))
+
+        def step(now: Column, k: Column) -> Column:
+            depth = now["depth"] + F.when(k.isin("[", "(", "{"), 1).when(k.isin("]", ")", "}"), -1).otherwise(0)
+            # before the outermost opening bracket's items, at their commas, and behind them
+            cut_here = (((k == ",") & (now["depth"] == base))
+                        | ((base > 0) & k.isin("[", "(", "{") & (depth == base)) | ((base > 0) & k.isin("]", ")", "}") & (now["depth"] == base)))
+            cuts = F.when(cut_here, F.concat(now["cuts"], F.array(now["at"] + 1))).otherwise(now["cuts"])
+            return F.struct(depth.alias("depth"), (now["at"] + 1).alias("at"), cuts.alias("cuts"))
+
+        cuts = F.aggregate(c["kinds"], begin, step)["cuts"]
+        ends = F.when(base > 0, cuts).otherwise(F.concat(F.array(F.lit(0)), cuts, F.array(F.size(c["kinds"]) + 1)))
+        between = F.transform(F.slice(ends, F.lit(2), F.size(ends) - 1), lambda e, i: F.btrim(F.array_join(
+            F.slice(c["tokens"], F.get(ends, i) + 1, e - F.get(ends, i) - 1), ""), F.lit(_BLANKS)))
+        return F.transform(F.filter(between, lambda t: t != ""), _python_item)
+
+    def read(c: Column) -> Column:
+        text = c["reduced"]
+        wrapped = F.regexp_extract(text, r"^(\(*+)([LETV])(\)*+)$", 1)
+        base = (F.when(text.rlike(r"^\(*+[LETV]\)*+$") & (2 * F.length(wrapped) + 1 == F.length(text)), F.length(wrapped) + 1)
+                .when(text.rlike(rf"^{_ANY}(?:,{_ANY})*+,?$") & (F.length(text) > 1), F.lit(0)))
+        found = items(c["cut"], base)
+        return F.when(base.isNotNull(), F.when(text.contains("E") & ~text.contains(","), F.array_distinct(found)).otherwise(found))
+
+    known = F.transform(F.array(cut), lambda c: F.struct(c.alias("cut"), reduced(c).alias("reduced")))
+    return F.transform(known, read)[0]
 
 
 def _parse_list_or_null(c) -> Column:
-    """Items of a text that is one complete list; null for any other text."""
+    """Items of a text that is one complete list; null for any other text.
+
+    Lists of at most one level of nesting are matched by one pattern each;
+    only what may be a deeper one is taken apart.
+    """
     s = col_of(c).cast("string")
     json_items = F.transform(F.regexp_extract_all(_inner(s), F.lit(f"(?s){_J_ELEMENT}"), F.lit(0)), _json_item)
     items = F.transform(F.regexp_extract_all(_inner(s), F.lit(f"(?s){_P_ELEMENT}"), F.lit(0)), _python_item)
     python_items = F.when(F.btrim(s, F.lit(_BLANKS)).startswith("{"), F.array_distinct(items)).otherwise(items)
-    return F.when(s.rlike(_JSON_LIST), json_items).when(s.rlike(_PYTHON_LIST), python_items)
+    maybe = s.rlike(r"(?s)^\s*+[\[({].*[\])}],?\s*+$") | s.rlike(rf"(?s)^\s*+(?:[\"'\[({{]|{_P_NUMBER}|True|False|None).*,")
+    return (F.when(s.rlike(_JSON_LIST), json_items).when(s.rlike(_PYTHON_LIST), python_items)
+            .when(maybe, F.coalesce(_deep_json(s), _deep_python(s))))
 
 
 def count_list_items(c) -> Column:

@@ -25,8 +25,10 @@ def pdate(c: str) -> str:
             f"WHEN regexp_matches({c}, '{ISO_TIME_RE}') THEN CAST(try_cast({c} AS TIMESTAMP) AS DATE) END)")
 
 
-# the Python literal of the fixture is the one list that is not JSON
+# the Python literals of the fixture are the lists that are not JSON; their items are written out by hand
 ITEMS = ("(CASE WHEN amenities = '[''x'', (''y'',''z'')]' THEN ['x', '(''y'',''z'')'] "
+         "WHEN starts_with(amenities, '[''x'', [''y''') THEN ['x', '[''y'', (''z'', {''k'': [1, 2]})]', '{''a''}'] "
+         "WHEN starts_with(amenities, '[''caf') THEN ['café', 'A''s', '[None]'] "
          "ELSE coalesce(from_json(try_cast(amenities AS JSON), '[\"VARCHAR\"]'), []::VARCHAR[]) END)")
 N_ITEMS = f"len({ITEMS})"
 
@@ -65,6 +67,9 @@ SELECT CASE WHEN p_partkey % 157 = 0 THEN concat('L-', CAST(p_partkey AS VARCHAR
        ELSE concat('$', {PRICE}) END AS price,
   CASE WHEN p_partkey % 53 = 0 THEN NULL WHEN p_partkey % 59 = 0 THEN 'not json' WHEN p_partkey % 11 = 0 THEN '[]'
        WHEN p_partkey % 67 = 0 THEN '["a","b"] junk' WHEN p_partkey % 73 = 0 THEN '[''x'', (''y'',''z'')]'
+       WHEN p_partkey % 79 = 0 THEN '["a",["b",["c",{{"k":[1,2]}}]],null]'
+       WHEN p_partkey % 103 = 0 THEN '[''x'', [''y'', (''z'', {{''k'': [1, 2]}})], {{''a''}}]'
+       WHEN p_partkey % 107 = 0 THEN '[''caf\\u00e9'', ''\\x41\\''s'', [None]]' WHEN p_partkey % 109 = 0 THEN '["a",["b"]] ]'
        ELSE concat('["', replace(p_name, ' ', '","'), '"]') END AS amenities,
   CASE WHEN p_partkey % 13 = 0 THEN 'N/A' ELSE concat(CAST(p_partkey % 101 AS VARCHAR), '%') END AS host_response_rate,
   CASE WHEN p_partkey % 14 = 0 THEN 'N/A' ELSE concat(CAST(p_partkey % 100 AS VARCHAR), '%') END AS host_acceptance_rate,

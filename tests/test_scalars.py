@@ -1,9 +1,13 @@
 """Edge tables of the row-level functions (values follow the original code)."""
 
+import ast
 import datetime as dt
+import json
 import math
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from lodgespark import constants as K
@@ -138,3 +142,56 @@ def test_fill_comment(spark):
 def test_flag_to_int(spark):
     assert one_col(spark, ["t", "f", "x"], S.flag_to_int) == [1, 0, None]
     assert one_col(spark, ["t", "f", "x"], lambda c: S.flag_to_int(c, unknown=0)) == [1, 0, 0]
+
+
+def _python_list(text):
+    """What json and ast read as a list, tuple or set; None for anything else."""
+    for read in (json.loads, ast.literal_eval):
+        try:
+            found = read(text.strip())
+        except Exception:
+            continue
+        if isinstance(found, list) or (read is ast.literal_eval and isinstance(found, (tuple, set))):
+            return list(found)
+    return None
+
+
+DEEP_LISTS = [
+    '["a", ["b", ["c"]]]', '[{"k": [1]}, "z"]', "[[[[]]]]", '["a"]] junk', '["a"]} junk', '["a"],"w":1', '["a"],["b"]', "[1,2", "[",
+    "['\\u00e9', '\\x41\\'s', 'a\\tb', \"q\\\"\", '\\101', '\\U0001F600']", "['x', ['y', ('z', {'k': [1, 2]})], {'a', 'b'}]", "('a',)", "('a')",
+    "([1,2])", "((([1,2],3)))", "((((1),)))", "(((1)))", "(1,((2)))", "1,2,3", "'a','b'", "[1],[2]", "{1,1,2}", "{[1]}", "{(1,[2])}", "{(1,2):[3]}",
+    "[{1:2,},(3,),((4)),]", "[1,,2]", "[,]", "[()  ,{}, []]", "[None, True, -1.5e3, 0x1F, 1_000, .5, 2j]", "[foo]", "['a', ['b' 'c',\n 'd']]",
+    '["a", {"b": "]"}, "[,"]', "['a]', ['b,', \"c'\"]]", "[[1,2],[3,4],]", " [ [ 1 ] , 2 ] ", "a, b", "[[01]]", "[[012.5]]", "['a\\\nb', [1]]",
+    "[" * 150 + "]" * 150, "[" * 201 + "]" * 201, "('x', ['" + "y" * 3000 + "'])", "[\"a\", ['b']]", "1,2 3", "[[1],[2]] [3]", "[1](2)", "{'a':1},",
+    '["\\ud83d\\ude00", [1]]', "[" + "[1]," * 500 + "]",
+]
+
+
+def test_lists_of_any_depth_as_json_and_ast_read_them(spark):
+    rows = spark.createDataFrame([(t,) for t in DEEP_LISTS], "t string").select("t", S.count_list_items("t").alias("n"), S.parse_list("t").alias("items"))
+    for r in rows.collect():
+        want = _python_list(r["t"])
+        assert (r["n"], len(r["items"])) == (len(want or []),) * 2, r["t"][:80]
+        for got, item in zip(r["items"], want or []):
+            if isinstance(item, str):
+                assert got == item
+            elif isinstance(item, (list, tuple, dict)) and item and len(r["t"]) < 200:  # nested items stay lists or dicts that can be read
+                back = _python_list(f"[{got}]")[0]
+                assert back == item
+
+
+_ITEMS = st.lists(st.recursive(
+    st.one_of(st.none(), st.booleans(), st.integers(-999, 999), st.text("ab'\"\\[](){},: \té\n", max_size=6)),
+    lambda inner: st.one_of(st.lists(inner, max_size=3), st.tuples(inner, inner), st.dictionaries(st.text("k'", max_size=2), inner, max_size=2)),
+    max_leaves=8), max_size=5)
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(_ITEMS, st.sampled_from([list, tuple]), st.sampled_from(["", "", "]", ")", ",", " x"])), min_size=40, max_size=40))
+def test_lists_written_by_repr_and_json(spark, cases):
+    texts = [repr(kind(items)) + tail for items, kind, tail in cases] + [json.dumps(items) + tail for items, _, tail in cases]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", S.parse_list("t").alias("items")).collect()
+    for r in rows:
+        want = _python_list(r["t"])
+        assert len(r["items"]) == len(want or []), r["t"]
+        assert [g for g, w in zip(r["items"], want or []) if isinstance(w, str)] == [w for w in want or [] if isinstance(w, str)]
