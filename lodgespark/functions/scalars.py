@@ -7,6 +7,10 @@ raw value is parsed, because ANSI mode turns a bad cast into an error.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
+from pyspark import SparkContext
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -29,12 +33,35 @@ def col_of(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _built_once(fn: Callable[..., Column]) -> Callable[..., Column]:
+    """The expression of a column given by name is put together once per JVM.
+
+    A parsing expression takes hundreds of small calls from Python to the JVM;
+    it is immutable and refers to its column by name alone, so every table
+    with such a column can use the same one.
+    """
+    built: dict[tuple, tuple] = {}
+
+    @wraps(fn)
+    def once(c, *args) -> Column:
+        if not isinstance(c, str):
+            return fn(c, *args)
+        gateway, expression = built.get((c, *args), (None, None))
+        if expression is None or gateway is not SparkContext._gateway:
+            expression = fn(c, *args)
+            built[c, *args] = (SparkContext._gateway, expression)
+        return expression
+
+    return once
+
+
 def normalize_null_token(c, tokens=None) -> Column:
     """Missing-value tokens of the raw reader (empty, NA, NaN, None, ...) -> null."""
     c = col_of(c)
     return F.when(c.isin(*(tokens or K.NULL_TOKENS)), F.lit(None)).otherwise(c)
 
 
+@_built_once
 def parse_price(c) -> Column:
     """Keep only digits and dots, then to double; empty or malformed -> null.
     The sign is lost ('-$5' -> 5.0) and an exponent is merged ('1e3' -> 13.0)."""
@@ -69,6 +96,7 @@ _BLANKS = " \t\n\r\f\u000b"
 _INF_TEXT = ["inf", "+inf", "-inf", "infinity", "+infinity", "-infinity"]
 
 
+@_built_once
 def parse_numeric(c) -> Column:
     """Text -> double as pandas' coercing parser does: blanks, sign, exponent and
     inf accepted; anything else (including 'nan', '5d', '1,000') -> null.  A
@@ -274,6 +302,7 @@ def _deep_python(s: Column) -> Column:
     return F.transform(known, read)[0]
 
 
+@_built_once
 def _parse_list_or_null(c) -> Column:
     """Items of a text that is one complete list; null for any other text.
 
@@ -299,6 +328,7 @@ def parse_list(c) -> Column:
     return F.coalesce(_parse_list_or_null(c), F.array().cast(_LIST_TYPE))
 
 
+@_built_once
 def parse_date(c) -> Column:
     """ISO text, with a valid time of day or none -> date; anything else,
     text with more behind it included, -> null (never an error)."""
@@ -307,6 +337,7 @@ def parse_date(c) -> Column:
     return F.when(s.rlike(_ISO_DATE) | timed, F.substring_index(F.substring_index(s, "T", 1), " ", 1).try_cast("date"))
 
 
+@_built_once
 def parse_id(c) -> Column:
     """Identifier text -> bigint: integer text directly, else through the
     numeric parser (so '12.0' and ' 12' still give 12); a fraction or junk -> null."""

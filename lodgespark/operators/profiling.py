@@ -194,16 +194,20 @@ def histogram(df: DataFrame, column: str, bins: int, upper_quantile: float | Non
 # ---------------------------------------------------------------- correlation
 
 def _pair_corr(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
-    """(p, corr) per pair from one aggregate over the table: pairwise-complete
-    Pearson correlation, null (not an error) for a constant or single-row
-    input, where ``corr`` raises under ANSI.  One row leaves the aggregate,
-    whatever the number of input rows."""
-    def one(a: str, b: str) -> Column:
-        both = F.col(a).isNotNull() & F.col(b).isNotNull()
-        x, y = (F.when(both, F.col(c).cast("double")) for c in (a, b))
-        return F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y))
-    row = df.agg(*[one(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
-    return row.select(F.posexplode(F.array(*[F.col(f"c{i}") for i in range(len(pairs))])).alias("p", "corr"))
+    """(p, corr) per pair that has complete rows: Pearson's correlation, null
+    (not an error) for a constant or single-row input, where ``corr`` raises
+    under ANSI.
+
+    Every row gives its complete pairs as short rows, which the same task adds
+    to one small group of central moments a pair; so the generated code has
+    three aggregates whatever the number of pairs, and one row a pair and task
+    is shuffled.
+    """
+    items = ", ".join(f"struct({i} AS p, CAST({_q(a)} AS DOUBLE) AS x, CAST({_q(b)} AS DOUBLE) AS y)" for i, (a, b) in enumerate(pairs))
+    if not items:
+        return df.sparkSession.createDataFrame([], "p int, corr double")
+    complete = df.select(F.expr(f"inline(array({items}))")).where("x IS NOT NULL AND y IS NOT NULL")
+    return complete.groupBy("p").agg(F.try_divide(F.covar_samp("x", "y"), F.stddev_samp("x") * F.stddev_samp("y")).alias("corr"))
 
 
 def correlation_matrix(df: DataFrame, columns: Iterable[str]) -> DataFrame:
@@ -214,14 +218,14 @@ def correlation_matrix(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     names = df.sparkSession.createDataFrame(
         [(i, a, b) for i, (a, b) in enumerate(pairs)] + [(i, b, a) for i, (a, b) in enumerate(pairs) if a != b],
         "p int, col_a string, col_b string")
-    return _pair_corr(df, pairs).join(names, "p").select("col_a", "col_b", "corr")
+    return names.join(_pair_corr(df, pairs), "p", "left").select("col_a", "col_b", "corr")
 
 
 def correlation_with(df: DataFrame, target: str, columns: Iterable[str]) -> DataFrame:
     """Correlation of every other variable with ``target``, descending."""
     cols = [c for c in columns if c in df.columns and c != target]
     names = df.sparkSession.createDataFrame([(i, c) for i, c in enumerate(cols)], "p int, column string")
-    return (_pair_corr(df, [(c, target) for c in cols]).join(names, "p").select("column", "corr")
+    return (names.join(_pair_corr(df, [(c, target) for c in cols]), "p", "left").select("column", "corr")
             .orderBy(F.col("corr").desc_nulls_last(), F.col("column")))
 
 

@@ -18,7 +18,6 @@ from lodgespark.functions import scalars as S
 from lodgespark.operators import cleaning as C
 from lodgespark.operators.quantiles import exact_quantiles
 from lodgespark.operators.summaries import calendar_monthly_summary
-from lodgespark.session import scratch_path
 
 
 def _flag(df: DataFrame, c: str) -> Column:
@@ -56,9 +55,9 @@ def _listing_columns(df: DataFrame) -> dict[str, Column]:
 
 def transform_listings(raw: DataFrame, order: list[Column] | None = None) -> DataFrame:
     """dedup on id -> drop sparse -> price -> list size -> dates and parts ->
-    flags -> numerics with defaults, in one projection that is stored once in
-    the shared folder; then the price quartiles of the stored rows and the
-    category, a narrow pass over them."""
+    flags -> numerics with defaults, in one projection, and the category by
+    the price quartiles: narrow passes over the deduplicated prices alone,
+    which share their exchange."""
     df = C.drop_known_sparse(C.keep_first(CT.LISTINGS.check(raw), ["id"], order)).drop(C.ORDINAL)
     cols = df.columns
     per_col = _listing_columns(df)
@@ -70,11 +69,10 @@ def transform_listings(raw: DataFrame, order: list[Column] | None = None) -> Dat
                 F.quarter(hs).alias("host_since_quarter")]
     if "last_review" in cols:
         out.append(F.year(S.parse_date("last_review")).alias("last_review_year"))
-    path = scratch_path(raw.sparkSession, "listings-parsed")
-    df.select(*out).write.parquet(path)
-    parsed = raw.sparkSession.read.parquet(path)
-    # the thresholds struct is projected once: one scalar subquery, not one per quartile
-    done = parsed.withColumn("__t", price_thresholds(parsed)).withColumn("price_category", S.categorize_price(
+    parsed = df.select(*out)
+    # the prices alone are deduplicated and sketched; the thresholds struct is projected once, one scalar subquery
+    prices = df.select(S.parse_price("price").alias("price_clean"))
+    done = parsed.withColumn("__t", price_thresholds(prices)).withColumn("price_category", S.categorize_price(
         "price_clean", F.col("__t.q25"), F.col("__t.q50"), F.col("__t.q75")))
     names = parsed.columns
     at = names.index("price_clean") + 1

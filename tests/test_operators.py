@@ -106,6 +106,42 @@ def test_grouped_quantiles_with_null_groups_hot_values_and_many_parts(spark):
         assert got[k][0] == want[k][0] and all(abs(a - b) < 1e-9 for a, b in zip(got[k][1], want[k][1]))
 
 
+def test_quantiles_of_values_beyond_the_sketch(spark):
+    """More rows than a sketch keeps, with values that repeat, infinities, NaN and a group of a third of all rows."""
+    n = 300_000
+    df = spark.range(n, numPartitions=5).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("g"), F.col("id") % 7)).alias("g"),
+        F.when(F.col("id") % 5 == 0, F.lit(12.5)).when(F.col("id") % 1013 == 0, F.lit(float("inf"))).when(F.col("id") % 1019 == 0, F.lit(float("-inf")))
+         .when(F.col("id") % 1021 == 0, F.lit(float("nan"))).otherwise(F.exp(F.pmod(F.hash("id"), F.lit(1000)) / 100.0)).alias("x"))
+    probs = [0.0, 0.003, 0.25, 0.5, 0.999, 1.0]
+    known = df.where(~F.isnan("x"))
+    want = {r.g: (r.n, r.q) for r in known.groupBy("g").agg(F.count("x").alias("n"), F.percentile("x", F.array(*map(F.lit, probs))).alias("q")).collect()}
+    got = {r.g: (r.n, r.q) for r in QT.grouped_quantiles(df, ["g"], probs).collect()}
+    assert set(got) == set(want)
+    for k in want:
+        assert got[k][0] == want[k][0]
+        assert all(a == b or abs(a - b) < 1e-9 * max(1.0, abs(a)) for a, b in zip(got[k][1], want[k][1])), (k, got[k], want[k])
+    one = QT.exact_quantiles(df, "x", probs).first()
+    all_ = known.agg(F.percentile("x", F.array(*map(F.lit, probs)))).first()[0]
+    assert all(a == b or abs(a - b) < 1e-9 * max(1.0, abs(a)) for a, b in zip(one, all_))
+
+
+def test_a_bracket_that_misses_keeps_all_values(spark, monkeypatch):
+    monkeypatch.setattr(QT, "MARGIN", -0.2)  # every bracket is empty
+    df = spark.range(20_000).select((F.col("id") % 7).alias("k"), F.col("id").cast("double").alias("x"))
+    assert QT.exact_quantiles(df, "x", [0.5, 1.0]).first()[:] == (9999.5, 19999.0)
+    assert QT.grouped_quantiles(df, ["k"], [0.0]).where("k = 3").first()["q"] == [3.0]
+
+
+def test_quantiles_are_lazy_and_see_new_data(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(10).select(F.col("id").cast("double").alias("x")).write.parquet(path)
+    built = QT.exact_quantiles(spark.read.parquet(path), "x", [0.5])
+    spark.range(100, 101).select(F.col("id").cast("double").alias("x")).write.mode("append").parquet(path)
+    assert built.first()[0] == 4.5  # the files known when it was built
+    assert QT.exact_quantiles(spark.read.parquet(path), "x", [0.5]).first()[0] == 5.0
+
+
 def test_null_safe_predicates_and_unknown_operators(spark):
     import pytest
     from lodgespark.sources import raw as R

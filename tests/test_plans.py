@@ -75,7 +75,8 @@ def test_listing_quartiles_are_one_subquery(spark):
     import re
     spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
     p = opt(E.queries()["transform_listings"](spark, SF_SMALL))
-    assert len(set(re.findall(r"scalar-subquery#(\d+)", p))) == 1
+    # the thresholds, and the two brackets they are found with; not one per quartile
+    assert len(set(re.findall(r"scalar-subquery#(\d+)", p))) == 3
 
 
 def test_one_dedup_window_per_table(spark):
@@ -83,8 +84,11 @@ def test_one_dedup_window_per_table(spark):
     for table in ("reviews", "calendar"):
         p = opt(T.transform_all({table: CAT.stamped(spark, SF_SMALL)[table]})[table])
         assert p.count("Window [") == 1 and p.count("Relation ") == 1
-    # the stored listings hold the dedup: the final pass has no window of it
-    assert "_ordinal" not in opt(E.queries()["transform_listings"](spark, SF_SMALL))
+    # listings: the rows are deduplicated once; the quartiles read the deduplicated prices and no other column
+    p = opt(T.transform_listings(CAT.stamped(spark, SF_SMALL)["listings"]))
+    rows = [line for line in p.splitlines() if "Relation " in line]
+    assert len(rows) == len([line for line in p.splitlines() if "Window [row_number" in line]) == 4
+    assert len([line for line in p.splitlines() if "Project [" in line and "host_name" in line]) >= 1
 
 
 def test_quantiles_do_not_merge_values_in_one_task(spark):
@@ -93,6 +97,23 @@ def test_quantiles_do_not_merge_values_in_one_task(spark):
     for q in (grouped_quantiles(df, ["g"], [0.5]), exact_quantiles(df, "x", [0.5])):
         assert "percentile" not in plan(q)
     assert "SinglePartition" not in plan(grouped_quantiles(df, ["g"], [0.5]))
+    # two sketches, then only what their brackets hold is counted by value
+    assert opt(exact_quantiles(df, "x", [0.5])).count("kll_sketch_agg_double") == 2
+
+
+def test_frames_run_no_job_while_they_are_built(spark):
+    from lodgespark.operators import profiling as P
+    from lodgespark.plans import transform as T
+    raw = CAT.stamped(spark, SF_SMALL)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("built", "frames that are only built")
+    try:
+        T.transform_all(raw)
+        P.describe_numeric(CAT.listings_numeric(spark, SF_SMALL), ["price_num"])
+        P.price_quartiles(CAT.listings_numeric(spark, SF_SMALL), "price_num")
+        assert list(tracker.getJobIdsForGroup("built")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_reference_state_is_one_join(spark):
