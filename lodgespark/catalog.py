@@ -772,22 +772,30 @@ def q_read_clean_zone(spark, sf):
 
 @query("publish_listings")
 def q_publish_listings(spark, sf):
-    return spark.read.parquet(f"{_serving_zone(spark, sf)}/listings")
+    return _published(spark, sf, "listings")
 
 
 @query("publish_reviews")
 def q_publish_reviews(spark, sf):
-    return spark.read.parquet(f"{_serving_zone(spark, sf)}/reviews")
+    return _published(spark, sf, "reviews")
 
 
 @query("publish_calendar")
 def q_publish_calendar(spark, sf):
-    return spark.read.parquet(f"{_serving_zone(spark, sf)}/calendar")
+    return _published(spark, sf, "calendar")
 
 
 @query("publish_calendar_summary")
 def q_publish_calendar_summary(spark, sf):
-    return spark.read.parquet(f"{_serving_zone(spark, sf)}/calendar_summary")
+    return _published(spark, sf, "calendar_summary")
+
+
+def _published(spark, sf, table: str) -> DataFrame:
+    """Publish one table from the clean zone (projection, every rule, write), as often as it is asked for."""
+    from lodgespark.plans.jobs import publish_job
+    root = _scratch(spark, "serving")
+    publish_job(spark, _clean_zone(spark, sf), root, policy="quarantine", tables=[table])
+    return spark.read.parquet(f"{root}/{table}")
 
 
 def _contents(df: DataFrame) -> DataFrame:
@@ -853,6 +861,21 @@ def q_layout_by_keys(spark, sf):
     return spark.read.parquet(path)
 
 
+@query("layout_access_paths")
+def q_layout_access_paths(spark, sf):
+    """Every clean table in its layout, and what a lookup by each access path finds there."""
+    from lodgespark.sources import zones as Z
+    root, out = _scratch(spark, "layouts"), None
+    for table, probes in K.ACCESS_PROBES.items():
+        Z.layout_table(clean(spark, sf)[table], f"{root}/{table}", table)
+        for path, where in probes:
+            found = spark.read.parquet(f"{root}/{table}").where(where)
+            found = found.agg(F.count(F.lit(1)).alias("rows"), F.min(F.col("id" if table != "calendar" else "listing_id").cast("string")).alias("least"))
+            found = found.select(F.lit(table).alias("table_name"), F.lit(path).alias("access_path"), "rows", "least")
+            out = found if out is None else out.unionByName(found)
+    return out
+
+
 @query("export_listings")
 def q_export_listings(spark, sf):
     from lodgespark.sources import zones as Z

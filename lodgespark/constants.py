@@ -131,3 +131,13 @@ EXPORT_LISTINGS = [
 # --- fixed values: reviews extract of the report bundle ---
 EXPORT_REVIEWS = ["id", "listing_id", "date", "reviewer_name", "year", "month", "quarter", "is_weekend"]
 
+#: One lookup per access path of a table: its name, and the condition (SQL that both engines read).
+ACCESS_PROBES = {
+    "listings": [("id", "id = '7'"), ("host_id", "host_id = '42'"), ("neighbourhood_cleansed", "neighbourhood_cleansed = 'Brand#13'"),
+                 ("room_type", "room_type LIKE 'SMALL%'"),
+                 ("latitude,longitude", "latitude >= '40.2' AND latitude < '40.6' AND longitude >= '-3.1' AND longitude < '-3.5'")],
+    "reviews": [("listing_id", "listing_id = 7"), ("id", "id IN ('10', '12', '71')"), ("date", "date = DATE '1996-03-13'"),
+                ("listing_id,date", "listing_id BETWEEN 5 AND 9 AND date >= DATE '1996-01-01'")],
+    "calendar": [("listing_id", "listing_id = 7"), ("date", "date = DATE '1996-03-13'"),
+                 ("listing_id,date", "listing_id BETWEEN 5 AND 9 AND date >= DATE '1996-01-01'")],
+}

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (ByteType, DataType, DateType, IntegerType, LongType, ShortType, StructType)
 
@@ -124,13 +124,17 @@ def quality_report(table: str, df: DataFrame, keys: list[str] | None = None,
 
 
 def first_violation(df: DataFrame, schema: StructType, keys: list[str], not_null: Iterable[str] = (),
-                    parents: Mapping[str, tuple[DataFrame, str]] | None = None, out_col: str = "violation") -> DataFrame:
+                    parents: Mapping[str, tuple[DataFrame, str]] | None = None, out_col: str = "violation",
+                    place: Iterable[str] | None = None) -> DataFrame:
     """``df`` with ``out_col``: the first rule of the serving table a row
     breaks, or null.  Rules in order: a value that does not fit its type
     ('type:column'), a null in a NOT NULL column ('not_null:column'), a
     reference without a parent ('orphan:column'), and a key that an earlier
-    row has ('duplicate_key', after the typed key, in the order of the other
-    columns).  Each row comes back once; no value is changed.
+    row has ('duplicate_key', after the typed key).  Each row comes back once;
+    no value is changed.
+
+    ``place`` names columns that tell the rows apart and order them (their
+    file and number in it, say); the first row of a key stays.
     """
     present = [f for f in schema.fields if f.name in df.columns]
     rule = F.lit(None).cast("string")
@@ -144,9 +148,35 @@ def first_violation(df: DataFrame, schema: StructType, keys: list[str], not_null
         df = reference_state(df, parent, c, pkey, "__ref").withColumn(
             out_col, F.when(F.col(out_col).isNull() & (F.col("__ref") == "orphan"), F.lit(f"orphan:{c}")).otherwise(F.col(out_col))).drop("__ref")
     if all(k in df.columns for k in keys):
-        typed = [F.col(k).try_cast(schema[k].dataType) for k in keys]
-        rest = [F.col(c) for c in df.columns if c not in keys and c != out_col]
-        turn = Window.partitionBy(F.col(out_col).isNull(), *typed).orderBy(F.xxhash64(*rest) if rest else F.lit(0))
-        again = F.col(out_col).isNull() & (F.row_number().over(turn) > 1)
-        df = df.withColumn(out_col, F.when(again, F.lit("duplicate_key")).otherwise(F.col(out_col)))
+        if not place:
+            raise ValueError("a key rule needs the columns that order the rows")
+        df = _later_rows_of_a_key(df, {k: F.col(k).try_cast(schema[k].dataType) for k in keys}, out_col, list(place))
     return df
+
+
+def _later_rows_of_a_key(df: DataFrame, typed_keys: Mapping[str, Column], out_col: str, place: list[str]) -> DataFrame:
+    """``out_col`` 'duplicate_key' for rows that break no rule so far and are not the first of their typed key.
+
+    1. A pass over keys and places alone finds the keys of several rows and
+       their first places; its aggregates combine in the map tasks, so a key
+       of a third of all rows is one row a task there.
+    2. The rows meet these few keys in one join.  Rows that break a rule
+       already (junk keys, which are all null) are spread by their own hash
+       instead of meeting at the null key, and a hot key of valid rows is on
+       the side of the join that adaptive execution splits.
+    3. Only rows that tie for the first place of a key (equal in all columns,
+       where no ``place`` tells them apart) are ranked.
+    """
+    names = [f"__key{i}" for i in range(len(typed_keys))]
+    keyed = df.withColumns(dict(zip(names, typed_keys.values()))).withColumn("__place", F.struct(*place))
+    fine = F.col(out_col).isNull()
+    repeated = (keyed.where(fine).groupBy(*names).agg(F.count(F.lit(1)).alias("__n"), F.min("__place").alias("__first"))
+                .where("__n > 1").select(*[F.col(n).alias(f"{n}_of") for n in names], "__first", F.xxhash64(*names).alias("__spread_of")))
+    same = F.col("__spread") == F.col("__spread_of")
+    for n in names:
+        same = same & F.col(n).eqNullSafe(F.col(f"{n}_of"))
+    spread = F.when(fine, F.xxhash64(*names)).otherwise(F.xxhash64("__place"))
+    met = keyed.withColumn("__spread", spread).join(repeated, same, "left")
+    later = fine & F.col("__first").isNotNull() & (F.col("__place") != F.col("__first"))
+    helpers = [*names, *[f"{n}_of" for n in names], "__place", "__first", "__spread_of", "__spread"]
+    return met.withColumn(out_col, F.when(later, "duplicate_key").otherwise(F.col(out_col))).drop(*helpers)

@@ -8,6 +8,8 @@ registered by the checker.
 
 from __future__ import annotations
 
+from lodgespark.constants import ACCESS_PROBES
+
 HS = "strftime(DATE '2010-01-01' + CAST(p_partkey % 5000 AS INTEGER), '%Y-%m-%d')"
 PRICE = "format('{:,.2f}', p_retailprice * (1 + p_partkey % 37))"
 SHIP = "strftime(l_shipdate, '%Y-%m-%d')"
@@ -724,6 +726,9 @@ UNION ALL SELECT 'TOTAL', (SELECT count(*) FROM listings_raw) + (SELECT count(*)
     "post_load_counts": f"SELECT table_name, rows AS source_rows, rows AS loaded_rows, "
                         f"CASE WHEN rows > 0 THEN 'OK' ELSE 'FALLO' END AS status FROM ({_PUBLISHED_ROWS})",
     "layout_by_keys": _PUB_CALENDAR,
+    "layout_access_paths": " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{p}' AS access_path, count(*) AS rows, min(CAST({'listing_id' if t == 'calendar' else 'id'} AS VARCHAR)) AS least "
+        f"FROM {t}_clean WHERE {w}" for t, probes in ACCESS_PROBES.items() for p, w in probes),
     "export_listings": f"""
 SELECT id, name, host_id, host_name, {iso('host_since')} AS host_since, host_is_superhost, neighbourhood_cleansed,
   room_type, accommodates, bedrooms, price_clean, price_category, minimum_nights, availability_365, number_of_reviews,

@@ -143,7 +143,7 @@ def read_clean(spark: SparkSession, clean_root: str, names: Iterable[str] = Z.PU
 
 
 def publish_job(spark: SparkSession, clean_root: str, serving_root: str, policy: str = "fail",
-                jdbc: Mapping[str, str] | None = None) -> DataFrame:
+                jdbc: Mapping[str, str] | None = None, tables: Iterable[str] | None = None) -> DataFrame:
     """Apply every rule of the serving tables to the clean tables that are
     present, then overwrite the serving tables, parents first.
 
@@ -154,19 +154,22 @@ def publish_job(spark: SparkSession, clean_root: str, serving_root: str, policy:
     the rest.  The result is (table_name, outcome, rows) with one row per
     table and outcome, 'published' or the rule; per table they sum to the rows
     that came in.  Reviews and calendar rows refer to the published listings.
+    ``tables`` limits what is published to some of the tables (the listings
+    are checked with them, as parents).  Of equal keys the first row in the
+    clean zone's files stays.
     """
     clean = read_clean(spark, clean_root)
-    names = [n for n in Z.PUBLISH_ORDER if n in clean]
+    names = [n for n in Z.PUBLISH_ORDER if n in clean and (tables is None or n in tables or (n == "listings" and {"reviews", "calendar"} & set(tables)))]
     root = f"{serving_root}/_checked"
 
     def check(name: str) -> list[tuple[str, str, int]]:
-        df = Z.SERVING_PROJECTIONS[name](clean[name])
+        df = Z.SERVING_PROJECTIONS[name](clean[name]).select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row"))
         parents = {}
         if name in ("reviews", "calendar") and "listings" in names:
             known = spark.read.parquet(f"{root}/listings")
             parents = {"listing_id": (known.filter(F.col("violation").isNull()), "id")}
-        Q.first_violation(df, Z.SERVING_SCHEMAS[name], Z.SERVING_KEYS[name], Z.SERVING_NOT_NULL[name], parents) \
-            .write.mode("overwrite").parquet(f"{root}/{name}")
+        Q.first_violation(df, Z.SERVING_SCHEMAS[name], Z.SERVING_KEYS[name], Z.SERVING_NOT_NULL[name], parents, place=("__file", "__row")) \
+            .drop("__file", "__row").write.mode("overwrite").parquet(f"{root}/{name}")
         got = spark.read.parquet(f"{root}/{name}").groupBy("violation").agg(F.count(F.lit(1)).alias("n")).collect()
         return [(name, r["violation"] or "published", int(r["n"])) for r in got]
 
@@ -174,6 +177,8 @@ def publish_job(spark: SparkSession, clean_root: str, serving_root: str, policy:
     rest = [n for n in names if n != "listings"]
     with ThreadPoolExecutor(max_workers=max(len(rest), 1)) as pool:
         report += [r for part in pool.map(check, rest) for r in part]
+    names = [n for n in names if tables is None or n in tables]
+    report = [r for r in report if r[0] in names]
     broken = [r for r in report if r[1] != "published"]
     if policy == "fail" and broken:
         raise ValueError("; ".join(f"{t}: {n} rows break {rule}" for t, rule, n in sorted(broken)))
@@ -185,7 +190,7 @@ def publish_job(spark: SparkSession, clean_root: str, serving_root: str, policy:
     published = Z.publish_all({n: df.filter(F.col("violation").isNull()).drop("violation") for n, df in stored.items()},
                               serving_root, jdbc=jdbc)
     with ThreadPoolExecutor(max_workers=max(len(broken), 1)) as pool:
-        list(pool.map(set_aside, sorted({t for t, _, _ in broken})))
+        list(pool.map(set_aside, sorted({t for t, _, _ in broken} & set(names))))
     for name in names:
         if published[name] != sum(n for t, rule, n in report if t == name and rule == "published"):
             raise RuntimeError(f"{name}: rows published differ from rows checked")

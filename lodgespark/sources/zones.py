@@ -202,6 +202,66 @@ def layout_by_keys(df: DataFrame, path: str, sort_keys: list[str], partition_by:
     w.parquet(path)
 
 
+#: Bits of each coordinate in a place's key, and the masks that spread them to every second bit.
+_PLACE_BITS = 31
+_SPREAD = ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555))
+
+
+def place_key(latitude: str, longitude: str) -> Column:
+    """Place of a point on the Z-order curve: the bits of its two coordinates in turn (null without both).
+
+    Neighbours on the curve are near each other, so files sorted by it have
+    narrow ranges of either coordinate.
+    """
+    def spread(c: str, half: float) -> Column:
+        share = (S.parse_numeric(c) + half) / (2 * half)
+        x = F.least(F.greatest(F.floor(share * float(1 << _PLACE_BITS)).cast("long"), F.lit(0)), F.lit((1 << _PLACE_BITS) - 1))
+        for shift, mask in _SPREAD:
+            x = x.bitwiseOR(F.call_function("shiftleft", x, F.lit(shift))).bitwiseAND(F.lit(mask))
+        return x
+    both = S.parse_numeric(latitude).isNotNull() & S.parse_numeric(longitude).isNotNull()
+    return F.when(both, spread(longitude, 180.0).bitwiseOR(F.call_function("shiftleft", spread(latitude, 90.0), F.lit(1))))
+
+
+#: One layout per table for all of its access paths.  `place`: sorted along the Z-order curve of two coordinates, which
+#: serves boxes and what goes with the place; `sort`: sort keys, read by min/max statistics; `folders`: pruned by path;
+#: `bloom`: columns of many values that are looked up by equality.  Columns of few values need none: their row groups
+#: are skipped by their dictionaries.
+LAYOUTS: dict[str, dict] = {
+    "listings": {"place": ("latitude", "longitude"), "sort": ["id"], "bloom": ["id", "host_id"]},
+    "reviews": {"folders": ["year", "month"], "sort": ["listing_id", "date"], "bloom": ["id"]},
+    "calendar": {"folders": ["year", "month"], "sort": ["listing_id", "date"], "bloom": []},
+}
+
+
+def layout_table(df: DataFrame, path: str, table: str, partitions: int | None = None, row_group_bytes: int | None = None,
+                 bloom_bytes: int | None = None) -> None:
+    """Write a table so that each of its access paths reads a few row groups (see ``LAYOUTS``); rows and columns as they are.
+
+    One range exchange; the sort keys break ties of the place, so points that
+    repeat spread over ranges.  A bloom filter takes ``bloom_bytes`` at most in
+    a row group (Parquet's default: 1 MB).
+    """
+    spec = LAYOUTS[table]
+    folders = [c for c in spec.get("folders", []) if c in df.columns]
+    n = int(partitions or df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = [F.col(c) for c in folders]
+    if "place" in spec and all(c in df.columns for c in spec["place"]):
+        keys.append(place_key(*spec["place"]))
+    keys += [F.col(c) for c in spec["sort"] if c in df.columns]
+    w = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys).write.mode("overwrite")
+    for c in spec["bloom"]:
+        if c in df.columns:
+            w = w.option(f"parquet.bloom.filter.enabled#{c}", "true")
+    if row_group_bytes:
+        w = w.option("parquet.block.size", row_group_bytes)
+    if bloom_bytes:
+        w = w.option("parquet.bloom.filter.max.bytes", bloom_bytes)
+    if folders:
+        w = w.partitionBy(*folders)
+    w.parquet(path)
+
+
 # ------------------------------------------------------------------ exports
 
 def export_listings(clean_listings: DataFrame) -> DataFrame:
