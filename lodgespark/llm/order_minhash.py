@@ -52,25 +52,31 @@ def signatures(df: DataFrame, text_col: str, out_col: str, k: int = KMER) -> Dat
     c = lambda x: F.col(f"__omh_{x}")
     df = df.withColumn("__omh_t", F.regexp_extract_all(F.coalesce(F.col(text_col), F.lit("")), F.lit(TOKEN), F.lit(0)))
     df = df.withColumn("__omh_h", _kmers("__omh_t", k))
-    df = df.withColumn("__omh_d", F.size("__omh_h") - F.size(F.array_distinct("__omh_h")))  # how many are repeats
-    # where k-mers repeat: sort (hash, place) packed in one number, ...
+    df = df.withColumn("__omh_u", F.sort_array(F.array_distinct("__omh_h")))
+    df = df.withColumn("__omh_d", F.size("__omh_h") - F.size("__omh_u"))  # how many are repeats
+    # first occurrences keep their hash, so the smallest of each class are known among them without any numbering
+    least = lambda a: F.filter(a, lambda x, j: (j < TUPLE) | (_shr(F.get(a, j - TUPLE), _SHIFT) != _shr(x, _SHIFT)))
+    df = df.withColumn("__omh_u", least(c("u")))
+    # later occurrences only: sort (hash, place) packed in one number and keep what follows its equal, ...
     p, q = _bits(F.size("__omh_h")), _bits(c("d"))
     place = lambda x: x.bitwiseAND(_shl(F.lit(1).cast("long"), p) - 1)
     df = df.withColumn("__omh_s", F.when(c("d") > 0, F.sort_array(F.transform("__omh_h", lambda h, i: _shl(h, p).bitwiseOR(i.cast("long"))))))
+    df = df.withColumn("__omh_s", F.filter(c("s"), lambda x, j: (j > 0) & (_shr(x, p) == _shr(F.get(c("s"), j - 1), p))))
     # ... point each at the one before it in its run and follow the pointers by doubling to the run's first, ...
     back = F.transform(c("s"), lambda x, j: F.when((j > 0) & (_shr(x, p) == _shr(F.get(c("s"), j - 1), p)), j - 1).otherwise(j))
     df = df.withColumn("__omh_f", F.when(c("d") > 0, F.aggregate(
         F.sequence(F.lit(1), q), back, lambda acc, _: F.transform(acc, lambda f: F.get(acc, f)))))
-    # ... and give every place its occurrence number, back in text order
-    df = df.withColumn("__omh_o", F.when(c("d") > 0, F.sort_array(F.transform(
-        c("f"), lambda f, j: _shl(place(F.get(c("s"), j)), q).bitwiseOR((j - f).cast("long"))))))
-    number = lambda x: x.bitwiseAND(_shl(F.lit(1).cast("long"), q) - 1)
-    df = df.withColumn("__omh_g", F.when(c("d") > 0, F.transform(
-        c("o"), lambda x, i: F.when(number(x) == 0, F.get(c("h"), i)).otherwise(F.xxhash64(F.get(c("h"), i), number(x))))).otherwise(c("h")))
-    df = df.withColumn("__omh_a", F.sort_array("__omh_g"))
-    df = df.withColumn("__omh_k", F.filter(
-        "__omh_a", lambda x, j: (j < TUPLE) | (_shr(F.get(c("a"), j - TUPLE), _SHIFT) != _shr(x, _SHIFT))))
-    df = df.withColumn("__omh_x", F.array_intersect("__omh_g", "__omh_k"))  # the selected, in text order
+    # ... whose distance gives the occurrence number (the first later one: 1), hashed with the k-mer
+    numbered = F.transform(c("s"), lambda x, j: F.struct(place(x).cast("int").alias("i"), F.xxhash64(
+        F.get(c("h"), place(x).cast("int")), (j - F.get(c("f"), j) + 1).cast("long")).alias("g")))
+    df = df.withColumn("__omh_o", F.when(c("d") > 0, numbered))
+    df = df.withColumn("__omh_a", F.when(c("d") > 0, F.sort_array(F.concat(c("u"), c("o")["g"]))).otherwise(c("u")))
+    df = df.withColumn("__omh_k", F.when(c("d") > 0, least(c("a"))).otherwise(c("a")))
+    # the selected in text order: first occurrences as they stand, and among them the later ones by their places
+    df = df.withColumn("__omh_x", F.array_intersect("__omh_h", "__omh_k"))
+    df = df.withColumn("__omh_o", F.filter("__omh_o", lambda o: F.array_contains(c("k"), o["g"])))
+    firsts = F.transform("__omh_x", lambda v: F.struct((F.array_position("__omh_h", v) - 1).cast("int").alias("i"), v.alias("g")))
+    df = df.withColumn("__omh_x", F.when(F.size("__omh_o") > 0, F.array_sort(F.concat(firsts, c("o")))["g"]).otherwise(c("x")))
     classes = F.sequence(F.lit(0), F.lit(REPEATS - 1))
     # every class full: its smallest stand together; else the nearest by XOR
     full = F.transform(classes, lambda r: F.xxhash64(F.array_intersect(c("x"), F.slice(c("k"), r * TUPLE + 1, TUPLE))))
@@ -81,7 +87,7 @@ def signatures(df: DataFrame, text_col: str, out_col: str, k: int = KMER) -> Dat
         return F.xxhash64(F.array_intersect(c("x"), F.transform(chosen, lambda y: y.bitwiseXOR(mask))))
 
     df = df.withColumn(out_col, F.when(F.size("__omh_k") == REPEATS * TUPLE, full).otherwise(F.transform(classes, nearest)))
-    return df.drop(*[f"__omh_{x}" for x in "thdsfogakx"])
+    return df.drop(*[f"__omh_{x}" for x in "thudsfoakx"])
 
 
 def likeness(a: Column, b: Column) -> Column:
