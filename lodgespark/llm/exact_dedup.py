@@ -95,12 +95,13 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `docs` that stay, with all their columns; each text crosses the network once."""
-    # the id as text that is never null: plain equality, whose partitioning serves the window as well
+    """The rows of `docs` that stay, with all their columns, whatever their names; each text crosses the network once.
+    """
+    # the id as text that is never null: plain equality, whose partitioning serves the aggregate as well
     name = lambda c: F.concat(F.when(c.isNull(), "-").otherwise("+"), F.coalesce(c.cast("string"), F.lit("")))
-    keep = (exact_groups(docs, id_col, text_col).where("kept")
-            .select(name(F.col(id_col)).alias("__key"), F.col("text_sha256").alias("__sha")))
-    d = docs.withColumns({"__key": name(F.col(id_col)), "__sha": F.sha2(one_space(F.col(text_col)), 256)})
-    turn = Window.partitionBy("__key", "__sha").orderBy(F.lit(0))  # of repeated rows one
-    return (d.join(keep, ["__key", "__sha"], "left_semi").withColumn("__n", F.row_number().over(turn))
-            .where("__n = 1").drop("__n", "__key", "__sha"))
+    keep = exact_groups(docs, id_col, text_col).where("kept").select(name(F.col(id_col)).alias("keep_key"), F.col("text_sha256").alias("keep_sha"))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    d = docs.select(row.alias("row"), name(F.col(f"`{id_col}`")).alias("key"), F.sha2(one_space(F.col(f"`{text_col}`")), 256).alias("sha"))
+    turn = Window.partitionBy("key", "sha").orderBy(F.lit(0))  # of repeated rows one
+    return (d.join(keep, (F.col("key") == F.col("keep_key")) & (F.col("sha") == F.col("keep_sha")), "left_semi")
+            .withColumn("turn", F.row_number().over(turn)).where("turn = 1").select("row.*"))

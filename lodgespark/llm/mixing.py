@@ -51,22 +51,28 @@ class DomainModel:
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "domain",
           sample_docs: int = SAMPLE_DOCS) -> DomainModel:
-    """Fit on the first `sample_docs` labelled rows in the order of the id's hash, a documented bound.
+    """Fit on about `sample_docs` labelled rows, a documented bound, chosen by the hash of the id.
 
-    Word counts are summed in Spark; the driver sees one row per domain.
-    Null ids and null domains teach nothing.
+    The domains and their priors are those of the whole label table.  Half of
+    the sample is shared out in proportion, the other half evenly, so a rare
+    domain has its own rows in it however few they are.  Word counts are summed
+    in Spark; the driver sees one row per domain.  Null ids and null domains
+    teach nothing.
     """
-    known = (labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
-             .select(F.col(id_col).alias("id"), F.col(label_col).cast("string").alias("domain"))
-             .orderBy(F.xxhash64("id"), "id", "domain").limit(sample_docs))
+    all_known = (labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
+                 .select(F.col(id_col).alias("id"), F.col(label_col).cast("string").alias("domain")))
+    size = {r["domain"]: r["n"] for r in all_known.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).limit(MAX_DOMAINS + 1).collect()}
+    if len(size) > MAX_DOMAINS:
+        raise ValueError(f"more than {MAX_DOMAINS} domains")
+    domains, labelled = sorted(size), sum(size.values())
+    quota = {d: math.ceil(sample_docs / 2 * max(size[d] / labelled, 1 / len(size))) for d in domains}
+    known = all_known.limit(0)
+    for d in domains:  # a top-k by hash per domain: no domain is gathered anywhere
+        known = known.unionByName(all_known.where(F.col("domain") == d).orderBy(F.xxhash64("id"), "id").limit(quota[d]))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(F.col("text").isNotNull())
     of_word = texts.join(F.broadcast(known), "id").select("domain", F.explode(words(F.col("text"))).alias("w"))
     counts = stored(of_word.select("domain", F.explode(F.array(word_bucket(F.col("w")), shape_bucket(F.col("w")))).alias("bucket"))
                     .groupBy("domain", "bucket").agg(F.count(F.lit(1)).alias("n")), "domains")
-    size = {r["domain"]: r["n"] for r in known.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).limit(MAX_DOMAINS + 1).collect()}
-    if len(size) > MAX_DOMAINS:
-        raise ValueError(f"more than {MAX_DOMAINS} domains")
-    domains = sorted(size)
     # words and shapes are two multinomials; each domain is smoothed towards all domains together
     kind = (F.col("bucket") >= BUCKETS).cast("int").alias("kind")
     total = {(r["domain"], r["kind"]): r["n"] for r in counts.groupBy("domain", kind).agg(F.sum("n").alias("n")).collect()}
@@ -83,8 +89,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         return F.when(F.col("bucket") >= BUCKETS, of(1)).otherwise(of(0))
 
     table = n_of.select("bucket", F.array(*[evidence(d) for d in domains]).cast("array<double>").alias("evidence"))
-    n = sum(size.values())
-    return DomainModel(domains, [math.log(size[d] / n) for d in domains], stored(table, "domain-model"))
+    return DomainModel(domains, [math.log(size[d] / labelled) for d in domains], stored(table, "domain-model"))
 
 
 def memberships(docs: DataFrame, model: DomainModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -227,9 +232,14 @@ def mix(docs: DataFrame, labels: DataFrame, weights: Mapping[str, float], id_col
         label_col: str = "domain", total_tokens: float | None = None, max_rate: float | None = None) -> tuple[DataFrame, list[str]]:
     """(rows of id, text_key, n_tokens, p0.., rate; the domains in order).
 
-    One row per row of `docs`.  Without any label all rates are 1.
+    One row per row of `docs`.  Without any label all rates are 1.  A weighted
+    domain that no row of `labels` has cannot be aimed at: a warning names it,
+    and the other weights are scaled to fill its share.
     """
     model = learn(docs, labels, id_col, text_col, label_col)
+    unknown = sorted(d for d, w in weights.items() if w > 0 and d not in model.domains)
+    if unknown and model.domains:
+        warnings.warn(f"weighted domains without a label: {', '.join(unknown)}", stacklevel=2)
     members = stored(memberships(docs, model, id_col, text_col), "members")
     return fit_rates(members, model.domains, weights, total_tokens, max_rate), model.domains
 
@@ -242,7 +252,8 @@ def draw(docs: DataFrame, rates: DataFrame, seed: int = 0, id_col: str = "doc_id
               .select(F.col("id").alias("__id"), F.col("text_key").alias("__key"),
                       (F.floor("rate") + (F.col("u") < F.col("rate") - F.floor("rate")).cast("int")).cast("int").alias("__n"))
               .where("__n > 0"))
-    d = docs.withColumn("__text", F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))).alias("d")
-    same = F.col(f"d.{id_col}").eqNullSafe(F.col("c.__id")) & (F.col("d.__text") == F.col("c.__key"))
-    out = d.join(copies.alias("c"), same).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__n"))))
-    return out.select(*[F.col(f"d.{c}") for c in docs.columns])
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]) if docs.columns else F.struct()
+    d = docs.select(row.alias("row"), F.col(f"`{id_col}`").alias("id"), F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias("text_key")).alias("d")
+    same = F.col("d.id").eqNullSafe(F.col("c.__id")) & (F.col("d.text_key") == F.col("c.__key"))
+    out = d.join(copies.alias("c"), same).select("row", F.explode(F.sequence(F.lit(1), F.col("__n"))).alias("copy"))
+    return out.select("row.*")

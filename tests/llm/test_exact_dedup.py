@@ -71,3 +71,10 @@ def test_query_against_sql(spark):
     con.execute(f"create view documents as select * from '{SF}/documents.parquet'")
     want = con.execute(ORACLE_SQL["op7_exact_dedup"]).df().sort_values("doc_id").reset_index(drop=True)
     assert got.astype(str).equals(want[got.columns].astype(str))
+
+
+def test_columns_of_any_name_stay(spark):
+    docs = spark.createDataFrame([(1, "a", 5, 6, "x"), (2, "a", 7, 8, "z"), (3, "b", 9, 1, None)], "doc_id long, text string, __key int, sha int, `a.b` string")
+    got = exact_dedup.drop_exact_copies(docs)
+    assert got.columns == docs.columns
+    assert sorted(map(tuple, got.collect()), key=str) == [(1, "a", 5, 6, "x"), (3, "b", 9, 1, None)]

@@ -98,6 +98,24 @@ def test_edges(spark):
     assert rates.count() == 0
 
 
+def test_a_rare_domain_keeps_its_target(spark):
+    docs = spark.createDataFrame([(i, "rare odd talk" if i == 77 else "good calm words" if i % 2 else "bad noise here") for i in range(400)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, "rare" if i == 77 else "a" if i % 2 else "b") for i in range(400)], "doc_id long, domain string")
+    model = mixing.learn(docs, labels, sample_docs=20)
+    assert model.domains == ["a", "b", "rare"] and np.allclose(np.exp(model.prior), [199 / 400, 0.5, 1 / 400])
+    rates, domains = mixing.mix(docs, labels, {"a": 0.4, "b": 0.4, "rare": 0.2})
+    assert domains == ["a", "b", "rare"] and rates.fit.target["rare"] / sum(rates.fit.target.values()) == pytest.approx(0.2)
+    with pytest.warns(UserWarning, match="without a label: none"):
+        mixing.mix(docs, labels, {"a": 0.5, "none": 0.5})
+
+
+def test_draw_keeps_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(1, "a", 5, 6, "x.y"), (2, "b", 7, 8, "z")], "doc_id long, text string, __text int, row int, `a.b` string")
+    rates = docs.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("text_key"), F.lit(1.0).alias("rate"))
+    got = mixing.draw(docs, rates)
+    assert got.columns == docs.columns and sorted(map(tuple, got.collect())) == sorted(map(tuple, docs.collect()))
+
+
 def test_query_meets_the_targets(spark):
     got = queries.QUERIES["op6_mixing"](spark, SF).toPandas()
     assert len(got) == spark.read.parquet(f"{SF}/documents.parquet").count() and (got.rate >= 0).all()
