@@ -466,7 +466,8 @@ def q_null_profile(spark, sf):
 
 @query("null_counts")
 def q_null_counts(spark, sf):
-    return P.null_counts(raw(spark, sf)["listings"])
+    parts = [P.null_counts(df).select(F.lit(t).alias("table_name"), "*") for t, df in raw(spark, sf).items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 @query("null_overview", rounded={"mean_null_pct": 6})
@@ -624,7 +625,8 @@ def q_check_not_null(spark, sf):
 @query("check_types")
 def q_check_types(spark, sf):
     from lodgespark.sources import zones as Z
-    return Q.check_types(raw(spark, sf)["listings"], Z.SERVING_SCHEMAS["listings"])
+    parts = [Q.check_types(df, Z.SERVING_SCHEMAS[t]).select(F.lit(t).alias("table_name"), "*") for t, df in raw(spark, sf).items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 @query("quality_report")

@@ -31,10 +31,9 @@ def scalar_row(one_row: DataFrame) -> Column:
 def null_counts(df: DataFrame) -> DataFrame:
     """(column, nulls, rows) for every column, from one aggregate."""
     cols = df.columns
-    aggs = [F.count(F.lit(1)).alias("__rows")]
-    aggs += [F.sum(F.col(c).isNull().cast("long")).alias(f"nulls__{i}") for i, c in enumerate(cols)]
+    aggs = [F.count(F.lit(1)).alias("__rows"), *[F.count(F.col(f"`{c}`")).alias(f"known__{i}") for i, c in enumerate(cols)]]
     one = df.agg(*aggs)
-    structs = [F.struct(F.lit(c).alias("column"), F.coalesce(F.col(f"nulls__{i}"), F.lit(0)).cast("bigint").alias("nulls"),
+    structs = [F.struct(F.lit(c).alias("column"), (F.col("__rows") - F.col(f"known__{i}")).cast("bigint").alias("nulls"),
                         F.col("__rows").cast("bigint").alias("rows")) for i, c in enumerate(cols)]
     return one.select(F.explode(F.array(*structs)).alias("r")).select("r.*")
 

@@ -497,7 +497,9 @@ UNION ALL SELECT DISTINCT 'calendar', 'available', available FROM calendar_raw""
     "null_profile": f"""
 SELECT "column", CAST(nulls AS DOUBLE) / rows * 100 AS null_pct FROM ({_nulls_long('listings_raw', LISTING_RAW_COLS)})
 WHERE nulls > 0 ORDER BY null_pct DESC, "column" """,
-    "null_counts": _nulls_long("listings_raw", LISTING_RAW_COLS),
+    "null_counts": " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, * FROM ({_nulls_long(t + '_raw', cols)})"
+        for t, cols in [("listings", LISTING_RAW_COLS), ("reviews", REVIEW_RAW_COLS), ("calendar", CALENDAR_RAW_COLS)]),
     "null_overview": _null_overview(),
     "describe_numeric": _describe(),
     "price_quartiles": """
@@ -561,9 +563,9 @@ def _misfit(c: str, duck_t: str) -> str:
 
 def _check_types() -> str:
     return " UNION ALL ".join(
-        f"SELECT '{c}' AS \"column\", '{spark_t}' AS target_type, "
-        f"CAST(coalesce(sum(CASE WHEN {_misfit(c, duck_t)} THEN 1 ELSE 0 END), 0) AS BIGINT) AS violations FROM listings_raw"
-        for c, spark_t, duck_t in LISTING_FIELDS)
+        f"SELECT '{t}' AS table_name, '{c}' AS \"column\", '{spark_t}' AS target_type, "
+        f"CAST(coalesce(sum(CASE WHEN {_misfit(c, duck_t)} THEN 1 ELSE 0 END), 0) AS BIGINT) AS violations FROM {t}_raw"
+        for t, fields in [("listings", LISTING_FIELDS), ("reviews", REVIEW_FIELDS), ("calendar", CALENDAR_FIELDS)] for c, spark_t, duck_t in fields)
 
 
 def _quality() -> str:
