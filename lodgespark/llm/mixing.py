@@ -51,11 +51,11 @@ class DomainModel:
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "domain",
           sample_docs: int = SAMPLE_DOCS) -> DomainModel:
-    """Fit on about `sample_docs` labelled rows, a documented bound, chosen by the hash of the id.
+    """Fit on at most `sample_docs` labelled rows, a documented bound, chosen by the hash of the id.
 
-    The domains and their priors are those of the whole label table.  Half of
-    the sample is shared out in proportion, the other half evenly, so a rare
-    domain has its own rows in it however few they are.  Word counts are summed
+    The domains and their priors are those of the whole label table.  A domain
+    of less than an even share is sampled as if it had one, so a rare domain
+    has its own rows in the sample however few they are.  Word counts are summed
     in Spark; the driver sees one row per domain.  Null ids and null domains
     teach nothing.
     """
@@ -65,10 +65,12 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     if len(size) > MAX_DOMAINS:
         raise ValueError(f"more than {MAX_DOMAINS} domains")
     domains, labelled = sorted(size), sum(size.values())
-    quota = {d: math.ceil(sample_docs / 2 * max(size[d] / labelled, 1 / len(size))) for d in domains}
-    known = all_known.limit(0)
-    for d in domains:  # a top-k by hash per domain: no domain is gathered anywhere
-        known = known.unionByName(all_known.where(F.col("domain") == d).orderBy(F.xxhash64("id"), "id").limit(quota[d]))
+    # a row's turn is its hash as a share, shrunk where its domain is rare: one top-k gathers the smallest
+    chance = {d: max(size[d] / labelled, 1 / len(size)) / size[d] for d in domains}
+    turn = F.lit(0.0)
+    for d in domains:
+        turn = F.when(F.col("domain") == d, F.lit(1.0 / chance[d])).otherwise(turn)
+    known = all_known.orderBy(F.pmod(F.xxhash64("id"), F.lit(1 << 52)) * turn, "id", "domain").limit(sample_docs)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(F.col("text").isNotNull())
     of_word = texts.join(F.broadcast(known), "id").select("domain", F.explode(words(F.col("text"))).alias("w"))
     counts = stored(of_word.select("domain", F.explode(F.array(word_bucket(F.col("w")), shape_bucket(F.col("w")))).alias("bucket"))
