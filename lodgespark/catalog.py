@@ -91,15 +91,28 @@ def stamped(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     Parquet (the ingest step), then read back, so every query starts from
     a stored, splittable table as the transform job does.  Rows carry their
     ordinal and are dealt out round robin, repeated keys too."""
+    def build():
+        root = _raw_zone(spark, sf)
+        return {t: spark.read.parquet(f"{root}/{t}") for t in FX.raw_tables(spark, sf)}
+    return _memo(spark, sf, "stamped", build)
+
+
+def _raw_zone(spark: SparkSession, sf: str) -> str:
+    """The folder of the raw zone."""
     def build():
         from lodgespark.sources.raw import write_raw_zone
         root = _scratch(spark, "raw-zone")
-        out = {}
         for t, df in FX.raw_tables(spark, sf).items():
             write_raw_zone(df.repartition(spark.sparkContext.defaultParallelism), f"{root}/{t}")
-            out[t] = spark.read.parquet(f"{root}/{t}")
-        return out
-    return _memo(spark, sf, "stamped", build)
+        return root
+    return _memo(spark, sf, "raw_zone", build)
+
+
+def footers(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """The raw tables' own columns, whose counts come from the file footers."""
+    from lodgespark.sources.raw import read_footers
+    root = _raw_zone(spark, sf)
+    return {t: read_footers(spark, f"{root}/{t}").drop(C.ORDINAL) for t in raw(spark, sf)}
 
 
 def raw(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
@@ -461,18 +474,18 @@ def q_distinct_flag_values(spark, sf):
 
 @query("null_profile", rounded={"null_pct": 6})
 def q_null_profile(spark, sf):
-    return P.null_profile(raw(spark, sf)["listings"], 40)
+    return P.null_profile(footers(spark, sf)["listings"], 40)
 
 
 @query("null_counts")
 def q_null_counts(spark, sf):
-    parts = [P.null_counts(df).select(F.lit(t).alias("table_name"), "*") for t, df in raw(spark, sf).items()]
+    parts = [P.null_counts(df).select(F.lit(t).alias("table_name"), "*") for t, df in footers(spark, sf).items()]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 @query("null_overview", rounded={"mean_null_pct": 6})
 def q_null_overview(spark, sf):
-    r = raw(spark, sf)
+    r = footers(spark, sf)
     return P.null_overview({t: r[t] for t in ["listings", "reviews", "calendar"]})
 
 
@@ -650,6 +663,30 @@ def q_run_metrics(spark, sf):
     return m.withColumnRenamed("table", "table_name")
 
 
+@query("run_log", rounded={"value": 6})
+def q_run_log(spark, sf):
+    """One run of all three jobs, from CSV files to the serving zone, as its log tells it."""
+    from lodgespark.operators import metrics as M
+    from lodgespark.plans import jobs as J
+    from lodgespark.sources import raw as R
+    root = _scratch(spark, "run-log")
+
+    def landing():
+        path = _scratch(spark, "landing")
+        for t, df in stamped(spark, sf).items():  # files in the rows' order, as the first occurrence stays
+            R.write_csv_gz(df.orderBy(C.ORDINAL).drop(C.ORDINAL), f"{path}/{t}")
+        return path
+    source = _memo(spark, sf, "landing_csv", landing)
+    report = J.ingest_job(spark, {t: (f"{source}/{t}", None) for t in FX.raw_tables(spark, sf)}, f"{root}/raw", keep=1).collect()
+    M.append_run_log(spark, f"{root}/log", "run-1", "ingest", M.ingest_records(report))
+    ingested = {t: R.read_raw_zone(spark, f"{root}/raw/{t}")[0] for t in FX.raw_tables(spark, sf)}
+    records = J.refresh_clean_zone(spark, ingested, f"{root}/clean", keep=1)[1]
+    M.append_run_log(spark, f"{root}/log", "run-1", "transform", records)
+    report = J.refresh_serving_zone(spark, f"{root}/clean", f"{root}/serving", "quarantine", keep=1)
+    M.append_run_log(spark, f"{root}/log", "run-1", "publish", M.publish_records(report))
+    return M.read_run_log(spark, f"{root}/log").select("stage", F.col("table").alias("table_name"), "metric", "value")
+
+
 # ------------------------------------------------------------------ 2.1 sources and sinks
 
 def _scratch(spark, name):
@@ -752,7 +789,7 @@ def q_extract_all_summary(spark, sf):
 @query("table_profile")
 def q_table_profile(spark, sf):
     from lodgespark.sources import raw as R
-    cat = _extract_cat(spark, sf)
+    cat = footers(spark, sf)
     return R.table_profile(cat, "listings").unionByName(R.table_profile(cat, "reviews")).unionByName(
         R.table_profile(cat, "calendar"))
 

@@ -96,22 +96,36 @@ def impute_defaults(df: DataFrame, defaults: Mapping[str, object] = K.LISTING_NU
     return out.na.fill(fills) if fills else out
 
 
+SALTS = 32  # parts of every group in a salted join
+
+
+def join_group_values(df: DataFrame, values: DataFrame, group_col: str, broadcast_bytes: int) -> DataFrame:
+    """Left join of one row per group (``__g`` and further columns) to all rows.
+    Values of at most ``broadcast_bytes`` (names and 64 bytes a group, added up
+    first) are a broadcast hash join: the table's rows do not move.  Larger
+    ones meet the rows by group and salt, which deals a group that holds a
+    third of the rows over ``SALTS`` tasks; the salt is the row's partition,
+    so a lost task computes it again alike."""
+    size = values.agg(F.sum(F.octet_length(F.col("__g").cast("string")) + 64)).first()[0] or 0
+    if size <= broadcast_bytes:
+        return df.join(F.broadcast(values), df[group_col] == values["__g"], "left").drop("__g")
+    salted = df.withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
+    copies = values.withColumn("__salt_g", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    on = (salted[group_col] == copies["__g"]) & (salted["__salt"] == copies["__salt_g"])
+    return salted.join(copies, on, "left").drop("__g", "__salt", "__salt_g")
+
+
 def neighbourhood_median_impute(df: DataFrame, value_col: str = "price_clean",
                                 group_col: str = "neighbourhood_cleansed",
                                 out_col: str = "price_imputed",
-                                replace_outliers: bool = False, k: float = 3.0, map_groups: int = 10_000) -> DataFrame:
+                                replace_outliers: bool = False, k: float = 3.0, broadcast_bytes: int = 64 << 20) -> DataFrame:
     """Fill a missing (or, optionally, outlying) value with the exact median
-    of its group.  The medians are one row per group; up to ``map_groups`` of
-    them are inlined as a map, so the table's rows do not move, more are
-    joined on the key (where adaptive execution splits a hot group)."""
+    of its group.  The medians are one row per group: up to
+    ``broadcast_bytes`` of them a broadcast join, more a salted one."""
     v = F.col(value_col)
     medians = grouped_quantiles(df.select(group_col, v.alias("x")), [group_col], [0.5]).select(
         F.col(group_col).alias("__g"), F.col("q")[0].alias("__median"))
-    if medians.limit(map_groups + 1).count() <= map_groups:
-        table = medians.filter(F.col("__g").isNotNull()).agg(F.map_from_entries(F.collect_list(F.struct("__g", "__median"))).alias("m")).scalar()
-        out = df.withColumn("__m", table).withColumn("__median", F.try_element_at("__m", F.col(group_col))).drop("__m")
-    else:
-        out = df.join(medians, df[group_col] == medians["__g"], "left").drop("__g")
+    out = join_group_values(df, medians.filter(F.col("__g").isNotNull()), group_col, broadcast_bytes)
     bad = v.isNull()
     if replace_outliers:
         q = exact_quantiles(df, value_col, [0.25, 0.75]).select(F.array("*")).scalar()

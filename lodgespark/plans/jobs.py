@@ -7,7 +7,9 @@
 * publish: clean zone -> serving zone, after the quality checks.
 
 Each write is an overwrite of a whole table (idempotent: a rerun after a lost
-executor or a failed job gives the same result).
+executor or a failed job gives the same result).  ``refresh_clean_zone``,
+``refresh_serving_zone`` and ``ingest_job(keep=...)`` write a new version beside the
+current one instead and switch to it when it is complete (``sources.versions``).
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from lodgespark.operators.summaries import calendar_monthly_summary
 from lodgespark.plans.transform import transform_calendar, transform_listings, transform_reviews
 from lodgespark.session import delete_path
 from lodgespark.sources import raw as R
+from lodgespark.sources import versions as V
 from lodgespark.sources import zones as Z
 
 
@@ -36,18 +39,34 @@ class IngestError(RuntimeError):
         self.status = status
 
 
-def ingest_job(spark: SparkSession, files: Mapping[str, tuple[str, list[str]]], raw_root: str,
-               partitions: int | None = None, strict: bool = False) -> DataFrame:
-    """``files``: table -> (CSV path, wanted columns).  Each table is a full
+def ingest_job(spark: SparkSession, files: Mapping[str, tuple[str, list[str] | None]], raw_root: str,
+               partitions: int | None = None, strict: bool = False, keep: int | None = None) -> DataFrame:
+    """``files``: table -> (CSV path, wanted columns; None: all of the header).  Each table is a full
     refresh of its raw-zone folder: well-formed and rejected rows are stored
     once and read back apart by ``sources.raw.read_raw_zone``.  A table whose
     files cannot be read does not stop the others; the result is (table_name,
     rows, rejected, status, error) with status 'FALLO' for a table that failed
-    or is empty.  ``strict`` raises ``IngestError`` at the end in that case."""
+    or is empty.  ``strict`` raises ``IngestError`` at the end in that case.
+    With ``keep`` each table is refreshed as a new version, and so many stay;
+    a failed or empty one leaves the rows of the last good one current."""
+    def store(name: str, path: str, columns: list[str] | None) -> tuple[int, int]:
+        df = R.scan_flagged(spark, path, columns or R.csv_header(spark, path))
+        if keep is None:
+            return R.write_flagged(df, f"{raw_root}/{name}", partitions)
+        got: list[tuple[int, int]] = []
+
+        def write(folder: str) -> dict[str, int]:
+            got.append(R.write_flagged(df, folder, partitions))
+            if not got[0][0]:
+                raise V.RefreshError("no well-formed rows")
+            return {"": sum(got[0])}
+        V.refresh(spark, f"{raw_root}/{name}", write, keep)
+        return got[0]
+
     out = []
     for name, (path, columns) in files.items():
         try:
-            rows, bad = R.write_flagged(R.scan_flagged(spark, path, columns), f"{raw_root}/{name}", partitions)
+            rows, bad = store(name, path, columns)
             out.append((name, rows, bad, "OK" if rows else "FALLO", None))
         except Exception as e:  # noqa: BLE001 - the failure and its cause are part of the report
             out.append((name, 0, 0, "FALLO", str(e).splitlines()[0][:500]))
@@ -135,8 +154,37 @@ def transform_job_metrics(raw: Mapping[str, DataFrame], clean_root: str,
     return metrics_frame(spark, _run_transform(raw, clean_root, orders)[1])
 
 
+def refresh_clean_zone(spark: SparkSession, raw: Mapping[str, DataFrame], clean_root: str,
+                       orders: Mapping[str, list[Column]] | None = None, keep: int = 2) -> tuple[dict[str, int], list[dict]]:
+    """The transform job as a refresh of the whole clean zone: its tables
+    change together, when all of them are written and counted.  Returns the
+    rows per table and the run's metrics."""
+    records: list[dict] = []
+
+    def write(folder: str) -> dict[str, int]:
+        counts, recs = _run_transform(raw, folder, orders)
+        records.extend(recs)
+        return {f"{n}_clean": c for n, c in counts.items()}
+    counts = V.refresh(spark, clean_root, write, keep)
+    return {n.removesuffix("_clean"): c for n, c in counts.items()}, records
+
+
+def refresh_serving_zone(spark: SparkSession, clean_root: str, serving_root: str, policy: str = "fail",
+                         keep: int = 2) -> list[tuple[str, str, int]]:
+    """The publish job as a refresh of the whole serving zone, with the rows
+    set aside beside the tables of their version.  Returns publish_job's rows."""
+    report: list[tuple[str, str, int]] = []
+
+    def write(folder: str) -> dict[str, int]:
+        report.extend(tuple(r) for r in publish_job(spark, clean_root, folder, policy).collect())
+        return {t: sum(n for u, o, n in report if u == t and o == "published") for t in {r[0] for r in report}}
+    V.refresh(spark, serving_root, write, keep)
+    return report
+
+
 def read_clean(spark: SparkSession, clean_root: str, names: Iterable[str] = Z.PUBLISH_ORDER) -> dict[str, DataFrame]:
     """The clean tables that are present."""
+    clean_root = V.current(spark, clean_root)
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     at = {n: jvm.org.apache.hadoop.fs.Path(f"{clean_root}/{n}_clean") for n in names}
     return {n: spark.read.parquet(f"{clean_root}/{n}_clean") for n, p in at.items() if p.getFileSystem(conf).exists(p)}

@@ -7,11 +7,15 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, MapType, StringType, StructField, StructType
 
 from lodgespark.operators.cleaning import ORDINAL, normalize_null_tokens
+from lodgespark.sources.versions import current
 
 CORRUPT_COLUMN = "_corrupt_record"
+# Parquet leaves out a column chunk's statistics, its null count too, where the
+# least and greatest values are long texts; cut to this length they are always kept.
+STATISTICS = {"parquet.statistics.truncate.length": "64"}
 
 
 def all_text_schema(columns: Iterable[str], corrupt: bool = False) -> StructType:
@@ -85,7 +89,7 @@ def write_csv_gz(df: DataFrame, path: str) -> None:
 
 def write_raw_zone(df: DataFrame, path: str) -> None:
     """Idempotent full refresh of one raw table (overwrite)."""
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").options(**STATISTICS).parquet(path)
 
 
 def write_flagged(df: DataFrame, path: str, partitions: int | None = None) -> tuple[int, int]:
@@ -95,16 +99,37 @@ def write_flagged(df: DataFrame, path: str, partitions: int | None = None) -> tu
     obs = Observation()
     seen = (df.repartition(partitions) if partitions else df).observe(
         obs, F.count(F.lit(1)).alias("rows"), F.count(F.when(F.col("rejected"), 1)).alias("bad"))
-    seen.write.mode("overwrite").partitionBy("rejected").parquet(path)
+    seen.write.mode("overwrite").partitionBy("rejected").options(**STATISTICS).parquet(path)
     n = obs.get
     return int(n["rows"] - n["bad"]), int(n["bad"])
 
 
 def read_raw_zone(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """(well-formed, rejected) of a table stored by ``write_flagged``."""
+    path = current(spark, path)
     return split_quarantine(spark.read.parquet(path).withColumn("rejected", F.col("rejected").cast("boolean")))
 
 
+def read_footers(spark: SparkSession, path: str) -> DataFrame:
+    """A stored table through Spark's second Parquet reader, which answers
+    counts of rows and of values per column (and bounds of numbers and dates)
+    from the file footers: profiles of nulls and rows then read no data pages.
+    The flat columns only, as the reader scans for all if one is nested.  For
+    tables that ``write_raw_zone`` or ``write_flagged`` stored; a footer of
+    another writer may lack a null count, and the query then ends with an
+    error, so read such tables with ``spark.read``."""
+    path = current(spark, path)
+    spark.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    listed = "spark.sql.sources.useV1SourceList"
+    before = spark.conf.get(listed)
+    spark.conf.set(listed, ",".join(s for s in before.split(",") if s.strip() != "parquet"))
+    try:
+        df = spark.read.parquet(path)
+    finally:
+        spark.conf.set(listed, before)
+    return df.select(*[F.col(f"`{f.name}`") for f in df.schema if not isinstance(f.dataType, (StructType, ArrayType, MapType))])
+
+
 # ------------------------------------------------------------------ extract
 
 def _predicate(where) -> Column | None:

@@ -14,6 +14,7 @@ from lodgespark import constants as K
 from lodgespark.functions import scalars as S
 from lodgespark.operators.cleaning import select_existing
 from lodgespark.operators.quality import type_violation
+from lodgespark.sources.versions import current
 
 # --- fixed values: declared types, keys and NOT NULL columns of the serving tables ---
 SERVING_SCHEMAS = {
@@ -121,7 +122,7 @@ def read_clean_zone(spark: SparkSession, root: str, names: Iterable[str], limit:
                     schemas: Mapping[str, StructType] | None = None) -> dict[str, DataFrame]:
     """Read clean tables back (optionally with declared schemas, and the first
     ``limit`` rows in key order)."""
-    out = {}
+    out, root = {}, current(spark, root)
     for n in names:
         r = spark.read
         if schemas and n in schemas:

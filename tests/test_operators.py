@@ -159,16 +159,34 @@ def test_crosstab_counts_every_flag(spark):
     assert [tuple(r) for r in SM.availability_crosstab(cal).collect()] == [("2024-01", 0, 1, 1)]
 
 
-def test_median_imputation_by_map_and_by_join(spark):
+def test_median_imputation_by_broadcast_and_by_salt(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("a", None), ("b", None), (None, 5.0), (None, None), ("a", 900.0)], "neighbourhood_cleansed string, price_clean double")
-    for groups in (0, 100):
-        got = sorted(map(tuple, C.neighbourhood_median_impute(df, map_groups=groups).collect()), key=str)
+    for size in (0, 1 << 20):
+        out = C.neighbourhood_median_impute(df, broadcast_bytes=size)
+        assert ("__salt_g" in out._jdf.queryExecution().analyzed().toString()) == (size == 0)
+        got = sorted(map(tuple, out.collect()), key=str)
         assert got == sorted([("a", 1.0, 1.0), ("a", 3.0, 3.0), ("a", None, 3.0), ("b", None, None), (None, 5.0, 5.0), (None, None, None),
                               ("a", 900.0, 900.0)], key=str)
     out = C.neighbourhood_median_impute(df, replace_outliers=True, k=0.5)
     assert {r.price_imputed for r in out.filter("price_clean = 900").collect()} == {3.0}
 
 
+def test_salted_group_join_spreads_a_hot_group(spark):
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = spark.range(8000, numPartitions=16).select(F.when(F.col("id") % 2 == 0, "hot").otherwise(F.concat(F.lit("g"), F.col("id") % 50)).alias("g"))
+        values = rows.select(F.col("g").alias("__g"), F.length("g").alias("n")).distinct()
+        out = C.join_group_values(rows, values, "g", 0)
+        assert out.columns == ["g", "n"] and out.filter(F.length("g") == F.col("n")).count() == 8000
+        tasks = [r["count"] for r in out.filter("g = 'hot'").groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        assert sum(tasks) == 4000 and max(tasks) < 2800 and len(tasks) > 3
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_contract_names_missing_required_columns(spark):
     import pytest
     from lodgespark.contracts import ContractError
