@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
+from collections import OrderedDict
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
@@ -142,22 +143,29 @@ class Scanner:
         return out
 
     def _passages(self, words: list[str], places: list[int], size: int, least: float, most: float) -> list[tuple[float, int, int]]:
-        """Passages of one template: for each start the best end within the size bounds; the caller chooses among overlaps."""
+        """Passages of one template: for each start the best end within the size bounds; the caller chooses among overlaps.
+
+        Bounds count different bigrams, so a passage may be of any length: from
+        the last place back to the first, `ahead` keeps the next place of each
+        of the `most` bigrams that come first from there on, the nearest last.
+        """
         out: list[tuple[float, int, int]] = []
-        for s, start in enumerate(places):
-            best, e = (0.0, 0, 0), s
-            shared: set = set()
-            inside: set = set()
-            for i in range(start, min(len(words) - 1, start + int(2 * most) + 2)):
-                gram = (words[i], words[i + 1])
-                inside.add(gram)
-                if len(inside) > most:
-                    break
-                if e < len(places) and places[e] == i:
-                    shared.add(gram)
-                    e += 1
-                    dice = 2 * len(shared) / (len(inside) + size)
-                    if len(shared) >= least and dice > best[0]:
+        own = {(words[i], words[i + 1]) for i in places}
+        ahead: OrderedDict = OrderedDict()
+        for start in range(places[-1], places[0] - 1, -1):
+            gram = (words[start], words[start + 1])
+            ahead[gram] = start
+            ahead.move_to_end(gram)
+            if len(ahead) > most:
+                ahead.popitem(last=False)
+            if gram not in own:
+                continue
+            best, shared = (0.0, 0, 0), 0
+            for inside, (g, i) in enumerate(reversed(ahead.items()), 1):
+                if g in own:
+                    shared += 1
+                    dice = 2 * shared / (inside + size)
+                    if shared >= least and dice > best[0]:
                         best = (dice, start, i + 2)
             if best[0] >= self.threshold:
                 out.append(best)

@@ -35,6 +35,25 @@ def test_findings_against_all_passages():
             assert abs(max(g[1] for g in got) - want) < 1e-5
 
 
+def test_passages_that_repeat_their_bigrams_have_any_length():
+    rng = random.Random(2)
+    words = [f"w{i}" for i in range(24)]
+    scanner = ls.Scanner({"T": [" ".join(words)]}, 0.7)
+    found = 0
+    for _ in range(60):
+        at = rng.randint(2, 22)
+        filler = ["x", "y"] * rng.randint(0, 60) if rng.random() < 0.7 else words[at - 2:at] * rng.randint(0, 60)
+        text = " ".join(["z"] * rng.randint(0, 3) + words[:at] + filler + words[at:rng.randint(at, 24)])
+        want, got = best_dice(text, " ".join(words)), scanner.scan(text)
+        assert bool(got) == (want >= 0.7), text
+        if got:
+            found += 1
+            assert abs(max(g[1] for g in got) - want) < 1e-5
+    assert found > 20
+    long = scanner.scan(" ".join(words[:12] + ["x", "y"] * 50_000 + words[12:]))
+    assert [(g[2], g[3]) for g in long] == [(0, 100_024)]
+
+
 def test_every_template_finds_itself_in_prose():
     scanner = ls.Scanner(ls.TEMPLATES)
     for name, texts in ls.TEMPLATES.items():
