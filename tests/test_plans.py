@@ -101,6 +101,20 @@ def test_quantiles_do_not_merge_values_in_one_task(spark):
     assert opt(exact_quantiles(df, "x", [0.5])).count("kll_sketch_agg_double") == 2
 
 
+def test_values_are_never_broadcast_to_meet_their_brackets(spark):
+    """Repeated values shuffle to few bytes, in a stage that ends before the brackets are known."""
+    from lodgespark.operators import profiling as P
+    from lodgespark.operators.quantiles import grouped_quantiles
+    df = spark.range(0, 400_000, 1, 4).select((F.col("id") % 5).cast("double").alias("a"), F.lit(1.0).alias("b"))
+    grouped = grouped_quantiles(P.values_long(df, ["a", "b"]), ["column"], [0.5])
+    described = P.describe_numeric(df, ["a", "b"])
+    assert {r["column"]: r["q"] for r in grouped.collect()} == {"a": [2.0], "b": [1.0]}
+    assert {r["column"]: (r["p25"], r["p75"]) for r in described.collect()} == {"a": (1.0, 3.0), "b": (1.0, 1.0)}
+    for q in (grouped, described):
+        p = q._jdf.queryExecution().executedPlan().toString()
+        assert "isFinalPlan=true" in p and "BuildLeft" not in p
+
+
 def test_frames_run_no_job_while_they_are_built(spark):
     from lodgespark.operators import profiling as P
     from lodgespark.plans import transform as T
