@@ -196,3 +196,22 @@ def test_every_access_path_skips_row_groups(spark):
     for name, where in probes:
         read = scanned_rows(out[name].where(where))
         assert 0 < read < n * 0.6 or out[name].where(where).count() == 0 and read < n * 0.6, (name, where, read)
+
+
+def test_queries_store_only_the_tables_they_read(spark, monkeypatch):
+    from lodgespark.sources import raw as R
+    written, write = [], R.write_raw_zone
+    monkeypatch.setattr(R, "write_raw_zone", lambda df, path: written.append((path.rsplit("/", 1)[1], df)) or write(df, path))
+    monkeypatch.setattr(CAT, "_MEMO", {})
+    monkeypatch.setattr(CAT, "_LEAST_SPLIT", 0)  # as for a source that gives every core a task
+    CAT.raw(spark, SF_SMALL)["reviews"].count()
+    assert [t for t, _ in written] == ["reviews"]
+    assert CAT.clean(spark, SF_SMALL)["calendar_summary"].count() > 0
+    assert [t for t, _ in written] == ["reviews", "calendar"]
+    assert CAT._published(spark, SF_SMALL, "calendar").count() > 0
+    assert [t for t, _ in written] == ["reviews", "calendar", "listings"]
+    for t, df in written:
+        assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+        assert CAT.stamped(spark, SF_SMALL)[t].count() == df.count()
+    assert set(read_names(spark, CAT._clean_zone(spark, SF_SMALL, []))) == {"calendar_clean", "calendar_summary_clean", "listings_clean"}
+    assert {t: n for t, n in CAT.clean(spark, SF_SMALL)["reviews"].dtypes}["date"] == "date"  # and the rest when it is asked for
