@@ -5,7 +5,7 @@ always stay.  Generators propose further spans, which may overlap each other:
 written-out addresses, numbers inside longer runs that the base rules drop
 whole, phone numbers without a plus.  Gradient-boosted trees score a proposal
 by its format and context; a threshold per kind, calibrated on rows the trees
-did not see, selects the ones to redact.  Everything is a column expression:
+did not see, selects the ones to redact; all spans are used for both.  Everything is a column expression:
 positions come from the pieces between the matches, the fitted trees are
 nested CASE expressions.
 """
@@ -47,8 +47,8 @@ FEATURES = ("email", "ip", "card", "phone", "length", "digits", "separators", "l
             "left", "right", "left_joined", "right_joined", "context")
 #: Fill of blanked spans: a sign that no pattern holds.
 BLANK = "￼"
-#: Proposals fitted and calibrated on (a bounded sample in the order of their hash), trees, depth, and wanted precision.
-SAMPLE, TREES, DEPTH, PRECISION, BINS = 20_000, 12, 3, 0.95, 20
+#: Trees, depth, wanted precision, and steps of the thresholds.
+TREES, DEPTH, PRECISION, BINS = 12, 3, 0.95, 20
 LEFT_CHARS, RIGHT_CHARS = 24, 8
 
 
@@ -171,32 +171,40 @@ def _nested(node) -> object:
     return (int(split.featureIndex()), float(split.threshold()), _nested(node.leftChild()), _nested(node.rightChild()))
 
 
-def learn(found: DataFrame, sample: int = SAMPLE, precision: float = PRECISION) -> SpanModel:
-    """Boosted trees on a bounded sample of spans, `sample` of either class, first in the order of their hash.
+def examples(found: DataFrame) -> DataFrame:
+    """(kind, held, features, label, n): all examples, those alike as one row with their number.
 
     Base spans are examples of personal data, proposals that fail their kind's
     validity check are counter-examples; valid proposals beyond the base are
-    what the trees are to judge and teach nothing.  One in three examples is
-    held back to calibrate the thresholds: per kind the lowest score from
-    which on at least `precision` of the examples are personal data.  Without
-    examples of both classes nothing is added to the base.
+    what the trees are to judge and teach nothing.  One in three, by the hash
+    of their text, is held back.
+    """
+    span = lambda col: found.select(F.explode(col).alias("s"))
+    one = span("base").select("s.*", F.lit(1.0).alias("label"))
+    none = span("proposed").where(~F.col("s.ok")).select("s.*", F.lit(0.0).alias("label"))
+    held = F.pmod(F.xxhash64(F.lit(1), "kind", "text"), F.lit(3)) == 0
+    return one.unionByName(none).groupBy("kind", held.alias("held"), "features", "label").agg(F.count(F.lit(1)).cast("double").alias("n"))
+
+
+def learn(found: DataFrame, precision: float = PRECISION) -> SpanModel:
+    """Boosted trees on all examples that are not held back, weighted by their number.
+
+    The held ones calibrate the thresholds: per kind the lowest score from
+    which on at least `precision` of them are personal data.  Without examples
+    of both classes nothing is added to the base.
     """
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.functions import array_to_vector
 
-    span = lambda col: found.select(F.explode(col).alias("s"))
-    one = span("base").select("s.kind", "s.text", "s.features", F.lit(1.0).alias("label"))
-    none = span("proposed").where(~F.col("s.ok")).select("s.kind", "s.text", "s.features", F.lit(0.0).alias("label"))
-    order = [F.xxhash64("kind", "text"), F.col("kind"), F.col("text"), F.col("features").cast("string")]
-    rows = stored(one.orderBy(*order).limit(sample).unionByName(none.orderBy(*order).limit(sample)), "spans")
-    held = F.pmod(F.xxhash64(F.lit(1), "kind", "text"), F.lit(3)) == 0
-    fitted = rows.where(~held).select("label", array_to_vector("features").alias("features"))
-    if fitted.select("label").distinct().count() < 2:
+    rows = stored(examples(found), "spans")
+    held = F.col("held")
+    if rows.where(~held).select("label").distinct().count() < 2:
         return SpanModel([], {k: 2.0 for k in KINDS})
-    gbt = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=1, stepSize=0.3).fit(fitted)
+    fitted = rows.where(~held).select("label", array_to_vector("features").alias("features"), F.col("n").alias("weight"))
+    gbt = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=1, stepSize=0.3, weightCol="weight").fit(fitted)
     model = SpanModel([(float(w), _nested(t._java_obj.rootNode())) for w, t in zip(gbt.treeWeights, gbt.trees)], {})
     bins = (rows.where(held).withColumn("bin", F.floor(model.score(F.col("features")) * BINS)).groupBy("kind", "bin")
-            .agg(F.sum("label").alias("hit"), F.count(F.lit(1)).alias("n")).collect())
+            .agg(F.sum(F.col("label") * F.col("n")).alias("hit"), F.sum("n").alias("n")).collect())
     for kind in KINDS:
         hit = n = 0.0
         best = 2.0
@@ -241,7 +249,7 @@ def _listed(spans: Column) -> Column:
     return F.array_join(F.transform(F.array_sort(key), lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> DataFrame:
+def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added per row.
 
     Counts and hash are those of the base spans; `spans` lists base and added
@@ -250,7 +258,7 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     empty table gives an empty result.
     """
     found = stored(proposals(docs, id_col, text_col), "spans-found")
-    got = selected(found, learn(found, sample))
+    got = selected(found, learn(found))
     short = lambda col: F.transform(col, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
     got = got.withColumn("__base", short("base"))
     count = lambda kind: F.size(F.filter("__base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")

@@ -67,6 +67,22 @@ def test_trees_judge_valid_proposals_by_format_and_context(spark):
     assert not last.base and {(a.kind, a.start, a.end) for a in last.added} <= {("card", 10, 26), ("card", 27, 43)}
 
 
+def test_trees_learn_from_all_spans(spark):
+    ips = [f"{i % 200}.{i // 200}.1.{j}" for i in range(600) for j in range(20)]
+    phones = [f"+1234567{k:05d}" for k in range(12_000)]
+    texts = [" ; ".join(ips[i::100] + phones[i::100] + ["500.500.500.500"]) for i in range(100)]
+    found = stored(pii.proposals(documents(spark, texts)), "found")
+    got = {r["label"]: r["n"] for r in pii.examples(found).groupBy("label").agg({"n": "sum"}).withColumnRenamed("sum(n)", "n").collect()}
+    bad = sum(not p.ok for r in found.collect() for p in r.proposed)
+    assert got == {1.0: 24_000.0, 0.0: float(bad)} and bad >= 100  # more than the 20,000 of either class that were sampled
+    few = pii.examples(found).count()
+    assert few < 2_000  # examples alike are one row
+    # copies weigh as much as they are many
+    twice = pii.examples(found.unionAll(found)).agg({"n": "sum"}).first()[0]
+    assert twice == 2 * (24_000 + bad)
+    assert pii.learn(found).trees
+
+
 def test_without_examples_nothing_is_added(spark):
     model = pii.learn(stored(pii.proposals(documents(spark, ["a 1234567890123456 b"])), "found"))
     assert not model.trees and all(t > 1 for t in model.threshold.values())
