@@ -16,11 +16,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (ByteType, DataType, DateType, IntegerType, LongType, ShortType, StructType)
 
 from lodgespark.functions import scalars as S
+from lodgespark.session import scratch_path
+
+
+def _id_of(df: DataFrame, column: str) -> Column:
+    """An identifier as bigint; a column that is one already is not parsed as text."""
+    return df[column] if df.schema[column].dataType == LongType() else S.parse_id(df[column])
 
 
 def _parent_keys(parents: DataFrame, parent_key: str) -> DataFrame:
     # Distinct keys: partial aggregation in each map task, then one shuffle.
-    k = parents.select(S.parse_id(parent_key).alias("__k"))
+    k = parents.select(_id_of(parents, parent_key).alias("__k"))
     return k.filter(F.col("__k").isNotNull()).distinct()
 
 
@@ -29,7 +35,7 @@ def semi_join_valid_parents(child: DataFrame, parents: DataFrame, child_key: str
     """Child rows whose key exists among the parents.  Keys are compared as
     identifiers; text that is none never matches."""
     keys = _parent_keys(parents, parent_key)
-    return child.join(keys, S.parse_id(child[child_key]) == keys["__k"], "left_semi")
+    return child.join(keys, _id_of(child, child_key) == keys["__k"], "left_semi")
 
 
 def fk_orphans(child: DataFrame, parents: DataFrame, child_key: str = "listing_id",
@@ -38,7 +44,7 @@ def fk_orphans(child: DataFrame, parents: DataFrame, child_key: str = "listing_i
     a key that is no identifier has none).  A null key is not an orphan (SQL
     foreign keys ignore nulls)."""
     keys = _parent_keys(parents, parent_key)
-    return child.filter(child[child_key].isNotNull()).join(keys, S.parse_id(child[child_key]) == keys["__k"], "left_anti")
+    return child.filter(child[child_key].isNotNull()).join(keys, _id_of(child, child_key) == keys["__k"], "left_anti")
 
 
 def reference_state(child: DataFrame, parents: DataFrame, child_key: str = "listing_id", parent_key: str = "id",
@@ -46,7 +52,7 @@ def reference_state(child: DataFrame, parents: DataFrame, child_key: str = "list
     """``child`` with ``out_col``: 'ok', 'orphan' or 'null_key', every row
     exactly once, from one left join to the distinct parent keys."""
     keys = _parent_keys(parents, parent_key)
-    out = child.join(keys, S.parse_id(child[child_key]) == keys["__k"], "left")
+    out = child.join(keys, _id_of(child, child_key) == keys["__k"], "left")
     state = F.when(F.col(child_key).isNull(), "null_key").when(F.col("__k").isNull(), "orphan").otherwise("ok")
     return out.withColumn(out_col, state).drop("__k")
 
@@ -157,26 +163,45 @@ def first_violation(df: DataFrame, schema: StructType, keys: list[str], not_null
 def _later_rows_of_a_key(df: DataFrame, typed_keys: Mapping[str, Column], out_col: str, place: list[str]) -> DataFrame:
     """``out_col`` 'duplicate_key' for rows that break no rule so far and are not the first of their typed key.
 
-    1. A pass over keys and places alone finds the keys of several rows and
-       their first places; its aggregates combine in the map tasks, so a key
-       of a third of all rows is one row a task there.
-    2. The rows meet these few keys in one join.  Rows that break a rule
-       already (junk keys, which are all null) are spread by their own hash
-       instead of meeting at the null key, and a hot key of valid rows is on
-       the side of the join that adaptive execution splits.
-    3. Only rows that tie for the first place of a key (equal in all columns,
-       where no ``place`` tells them apart) are ranked.
+    1. A pass over the keys alone finds those of several rows.  Its counts
+       combine in the map tasks, so a key of a third of all rows is one row a
+       task there; no place of a row moves.
+    2. The rows of these keys that break no rule give their first places.
+    3. The rows meet the keys that several such rows have in one join.  Rows
+       that break a rule already (junk keys, which are all null) are spread by
+       their own hash instead of meeting at the null key, and a hot key of
+       valid rows is on the side of the join that adaptive execution splits.
+
+    The keys of 1 and 2 are stored under the checkpoint folder, so the joins
+    are planned with their size: few keys are sent to the rows, which then do
+    not move, and tables without a repeated key are not joined at all.
     """
     names = [f"__key{i}" for i in range(len(typed_keys))]
-    keyed = df.withColumns(dict(zip(names, typed_keys.values()))).withColumn("__place", F.struct(*place))
+    keyed = df.withColumns(dict(zip(names, typed_keys.values())))
+    several = _stored_keys(keyed.groupBy(*names).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select(*names))
+    if several.isEmpty():
+        return df
+    keyed = keyed.withColumn("__place", F.struct(*place))
     fine = F.col(out_col).isNull()
-    repeated = (keyed.where(fine).groupBy(*names).agg(F.count(F.lit(1)).alias("__n"), F.min("__place").alias("__first"))
-                .where("__n > 1").select(*[F.col(n).alias(f"{n}_of") for n in names], "__first", F.xxhash64(*names).alias("__spread_of")))
-    same = F.col("__spread") == F.col("__spread_of")
-    for n in names:
-        same = same & F.col(n).eqNullSafe(F.col(f"{n}_of"))
+
+    def of(keys: DataFrame) -> tuple[DataFrame, Column]:
+        same = F.col("__spread") == F.col("__spread_of")
+        for n in names:
+            same = same & F.col(n).eqNullSafe(F.col(f"{n}_of"))
+        return keys.withColumn("__spread_of", F.xxhash64(*names)).withColumnsRenamed({n: f"{n}_of" for n in names}), same
+
+    found, same = of(several)
+    tried = keyed.where(fine).select(*names, "__place").withColumn("__spread", F.xxhash64(*names)).join(found, same, "left_semi")
+    firsts = tried.groupBy(*names).agg(F.count(F.lit(1)).alias("__n"), F.min("__place").alias("__first"))
+    found, same = of(_stored_keys(firsts.where("__n > 1").drop("__n")))
     spread = F.when(fine, F.xxhash64(*names)).otherwise(F.xxhash64("__place"))
-    met = keyed.withColumn("__spread", spread).join(repeated, same, "left")
+    met = keyed.withColumn("__spread", spread).join(found, same, "left")
     later = fine & F.col("__first").isNotNull() & (F.col("__place") != F.col("__first"))
     helpers = [*names, *[f"{n}_of" for n in names], "__place", "__first", "__spread_of", "__spread"]
     return met.withColumn(out_col, F.when(later, "duplicate_key").otherwise(F.col(out_col))).drop(*helpers)
+
+
+def _stored_keys(keys: DataFrame) -> DataFrame:
+    path = scratch_path(keys.sparkSession, "repeated-keys")
+    keys.write.parquet(path)
+    return keys.sparkSession.read.schema(keys.schema).parquet(path)

@@ -134,3 +134,26 @@ def test_reference_state_is_one_join(spark):
     from lodgespark.operators import quality as Q
     c = CAT.raw(spark, SF_SMALL)
     assert opt(Q.reference_state(c["reviews"], c["listings"])).count("Join ") == 1
+
+
+def test_a_date_is_parsed_once_a_row(spark):
+    from lodgespark.functions import scalars as S
+    from lodgespark.plans import transform as T
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")
+    for table, step in (("reviews", T.transform_reviews), ("calendar", T.transform_calendar)):
+        assert opt(step(CAT.stamped(spark, SF_SMALL)[table])).count(S._ISO_DATE) == 1
+        # a stage's method above this size is never compiled: Spark has to split it, in any session
+        assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) == 8000
+
+
+def test_rows_move_for_no_key_rule_where_few_keys_repeat(spark):
+    from pyspark.sql.types import LongType, StructField, StructType
+    from lodgespark.operators import quality as Q
+    schema = StructType([StructField("id", LongType())])
+    once = spark.range(2000).select("id", F.col("id").alias("__row"))
+    judged = Q.first_violation(once, schema, ["id"], place=["__row"])
+    assert "Exchange" not in plan(judged) and judged.where("violation IS NULL").count() == 2000
+    twice = once.unionByName(spark.range(3).select("id", (F.col("id") + 5000).alias("__row")))
+    judged = Q.first_violation(twice, schema, ["id"], place=["__row"])
+    assert "SortMergeJoin" not in plan(judged) and "hashpartitioning" not in plan(judged)
+    assert [(r["id"], r["__row"]) for r in judged.where("violation = 'duplicate_key'").orderBy("id").collect()] == [(i, i + 5000) for i in range(3)]
