@@ -16,20 +16,25 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .shared import stored
+from .shared import drop_stored, stored
 
 #: Leading tokens in the tree, share of places to agree in, share from which a place is fixed, and the number of
 #: different texts from which a template counts as recurring.
 DEPTH, AGREE, FIXED, MIN_DOCS = 3, 0.7, 0.6, 3
 WILD = "<*>"
-#: A token with a digit, found from its start only (linear in long tokens).
-VARIABLE = r"(?<!\S)[^\s0-9]*+[0-9]\S*+"
+_BLANK = r"\x20\t\n\x0B\f\r"
+#: Tokens without a digit, then one with a digit: a match starts where the last one ended, so no character is tried twice.
+VARIABLE = rf"\G((?:[^0123456789{_BLANK}]*+[{_BLANK}])*+)[^0123456789{_BLANK}]*+[0123456789][^{_BLANK}]*+"
 
 
 def masked_lines(text: Column) -> Column:
     """The lines of a text, in order, with one space between tokens and variable tokens wild; blank lines are empty."""
-    blanks = F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x09\x0B-\x0D][\x20\x09\x0B-\x0D]*|\x20[\x20\x09\x0B-\x0D]+", " ")
-    return F.transform(F.split(F.regexp_replace(blanks, VARIABLE, WILD), "\n"), lambda x: F.trim(x))
+    text = F.coalesce(text, F.lit(""))
+    runs = text.contains("  ")  # most texts have no run of blanks to replace
+    for c in "\t\x0B\f\r":
+        runs = runs | text.contains(c)
+    blanks = F.when(runs, F.regexp_replace(text, r"[\x09\x0B-\x0D][\x20\x09\x0B-\x0D]*|\x20[\x20\x09\x0B-\x0D]+", " ")).otherwise(text)
+    return F.transform(F.split(F.regexp_replace(blanks, VARIABLE, f"$1{WILD}"), "\n"), lambda x: F.trim(x))
 
 
 def leaf(line: Column) -> Column:
@@ -42,17 +47,22 @@ def _text_name(text: Column) -> list[Column]:
     return [F.xxhash64(t).alias("h1"), F.xxhash64(F.lit(1), t).alias("h2")]
 
 
-def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, h1, h2, pos, leaf, name): every line that is not blank; h1 and h2 name the text, `name` the masked line."""
-    rows = docs.select(F.col(id_col).alias("id"), *_text_name(F.col(text_col)), F.posexplode(masked_lines(F.col(text_col))).alias("pos", "line"))
+def masked_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, h1, h2, lines): every row's text as its masked lines; h1 and h2 name the text."""
+    return docs.select(F.col(id_col).alias("id"), *_text_name(F.col(text_col)), masked_lines(F.col(text_col)).alias("lines"))
+
+
+def occurrences(masked: DataFrame) -> DataFrame:
+    """(id, h1, h2, pos, leaf, name): every line that is not blank; `name` names the masked line."""
+    rows = masked.select("id", "h1", "h2", F.posexplode("lines").alias("pos", "line"))
     return rows.where("line != ''").select("id", "h1", "h2", "pos", leaf(F.col("line")).alias("leaf"), F.xxhash64("line").alias("name"))
 
 
-def known_lines(docs: DataFrame, found: DataFrame, text_col: str = "text", min_docs: int = MIN_DOCS) -> DataFrame:
+def known_lines(masked: DataFrame, found: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """(grp, name, line, n), stored: the different lines of every leaf that recurs in `min_docs` texts, the leaf as first group."""
     texts = found.select("h1", "h2", "leaf").distinct()
     busy = texts.groupBy("leaf").count().where(F.col("count") >= min_docs).select("leaf")
-    lines = docs.select(F.explode(F.array_distinct(masked_lines(F.col(text_col)))).alias("line")).where("line != ''")
+    lines = masked.select(F.explode(F.array_distinct("lines")).alias("line")).where("line != ''")
     known = (lines.select(leaf(F.col("line")).alias("leaf"), "line").join(busy, "leaf", "left_semi")
              .groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("n")))
     return stored(known.select(F.col("leaf").alias("grp"), F.xxhash64("line").alias("name"), "line", "n"), "lines")
@@ -101,8 +111,10 @@ def regroup(voted: DataFrame, often: DataFrame) -> DataFrame:
 
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS) -> DataFrame:
     """(id, h1, h2, n_lines, dropped): per distinct (id, text) its count of non-blank lines and the sorted numbers of those to drop."""
-    found = stored(occurrences(docs, id_col, text_col), "occurrences")
-    known, where_ = known_lines(docs, found, text_col, min_docs), found.withColumnRenamed("leaf", "grp")
+    masked = stored(masked_texts(docs, id_col, text_col), "masked")  # masking costs most by far: once a text
+    found = stored(occurrences(masked), "occurrences")
+    known, where_ = known_lines(masked, found, min_docs), found.withColumnRenamed("leaf", "grp")
+    drop_stored(masked)
     gone = None
     while True:  # a vote per round, until no group is left in which a template can recur
         voted = stored(vote(known), "voted")

@@ -1,6 +1,9 @@
 import random
+import re
 from collections import defaultdict
 
+from pyspark.sql import functions as F
+
 
 from lodgespark.llm import line_templates as lt, queries
 from tests.llm.helpers import EDGE_TEXTS, documents
@@ -110,3 +113,26 @@ def test_no_python_and_no_cross_join(spark):
     plan = lt.drop_recurring_lines(documents(spark, ["a\nb"]).select("doc_id", "text"))
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in text and "Cartesian" not in text and "NestedLoop" not in text
+
+
+def test_texts_are_masked_once(spark, monkeypatch):
+    calls, mask = [], lt.masked_lines
+    monkeypatch.setattr(lt, "masked_lines", lambda text: calls.append(1) or mask(text))
+    rows = lt.drop_recurring_lines(documents(spark, ["a b\nc", "a b\nd", "a b\ne f"])).collect()
+    assert len(calls) == 1 and {r.n_dropped for r in rows} == {1}
+
+
+def test_masking_token_by_token(spark):
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("ab1 9\n\t\x0b\x0c\r\xa0\u0663é$\\") for _ in range(rng.randint(0, 40))) for _ in range(400)] + [None, "", "1", " 1", "a\n\n2b c"]
+
+    def by_token(text):
+        lines = (text or "").split("\n")
+        return [" ".join(lt.WILD if any(c in "0123456789" for c in t) else t for t in re.split(r"[\x20\t\x0b\x0c\r]+", x) if t) for x in lines]
+
+    got = {r.doc_id: r.lines for r in documents(spark, texts).select("doc_id", lt.masked_lines(F.col("text")).alias("lines")).collect()}
+    assert [got[i] for i in range(len(texts))] == [by_token(t) for t in texts]
+    # linear, without recursion, however long a text without line ends or a token is
+    long = ["word " * 300_000 + "end7", "x" * 1_000_000, "y" * 1_000_000 + "1 z"]
+    got = {r.doc_id: r.lines for r in documents(spark, long).select("doc_id", lt.masked_lines(F.col("text")).alias("lines")).collect()}
+    assert got[0] == ["word " * 300_000 + lt.WILD] and got[1] == long[1:2] and got[2] == [f"{lt.WILD} z"]
