@@ -68,10 +68,20 @@ def known_lines(masked: DataFrame, found: DataFrame, min_docs: int = MIN_DOCS) -
     return stored(known.select(F.col("leaf").alias("grp"), F.xxhash64("line").alias("name"), "line", "n"), "lines")
 
 
-def vote(known: DataFrame) -> DataFrame:
+def counted(lines: DataFrame) -> DataFrame:
+    """(grp, place, token, n, m): for every token at a place of a group, its weight and its number of lines."""
+    places = lines.select("grp", "n", F.posexplode(F.split("line", " ")).alias("place", "token"))
+    return places.groupBy("grp", "place", "token").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("m"))
+
+
+def less(votes: DataFrame, gone: DataFrame) -> DataFrame:
+    """The counts `votes` without those of lines that left their groups."""
+    minus = gone.select("grp", "place", "token", (-F.col("n")).alias("n"), (-F.col("m")).alias("m"))
+    return votes.unionByName(minus).groupBy("grp", "place", "token").agg(F.sum("n").alias("n"), F.sum("m").alias("m")).where("m > 0")
+
+
+def vote(known: DataFrame, votes: DataFrame) -> DataFrame:
     """`known` with `agrees` (with the group's leading line) and `template`: the shared pattern, or the line itself."""
-    places = known.select("grp", "n", F.posexplode(F.split("line", " ")).alias("place", "token"))
-    votes = places.groupBy("grp", "place", "token").agg(F.sum("n").alias("n"))
     lead = votes.groupBy("grp", "place").agg(F.max_by("token", F.struct("n", "token")).alias("token"), (F.max("n") / F.sum("n")).alias("share"))
     leading = lead.groupBy("grp").agg(F.array_sort(F.collect_list(F.struct("place", "token", "share"))).alias("lead"))
     both = known.join(leading, "grp").withColumn("tokens", F.split("line", " "))
@@ -82,8 +92,9 @@ def vote(known: DataFrame) -> DataFrame:
     return judged.withColumn("template", F.xxhash64("grp", pattern)).drop("shared")
 
 
-def regroup(voted: DataFrame, often: DataFrame) -> DataFrame:
-    """(old, grp, name, line, n): the lines that got no shared template that recurs, in the groups of the next vote.
+def regroup(voted: DataFrame, votes: DataFrame, often: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(old, grp, name, line, n), the lines that got no shared template that recurs, in the groups of the next vote; and
+    the counts of the groups that are split, without the lines that are settled.  Both are stored.
 
     Where the vote settled half of a group or more, the rest votes again as
     one group.  Elsewhere several families are mixed: the rest is split by
@@ -91,13 +102,12 @@ def regroup(voted: DataFrame, often: DataFrame) -> DataFrame:
     line together.  So a group halves or is split for good each round.
     """
     settled = voted.where("agrees").join(often, "template", "left_semi").select("grp", "name", F.lit(True).alias("settled"))
-    state = voted.join(settled, ["grp", "name"], "left").select("grp", "name", "line", "n", F.coalesce("settled", F.lit(False)).alias("settled"))
+    state = stored(voted.join(settled, ["grp", "name"], "left").select("grp", "name", "line", "n", F.coalesce("settled", F.lit(False)).alias("settled")), "state")
     weights = state.groupBy("grp").agg((2 * F.sum(F.when(F.col("settled"), F.col("n")).otherwise(0)) >= F.sum("n")).alias("half"))
+    halves, split = weights.where("half").select("grp"), weights.where("not half").select("grp")
     rest = state.where("not settled").drop("settled")
-    mixed = rest.join(weights.where("not half").select("grp"), "grp", "left_semi")
-    same = rest.join(weights.where("half").select("grp"), "grp", "left_semi")
-    of_token = (mixed.select("grp", F.posexplode(F.split("line", " ")).alias("place", "token"))
-                .groupBy("grp", "place", "token").agg(F.count(F.lit(1)).alias("m")))
+    mixed, same = rest.join(split, "grp", "left_semi"), rest.join(halves, "grp", "left_semi")
+    of_token = stored(less(votes.join(split, "grp", "left_semi"), counted(state.where("settled").join(split, "grp", "left_semi"))), "votes")
     tried = of_token.groupBy("grp", "place").agg(F.count(F.lit(1)).alias("tokens"), F.sum("m").alias("lines"))
     place = (tried.where((F.col("tokens") > 1) & (F.col("tokens") < F.col("lines")))
              .groupBy("grp").agg(F.min(F.struct("tokens", "place"))["place"].alias("place")))
@@ -105,8 +115,27 @@ def regroup(voted: DataFrame, often: DataFrame) -> DataFrame:
     parts = (mixed.join(place, "grp").withColumn("token", F.get(F.split("line", " "), F.col("place")))
              .join(repeated, ["grp", "place", "token"], "left"))
     key = F.xxhash64("grp", "place", F.when(F.col("again"), F.col("token")))
-    return (same.select(F.col("grp").alias("old"), "grp", "name", "line", "n")
-            .unionByName(parts.select(F.col("grp").alias("old"), key.alias("grp"), "name", "line", "n")))
+    moved = (same.select(F.col("grp").alias("old"), "grp", "name", "line", "n")
+             .unionByName(parts.select(F.col("grp").alias("old"), key.alias("grp"), "name", "line", "n")))
+    rest = stored(moved, "rest")
+    drop_stored(state)
+    return rest, of_token
+
+
+def next_votes(rest: DataFrame, known: DataFrame, of_token: DataFrame) -> DataFrame:
+    """The counts of the groups of `known`, the next vote, stored.
+
+    The largest part of a split group takes that group's counts less those of
+    the other parts.  So the tokens of a line are counted again only where its
+    group has halved, however many parts are split off one by one.
+    """
+    sizes = rest.where("grp != old").groupBy("old", "grp").agg(F.count(F.lit(1)).alias("lines"))
+    largest = sizes.groupBy("old").agg(F.max(F.struct("lines", "grp"))["grp"].alias("largest"))
+    largest = stored(largest.join(known.select(F.col("grp").alias("largest")).distinct(), "largest", "left_semi"), "largest")
+    others = rest.join(largest, "old").where("grp != largest").select(F.col("largest").alias("grp"), "n", "line")
+    parents = of_token.join(largest, F.col("grp") == F.col("old")).select(F.col("largest").alias("grp"), "place", "token", "n", "m")
+    fresh = known.join(largest.select(F.col("largest").alias("grp")), "grp", "left_anti")
+    return stored(counted(fresh).unionByName(less(parents, counted(others))), "votes")
 
 
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS) -> DataFrame:
@@ -115,16 +144,17 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     found = stored(occurrences(masked), "occurrences")
     known, where_ = known_lines(masked, found, min_docs), found.withColumnRenamed("leaf", "grp")
     drop_stored(masked)
-    gone = None
+    gone, votes = None, stored(counted(known), "votes")
     while True:  # a vote per round, until no group is left in which a template can recur
-        voted = stored(vote(known), "voted")
+        voted = stored(vote(known, votes), "voted")
         named = stored(where_.join(voted.select("grp", "name", "template"), ["grp", "name"])
                        .select("id", "h1", "h2", "pos", "grp", "name", "template"), "named")
         often = stored(named.select("template", "h1", "h2").distinct().groupBy("template").count()
                        .where(F.col("count") >= min_docs).select("template"), "often")
         out = named.join(often, "template", "left_semi").select("id", "h1", "h2", "pos")
         gone = out if gone is None else gone.unionByName(out)
-        rest = stored(regroup(voted, often), "rest")
+        rest, of_token = regroup(voted, votes, often)
+        drop_stored(votes)
         if rest.isEmpty():
             break
         where_ = stored(named.select("id", "h1", "h2", "pos", F.col("grp").alias("old"), "name")
@@ -134,6 +164,8 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         known = stored(rest.drop("old").join(busy, "grp", "left_semi"), "lines")
         if known.isEmpty():
             break
+        votes = next_votes(rest, known, of_token)
+        drop_stored(of_token)
     gone = gone.groupBy("id", "h1", "h2").agg(F.sort_array(F.collect_set("pos")).alias("dropped"))
     lines = found.select("id", "h1", "h2", "pos").distinct().groupBy("id", "h1", "h2").agg(F.count(F.lit(1)).alias("n_lines"))
     a, b = lines.alias("a"), gone.alias("b")

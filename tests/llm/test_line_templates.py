@@ -1,6 +1,6 @@
 import random
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 from pyspark.sql import functions as F
 
@@ -136,3 +136,83 @@ def test_masking_token_by_token(spark):
     long = ["word " * 300_000 + "end7", "x" * 1_000_000, "y" * 1_000_000 + "1 z"]
     got = {r.doc_id: r.lines for r in documents(spark, long).select("doc_id", lt.masked_lines(F.col("text")).alias("lines")).collect()}
     assert got[0] == ["word " * 300_000 + lt.WILD] and got[1] == long[1:2] and got[2] == [f"{lt.WILD} z"]
+
+
+def by_rounds(texts, min_docs):
+    """Lines to drop per text and the number of votes, by the definitions, one group of lines at a time."""
+    lines = [masked(t) for t in texts]
+    count = Counter(x for ls in lines for x in set(ls) - {""})
+    texts_of, leaves = defaultdict(set), defaultdict(list)
+    for t, ls in zip(texts, lines):
+        for x in ls:
+            texts_of[x].add(t)
+    for x in count:
+        leaves[x.count(" "), tuple(x.split(" ")[:lt.DEPTH])].append(x)
+    recurs = lambda xs: len(set().union(*(texts_of[x] for x in xs))) >= min_docs
+    groups, gone, votes = [g for g in leaves.values() if recurs(g)], set(), 0
+    while groups:
+        found, votes = [], votes + 1
+        for group in groups:
+            lead, template, total = [], defaultdict(list), sum(count[x] for x in group)
+            for at in zip(*(x.split(" ") for x in group)):
+                n = Counter()
+                for x, token in zip(group, at):
+                    n[token] += count[x]
+                lead.append(max((m, token) for token, m in n.items()))
+            agrees = {x for x in group if sum(a == b for a, (_, b) in zip(x.split(" "), lead)) / len(lead) >= lt.AGREE}
+            shared = " ".join(b if m / total >= lt.FIXED else lt.WILD for m, b in lead)
+            for x in group:
+                template[shared if x in agrees else x].append(x)
+            gone |= {x for xs in template.values() if recurs(xs) for x in xs}
+            settled = agrees if agrees and recurs(template[shared]) else set()
+            rest = [x for x in group if x not in settled]
+            parts = {None: rest}
+            if 2 * sum(count[x] for x in settled) < total:
+                tokens = [Counter(at) for at in zip(*(x.split(" ") for x in rest))]
+                places = [(len(c), k) for k, c in enumerate(tokens) if 1 < len(c) < len(rest)]
+                parts = defaultdict(list)
+                for x in rest if places else []:
+                    token = x.split(" ")[min(places)[1]]
+                    parts[token if tokens[min(places)[1]][token] > 1 else None].append(x)
+            found += [p for p in parts.values() if len(p) > 1 and recurs(p)]
+        groups = found
+    return [[i for i, x in enumerate(ls) if x in gone] for ls in lines], votes
+
+
+def test_many_votes_against_the_definitions(spark):
+    rng = random.Random(11)
+    pick = lambda k, f, i: rng.choice(["p", "q", f"f{f}", f"f{f}", f"u{chr(97 + i % 26)}{chr(97 + i // 26)}{chr(97 + k)}"])
+    texts = [" ".join(["x y z", *(pick(k, i % 3, i) for k in range(6))]) for i in range(90)]
+    texts += [f"see the list {' '.join(rng.choice('abc') for _ in range(4))}\nx y z" for _ in range(40)]
+    want, votes = by_rounds(texts + texts[:9], 3)
+    assert votes >= 4 and 0 < sum(map(len, want)) < sum(len(t.split("\n")) for t in texts)
+    got = {r.doc_id: r for r in lt.drop_recurring_lines(documents(spark, texts + texts[:9])).collect()}
+    kept = ["\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone) for t, gone in zip(texts + texts[:9], want)]
+    assert [(got[i].n_dropped, got[i].clean_text) for i in range(len(kept))] == [(len(w), k) for w, k in zip(want, kept)]
+
+
+def test_a_line_is_taken_apart_again_only_where_its_group_halved(spark, monkeypatch):
+    # a leaf of which each vote splits off two lines: taking all apart each time grows with the square of its lines
+    pairs, own = 5, 12
+    letters = "abcdefghijkl"
+    texts = [" ".join(["We say this", *("odd" if i // 2 == k else "even" for k in range(pairs)), *(f"{letters[i]}{letters[k]}" for k in range(own))])
+             for i in range(2 * pairs + 2)]
+    assert by_rounds(texts, 3)[1] == pairs
+    made, store = [], lt.stored
+
+    def generated(node):
+        """Rows that the Generate nodes of a plan make, each place in the plan for itself."""
+        below = [node.children().apply(i) for i in range(node.children().size())]
+        mine = spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows(spark._jsparkSession, node).count() if node.nodeName() == "Generate" else 0
+        return mine + sum(map(generated, below))
+
+    def counting(df, name):
+        if name not in ("masked", "occurrences", "lines"):
+            made.append(generated(df._jdf.queryExecution().optimizedPlan()))
+        return store(df, name)
+
+    monkeypatch.setattr(lt, "stored", counting)
+    rows = lt.drop_recurring_lines(documents(spark, texts)).collect()
+    tokens = sum(len(t.split(" ")) for t in texts)
+    assert tokens <= sum(made) <= 2 * tokens, (made, tokens)
+    assert [r.n_dropped for r in rows] == [0] * len(texts)
